@@ -1,0 +1,205 @@
+"""Gold questions on literal series: published golden values, determinism,
+edge cases (zero / null price, ties, empty range, ISO year edge)."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from bourse.operators import gold
+from tests.conftest import rows
+
+D = dt.date
+SCHEMA = "ticker string, date date, close double"
+
+
+def series(spark, data, shuffle=True, parts=4):
+    data = list(data)
+    if shuffle:
+        random.Random(7).shuffle(data)
+    return spark.createDataFrame(data, SCHEMA).repartition(parts)
+
+
+def golden_frame(spark, first, last, d0, d1, n=98):
+    """One real two-date pair and n-1 flat tickers (price 1.0)."""
+    data = [("NVDA", d0, first), ("NVDA", d1, last)]
+    for i in range(n - 1):
+        data += [(f"T{i:03d}", d0, 1.0), (f"T{i:03d}", d1, 1.0)]
+    return series(spark, data)
+
+
+def test_a_golden_2023(spark):
+    p = golden_frame(spark, 23.314, 49.522, D(2023, 3, 1), D(2023, 12, 29))
+    r = gold.max_relative_increase(p, ("2023-01-01", "2023-12-31")).first()
+    assert (r.ticker, r.first_close, r.last_close, r.net_change) == \
+        ("NVDA", 23.314, 49.522, 1.1241314231792054)
+
+
+def test_a_golden_2024(spark):
+    p = golden_frame(spark, 48.168, 134.29, D(2024, 1, 2), D(2024, 12, 31))
+    r = gold.max_relative_increase(p, ("2024-01-01", "2024-12-31")).first()
+    assert r.net_change == 1.7879505065603718
+
+
+@pytest.mark.parametrize("first,last,d0,d1,june,cagr", [
+    (23.314, 42.302, D(2023, 3, 1), D(2023, 6, 30), 18514.75770886548, 229.2215213984811),
+    (48.168, 123.54, D(2024, 1, 2), D(2024, 6, 28), 26171.156055845364, 557.8062046911546),
+])
+def test_c_golden(spark, first, last, d0, d1, june, cagr):
+    p = golden_frame(spark, first, last, d0, d1)
+    y = d0.year
+    r = gold.max_cagr(p, (f"{y}-01-01", f"{y}-06-30")).first()
+    assert r.ticker == "NVDA" and r.year == y
+    assert r.jan_value == 10204.081632653062
+    assert r.june_value == june
+    assert r.CAGR == cagr
+
+
+def test_d_golden_week_values(spark):
+    """SCHW 2023 week 10: values in the published ratio."""
+    per = 1_000_000 / 98
+    first_v, last_v = 10272.475398360159, 7871.988327463987
+    base = 1.0
+    data = [("SCHW", D(2023, 1, 3), base),
+            ("SCHW", D(2023, 3, 6), first_v / per * base),
+            ("SCHW", D(2023, 3, 8), 0.99),
+            ("SCHW", D(2023, 3, 10), last_v / per * base)]
+    for i in range(97):
+        data += [(f"T{i:03d}", D(2023, 1, 3), 1.0), (f"T{i:03d}", D(2023, 3, 6), 1.0)]
+    p = series(spark, data)
+    r = gold.max_weekly_decrease(p, ("2023-01-01", "2023-12-31"), n=1).first()
+    assert (r.ticker, r.year, r.weeknum) == ("SCHW", 2023, 10)
+    assert r.week_first_value == pytest.approx(first_v, rel=1e-12)
+    assert r.week_last_value == pytest.approx(last_v, rel=1e-12)
+    assert r.net_change == pytest.approx(-2400.4870708961716, rel=1e-9)
+    days = gold.weekly_change_by_day(p, ("2023-01-01", "2023-12-31"), n=10)
+    got = [(r.ticker, r.date, r.weeknum) for r in days.collect()]
+    assert got[:3] == [("SCHW", D(2023, 3, 6), 10), ("SCHW", D(2023, 3, 8), 10),
+                       ("SCHW", D(2023, 3, 10), 10)]
+    summary = gold.consolidate(p, ("2023-01-01", "2023-12-31")).first()
+    assert summary.max_decrease_by_week_ticker == "SCHW"
+    assert summary.max_decrease_by_week_weeknum == "2023-10"
+
+
+def _walk(seed, tickers=5, days=60):
+    rnd = random.Random(seed)
+    out = []
+    for t in range(tickers):
+        price = 10.0 + t
+        for k in range(days):
+            price *= 1 + rnd.uniform(-0.05, 0.05)
+            out.append((f"S{t}", D(2022, 12, 20) + dt.timedelta(days=k), round(price, 4)))
+    return out
+
+
+def test_order_insensitive(spark):
+    data = _walk(1)
+    a = series(spark, data, shuffle=False, parts=1)
+    b = series(spark, data, shuffle=True, parts=7)
+    for fn in (gold.relative_change, gold.position_values, gold.growth_rate,
+               gold.weekly_change, gold.day_values):
+        assert rows(fn(a)) == rows(fn(b)), fn.__name__
+
+
+def test_relative_change_matches_python(spark):
+    data = _walk(2)
+    p = series(spark, data)
+    rng = ("2023-01-01", "2023-01-31")
+    got = {r.ticker: r.net_change for r in gold.relative_change(p, rng).collect()}
+    for t in {d[0] for d in data}:
+        pts = sorted((d, c) for tt, d, c in data if tt == t and D(2023, 1, 1) <= d <= D(2023, 1, 31))
+        first, last = pts[0][1], pts[-1][1]
+        assert got[t] == (last - first) / first
+
+
+def test_weekly_change_matches_python(spark):
+    data = _walk(3)
+    p = series(spark, data)
+    n = len({d[0] for d in data})
+    per = 1_000_000 / n
+    got = {(r.ticker, r.year, r.weeknum): r.net_change for r in gold.weekly_change(p).collect()}
+    for t in {d[0] for d in data}:
+        pts = sorted((d, c) for tt, d, c in data if tt == t)
+        shares = per / pts[0][1]
+        weeks = {}
+        for d, c in pts:
+            y, w, _ = d.isocalendar()
+            weeks.setdefault((y, w), []).append(c)
+        for (y, w), cs in weeks.items():
+            assert got[(t, y, w)] == shares * cs[-1] - shares * cs[0]
+
+
+def test_iso_year_edge_week(spark):
+    data = [("X", D(2024, 12, 30), 10.0), ("X", D(2024, 12, 31), 8.0), ("X", D(2025, 1, 3), 12.0),
+            ("Y", D(2024, 12, 30), 10.0), ("Y", D(2025, 1, 2), 10.0)]
+    w = gold.weekly_change(series(spark, data)).filter(F.col("ticker") == "X").first()
+    assert (w.year, w.weeknum, w.week_start, w.week_end) == (2025, 1, D(2024, 12, 30), D(2025, 1, 3))
+    # b. and c. use the calendar year: 2024-12-30/31 stay in 2024
+    years = rows(gold.position_values(series(spark, data)), "ticker", "year")
+    assert ("X", 2024) in years and ("X", 2025) in years
+
+
+def test_zero_and_null_first_close(spark):
+    data = [("Z", D(2023, 1, 2), 0.0), ("Z", D(2023, 1, 3), 5.0),
+            ("N", D(2023, 1, 2), None), ("N", D(2023, 1, 3), 5.0),
+            ("A", D(2023, 1, 2), 1.0), ("A", D(2023, 1, 3), 2.0)]
+    p = series(spark, data)
+    rc = {r.ticker: r for r in gold.relative_change(p).collect()}
+    assert rc["Z"].net_change is None          # no division error under ANSI
+    assert rc["N"].first_close is None         # first row's close, even if NULL
+    assert rc["N"].net_change is None
+    top = gold.max_relative_increase(p).first()
+    assert top.ticker == "A"                   # NULLs never win
+    worst = gold.max_weekly_decrease(p, n=3)
+    assert worst.first().ticker == "A" or worst.first().net_change is not None
+
+
+def test_ties_break_on_ticker(spark):
+    data = [(t, D(2023, 1, 2), 1.0) for t in "CBA"] + [(t, D(2023, 1, 3), 2.0) for t in "CBA"]
+    p = series(spark, data)
+    assert gold.max_relative_increase(p).first().ticker == "A"
+    assert gold.max_cagr(p).first().ticker == "A"
+
+
+def test_empty_range(spark):
+    p = series(spark, _walk(4))
+    rng = ("1990-01-01", "1990-12-31")
+    assert gold.relative_change(p, rng).count() == 0
+    assert gold.investment_return(p, rng).count() == 0
+    assert gold.weekly_change_by_day(p, rng).count() == 0
+    assert gold.consolidate(p, rng).count() == 0
+
+
+def test_start_after_end_rejected(spark):
+    p = series(spark, _walk(5))
+    with pytest.raises(ValueError):
+        gold.relative_change(p, ("2024-01-02", "2024-01-01"))
+
+
+def test_investment_return_sums_positions(spark):
+    data = _walk(6)
+    p = series(spark, data)
+    pv = gold.position_values(p).collect()
+    inv = {r.year: r.investment_value for r in gold.investment_return(p).collect()}
+    for y in inv:
+        assert inv[y] == pytest.approx(sum(r.investment_value for r in pv if r.year == y), rel=1e-12)
+
+
+def test_consolidate_uses_growth_range(spark):
+    data = [("A", D(2023, 1, 2), 1.0), ("A", D(2023, 6, 30), 1.5), ("A", D(2023, 12, 29), 1.6),
+            ("B", D(2023, 1, 2), 1.0), ("B", D(2023, 6, 30), 1.2), ("B", D(2023, 12, 29), 3.0)]
+    p = series(spark, data)
+    r = gold.consolidate(p, ("2023-01-01", "2023-12-31"),
+                         growth_dates=("2023-01-01", "2023-06-30")).first()
+    assert r.max_relative_increase_ticker == "B"
+    assert r.max_CAGR_ticker_jan_june == "A"
+    assert r.investment_return_by_end_of_year == pytest.approx(500000 * 1.6 + 500000 * 3.0)
+
+
+def test_plans_have_no_python_and_no_ticker_window(spark):
+    p = series(spark, _walk(7))
+    for fn in (gold.relative_change, gold.position_values, gold.growth_rate, gold.investment_return):
+        plan = fn(p)._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan, fn.__name__
+        assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
