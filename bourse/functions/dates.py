@@ -83,53 +83,75 @@ def ingest_epoch_from_path(path: Column) -> Column:
     return digits.try_cast("bigint")
 
 
-# Fixed-width spans in microseconds.
-_FIXED_US = {
-    "second": 1_000_000,
-    "minute": 60 * 1_000_000,
-    "hour": 3600 * 1_000_000,
-    "day": 86400 * 1_000_000,
+# Fixed-width spans in seconds (fixed values).
+_FIXED_S = {
+    "second": 1,
+    "minute": 60,
+    "hour": 3600,
+    "day": 86400,
+    "week": 7 * 86400,
 }
+# 1970-01-05 was a Monday: weeks are aligned on it (fixed value).
+_MONDAY_OFFSET_S = 4 * 86400
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
-TIMESPANS = tuple(_FIXED_US) + ("week",) + tuple(_MONTHS)
+TIMESPANS = tuple(_FIXED_S) + tuple(_MONTHS)
 
 
 def _to_ntz(ts: Column, dtype) -> Column:
+    """Wall-clock view of a timestamp: NTZ as is; TIMESTAMP (with zone) is
+    read in the session zone; DATE becomes its midnight."""
     if isinstance(dtype, TimestampNTZType):
         return ts
-    if isinstance(dtype, (TimestampType, DateType)):
-        # TIMESTAMP (with zone) is read as session-zone wall clock.
-        return ts.cast(TimestampNTZType())
     return ts.cast(TimestampNTZType())
 
 
+def _span(timespan: str, multiplier: int) -> str:
+    if multiplier < 1:
+        raise ValueError("multiplier must be >= 1")
+    span = timespan.lower().rstrip("s")
+    if span not in TIMESPANS:
+        raise ValueError(f"unknown timespan {timespan!r}; expected one of {TIMESPANS}")
+    return span
+
+
+def bucket_key(ts: Column, multiplier: int = 1, timespan: str = "day",
+               dtype=TimestampNTZType()) -> Column:
+    """Integer key of the ``multiplier`` x ``timespan`` bucket holding ``ts``.
+
+    For second .. week spans: the bucket start in seconds since the epoch of
+    the wall clock; for month, quarter and year: the bucket's first month
+    counted from year 0. Cheap integer arithmetic, meant for grouping; turn
+    keys into timestamps after aggregating (``bucket_key_start``).
+    """
+    span = _span(timespan, multiplier)
+    local = _to_ntz(ts, dtype)
+    if span in _FIXED_S:
+        # unix_timestamp of a TIMESTAMP_NTZ ignores the session zone
+        secs = F.unix_timestamp(local)
+        width = F.lit(_FIXED_S[span] * multiplier)
+        if span == "week":
+            return secs - F.pmod(secs - F.lit(_MONDAY_OFFSET_S), width)
+        return secs - F.pmod(secs, width)
+    d = F.to_date(local)
+    idx = F.year(d) * 12 + F.month(d) - 1
+    return idx - F.pmod(idx, F.lit(_MONTHS[span] * multiplier))
+
+
+def bucket_key_start(key: Column, timespan: str = "day") -> Column:
+    """TIMESTAMP_NTZ start of a bucket from its ``bucket_key``."""
+    span = _span(timespan, 1)
+    if span in _FIXED_S:
+        return F.timestamp_add("SECOND", key, _epoch())
+    return F.make_date((key / 12).cast("int"), (key % 12 + 1).cast("int"),
+                       F.lit(1)).cast(TimestampNTZType())
+
+
 def bucket_start(ts: Column, multiplier: int = 1, timespan: str = "day",
                  dtype=TimestampNTZType()) -> Column:
     """Start of the ``multiplier`` x ``timespan`` bar that holds ``ts``.
 
-    second/minute/hour/day buckets are aligned on the Unix epoch; weeks start
-    on Monday (aligned on 1970-01-05); months, quarters and years on
-    January 1st of year 0. Returns TIMESTAMP_NTZ.
+    second .. day buckets are aligned on the Unix epoch; weeks start on
+    Monday (aligned on 1970-01-05); months, quarters and years on January 1st
+    of year 0. Returns TIMESTAMP_NTZ.
     """
-    if multiplier < 1:
-        raise ValueError("multiplier must be >= 1")
-    timespan = timespan.lower().rstrip("s")
-    local = _to_ntz(ts, dtype)
-    if timespan in _FIXED_US:
-        width = _FIXED_US[timespan] * multiplier
-        us = F.timestamp_diff("MICROSECOND", _epoch(), local)
-        start = F.floor(us / F.lit(width)) * F.lit(width)
-        return F.timestamp_add("MICROSECOND", start, _epoch())
-    if timespan == "week":
-        width = 7 * multiplier
-        days = F.datediff(F.to_date(local), F.lit(dt.date(1970, 1, 5)))
-        start = F.floor(days / F.lit(width)) * F.lit(width)
-        return F.date_add(F.lit(dt.date(1970, 1, 5)), start.cast("int")).cast(TimestampNTZType())
-    if timespan in _MONTHS:
-        width = _MONTHS[timespan] * multiplier
-        d = F.to_date(local)
-        idx = F.year(d) * 12 + F.month(d) - 1
-        start = (F.floor(idx / F.lit(width)) * F.lit(width)).cast("int")
-        return F.make_date(F.floor(start / 12).cast("int"), (start % 12 + 1).cast("int"),
-                           F.lit(1)).cast(TimestampNTZType())
-    raise ValueError(f"unknown timespan {timespan!r}; expected one of {TIMESPANS}")
+    return bucket_key_start(bucket_key(ts, multiplier, timespan, dtype), timespan)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.functions import bucket_start, local_to_epoch_ms, safe_div
+from bourse.functions import bucket_key, bucket_key_start, local_to_epoch_ms, safe_div
 
 BAR_COLUMNS = ["ticker", "bar_start", "open", "high", "low", "close",
                "trades", "volume", "vwap"]
@@ -27,7 +27,8 @@ def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
     high/low the extremes, trades the tick count, volume the summed volume,
     vwap = sum(price * volume) / sum(volume). Without ``volume`` both are
     NULL. All aggregates have a partial step, so hot tickers are combined
-    map-side before the shuffle.
+    map-side before the shuffle. Ticks are grouped on an integer bucket key;
+    the bar's timestamp is built once per bar, after aggregation.
     """
     order_by = [ts] if order_by is None else ([order_by] if isinstance(order_by, str)
                                                else list(order_by))
@@ -35,12 +36,12 @@ def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
     dtype = ticks.schema[ts].dataType
     bucketed = ticks.select(
         F.col(ticker).alias("ticker"),
-        bucket_start(F.col(ts), multiplier, timespan, dtype).alias("bar_start"),
+        bucket_key(F.col(ts), multiplier, timespan, dtype).alias("_k"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
         order.alias("_o"),
     )
-    return bucketed.groupBy("ticker", "bar_start").agg(
+    bars = bucketed.groupBy("ticker", "_k").agg(
         F.min_by("_p", "_o").alias("open"),
         F.max("_p").alias("high"),
         F.min("_p").alias("low"),
@@ -49,6 +50,8 @@ def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
         F.sum("_v").alias("volume"),
         safe_div(F.sum(F.col("_p") * F.col("_v")), F.sum("_v")).alias("vwap"),
     )
+    return bars.select("ticker", bucket_key_start(F.col("_k"), timespan).alias("bar_start"),
+                       *BAR_COLUMNS[2:])
 
 
 def daily(bars: DataFrame) -> DataFrame:
