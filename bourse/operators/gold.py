@@ -136,6 +136,33 @@ def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE) -> D
         (shares * F.col("close")).alias("day_value"))
 
 
+def _weeks(prices: DataFrame, dates, calendar, with_days: bool = False) -> DataFrame:
+    p = attach_week(in_range(prices, dates).select("ticker", "date", "close"), calendar)
+    aggs = [
+        F.min("date").alias("week_start"),
+        F.max("date").alias("week_end"),
+        F.min_by("close", "date").alias("_open_close"),
+        F.max_by("close", "date").alias("_last_close"),
+    ]
+    if with_days:
+        # (ticker, date) is the series key, so a week holds at most 7 days
+        # (with a calendar that misses dates: the off-calendar days of the range)
+        aggs.append(F.collect_list("date").alias("_days"))
+    return p.groupBy("ticker", "year", "weeknum").agg(*aggs)
+
+
+def _week_values(weeks: DataFrame, stake: float) -> DataFrame:
+    # The range's first close per ticker, read off the week rows: a window
+    # over at most one row per week of the range, so bounded for any ticker.
+    weeks = weeks.withColumn("_first_close", F.min_by("_open_close", "week_start").over(
+        Window.partitionBy("ticker")))
+    per = stake_per_ticker(weeks, stake)
+    shares = safe_div(per, F.col("_first_close"))
+    return weeks.withColumn("week_first_value", shares * F.col("_open_close")) \
+                .withColumn("week_last_value", shares * F.col("_last_close")) \
+                .withColumn("net_change", F.col("week_last_value") - F.col("week_first_value"))
+
+
 def weekly_change(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
                   calendar: DataFrame | None = None) -> DataFrame:
     """Per (ticker, ISO year, ISO week): value of the position on the
@@ -146,24 +173,9 @@ def weekly_change(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
     first close per ticker is read off the week rows; N is a scalar
     subquery over the ticker column only.
     """
-    p = attach_week(in_range(prices, dates).select("ticker", "date", "close"), calendar)
-    weeks = p.groupBy("ticker", "year", "weeknum").agg(
-        F.min("date").alias("week_start"),
-        F.max("date").alias("week_end"),
-        F.min_by("close", "date").alias("_open_close"),
-        F.max_by("close", "date").alias("_last_close"),
-    )
-    # The range's first close per ticker, from the week rows: a window over
-    # at most one row per week of the range, so bounded for any ticker.
-    weeks = weeks.withColumn("_first_close", F.min_by("_open_close", "week_start").over(
-        Window.partitionBy("ticker")))
-    per = stake_per_ticker(p, stake)
-    shares = safe_div(per, F.col("_first_close"))
-    first_v = (shares * F.col("_open_close")).alias("week_first_value")
-    last_v = (shares * F.col("_last_close")).alias("week_last_value")
-    return weeks.select(
-        "ticker", "year", "weeknum", "week_start", "week_end", first_v, last_v,
-    ).withColumn("net_change", F.col("week_last_value") - F.col("week_first_value"))
+    return _week_values(_weeks(prices, dates, calendar), stake).select(
+        "ticker", "year", "weeknum", "week_start", "week_end",
+        "week_first_value", "week_last_value", "net_change")
 
 
 def _week_order():
@@ -183,18 +195,15 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     day, first ``n`` rows by (net_change, ticker, year, weeknum, date).
 
     The first ``n`` day rows can only come from the first ``n`` weeks, so the
-    weeks are cut to ``n`` first (a broadcast of at most ``n`` rows) and only
-    their days are joined back.
+    weeks are cut to ``n`` first and only their trading days (kept as a list
+    of at most 7 dates by the week aggregate) are expanded: no second pass
+    over the series and no join.
     """
-    top = max_weekly_decrease(prices, dates, stake, n, calendar).select(
-        F.col("ticker").alias("_t"), F.col("year").alias("_y"), F.col("weeknum").alias("_w"),
-        "week_last_value", "week_first_value", "net_change")
-    days = attach_week(in_range(prices, dates).select("ticker", "date"), calendar)
-    cond = ((days["ticker"] == top["_t"]) & days["year"].eqNullSafe(top["_y"])
-            & days["weeknum"].eqNullSafe(top["_w"]))
-    out = days.join(F.broadcast(top), cond).select(
-        "ticker", "date", "year", "weeknum", "week_last_value", "week_first_value", "net_change")
-    return out.orderBy(*_week_order(), F.asc("date")).limit(n)
+    weeks = _week_values(_weeks(prices, dates, calendar, with_days=True), stake)
+    top = weeks.orderBy(*_week_order()).limit(n)
+    days = top.select("ticker", F.explode("_days").alias("date"), "year", "weeknum",
+                      "week_last_value", "week_first_value", "net_change")
+    return days.orderBy(*_week_order(), F.asc("date")).limit(n)
 
 
 # --------------------------------------------------------------------------
