@@ -147,14 +147,14 @@ SELECT CAST(user_id AS VARCHAR) AS ticker, {_bucket(us)} AS bar_start,
 FROM events GROUP BY 1, 2"""
 
 
-def _lineitem_bars(key: str) -> str:
+def _lineitem_bars(key: str, bucket: str = "CAST(CAST(ts AS DATE) AS TIMESTAMP)") -> str:
     return f"""
 WITH t AS (
   SELECT CAST({key} AS VARCHAR) AS ticker, l_shipdate AS ts,
          l_extendedprice / NULLIF(l_quantity, 0) AS price, l_quantity AS volume,
          l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity
   FROM lineitem)
-SELECT ticker, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS bar_start,
+SELECT ticker, {bucket} AS bar_start,
        min_by(price, (ts, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)) AS open,
        max(price) AS high, min(price) AS low,
        max_by(price, (ts, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity)) AS close,
@@ -184,6 +184,14 @@ FROM bars""",
     "bars_hourly": _event_bars(3_600_000_000),
     "bars_15min": _event_bars(900_000_000),
     "bars_vwap": _lineitem_bars("l_suppkey"),
+    "bars_monthly": _lineitem_bars("l_suppkey", "CAST(date_trunc('month', ts) AS TIMESTAMP)"),
+
+    "bars_weekly": f"""WITH {F1_TICKS}
+SELECT ticker, CAST(date_trunc('week', ts) AS TIMESTAMP) AS bar_start,
+       min_by(price, seq) AS open, max(price) AS high, min(price) AS low,
+       max_by(price, seq) AS close, count(*) AS trades,
+       CAST(NULL AS DOUBLE) AS volume, CAST(NULL AS DOUBLE) AS vwap
+FROM f1_ticks GROUP BY 1, 2""",
 
     "bronze_documents": f"""WITH {F1_BARS}
 SELECT ticker, CAST(date_trunc('month', date) AS DATE) AS period, count(*) AS n_results,
@@ -198,6 +206,10 @@ FROM bars""",
 
     "silver_from_bronze": f"""WITH {F1_BARS}, {COMPANY}
 SELECT {SILVER_COLS}, CAST(1700000000 AS BIGINT) AS ingest_epoch
+FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
+
+    "silver_build": f"""WITH {F1_BARS}, {COMPANY}
+SELECT {SILVER_COLS}, CAST(1700000000 AS BIGINT) AS ingest_epoch
 FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
 
     "company_left_join": f"""WITH {F1_BARS}, {COMPANY}

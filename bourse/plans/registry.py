@@ -74,6 +74,16 @@ def q_bars_15min(spark, d):
     return resample_bars(fx.event_ticks(spark, d), multiplier=15, timespan="minute")
 
 
+def q_bars_weekly(spark, d):
+    return resample_bars(fx.order_ticks(spark, d), timespan="week", order_by="seq")
+
+
+def q_bars_monthly(spark, d):
+    bars = resample_bars(fx.lineitem_ticks(spark, d), volume="volume", timespan="month",
+                         order_by=fx.LINEITEM_TICK_ORDER)
+    return bars.withColumn("vwap", round_half(F.col("vwap"), 6))
+
+
 def q_bars_vwap(spark, d):
     return fx.lineitem_bars(spark, d).withColumn("vwap", round_half(F.col("vwap"), 6))
 
@@ -110,6 +120,19 @@ def q_silver_from_bronze(spark, d):
     return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
 
 
+def q_silver_build(spark, d):
+    """B1 end to end: company map CSV, schema + key validation, Parquet."""
+    from bourse.plans.job import build_silver
+    from bourse.sources.readers import read_company_map
+    folder = _landed_f1(spark, d)
+    map_csv = shared_dir(spark, "bourse", "company_map")
+    fx.company_map(spark, d).write.option("header", True).csv(map_csv)
+    silver = build_silver(spark, folder, read_company_map(spark, map_csv),
+                          shared_dir(spark, "bourse", "silver"), zone="UTC")
+    cols = [c for c in silver.columns if c != "ingested_at"]
+    return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
+
+
 def q_company_left_join(spark, d):
     bars = _prices(spark, d).select("ticker", "date", "close")
     return attach_company(bars, fx.company_map(spark, d))
@@ -258,9 +281,12 @@ QUERIES: dict[str, Query] = {
     "bars_hourly": q_bars_hourly,
     "bars_15min": q_bars_15min,
     "bars_vwap": q_bars_vwap,
+    "bars_weekly": q_bars_weekly,
+    "bars_monthly": q_bars_monthly,
     "bronze_documents": q_bronze_documents,
     "bronze_explode": q_bronze_explode,
     "silver_from_bronze": q_silver_from_bronze,
+    "silver_build": q_silver_build,
     "company_left_join": q_company_left_join,
     "keep_latest": q_keep_latest,
     "date_range_filter": q_date_range_filter,

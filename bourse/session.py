@@ -38,15 +38,18 @@ def _checkpoint_root(spark: SparkSession) -> str:
 
     Only when nothing is configured (local tests) do we set one ourselves.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp"))
+    if sc is None:
+        if conf:
+            return conf
+        return tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp")
+    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
 
 
