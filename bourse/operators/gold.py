@@ -72,10 +72,10 @@ def position_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE)
     """Value at the last close of ``stake / N`` bought at the first close,
     per (ticker, calendar year); N = tickers present in the range."""
     flc = _per_ticker_year(prices, dates)
-    per = stake_per_ticker(flc, stake)
+    flc = flc.withColumn("_per", stake_per_ticker(flc, stake))
     return flc.select(
         "ticker", "year", "first_close", "last_close", _net_change(),
-        (safe_div(per, F.col("first_close")) * F.col("last_close")).alias("investment_value"),
+        (safe_div(F.col("_per"), F.col("first_close")) * F.col("last_close")).alias("investment_value"),
     )
 
 
@@ -101,7 +101,8 @@ def growth_rate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
     if years <= 0:
         raise ValueError("years must be > 0")
     flc = _per_ticker_year(prices, dates)
-    per = stake_per_ticker(flc, stake)
+    flc = flc.withColumn("_per", stake_per_ticker(flc, stake))
+    per = F.col("_per")
     jan = per.alias("jan_value")
     june = (safe_div(per, F.col("first_close")) * F.col("last_close"))
     cagr = (F.pow(safe_div(june, per), F.lit(1.0 / years)) - F.lit(1)) * F.lit(100)
@@ -129,8 +130,8 @@ def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE) -> D
     """
     p = in_range(prices, dates)
     base = p.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close"))
-    per = stake_per_ticker(base, stake)
-    shares = safe_div(per, F.col("first_close"))
+    base = base.withColumn("shares", safe_div(stake_per_ticker(base, stake), F.col("first_close")))
+    shares = F.col("shares")
     return p.select("ticker", "date", "close").join(base, "ticker").select(
         "ticker", "date", "close", "first_close", shares.alias("shares"),
         (shares * F.col("close")).alias("day_value"))
@@ -156,8 +157,9 @@ def _week_values(weeks: DataFrame, stake: float) -> DataFrame:
     # over at most one row per week of the range, so bounded for any ticker.
     weeks = weeks.withColumn("_first_close", F.min_by("_open_close", "week_start").over(
         Window.partitionBy("ticker")))
-    per = stake_per_ticker(weeks, stake)
-    shares = safe_div(per, F.col("_first_close"))
+    weeks = weeks.withColumn("_shares", safe_div(stake_per_ticker(weeks, stake),
+                                                  F.col("_first_close")))
+    shares = F.col("_shares")
     return weeks.withColumn("week_first_value", shares * F.col("_open_close")) \
                 .withColumn("week_last_value", shares * F.col("_last_close")) \
                 .withColumn("net_change", F.col("week_last_value") - F.col("week_first_value"))
