@@ -121,20 +121,34 @@ def max_cagr(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
 # d. weekly fall
 # --------------------------------------------------------------------------
 
-def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE) -> DataFrame:
+# Salt buckets for the day-row join on ticker (fixed value).
+DAY_JOIN_SALT = 32
+
+
+def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
+               salt: int = DAY_JOIN_SALT) -> DataFrame:
     """Every day's value of the position bought at the first close of the
     whole range: shares = (stake / N) / first_close, day_value = shares * close.
 
-    The per-ticker base is one row per ticker; Spark broadcasts it when its
-    measured size allows (AQE) and otherwise shuffles with skew splitting.
+    The per-ticker base (one row per ticker) is joined to every day row.
+    Spark broadcasts it when its measured size allows (AQE); otherwise the
+    join is a shuffle, and a hot ticker's day rows are spread over ``salt``
+    join keys (a deterministic hash of the date) while the base is repeated
+    once per salt value, so no single task receives a whole ticker.
     """
     p = in_range(prices, dates)
     base = p.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close"))
     base = base.withColumn("shares", safe_div(stake_per_ticker(base, stake), F.col("first_close")))
+    rows = p.select("ticker", "date", "close")
+    if salt > 1:
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("date"), F.lit(salt)))
+        base = base.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        joined = rows.join(base, ["ticker", "_salt"])
+    else:
+        joined = rows.join(base, "ticker")
     shares = F.col("shares")
-    return p.select("ticker", "date", "close").join(base, "ticker").select(
-        "ticker", "date", "close", "first_close", shares.alias("shares"),
-        (shares * F.col("close")).alias("day_value"))
+    return joined.select("ticker", "date", "close", "first_close", shares.alias("shares"),
+                         (shares * F.col("close")).alias("day_value"))
 
 
 def _weeks(prices: DataFrame, dates, calendar, with_days: bool = False) -> DataFrame:
