@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bourse.operators import gold, quality
 from bourse.operators.bars import resample_bars
+from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
 from bourse.sinks import land_bronze, write_gold, write_silver
@@ -52,15 +53,24 @@ def year_ranges(year: int):
 def run_gold(prices: DataFrame, gold_root: str, years, stake: float = gold.DEFAULT_STAKE) -> None:
     """The reference's gold set for each year: a., b., c. (January-June),
     d. (day grain, 10 rows) and the consolidated row. Every output is
-    bounded (top-k, one row per year), so single CSV files are fine."""
+    bounded (top-k, one row per year), so single CSV files are fine.
+
+    The year's slice of the series (three columns, date range pushed to the
+    scan) is persisted once and shared by the five outputs; lost blocks are
+    recomputed from the silver table."""
     for y in years:
         full, half = year_ranges(y)
-        write_gold(gold.max_relative_increase(prices, full), f"{gold_root}/a.max_relative_increase_{y}")
-        write_gold(gold.investment_return(prices, full, stake), f"{gold_root}/b.investment_value_{y}")
-        write_gold(gold.max_cagr(prices, half, stake), f"{gold_root}/c.cagr_jan_june_{y}")
-        write_gold(gold.weekly_change_by_day(prices, full, stake), f"{gold_root}/d.max_decrease_{y}")
-        write_gold(gold.consolidate(prices, full, stake, growth_dates=half),
-                   f"{gold_root}/{y}_consolidated")
+        p = in_range(prices, full).select("ticker", "date", "close") \
+                .persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_gold(gold.max_relative_increase(p, full), f"{gold_root}/a.max_relative_increase_{y}")
+            write_gold(gold.investment_return(p, full, stake), f"{gold_root}/b.investment_value_{y}")
+            write_gold(gold.max_cagr(p, half, stake), f"{gold_root}/c.cagr_jan_june_{y}")
+            write_gold(gold.weekly_change_by_day(p, full, stake), f"{gold_root}/d.max_decrease_{y}")
+            write_gold(gold.consolidate(p, full, stake, growth_dates=half),
+                       f"{gold_root}/{y}_consolidated")
+        finally:
+            p.unpersist()
 
 
 def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str | None = None,

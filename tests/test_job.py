@@ -57,3 +57,19 @@ def test_job_stops_on_bad_silver(spark):
             gold_root=f"{root}/gold", years=[1997], do_silver=True, do_gold=True)
     assert not os.path.exists(local_path(f"{root}/gold"))
     assert not os.path.exists(local_path(f"{root}/silver"))
+
+
+def test_job_cli(spark):
+    from bourse.plans.job import main
+    root = shared_dir(spark, "t", "cli")
+    fx.order_ticks(spark, SF0001).write.parquet(f"{root}/ticks")
+    main(["--ticks", f"{root}/ticks", "--symbols", _symbols_csv(spark),
+          "--bronze-root", f"{root}/bronze", "--silver", f"{root}/silver",
+          "--gold-root", f"{root}/gold", "--start", "1995-01-01", "--end", "2001-12-31",
+          "--years", "1996", "--bronze", "--silver-stage", "--gold"])
+    summary = spark.read.option("header", True).csv(f"{root}/gold/1996_consolidated").first()
+    prices = fx.daily_prices(spark, SF0001)
+    want = gold.consolidate(prices, ("1996-01-01", "1996-12-31"),
+                            growth_dates=("1996-01-01", "1996-06-30")).first()
+    assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
+    assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
