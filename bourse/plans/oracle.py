@@ -183,6 +183,8 @@ FROM bars""",
 
     "bars_hourly": _event_bars(3_600_000_000),
     "bars_15min": _event_bars(900_000_000),
+    "bars_stream_hourly": f"""WITH b AS ({_event_bars(3_600_000_000)})
+SELECT * FROM b WHERE bar_start < (SELECT max(bar_start) FROM b)""",
     "bars_vwap": _lineitem_bars("l_suppkey"),
     "bars_monthly": _lineitem_bars("l_suppkey", "CAST(date_trunc('month', ts) AS TIMESTAMP)"),
 
@@ -210,6 +212,10 @@ FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
 
     "silver_build": f"""WITH {F1_BARS}, {COMPANY}
 SELECT {SILVER_COLS}, CAST(1700000000 AS BIGINT) AS ingest_epoch
+FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
+
+    "silver_stream": f"""WITH {F1_BARS}, {COMPANY}
+SELECT {SILVER_COLS}, CAST(1700000000 AS BIGINT) AS ingest_epoch
 FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
 
     "company_left_join": f"""WITH {F1_BARS}, {COMPANY}

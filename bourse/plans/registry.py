@@ -133,6 +133,35 @@ def q_silver_build(spark, d):
     return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
 
 
+def q_silver_stream(spark, d):
+    """B1 on Structured Streaming: landed documents -> exactly-once file sink."""
+    from bourse.streaming import silver_stream
+    root = shared_dir(spark, "bourse", "stream")
+    q = silver_stream(spark, _landed_f1(spark, d), fx.company_map(spark, d),
+                      f"{root}/silver", f"{root}/checkpoint", zone="UTC")
+    q.awaitTermination()
+    silver = spark.read.parquet(f"{root}/silver")
+    cols = [c for c in silver.columns if c != "ingested_at"]
+    return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
+
+
+def q_bars_stream_hourly(spark, d):
+    """S7 on Structured Streaming with a zero-delay watermark: every bar is
+    emitted once its hour has passed, i.e. all but the last hour's bars."""
+    from bourse.streaming import bars_stream
+    src = spark.readStream.schema(fx.table(spark, d, "events").schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(d)
+    ticks = src.select(F.col("user_id").cast("string").alias("ticker"), "ts",
+                       F.col("value").alias("price"))
+    root = shared_dir(spark, "bourse", "stream")
+    q = bars_stream(ticks, timespan="hour", delay="0 seconds").writeStream \
+        .format("parquet").option("path", f"{root}/bars") \
+        .option("checkpointLocation", f"{root}/checkpoint").outputMode("append") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/bars")
+
+
 def q_company_left_join(spark, d):
     bars = _prices(spark, d).select("ticker", "date", "close")
     return attach_company(bars, fx.company_map(spark, d))
@@ -287,6 +316,8 @@ QUERIES: dict[str, Query] = {
     "bronze_explode": q_bronze_explode,
     "silver_from_bronze": q_silver_from_bronze,
     "silver_build": q_silver_build,
+    "silver_stream": q_silver_stream,
+    "bars_stream_hourly": q_bars_stream_hourly,
     "company_left_join": q_company_left_join,
     "keep_latest": q_keep_latest,
     "date_range_filter": q_date_range_filter,

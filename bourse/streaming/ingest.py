@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bourse.functions import bucket_key, bucket_key_start, ingest_epoch_from_path, safe_div
+from pyspark.sql.types import TimestampNTZType
+
+from bourse.functions import ingest_epoch_from_path, safe_div
 from bourse.operators.bars import BAR_COLUMNS
 from bourse.operators.silver import to_silver
 from bourse.schemas import BRONZE
@@ -50,23 +52,40 @@ def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFram
     return w.start()
 
 
+# Window length and alignment of the fixed spans, for window() (fixed values).
+_WINDOW = {"second": ("1 second", 1), "minute": ("1 minute", 60), "hour": ("1 hour", 3600),
+           "day": ("1 day", 86400), "week": ("7 days", 7 * 86400)}
+# Weeks start on Monday; 1970-01-05 was a Monday (fixed value).
+_WEEK_START = "4 days"
+
+
 def bars_stream(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts", price: str = "price",
                 volume: str | None = None, multiplier: int = 1, timespan: str = "minute",
                 delay: str = "10 minutes") -> DataFrame:
-    """Streaming ``resample_bars``: open/close by event time, late ticks up
-    to ``delay`` are still counted. Use with ``outputMode("append")``."""
+    """Streaming ``resample_bars`` for fixed spans (second .. week).
+
+    The watermark is on the tick time; a bar is emitted once the watermark
+    passes its end (ticks up to ``delay`` late still count) and its state is
+    then dropped. Bars are epoch-aligned tumbling windows, the same buckets
+    as the batch operator. Use with ``outputMode("append")``.
+    """
+    span = timespan.lower().rstrip("s")
+    if span not in _WINDOW or multiplier < 1:
+        raise ValueError(f"streaming bars need a fixed span {tuple(_WINDOW)} and multiplier >= 1")
+    width = _WINDOW[span][1] * multiplier
     dtype = ticks.schema[ts].dataType
+    local = ticks[ts] if isinstance(dtype, TimestampNTZType) else ticks[ts].cast(TimestampNTZType())
+    # Event time as the instant whose UTC wall clock is the tick's wall clock
+    # (watermarks need TIMESTAMP); second precision is enough for lateness.
     keyed = ticks.select(
-        F.col(ticker).alias("ticker"), F.col(ts).alias("_ts"),
-        bucket_key(F.col(ts), multiplier, timespan, dtype).alias("_k"),
+        F.col(ticker).alias("ticker"), local.alias("_ts"),
+        F.timestamp_seconds(F.unix_timestamp(local)).alias("_evt"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
-    )
-    # Watermarks need TIMESTAMP: carry the bucket start as the instant whose
-    # UTC wall clock it is, and turn it back into TIMESTAMP_NTZ afterwards.
-    start_secs = F.unix_timestamp(bucket_key_start(F.col("_k"), timespan))
-    keyed = keyed.withColumn("_bar", F.timestamp_seconds(start_secs)).withWatermark("_bar", delay)
-    bars = keyed.groupBy("ticker", "_bar").agg(
+    ).withWatermark("_evt", delay)
+    start = _WEEK_START if span == "week" else "0 seconds"
+    bars = keyed.groupBy("ticker", F.window("_evt", f"{width} seconds", f"{width} seconds",
+                                            start).alias("_w")).agg(
         F.min_by("_p", "_ts").alias("open"),
         F.max("_p").alias("high"),
         F.min("_p").alias("low"),
@@ -75,6 +94,6 @@ def bars_stream(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts", price:
         F.sum("_v").alias("volume"),
         safe_div(F.sum(F.col("_p") * F.col("_v")), F.sum("_v")).alias("vwap"),
     )
-    bar_start = F.timestamp_add("SECOND", F.unix_seconds("_bar"),
+    bar_start = F.timestamp_add("SECOND", F.unix_seconds(F.col("_w.start")),
                                 F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return bars.withColumn("bar_start", bar_start).select(*BAR_COLUMNS)

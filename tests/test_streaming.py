@@ -51,3 +51,39 @@ def test_bars_stream_emits_closed_bars(spark):
     last = batch.agg(F.max("bar_start")).first()[0]
     assert batch.filter(F.col("bar_start") < last).join(got, ["ticker", "bar_start"], "left_anti") \
                 .count() == 0
+
+
+def test_bars_stream_watermark_late_ticks(spark):
+    import datetime as dt
+    T = dt.datetime
+    root = shared_dir(spark, "t", "late")
+    schema = "ticker string, ts timestamp_ntz, price double"
+
+    def land(rows, name):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{root}/in/{name}")
+
+    def run():
+        src = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{root}/in")
+        q = bars_stream(src, timespan="hour", delay="30 minutes").writeStream \
+            .format("parquet").option("path", f"{root}/out") \
+            .option("checkpointLocation", f"{root}/ckpt").outputMode("append") \
+            .trigger(availableNow=True).start()
+        q.awaitTermination(300)
+
+    land([("A", T(2024, 1, 1, 9, 10), 10.0), ("A", T(2024, 1, 1, 9, 50), 11.0),
+          ("A", T(2024, 1, 1, 10, 20), 12.0)], "b1")
+    run()
+    # watermark 09:50: the 09:00 bar is still open, nothing emitted yet
+    assert spark.read.parquet(f"{root}/out").count() == 0
+    land([("A", T(2024, 1, 1, 9, 55), 9.0),      # late but within 30 minutes: counted
+          ("A", T(2024, 1, 1, 11, 40), 13.0)], "b2")
+    run()
+    out = {r.bar_start: r for r in spark.read.parquet(f"{root}/out").collect()}
+    bar9 = out[T(2024, 1, 1, 9)]
+    assert (bar9.open, bar9.low, bar9.close, bar9.trades) == (10.0, 9.0, 9.0, 3)
+    assert T(2024, 1, 1, 10) in out and T(2024, 1, 1, 11) not in out
+    land([("A", T(2024, 1, 1, 9, 58), 1.0)], "b3")   # behind the watermark: dropped
+    run()
+    out2 = spark.read.parquet(f"{root}/out")
+    assert out2.filter(F.col("bar_start") == T(2024, 1, 1, 9)).count() == 1
+    assert out2.filter(F.col("low") == 1.0).count() == 0
