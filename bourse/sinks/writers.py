@@ -39,7 +39,14 @@ def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = "UTC",
 
 
 def write_silver(df: DataFrame, path: str, partition_by=None) -> None:
-    """K2: Parquet, overwrite. Call only after validation passed."""
+    """K2: Parquet, overwrite. Call only after validation passed.
+
+    ``partition_by="year"`` adds the calendar year of ``date`` as a
+    partition column (one folder per year) so that date-range reads prune
+    whole years (``read_silver(dates=...)``).
+    """
+    if partition_by == "year" and "year" not in df.columns:
+        df = df.withColumn("year", F.year("date"))
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))

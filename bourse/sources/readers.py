@@ -46,9 +46,23 @@ def read_bronze(spark: SparkSession, path, multi_line: bool = False) -> DataFram
         src.alias("source_file"))
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    """The silver Parquet table."""
-    return spark.read.parquet(path)
+def read_silver(spark: SparkSession, path: str, dates=None) -> DataFrame:
+    """The silver Parquet table, optionally cut to a date range.
+
+    A table written with ``write_silver(partition_by="year")`` carries a
+    ``year`` partition column; the range then also prunes whole year
+    folders before any file is opened. ``year`` is dropped again, so the
+    result has the silver schema either way.
+    """
+    df = spark.read.parquet(path)
+    rng = parse_range(dates)
+    partitioned = "year" in df.columns
+    if rng is not None:
+        lo, hi = rng
+        if partitioned:
+            df = df.filter(F.col("year").between(lo.year, hi.year))
+        df = df.filter(F.col("date").between(F.lit(lo), F.lit(hi)))
+    return df.drop("year") if partitioned else df
 
 
 def read_calendar(spark: SparkSession, path: str, dates=None, fmt: str = "csv") -> DataFrame:

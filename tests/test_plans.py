@@ -65,3 +65,16 @@ def test_resample_bars_partial_aggregate(spark):
     # ticks are keyed by integer arithmetic; no timestamp is built per tick
     pre = [line for line in p.splitlines() if "Project [" in line][-1]
     assert "unix_timestamp" in pre and "timestampadd" not in pre and "timestampdiff" not in pre
+
+
+def test_year_partitions_pruned(spark):
+    path = shared_dir(spark, "t", "silver_by_year")
+    write_silver(fx.daily_prices(spark, SF0001).drop("volume", "vwap"), path, partition_by="year")
+    df = read_silver(spark, path, ("1997-01-01", "1997-12-31"))
+    assert "year" not in df.columns
+    p = plan(gold.relative_change(df))
+    assert re.search(r"PartitionFilters: \[[^\]]*year", p), p
+    full = fx.daily_prices(spark, SF0001)
+    want = gold.relative_change(full, ("1997-01-01", "1997-12-31"))
+    got = gold.relative_change(df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
