@@ -1,13 +1,13 @@
 """Column expressions. All are built-in Spark functions (JVM side, codegen)."""
 
-from bourse.functions.dates import (as_date, bucket_key, bucket_key_start, bucket_start, epoch_ms_to_date,
+from bourse.functions.dates import (bucket_key, bucket_key_start, bucket_start, epoch_ms_to_date,
                                     epoch_ms_to_local, ingest_epoch_from_path,
                                     iso_week, iso_year, local_to_epoch_ms,
                                     parse_range)
 from bourse.functions.numeric import round_half, safe_div
 
 __all__ = [
-    "as_date", "bucket_key", "bucket_key_start", "bucket_start", "epoch_ms_to_date", "epoch_ms_to_local",
+    "bucket_key", "bucket_key_start", "bucket_start", "epoch_ms_to_date", "epoch_ms_to_local",
     "ingest_epoch_from_path", "iso_week", "iso_year", "local_to_epoch_ms",
     "parse_range", "round_half", "safe_div",
 ]

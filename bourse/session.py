@@ -6,7 +6,6 @@ Library code never builds its own session: callers pass ``spark``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,8 +65,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for callers that need a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if path.startswith("file:") or path.startswith("/"):
-        os.makedirs(local_path(path), exist_ok=True)

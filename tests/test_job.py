@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from bourse.operators import gold, quality
 from bourse.plans import run
