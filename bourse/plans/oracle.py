@@ -261,6 +261,9 @@ FROM prices GROUP BY ticker, CAST(year(date) AS INTEGER)""",
     "investment_return": f"""SELECT year, {_round('sum(investment_value)', 4)} AS investment_value
 FROM ({_position_values()}) GROUP BY year""",
 
+    "investment_return_1997": f"""SELECT year, {_round('sum(investment_value)', 4)} AS investment_value
+FROM ({_position_values(Y1997)}) GROUP BY year""",
+
     "growth_rate": f"""SELECT ticker, year, first_close, last_close, net_change, jan_value,
        june_value, {_round('CAGR', 6)} AS CAGR FROM ({_growth()})""",
 
@@ -283,6 +286,14 @@ FROM prices p JOIN base ON p.ticker = base.ticker CROSS JOIN per""",
     "max_weekly_decrease": f"""WITH {_weekly(_prices())}
 SELECT * FROM weekly_net ORDER BY {WEEK_ORDER} LIMIT 10""",
 
+    "weekly_change_by_day_1997": f"""WITH {_weekly(_prices(Y1997))},
+days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
+                CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)
+SELECT d.ticker, d.date, d.year, d.weeknum, w.week_last_value, w.week_first_value, w.net_change
+FROM days d JOIN weekly_net w
+  ON d.ticker = w.ticker AND d.year = w.year AND d.weeknum = w.weeknum
+ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year, d.weeknum, d.date LIMIT 10""",
+
     "weekly_change_by_day": f"""WITH {_weekly(_prices())},
 days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
                 CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)

@@ -225,6 +225,11 @@ def q_investment_return(spark, d):
     return r.withColumn("investment_value", round_half(F.col("investment_value"), 4))
 
 
+def q_investment_return_1997(spark, d):
+    r = gold.investment_return(fx.daily_prices(spark, d, YEAR_1997), YEAR_1997)
+    return r.withColumn("investment_value", round_half(F.col("investment_value"), 4))
+
+
 def q_growth_rate(spark, d):
     r = gold.growth_rate(_prices(spark, d))
     return r.withColumn("CAGR", round_half(F.col("CAGR"), 6))
@@ -255,6 +260,10 @@ def q_weekly_change_by_day(spark, d):
     return gold.weekly_change_by_day(_prices(spark, d))
 
 
+def q_weekly_change_by_day_1997(spark, d):
+    return gold.weekly_change_by_day(fx.daily_prices(spark, d, YEAR_1997), YEAR_1997)
+
+
 def q_week_join_calendar(spark, d):
     path = shared_dir(spark, "bourse", "calendar")
     write_calendar(calendar_spanning(fx.table(spark, d, "orders"), "o_orderdate"), csv_path=path)
@@ -329,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "max_relative_increase_1997": q_max_relative_increase_1997,
     "position_values": q_position_values,
     "investment_return": q_investment_return,
+    "investment_return_1997": q_investment_return_1997,
     "growth_rate": q_growth_rate,
     "max_cagr": q_max_cagr,
     "day_values": q_day_values,
@@ -336,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "weekly_change_events": q_weekly_change_events,
     "max_weekly_decrease": q_max_weekly_decrease,
     "weekly_change_by_day": q_weekly_change_by_day,
+    "weekly_change_by_day_1997": q_weekly_change_by_day_1997,
     "week_join_calendar": q_week_join_calendar,
     "consolidate": q_consolidate,
     "consolidate_all": q_consolidate_all,
