@@ -12,16 +12,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "bourse") -> SparkSession:
+    """Session for tests, bench and the job.
+
+    On a cluster call it without arguments: master, shuffle partitions and
+    file split sizes come from the cluster's configuration (with AQE on, a
+    high shuffle partition count is coalesced at run time). Tests and the
+    bench pass ``master`` and a small ``shuffle_partitions``.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         builder
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
