@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -59,20 +60,27 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
     ``prices`` is a DataFrame or the path of a silver table; with a path
     each year is read on its own, pruning the other years' partitions. The
     year's slice (three columns, range pushed to the scan) is persisted once
-    and shared by the five outputs; lost blocks are recomputed from silver.
+    and shared by the five outputs, which run as concurrent jobs; lost
+    blocks are recomputed from silver.
     """
     for y in years:
         full, half = year_ranges(y)
         src = read_silver(spark, prices, full) if isinstance(prices, str) else prices
         p = in_range(src, full).select("ticker", "date", "close") \
             .persist(StorageLevel.MEMORY_AND_DISK)
+        outputs = [
+            (gold.max_relative_increase(p, full), f"{gold_root}/a.max_relative_increase_{y}"),
+            (gold.investment_return(p, full, stake), f"{gold_root}/b.investment_value_{y}"),
+            (gold.max_cagr(p, half, stake), f"{gold_root}/c.cagr_jan_june_{y}"),
+            (gold.weekly_change_by_day(p, full, stake), f"{gold_root}/d.max_decrease_{y}"),
+            (gold.consolidate(p, full, stake, growth_dates=half), f"{gold_root}/{y}_consolidated"),
+        ]
         try:
-            write_gold(gold.max_relative_increase(p, full), f"{gold_root}/a.max_relative_increase_{y}")
-            write_gold(gold.investment_return(p, full, stake), f"{gold_root}/b.investment_value_{y}")
-            write_gold(gold.max_cagr(p, half, stake), f"{gold_root}/c.cagr_jan_june_{y}")
-            write_gold(gold.weekly_change_by_day(p, full, stake), f"{gold_root}/d.max_decrease_{y}")
-            write_gold(gold.consolidate(p, full, stake, growth_dates=half),
-                       f"{gold_root}/{y}_consolidated")
+            # small, latency-bound jobs: submit them together (Spark runs
+            # jobs from several threads concurrently)
+            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
+                for f in [pool.submit(write_gold, df, path) for df, path in outputs]:
+                    f.result()
         finally:
             p.unpersist()
 
