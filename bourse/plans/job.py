@@ -90,16 +90,19 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         gold_root: str | None = None, years=(), dates=None, do_bronze: bool = False,
         do_silver: bool = False, do_gold: bool = False, zone: str = "America/New_York",
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
-        volume: str | None = None, ingest_epoch: int | None = None) -> dict:
+        volume: str | None = None, order_by=None, ingest_epoch: int | None = None) -> dict:
     """Run the requested stages in order; each stage needs the previous one
-    to have succeeded in this run or to have its output on storage."""
+    to have succeeded in this run or to have its output on storage.
+    ``order_by`` breaks ties between ticks with the same time (see
+    ``resample_bars``)."""
     out: dict = {}
     bronze_folder = bronze_root
     if do_bronze:
         if ticks is None or symbols_csv is None or bronze_root is None:
             raise ValueError("bronze stage needs ticks, symbols_csv and bronze_root")
         symbols = read_symbols(spark, symbols_csv)
-        bars = resample_bars(ticks, ticker=ticker, ts=ts, price=price, volume=volume)
+        bars = resample_bars(ticks, ticker=ticker, ts=ts, price=price, volume=volume,
+                             order_by=order_by)
         bronze_folder = land_bronze(bars, bronze_root, dates=dates, zone=zone,
                                     symbols=symbols, ingest_epoch=ingest_epoch)
         landed = read_bronze(spark, bronze_folder)
