@@ -271,6 +271,10 @@ FROM ({_position_values(Y1997)}) GROUP BY year""",
        june_value, {_round('CAGR', 6)} AS CAGR
 FROM ({_growth(H1997)}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1""",
 
+    "max_cagr_all": f"""SELECT ticker, year, first_close, last_close, net_change, jan_value,
+       june_value, {_round('CAGR', 6)} AS CAGR
+FROM ({_growth()}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1""",
+
     "day_values": f"""WITH {_prices()},
 base AS (SELECT ticker, min_by(close, date) AS first_close FROM prices GROUP BY ticker),
 per AS (SELECT {STAKE} / count(*) AS s FROM base)

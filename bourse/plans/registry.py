@@ -240,6 +240,11 @@ def q_max_cagr(spark, d):
     return r.withColumn("CAGR", round_half(F.col("CAGR"), 6))
 
 
+def q_max_cagr_all(spark, d):
+    r = gold.max_cagr(_prices(spark, d))
+    return r.withColumn("CAGR", round_half(F.col("CAGR"), 6))
+
+
 def q_day_values(spark, d):
     return gold.day_values(_prices(spark, d))
 
@@ -341,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "investment_return_1997": q_investment_return_1997,
     "growth_rate": q_growth_rate,
     "max_cagr": q_max_cagr,
+    "max_cagr_all": q_max_cagr_all,
     "day_values": q_day_values,
     "weekly_change": q_weekly_change,
     "weekly_change_events": q_weekly_change_events,
