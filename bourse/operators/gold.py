@@ -142,7 +142,8 @@ def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
     rows = p.select("ticker", "date", "close")
     if salt > 1:
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64("date"), F.lit(salt)))
-        base = base.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        salts = F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")
+        base = base.withColumn("_salt", F.explode(salts))
         joined = rows.join(base, ["ticker", "_salt"])
     else:
         joined = rows.join(base, "ticker")
