@@ -59,6 +59,18 @@ def daily(bars: DataFrame) -> DataFrame:
     return bars.withColumn("date", F.to_date("bar_start")).drop("bar_start")
 
 
+# Document period per bar width, so one document holds at most about
+# 86,400 second bars, 1,440 minute bars, 744 hour bars or 31 day bars
+# (fixed values).
+DOCUMENT_PERIOD = {"second": "day", "minute": "day", "hour": "month", "day": "month",
+                   "week": "year", "month": "year", "quarter": "year", "year": "year"}
+
+
+def document_period(timespan: str) -> str:
+    """The bronze document period that keeps arrays bounded for ``timespan`` bars."""
+    return DOCUMENT_PERIOD[timespan.lower().rstrip("s")]
+
+
 _PERIOD_UNITS = {"week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
 

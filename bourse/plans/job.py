@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from bourse.operators import gold, quality
-from bourse.operators.bars import resample_bars
+from bourse.operators.bars import document_period, resample_bars
 from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
@@ -90,11 +90,13 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         gold_root: str | None = None, years=(), dates=None, do_bronze: bool = False,
         do_silver: bool = False, do_gold: bool = False, zone: str = "America/New_York",
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
-        volume: str | None = None, order_by=None, ingest_epoch: int | None = None) -> dict:
+        volume: str | None = None, order_by=None, multiplier: int = 1,
+        timespan: str = "day", ingest_epoch: int | None = None) -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage.
     ``order_by`` breaks ties between ticks with the same time (see
-    ``resample_bars``)."""
+    ``resample_bars``); bars are ``multiplier`` x ``timespan`` and bronze
+    documents hold one period sized for that width (``document_period``)."""
     out: dict = {}
     bronze_folder = bronze_root
     if do_bronze:
@@ -102,9 +104,10 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
             raise ValueError("bronze stage needs ticks, symbols_csv and bronze_root")
         symbols = read_symbols(spark, symbols_csv)
         bars = resample_bars(ticks, ticker=ticker, ts=ts, price=price, volume=volume,
-                             order_by=order_by)
+                             multiplier=multiplier, timespan=timespan, order_by=order_by)
         bronze_folder = land_bronze(bars, bronze_root, dates=dates, zone=zone,
-                                    symbols=symbols, ingest_epoch=ingest_epoch)
+                                    period=document_period(timespan), symbols=symbols,
+                                    ingest_epoch=ingest_epoch)
         landed = read_bronze(spark, bronze_folder)
         out["not_landed"] = quality.landed_completeness(landed, symbols)
         out["missing_results"] = quality.missing_results(landed)
@@ -134,6 +137,9 @@ def main(argv=None) -> None:
     ap.add_argument("--years", nargs="*", type=int, default=[])
     ap.add_argument("--zone", default="America/New_York")
     ap.add_argument("--volume")
+    ap.add_argument("--multiplier", type=int, default=1)
+    ap.add_argument("--timespan", default="day",
+                    help="second, minute, hour, day, week, month, quarter or year")
     ap.add_argument("--bronze", action="store_true")
     ap.add_argument("--silver-stage", action="store_true")
     ap.add_argument("--gold", action="store_true")
@@ -145,7 +151,7 @@ def main(argv=None) -> None:
     run(spark, ticks=ticks, symbols_csv=a.symbols, bronze_root=a.bronze_root,
         silver_path=a.silver, gold_root=a.gold_root, years=a.years, dates=dates,
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
-        volume=a.volume)
+        volume=a.volume, multiplier=a.multiplier, timespan=a.timespan)
 
 
 if __name__ == "__main__":

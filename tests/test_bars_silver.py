@@ -183,3 +183,13 @@ def test_land_bronze_overwrites_range_folder(spark):
     assert b.select(F.unix_seconds("ingested_at").alias("e")).distinct().first().e == 2
     dates = explode_results(b).select(F.min("bar.t"), F.max("bar.t")).first()
     assert dates[0] >= 820454400000 and dates[1] < 852076800000
+
+
+def test_document_period_bounds_arrays(spark):
+    from bourse.operators.bars import document_period
+    assert [document_period(t) for t in ("seconds", "minute", "hour", "day", "week")] == \
+        ["day", "day", "month", "month", "year"]
+    bars = resample_bars(ticks(spark), multiplier=15, timespan="minute", order_by=["ts", "seq"])
+    docs = bronze_documents(bars, period=document_period("minute"))
+    assert docs.agg(F.max("resultsCount")).first()[0] <= 1440
+    assert docs.filter(F.col("ticker") == "A").count() == 2   # two days of A
