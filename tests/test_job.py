@@ -38,6 +38,13 @@ def test_job_stages(spark):
     assert got.ticker == want.ticker
     d_rows = spark.read.option("header", True).csv(f"{out['gold']}/d.max_decrease_1997").count()
     assert d_rows == 10
+    # round trip: gold over the landed silver equals gold over the bars
+    rng, half = ("1997-01-01", "1997-12-31"), ("1997-01-01", "1997-06-30")
+    from_silver = gold.consolidate(silver, rng, growth_dates=half).first()
+    from_bars = gold.consolidate(prices, rng, growth_dates=half).first()
+    assert from_silver == from_bars
+    pv = sorted(map(tuple, gold.position_values(silver).collect()))
+    assert pv == sorted(map(tuple, gold.position_values(prices).collect()))
 
 
 def test_job_stops_on_bad_silver(spark):
