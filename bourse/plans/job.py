@@ -137,6 +137,7 @@ def main(argv=None) -> None:
     ap.add_argument("--years", nargs="*", type=int, default=[])
     ap.add_argument("--zone", default="America/New_York")
     ap.add_argument("--volume")
+    ap.add_argument("--order-by", help="comma-separated tick columns that break time ties")
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
                     help="second, minute, hour, day, week, month, quarter or year")
@@ -151,7 +152,8 @@ def main(argv=None) -> None:
     run(spark, ticks=ticks, symbols_csv=a.symbols, bronze_root=a.bronze_root,
         silver_path=a.silver, gold_root=a.gold_root, years=a.years, dates=dates,
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
-        volume=a.volume, multiplier=a.multiplier, timespan=a.timespan)
+        volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
+        order_by=["ts", *a.order_by.split(",")] if a.order_by else None)
 
 
 if __name__ == "__main__":
