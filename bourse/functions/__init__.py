@@ -1,13 +1,15 @@
 """Column expressions. All are built-in Spark functions (JVM side, codegen)."""
 
-from bourse.functions.dates import (bucket_key, bucket_key_start, bucket_start, epoch_ms_to_date,
-                                    epoch_ms_to_local, ingest_epoch_from_path,
+from bourse.functions.dates import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SECONDS,
+                                    bucket_key, bucket_key_start, bucket_start, epoch_ms_to_date,
+                                    epoch_ms_to_local, in_time_range, ingest_epoch_from_path,
                                     iso_week, iso_year, local_to_epoch_ms,
-                                    parse_range)
+                                    normalise_span, parse_range, wall_clock)
 from bourse.functions.numeric import round_half, safe_div
 
 __all__ = [
+    "FIXED_SPAN_SECONDS", "MARKET_ZONE", "MONDAY_OFFSET_SECONDS", "normalise_span",
     "bucket_key", "bucket_key_start", "bucket_start", "epoch_ms_to_date", "epoch_ms_to_local",
-    "ingest_epoch_from_path", "iso_week", "iso_year", "local_to_epoch_ms",
-    "parse_range", "round_half", "safe_div",
+    "in_time_range", "ingest_epoch_from_path", "iso_week", "iso_year", "local_to_epoch_ms",
+    "parse_range", "round_half", "safe_div", "wall_clock",
 ]

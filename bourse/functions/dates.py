@@ -10,10 +10,14 @@ import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
+# Zone of the market whose daily bars start at local midnight; the default
+# wherever bar times meet epoch milliseconds (fixed value).
+MARKET_ZONE = "America/New_York"
+
 
 def _epoch() -> Column:
     return F.expr(_EPOCH_NTZ)
@@ -80,7 +84,7 @@ def ingest_epoch_from_path(path: Column) -> Column:
 
 
 # Fixed-width spans in seconds (fixed values).
-_FIXED_S = {
+FIXED_SPAN_SECONDS = {
     "second": 1,
     "minute": 60,
     "hour": 3600,
@@ -88,20 +92,29 @@ _FIXED_S = {
     "week": 7 * 86400,
 }
 # 1970-01-05 was a Monday: weeks are aligned on it (fixed value).
-_MONDAY_OFFSET_S = 4 * 86400
+MONDAY_OFFSET_SECONDS = 4 * 86400
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
-TIMESPANS = tuple(_FIXED_S) + tuple(_MONTHS)
+TIMESPANS = tuple(FIXED_SPAN_SECONDS) + tuple(_MONTHS)
+
 
+def wall_clock(ts: Column, dtype, zone: str | None = None) -> Column:
+    """Wall-clock TIMESTAMP_NTZ of a tick time.
 
-def _to_ntz(ts: Column, dtype) -> Column:
-    """Wall-clock view of a timestamp: NTZ as is; TIMESTAMP (with zone) is
-    read in the session zone; DATE becomes its midnight."""
+    TIMESTAMP_NTZ is already a wall clock and is returned as is. A TIMESTAMP
+    (an instant) is read in ``zone``, or in the session zone when ``zone``
+    is None. A DATE becomes its midnight.
+    """
     if isinstance(dtype, TimestampNTZType):
         return ts
+    if isinstance(dtype, TimestampType) and zone is not None:
+        utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch())
+        return utc if zone.upper() in ("UTC", "Z", "ETC/UTC") else \
+            F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
     return ts.cast(TimestampNTZType())
 
 
-def _span(timespan: str, multiplier: int) -> str:
+def normalise_span(timespan: str, multiplier: int = 1) -> str:
+    """'Minutes' -> 'minute'; rejects unknown spans and multipliers < 1."""
     if multiplier < 1:
         raise ValueError("multiplier must be >= 1")
     span = timespan.lower().rstrip("s")
@@ -111,7 +124,7 @@ def _span(timespan: str, multiplier: int) -> str:
 
 
 def bucket_key(ts: Column, multiplier: int = 1, timespan: str = "day",
-               dtype=TimestampNTZType()) -> Column:
+               dtype=TimestampNTZType(), zone: str | None = None) -> Column:
     """Integer key of the ``multiplier`` x ``timespan`` bucket holding ``ts``.
 
     For second .. week spans: the bucket start in seconds since the epoch of
@@ -119,14 +132,14 @@ def bucket_key(ts: Column, multiplier: int = 1, timespan: str = "day",
     counted from year 0. Cheap integer arithmetic, meant for grouping; turn
     keys into timestamps after aggregating (``bucket_key_start``).
     """
-    span = _span(timespan, multiplier)
-    local = _to_ntz(ts, dtype)
-    if span in _FIXED_S:
+    span = normalise_span(timespan, multiplier)
+    local = wall_clock(ts, dtype, zone)
+    if span in FIXED_SPAN_SECONDS:
         # unix_timestamp of a TIMESTAMP_NTZ ignores the session zone
         secs = F.unix_timestamp(local)
-        width = F.lit(_FIXED_S[span] * multiplier)
+        width = F.lit(FIXED_SPAN_SECONDS[span] * multiplier)
         if span == "week":
-            return secs - F.pmod(secs - F.lit(_MONDAY_OFFSET_S), width)
+            return secs - F.pmod(secs - F.lit(MONDAY_OFFSET_SECONDS), width)
         return secs - F.pmod(secs, width)
     d = F.to_date(local)
     idx = F.year(d) * 12 + F.month(d) - 1
@@ -135,19 +148,40 @@ def bucket_key(ts: Column, multiplier: int = 1, timespan: str = "day",
 
 def bucket_key_start(key: Column, timespan: str = "day") -> Column:
     """TIMESTAMP_NTZ start of a bucket from its ``bucket_key``."""
-    span = _span(timespan, 1)
-    if span in _FIXED_S:
+    span = normalise_span(timespan)
+    if span in FIXED_SPAN_SECONDS:
         return F.timestamp_add("SECOND", key, _epoch())
     return F.make_date((key / 12).cast("int"), (key % 12 + 1).cast("int"),
                        F.lit(1)).cast(TimestampNTZType())
 
 
 def bucket_start(ts: Column, multiplier: int = 1, timespan: str = "day",
-                 dtype=TimestampNTZType()) -> Column:
+                 dtype=TimestampNTZType(), zone: str | None = None) -> Column:
     """Start of the ``multiplier`` x ``timespan`` bar that holds ``ts``.
 
     second .. day buckets are aligned on the Unix epoch; weeks start on
     Monday (aligned on 1970-01-05); months, quarters and years on January 1st
     of year 0. Returns TIMESTAMP_NTZ.
     """
-    return bucket_key_start(bucket_key(ts, multiplier, timespan, dtype), timespan)
+    return bucket_key_start(bucket_key(ts, multiplier, timespan, dtype, zone), timespan)
+
+
+def in_time_range(ts: Column, dtype, dates, zone: str | None = None) -> Column | None:
+    """Predicate keeping tick times from ``start`` 00:00 up to, not including,
+    the day after ``end``, written on the raw column so that it reaches the
+    Parquet scan (``PushedFilters``). TIMESTAMP bounds are midnights in
+    ``zone`` (session zone if None). None when ``dates`` is None."""
+    rng = parse_range(dates)
+    if rng is None:
+        return None
+    lo, hi = rng[0], rng[1] + dt.timedelta(days=1)
+    if isinstance(dtype, DateType):
+        return ts.between(F.lit(rng[0]), F.lit(rng[1]))
+    if isinstance(dtype, TimestampNTZType):
+        a, b = F.lit(lo).cast(TimestampNTZType()), F.lit(hi).cast(TimestampNTZType())
+    elif zone is not None:
+        a = F.to_utc_timestamp(F.lit(lo.isoformat()), zone)
+        b = F.to_utc_timestamp(F.lit(hi.isoformat()), zone)
+    else:
+        a, b = F.lit(lo).cast(TimestampType()), F.lit(hi).cast(TimestampType())
+    return (ts >= a) & (ts < b)

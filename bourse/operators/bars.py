@@ -7,53 +7,73 @@ low, close, trades, volume, vwap and bar start.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bourse.functions import bucket_key, bucket_key_start, local_to_epoch_ms, safe_div
+from bourse.functions import (MARKET_ZONE, bucket_key, bucket_key_start, in_time_range,
+                              local_to_epoch_ms, safe_div)
 
 BAR_COLUMNS = ["ticker", "bar_start", "open", "high", "low", "close",
                "trades", "volume", "vwap"]
 
 
+def ticks_in_range(ticks: DataFrame, dates, ts: str = "ts", zone: str | None = None) -> DataFrame:
+    """Ticks whose time falls in the inclusive date range; the predicate is
+    on the raw column, so it is pushed to the Parquet scan."""
+    cond = in_time_range(F.col(ts), ticks.schema[ts].dataType, dates, zone)
+    return ticks if cond is None else ticks.filter(cond)
+
+
 def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
                   price: str = "price", volume: str | None = None,
                   multiplier: int = 1, timespan: str = "day",
-                  order_by=None) -> DataFrame:
+                  order_by=None, zone: str | None = None) -> DataFrame:
     """One bar per (ticker, bucket).
 
     open/close are the price of the first/last tick by ``order_by`` (default
     the timestamp; pass extra columns to break ties deterministically),
     high/low the extremes, trades the tick count, volume the summed volume,
     vwap = sum(price * volume) / sum(volume). Without ``volume`` both are
-    NULL. All aggregates have a partial step, so hot tickers are combined
+    NULL. ``order_by`` is the complete tick order (default the timestamp;
+    put the timestamp first and add columns to break ties). TIMESTAMP tick
+    times are bucketed on the wall clock of ``zone`` (session zone if None);
+    TIMESTAMP_NTZ times are wall clocks already. All aggregates have a
+    partial step, so hot tickers are combined
     map-side before the shuffle. Ticks are grouped on an integer bucket key;
     the bar's timestamp is built once per bar, after aggregation.
     """
     order_by = [ts] if order_by is None else ([order_by] if isinstance(order_by, str)
                                                else list(order_by))
-    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     dtype = ticks.schema[ts].dataType
     bucketed = ticks.select(
         F.col(ticker).alias("ticker"),
-        bucket_key(F.col(ts), multiplier, timespan, dtype).alias("_k"),
+        bucket_key(F.col(ts), multiplier, timespan, dtype, zone).alias("_k"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
-        order.alias("_o"),
-    )
-    bars = bucketed.groupBy("ticker", "_k").agg(
-        F.min_by("_p", "_o").alias("open"),
-        F.max("_p").alias("high"),
-        F.min("_p").alias("low"),
-        F.max_by("_p", "_o").alias("close"),
-        F.count(F.lit(1)).alias("trades"),
-        F.sum("_v").alias("volume"),
-        safe_div(F.sum(F.col("_p") * F.col("_v")), F.sum("_v")).alias("vwap"),
+        _order(order_by).alias("_o"),
     )
+    bars = bucketed.groupBy("ticker", "_k").agg(*bar_aggregates())
     return bars.select("ticker", bucket_key_start(F.col("_k"), timespan).alias("bar_start"),
                        *BAR_COLUMNS[2:])
 
 
+def _order(cols) -> Column:
+    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+
+
+def bar_aggregates(price: str = "_p", volume: str = "_v", order: str = "_o") -> list[Column]:
+    """The OHLCV aggregates of a bar, shared by batch and streaming bars."""
+    return [
+        F.min_by(price, order).alias("open"),
+        F.max(price).alias("high"),
+        F.min(price).alias("low"),
+        F.max_by(price, order).alias("close"),
+        F.count(F.lit(1)).alias("trades"),
+        F.sum(volume).alias("volume"),
+        safe_div(F.sum(F.col(price) * F.col(volume)), F.sum(volume)).alias("vwap"),
+    ]
+
+
 def daily(bars: DataFrame) -> DataFrame:
     """Day bars as a price series keyed by (ticker, date)."""
     return bars.withColumn("date", F.to_date("bar_start")).drop("bar_start")
@@ -74,7 +94,7 @@ def document_period(timespan: str) -> str:
 _PERIOD_UNITS = {"week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
 
-def bronze_documents(bars: DataFrame, zone: str = "UTC", period: str | None = "month",
+def bronze_documents(bars: DataFrame, zone: str = MARKET_ZONE, period: str | None = "month",
                      symbols: DataFrame | None = None) -> DataFrame:
     """Nest bars into provider-style documents: (ticker, period, resultsCount,
     results array<struct<c,h,l,n,o,t,v,vw>> sorted by t).
@@ -113,6 +133,8 @@ def bronze_documents(bars: DataFrame, zone: str = "UTC", period: str | None = "m
         )).alias("results"))
     if symbols is None:
         return docs
+    # Catalyst drops the bar aggregation here: this reads only the ticker
+    # column and de-duplicates it map-side.
     landed = bars.select("ticker").distinct()
     silent = symbols.select(F.col("symbol").alias("ticker")).distinct() \
                     .join(landed, "ticker", "left_anti")

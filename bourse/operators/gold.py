@@ -161,8 +161,7 @@ def _weeks(prices: DataFrame, dates, calendar, with_days: bool = False) -> DataF
         F.max_by("close", "date").alias("_last_close"),
     ]
     if with_days:
-        # (ticker, date) is the series key, so a week holds at most 7 days
-        # (with a calendar that misses dates: the off-calendar days of the range)
+        # (ticker, date) is the series key, so an ISO week holds at most 7 days
         aggs.append(F.collect_list("date").alias("_days"))
     return p.groupBy("ticker", "year", "weeknum").agg(*aggs)
 
@@ -212,14 +211,26 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     day, first ``n`` rows by (net_change, ticker, year, weeknum, date).
 
     The first ``n`` day rows can only come from the first ``n`` weeks, so the
-    weeks are cut to ``n`` first and only their trading days (kept as a list
-    of at most 7 dates by the week aggregate) are expanded: no second pass
-    over the series and no join.
+    weeks are cut to ``n`` first. Without a calendar every week holds at most
+    7 trading days, kept as a list by the week aggregate and expanded for
+    the top weeks only: no second pass, no join. With a calendar, days off
+    the calendar share one NULL week per ticker (unbounded), so the top
+    weeks (at most ``n`` rows) are joined back to the day rows instead.
     """
-    weeks = _week_values(_weeks(prices, dates, calendar, with_days=True), stake)
-    top = weeks.orderBy(*_week_order()).limit(n)
-    days = top.select("ticker", F.explode("_days").alias("date"), "year", "weeknum",
-                      "week_last_value", "week_first_value", "net_change")
+    cols = ["ticker", "date", "year", "weeknum", "week_last_value", "week_first_value",
+            "net_change"]
+    if calendar is None:
+        weeks = _week_values(_weeks(prices, dates, None, with_days=True), stake)
+        top = weeks.orderBy(*_week_order()).limit(n)
+        days = top.select("ticker", F.explode("_days").alias("date"), *cols[2:])
+    else:
+        top = weekly_change(prices, dates, stake, calendar).orderBy(*_week_order()).limit(n) \
+            .select(F.col("ticker").alias("_t"), F.col("year").alias("_y"),
+                    F.col("weeknum").alias("_w"), *cols[4:])
+        rows = attach_week(in_range(prices, dates).select("ticker", "date"), calendar)
+        cond = ((rows["ticker"] == top["_t"]) & rows["year"].eqNullSafe(top["_y"])
+                & rows["weeknum"].eqNullSafe(top["_w"]))
+        days = rows.join(top, cond).select(*cols)
     return days.orderBy(*_week_order(), F.asc("date")).limit(n)
 
 

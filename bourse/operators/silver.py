@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.functions import epoch_ms_to_date
+from bourse.functions import MARKET_ZONE, epoch_ms_to_date
 from bourse.schemas import SILVER
 
 # Provider field -> silver column (fixed values).
@@ -26,7 +26,7 @@ def explode_results(bronze: DataFrame) -> DataFrame:
     return bronze.select("ticker", "ingested_at", F.explode("results").alias("bar"))
 
 
-def flatten_bars(exploded: DataFrame, zone: str = "America/New_York") -> DataFrame:
+def flatten_bars(exploded: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
     """P2 + P3: struct fields -> named columns, bar start -> trading date in
     ``zone`` (a provider's daily bar starts at midnight market time)."""
     cols = [F.col(f"bar.{k}").alias(v) for k, v in FIELD_NAMES.items()]
@@ -62,7 +62,7 @@ def keep_latest(silver: DataFrame, keys=("date", "ticker")) -> DataFrame:
                  .select(*silver.columns)
 
 
-def to_silver(bronze: DataFrame, company_map: DataFrame, zone: str = "America/New_York",
+def to_silver(bronze: DataFrame, company_map: DataFrame, zone: str = MARKET_ZONE,
               keep: str = "strict") -> DataFrame:
     """B1 transform: explode -> company -> flatten -> date -> silver columns.
 

@@ -16,17 +16,18 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from bourse.functions import MARKET_ZONE
 from bourse.operators import gold, quality
-from bourse.operators.bars import document_period, resample_bars
+from bourse.operators.bars import document_period, resample_bars, ticks_in_range
 from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
-from bourse.sinks import land_bronze, write_gold, write_silver
+from bourse.sinks import bronze_folder, land_bronze, write_gold, write_silver
 from bourse.sources.readers import read_bronze, read_company_map, read_silver, read_symbols
 
 
 def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
-                 silver_path: str, zone: str = "America/New_York", keep: str = "strict",
+                 silver_path: str, zone: str = MARKET_ZONE, keep: str = "strict",
                  multi_line: bool = False, partition_by: str | None = "year") -> DataFrame:
     """B1: read bronze, transform, validate schema and key, then write.
 
@@ -85,37 +86,60 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
             p.unpersist()
 
 
+# Bar widths whose bars fall on distinct dates, as silver's (date, ticker)
+# key requires (fixed values).
+DAILY_OR_COARSER = ("day", "week", "month", "quarter", "year")
+
+
 def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str | None = None,
         bronze_root: str | None = None, silver_path: str | None = None,
         gold_root: str | None = None, years=(), dates=None, do_bronze: bool = False,
-        do_silver: bool = False, do_gold: bool = False, zone: str = "America/New_York",
+        do_silver: bool = False, do_gold: bool = False, zone: str = MARKET_ZONE,
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
         volume: str | None = None, order_by=None, multiplier: int = 1,
         timespan: str = "day", ingest_epoch: int | None = None) -> dict:
     """Run the requested stages in order; each stage needs the previous one
-    to have succeeded in this run or to have its output on storage.
-    ``order_by`` breaks ties between ticks with the same time (see
-    ``resample_bars``); bars are ``multiplier`` x ``timespan`` and bronze
-    documents hold one period sized for that width (``document_period``)."""
+    to have succeeded in this run or to have its output on storage
+    (``bronze_folder(bronze_root, dates)``).
+
+    Bronze: ticks in ``dates`` (filter pushed to the scan) become
+    ``multiplier`` x ``timespan`` bars, ordered by tick time and then by the
+    tie-break columns ``order_by``; TIMESTAMP tick times are read in
+    ``zone``. Every symbol must get a document (else ValidationError);
+    symbols whose document has no bars are reported
+    (``out["missing_results"]``, ``out["n_missing_results"]``).
+    Silver needs bars of a day or coarser, as it is keyed by (date, ticker).
+    """
+    span = timespan.lower().rstrip("s")
+    if do_silver and span not in DAILY_OR_COARSER:
+        raise ValueError(f"silver is keyed by (date, ticker): bars of {timespan!r} "
+                         "would repeat dates; land day bars or coarser")
     out: dict = {}
-    bronze_folder = bronze_root
+    folder = bronze_folder(bronze_root, dates) if bronze_root else None
     if do_bronze:
         if ticks is None or symbols_csv is None or bronze_root is None:
             raise ValueError("bronze stage needs ticks, symbols_csv and bronze_root")
         symbols = read_symbols(spark, symbols_csv)
-        bars = resample_bars(ticks, ticker=ticker, ts=ts, price=price, volume=volume,
-                             multiplier=multiplier, timespan=timespan, order_by=order_by)
-        bronze_folder = land_bronze(bars, bronze_root, dates=dates, zone=zone,
-                                    period=document_period(timespan), symbols=symbols,
-                                    ingest_epoch=ingest_epoch)
-        landed = read_bronze(spark, bronze_folder)
-        out["not_landed"] = quality.landed_completeness(landed, symbols)
+        ties = [] if order_by is None else ([order_by] if isinstance(order_by, str) else list(order_by))
+        order = [ts] + [c for c in ties if c != ts]
+        bars = resample_bars(ticks_in_range(ticks, dates, ts=ts, zone=zone), ticker=ticker, ts=ts,
+                             price=price, volume=volume, multiplier=multiplier,
+                             timespan=timespan, order_by=order, zone=zone)
+        folder = land_bronze(bars, bronze_root, dates=dates, zone=zone,
+                             period=document_period(timespan), symbols=symbols,
+                             ingest_epoch=ingest_epoch)
+        landed = read_bronze(spark, folder)
+        not_landed = quality.landed_completeness(landed, symbols)
+        if not not_landed.isEmpty():
+            sample = [r.symbol for r in not_landed.limit(5).collect()]
+            raise quality.ValidationError(f"symbols without a landed document, e.g. {sample}")
         out["missing_results"] = quality.missing_results(landed)
-        out["bronze"] = bronze_folder
+        out["n_missing_results"] = out["missing_results"].count()
+        out["bronze"] = folder
     if do_silver:
-        if bronze_folder is None or silver_path is None or symbols_csv is None:
-            raise ValueError("silver stage needs a bronze folder, silver_path and symbols_csv")
-        out["silver"] = build_silver(spark, bronze_folder, read_company_map(spark, symbols_csv),
+        if folder is None or silver_path is None or symbols_csv is None:
+            raise ValueError("silver stage needs bronze_root, silver_path and symbols_csv")
+        out["silver"] = build_silver(spark, folder, read_company_map(spark, symbols_csv),
                                      silver_path, zone=zone)
     if do_gold:
         if silver_path is None or gold_root is None:
@@ -135,9 +159,9 @@ def main(argv=None) -> None:
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--years", nargs="*", type=int, default=[])
-    ap.add_argument("--zone", default="America/New_York")
+    ap.add_argument("--zone", default=MARKET_ZONE)
     ap.add_argument("--volume")
-    ap.add_argument("--order-by", help="comma-separated tick columns that break time ties")
+    ap.add_argument("--order-by", help="comma-separated tick columns that break ties in tick time")
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
                     help="second, minute, hour, day, week, month, quarter or year")
@@ -147,13 +171,15 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     from bourse.session import get_session
     spark = get_session()
+    if bool(a.start) != bool(a.end):
+        ap.error("--start and --end go together")
     ticks = spark.read.parquet(a.ticks) if a.ticks else None
-    dates = (a.start, a.end) if a.start and a.end else None
+    dates = (a.start, a.end) if a.start else None
     run(spark, ticks=ticks, symbols_csv=a.symbols, bronze_root=a.bronze_root,
         silver_path=a.silver, gold_root=a.gold_root, years=a.years, dates=dates,
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
-        order_by=["ts", *a.order_by.split(",")] if a.order_by else None)
+        order_by=a.order_by.split(",") if a.order_by else None)
 
 
 if __name__ == "__main__":

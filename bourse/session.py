@@ -52,12 +52,20 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
-    if sc is None:
-        if conf:
-            return conf
-        return tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp")
-    sc.setCheckpointDir(conf or tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp"))
-    return sc.getCheckpointDir()
+    if conf:
+        if sc is not None:
+            sc.setCheckpointDir(conf)
+            return sc.getCheckpointDir()
+        return conf
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    # local runs (tests) only: a fresh folder on this machine
+    local = tempfile.mkdtemp(prefix="bourse-ckpt-", dir="/tmp")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir()
+    return local
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:

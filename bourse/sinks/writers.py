@@ -7,34 +7,40 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bourse.functions import parse_range
+from bourse.functions import MARKET_ZONE, parse_range
 from bourse.operators.bars import bronze_documents
 
 
-def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = "UTC",
+def bronze_folder(root: str, dates=None) -> str:
+    """Folder of one landed range: ``{root}/{start}_{end}``, or
+    ``{root}/all`` for documents that cover no declared range."""
+    rng = parse_range(dates)
+    name = "all" if rng is None else f"{rng[0].isoformat()}_{rng[1].isoformat()}"
+    return f"{root.rstrip('/')}/{name}"
+
+
+def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = MARKET_ZONE,
                 period: str | None = "month", symbols: DataFrame | None = None,
                 ingest_epoch: int | None = None, mode: str = "overwrite") -> str:
     """K1: write bars as bronze documents (JSON Lines) and return the folder.
 
-    Layout: ``{root}/{start}_{end}/ingest={epoch}/part-*.json``. The range
-    folder is overwritten, so landing a range again replaces it instead of
-    adding a second copy of every ticker. ``dates`` only names the folder
-    and cuts the bars to the range. ``mode="append"`` adds another ingest
-    beside earlier ones (a re-landing, resolved by ``keep="latest"``).
+    Layout: ``{root}/{start}_{end}/ingest={epoch}/part-*.json``
+    (``bronze_folder``). ``dates`` names the range folder; cut the ticks to
+    the range before resampling (``ticks_in_range``), so partial first and
+    last bars hold only in-range ticks. ``mode="overwrite"`` replaces the
+    whole range folder, so landing a range again never leaves a second copy
+    of a ticker; ``mode="append"`` adds another ingest beside earlier ones
+    (a re-landing, resolved by ``keep="latest"``).
     """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    rng = parse_range(dates)
-    folder = root.rstrip("/")
-    if rng is not None:
-        lo, hi = rng
-        bars = bars.filter(F.to_date("bar_start").between(F.lit(lo), F.lit(hi)))
-        folder = f"{folder}/{lo.isoformat()}_{hi.isoformat()}"
+    folder = bronze_folder(root, dates)
     epoch = int(time.time()) if ingest_epoch is None else int(ingest_epoch)
     docs = bronze_documents(bars, zone=zone, period=period, symbols=symbols)
     docs.withColumn("period", F.col("period").cast("string")) \
         .withColumn("ingest", F.lit(epoch)) \
-        .write.mode(mode).partitionBy("ingest").json(folder)
+        .write.mode(mode).option("partitionOverwriteMode", "static") \
+        .partitionBy("ingest").json(folder)
     return folder
 
 
@@ -47,7 +53,7 @@ def write_silver(df: DataFrame, path: str, partition_by=None) -> None:
     """
     if partition_by == "year" and "year" not in df.columns:
         df = df.withColumn("year", F.year("date"))
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.parquet(path)

@@ -12,13 +12,10 @@ F4b order book: lineitem keyed by order (ticker = l_orderkey); the symbol
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourse.functions import parse_range
-from bourse.operators.bars import daily, resample_bars
+from bourse.operators.bars import daily, resample_bars, ticks_in_range
 
 # Order keys that make the first / last tick unique (fixed values).
 LINEITEM_TICK_ORDER = ["ts", "l_orderkey", "l_linenumber", "l_partkey",
@@ -32,24 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _ts_range(col: str, dates) -> F.Column | None:
-    """Range on a raw timestamp column, written so that it reaches the scan."""
-    rng = parse_range(dates)
-    if rng is None:
-        return None
-    lo, hi = rng
-    hi_next = hi + dt.timedelta(days=1)
-    return ((F.col(col) >= F.lit(lo).cast("timestamp_ntz"))
-            & (F.col(col) < F.lit(hi_next).cast("timestamp_ntz")))
-
-
 def order_ticks(spark: SparkSession, sf_dir: str, dates=None) -> DataFrame:
     """F1 ticks: (ticker, ts, price, seq)."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    cond = _ts_range("o_orderdate", dates)
-    if cond is not None:
-        orders = orders.filter(cond)
+    orders = ticks_in_range(orders, dates, ts="o_orderdate")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey") \
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey")) \

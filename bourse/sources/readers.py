@@ -10,9 +10,16 @@ from bourse.operators.quality import assert_not_empty
 from bourse.schemas import BRONZE, CALENDAR, SYMBOLS
 
 
+def _csv_by_header(spark: SparkSession, path: str, schema) -> DataFrame:
+    """CSV with a header row, columns taken by header name (not position) and
+    cast to ``schema``; a missing column is an error."""
+    raw = spark.read.option("header", True).csv(path)
+    return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_company_map(spark: SparkSession, path: str) -> DataFrame:
-    """S3: symbol -> company_name CSV with a header row."""
-    return spark.read.schema(SYMBOLS).option("header", True).csv(path)
+    """S3: symbol -> company_name CSV with a header row (any column order)."""
+    return _csv_by_header(spark, path, SYMBOLS)
 
 
 def read_symbols(spark: SparkSession, path: str, check_empty: bool = True) -> DataFrame:
@@ -67,8 +74,13 @@ def read_silver(spark: SparkSession, path: str, dates=None) -> DataFrame:
 
 def read_calendar(spark: SparkSession, path: str, dates=None, fmt: str = "csv") -> DataFrame:
     """Calendar (date, weeknum, year), optionally cut to a date range."""
-    reader = spark.read.schema(CALENDAR)
-    df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
+    if fmt == "csv":
+        raw = spark.read.option("header", True).csv(path)
+        df = raw.select(F.to_date("date", "yyyy-MM-dd").alias("date"),
+                        F.col("weeknum").cast("int").alias("weeknum"),
+                        F.col("year").cast("int").alias("year"))
+    else:
+        df = spark.read.schema(CALENDAR).parquet(path)
     rng = parse_range(dates)
     if rng is not None:
         df = df.filter(F.col("date").between(F.lit(rng[0]), F.lit(rng[1])))

@@ -16,10 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pyspark.sql.types import TimestampNTZType
-
-from bourse.functions import ingest_epoch_from_path, safe_div
-from bourse.operators.bars import BAR_COLUMNS
+from bourse.functions import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SECONDS,
+                              ingest_epoch_from_path, normalise_span, wall_clock)
+from bourse.operators.bars import BAR_COLUMNS, bar_aggregates
 from bourse.operators.silver import to_silver
 from bourse.schemas import BRONZE
 
@@ -39,7 +38,7 @@ def read_bronze_stream(spark: SparkSession, folder: str, multi_line: bool = Fals
 
 
 def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFrame,
-                  silver_path: str, checkpoint: str, zone: str = "America/New_York",
+                  silver_path: str, checkpoint: str, zone: str = MARKET_ZONE,
                   available_now: bool = True, multi_line: bool = False) -> StreamingQuery:
     """Start the bronze -> silver stream. ``company_map`` is a static
     DataFrame (stream-static left join). Duplicate keys across batches are
@@ -52,48 +51,36 @@ def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFram
     return w.start()
 
 
-# Window length and alignment of the fixed spans, for window() (fixed values).
-_WINDOW = {"second": ("1 second", 1), "minute": ("1 minute", 60), "hour": ("1 hour", 3600),
-           "day": ("1 day", 86400), "week": ("7 days", 7 * 86400)}
-# Weeks start on Monday; 1970-01-05 was a Monday (fixed value).
-_WEEK_START = "4 days"
-
-
 def bars_stream(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts", price: str = "price",
                 volume: str | None = None, multiplier: int = 1, timespan: str = "minute",
-                delay: str = "10 minutes") -> DataFrame:
+                delay: str = "10 minutes", order_by=None, zone: str | None = None) -> DataFrame:
     """Streaming ``resample_bars`` for fixed spans (second .. week).
 
     The watermark is on the tick time; a bar is emitted once the watermark
     passes its end (ticks up to ``delay`` late still count) and its state is
-    then dropped. Bars are epoch-aligned tumbling windows, the same buckets
-    as the batch operator. Use with ``outputMode("append")``.
+    then dropped. Bars are epoch-aligned tumbling windows (weeks from
+    Monday), the same buckets as the batch operator; ``order_by`` and
+    ``zone`` work as there. Use with ``outputMode("append")``.
     """
-    span = timespan.lower().rstrip("s")
-    if span not in _WINDOW or multiplier < 1:
-        raise ValueError(f"streaming bars need a fixed span {tuple(_WINDOW)} and multiplier >= 1")
-    width = _WINDOW[span][1] * multiplier
-    dtype = ticks.schema[ts].dataType
-    local = ticks[ts] if isinstance(dtype, TimestampNTZType) else ticks[ts].cast(TimestampNTZType())
+    span = normalise_span(timespan, multiplier)
+    if span not in FIXED_SPAN_SECONDS:
+        raise ValueError(f"streaming bars need a fixed span {tuple(FIXED_SPAN_SECONDS)}")
+    width = FIXED_SPAN_SECONDS[span] * multiplier
+    order_by = [ts] if order_by is None else ([order_by] if isinstance(order_by, str)
+                                               else list(order_by))
+    local = wall_clock(F.col(ts), ticks.schema[ts].dataType, zone)
     # Event time as the instant whose UTC wall clock is the tick's wall clock
     # (watermarks need TIMESTAMP); second precision is enough for lateness.
     keyed = ticks.select(
-        F.col(ticker).alias("ticker"), local.alias("_ts"),
+        F.col(ticker).alias("ticker"),
         F.timestamp_seconds(F.unix_timestamp(local)).alias("_evt"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
+        (F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)).alias("_o"),
     ).withWatermark("_evt", delay)
-    start = _WEEK_START if span == "week" else "0 seconds"
-    bars = keyed.groupBy("ticker", F.window("_evt", f"{width} seconds", f"{width} seconds",
-                                            start).alias("_w")).agg(
-        F.min_by("_p", "_ts").alias("open"),
-        F.max("_p").alias("high"),
-        F.min("_p").alias("low"),
-        F.max_by("_p", "_ts").alias("close"),
-        F.count(F.lit(1)).alias("trades"),
-        F.sum("_v").alias("volume"),
-        safe_div(F.sum(F.col("_p") * F.col("_v")), F.sum("_v")).alias("vwap"),
-    )
+    start = f"{MONDAY_OFFSET_SECONDS if span == 'week' else 0} seconds"
+    window = F.window("_evt", f"{width} seconds", f"{width} seconds", start).alias("_w")
+    bars = keyed.groupBy("ticker", window).agg(*bar_aggregates())
     bar_start = F.timestamp_add("SECOND", F.unix_seconds(F.col("_w.start")),
                                 F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return bars.withColumn("bar_start", bar_start).select(*BAR_COLUMNS)

@@ -57,12 +57,15 @@ def test_resample_rejects_bad_span(spark):
 
 def test_bronze_documents_shape(spark):
     bars = resample_bars(ticks(spark), volume="qty", order_by=["ts", "seq"])
-    docs = bronze_documents(bars, period="month")
+    docs = bronze_documents(bars, zone="UTC", period="month")
     a = docs.filter(F.col("ticker") == "A").first()
     assert a.resultsCount == 2
     assert [r.t for r in a.results] == sorted(r.t for r in a.results)
     assert a.results[0].t == 1704067200000  # 2024-01-01 00:00 UTC
     assert list(a.results[0].asDict()) == ["c", "h", "l", "n", "o", "t", "v", "vw"]
+    # default: bar start read as market time (midnight in New York)
+    a_ny = bronze_documents(bars).filter(F.col("ticker") == "A").first()
+    assert a_ny.results[0].t == 1704085200000
 
 
 def test_bronze_documents_split_by_period(spark):
@@ -172,17 +175,31 @@ def test_relanding_duplicates_and_keep_latest(spark):
 
 
 def test_land_bronze_overwrites_range_folder(spark):
-    bars = fx.order_bars(spark, SF0001)
-    root = shared_dir(spark, "t", "bronze")
+    from bourse.operators.bars import ticks_in_range
     rng = ("1996-01-01", "1996-12-31")
+    ticks = ticks_in_range(fx.order_ticks(spark, SF0001), rng)
+    plan = ticks._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan          # pushed to the scan
+    bars = resample_bars(ticks, order_by="seq")
+    root = shared_dir(spark, "t", "bronze")
     f1 = land_bronze(bars, root, dates=rng, ingest_epoch=1)
     f2 = land_bronze(bars, root, dates=rng, ingest_epoch=2)
     assert f1 == f2 and f1.endswith("1996-01-01_1996-12-31")
     b = read_bronze(spark, f1)
-    assert {r.ingested_at.year for r in b.select("ingested_at").distinct().collect()} == {1970}
     assert b.select(F.unix_seconds("ingested_at").alias("e")).distinct().first().e == 2
+    assert b.select("ingested_at").distinct().count() == 1
     dates = explode_results(b).select(F.min("bar.t"), F.max("bar.t")).first()
-    assert dates[0] >= 820454400000 and dates[1] < 852076800000
+    # 1996-01-01 and 1997-01-01 at midnight in New York, in epoch ms
+    assert dates[0] >= 820472400000 and dates[1] < 852094800000
+
+
+def test_company_map_by_header_name(spark):
+    path = local_path(shared_dir(spark, "t", "map"))
+    os.makedirs(path)
+    with open(os.path.join(path, "m.csv"), "w") as f:
+        f.write("company_name,symbol\nAcme Corp,A\n")
+    r = read_company_map(spark, path).first()
+    assert (r.symbol, r.company_name) == ("A", "Acme Corp")
 
 
 def test_document_period_bounds_arrays(spark):

@@ -203,3 +203,14 @@ def test_plans_have_no_python_and_no_ticker_window(spark):
         plan = fn(p)._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan, fn.__name__
         assert "EvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_weekly_change_by_day_with_calendar(spark):
+    from bourse.sources.calendar import calendar
+    p = series(spark, _walk(8))
+    full = calendar(spark, "2022-12-01", "2023-03-31")
+    assert rows(gold.weekly_change_by_day(p, calendar=full)) == rows(gold.weekly_change_by_day(p))
+    part = calendar(spark, "2023-01-01", "2023-01-31")
+    got = gold.weekly_change_by_day(p, n=200, calendar=part).collect()
+    off = [r for r in got if r.year is None]
+    assert off and all(not (D(2023, 1, 1) <= r.date <= D(2023, 1, 31)) for r in off)

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from bourse.operators import gold, quality
 from bourse.plans import run
@@ -24,7 +25,7 @@ def test_job_stages(spark):
               silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=[1997],
               dates=("1995-01-01", "2001-12-31"), do_bronze=True, do_silver=True, do_gold=True,
               zone="America/New_York", order_by="seq", ingest_epoch=1_700_000_000)
-    assert out["not_landed"].count() == 0
+    assert out["n_missing_results"] == 0
     silver = out["silver"]
     quality.assert_primary_key(silver, ["date", "ticker"])
     prices = fx.daily_prices(spark, SF0001)
@@ -82,3 +83,28 @@ def test_job_cli(spark):
                             growth_dates=("1996-01-01", "1996-06-30")).first()
     assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
     assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
+
+
+def test_job_rejects_sub_day_bars_for_silver(spark):
+    with pytest.raises(ValueError):
+        run(spark, ticks=fx.order_ticks(spark, SF0001), symbols_csv="x", bronze_root="b",
+            silver_path="s", do_bronze=True, do_silver=True, timespan="hour")
+
+
+def test_silver_only_run_reads_its_range(spark):
+    ticks = fx.order_ticks(spark, SF0001)
+    root = shared_dir(spark, "t", "job")
+    sym = _symbols_csv(spark)
+    for rng in (("1996-01-01", "1996-12-31"), ("1997-01-01", "1997-12-31")):
+        run(spark, ticks=ticks, symbols_csv=sym, bronze_root=f"{root}/bronze", dates=rng,
+            do_bronze=True, order_by="seq", ingest_epoch=1)
+    out = run(spark, symbols_csv=sym, bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
+              dates=("1997-01-01", "1997-12-31"), do_silver=True)
+    years = {r.y for r in out["silver"].select(F.year("date").alias("y")).distinct().collect()}
+    assert years == {1997}
+
+
+def test_cli_needs_start_and_end(spark):
+    from bourse.plans.job import main
+    with pytest.raises(SystemExit):
+        main(["--start", "2024-01-01", "--bronze"])
