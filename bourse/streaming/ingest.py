@@ -39,12 +39,16 @@ def read_bronze_stream(spark: SparkSession, folder: str, multi_line: bool = Fals
 
 def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFrame,
                   silver_path: str, checkpoint: str, zone: str = MARKET_ZONE,
-                  available_now: bool = True, multi_line: bool = False) -> StreamingQuery:
+                  available_now: bool = True, multi_line: bool = False,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the bronze -> silver stream. ``company_map`` is a static
     DataFrame (stream-static left join). Duplicate keys across batches are
     resolved by readers with ``to_silver(..., keep="latest")`` semantics or
-    checked with ``quality.assert_primary_key`` on the table."""
-    silver = to_silver(read_bronze_stream(spark, bronze_folder, multi_line), company_map, zone)
+    checked with ``quality.assert_primary_key`` on the table.
+    ``max_files_per_trigger`` bounds each micro-batch when a backlog of
+    landed files is caught up."""
+    source = read_bronze_stream(spark, bronze_folder, multi_line, max_files_per_trigger)
+    silver = to_silver(source, company_map, zone)
     w = silver.writeStream.format("parquet").option("path", silver_path) \
               .option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
