@@ -3,6 +3,7 @@ random series (ties, zero prices, ISO year edges)."""
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -79,3 +80,36 @@ def test_max_weekly_decrease_order(spark, data, n):
     want = [k for k, _ in order[:n]]
     got = [(r.ticker, r.year, r.weeknum) for r in gold.max_weekly_decrease(df, n=n).collect()]
     assert got == want
+
+
+ticks_st = st.lists(
+    st.tuples(st.sampled_from(["X", "Y"]), st.integers(0, 3 * 86400 // 600),   # 10-minute steps
+              st.sampled_from([1.0, 2.0, 2.5, 7.0]), st.integers(1, 5)),
+    min_size=1, max_size=80)
+
+
+@SETTINGS
+@given(ticks_st, st.sampled_from([(15, "minute"), (1, "hour"), (4, "hours"), (1, "day")]))
+def test_resample_bars_property(spark, ticks, span):
+    import pandas as pd
+    from bourse.operators.bars import resample_bars
+    base = dt.datetime(2024, 1, 1)
+    rows = [(t, base + dt.timedelta(minutes=10 * k), p, float(v), i)
+            for i, (t, k, p, v) in enumerate(ticks)]
+    df = spark.createDataFrame(rows, "ticker string, ts timestamp_ntz, price double, "
+                                     "qty double, seq long").repartition(3)
+    mult, unit = span
+    got = {(r.ticker, r.bar_start): r for r in resample_bars(
+        df, volume="qty", multiplier=mult, timespan=unit, order_by=["ts", "seq"]).collect()}
+    pdf = pd.DataFrame(rows, columns=["ticker", "ts", "price", "qty", "seq"])
+    width = {"minute": 60, "hour": 3600, "hours": 3600, "day": 86400}[unit] * mult
+    secs = (pdf["ts"] - pd.Timestamp(0)).dt.total_seconds().astype("int64")
+    pdf["bar_start"] = pd.to_datetime((secs // width) * width, unit="s")
+    pdf = pdf.sort_values(["ts", "seq"])
+    assert len(got) == pdf.groupby(["ticker", "bar_start"]).ngroups
+    for (t, b), g in pdf.groupby(["ticker", "bar_start"]):
+        r = got[(t, b.to_pydatetime())]
+        assert (r.open, r.close, r.high, r.low, r.trades) == \
+            (g.price.iloc[0], g.price.iloc[-1], g.price.max(), g.price.min(), len(g))
+        assert r.volume == g.qty.sum()
+        assert r.vwap == pytest.approx((g.price * g.qty).sum() / g.qty.sum(), rel=1e-12)
