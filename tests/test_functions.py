@@ -88,3 +88,16 @@ def test_round_half(spark):
     df = spark.createDataFrame([(2.675,), (1.0000000000000002,), (None,)], "x double")
     got = [r.r for r in df.select(round_half(F.col("x"), 2).alias("r")).collect()]
     assert got == [2.68, 1.0, None]
+
+
+def test_calendar_matches_python_isocalendar(spark):
+    from bourse.sources.calendar import calendar
+    cal = calendar(spark, "2020-01-01", "2025-12-31")
+    got = {r.date: (r.weeknum, r.year) for r in cal.collect()}
+    assert len(got) == 2192
+    d = dt.date(2020, 1, 1)
+    while d <= dt.date(2025, 12, 31):
+        y, w, _ = d.isocalendar()
+        assert got[d] == (w, y), d
+        d += dt.timedelta(days=1)
+    assert cal.schema.simpleString() == "struct<date:date,weeknum:int,year:int>"
