@@ -101,3 +101,18 @@ def test_calendar_matches_python_isocalendar(spark):
         assert got[d] == (w, y), d
         d += dt.timedelta(days=1)
     assert cal.schema.simpleString() == "struct<date:date,weeknum:int,year:int>"
+
+
+def test_calendar_csv_and_parquet_round_trip(spark):
+    from bourse.session import shared_dir
+    from bourse.sinks import write_calendar
+    from bourse.sources.calendar import calendar
+    from bourse.sources.readers import read_calendar
+    cal = calendar(spark, "2024-12-20", "2025-01-10")
+    csv, pq = shared_dir(spark, "t", "cal_csv"), shared_dir(spark, "t", "cal_pq")
+    write_calendar(cal, csv_path=csv, parquet_path=pq)
+    want = sorted(map(tuple, cal.collect()))
+    assert sorted(map(tuple, read_calendar(spark, csv).collect())) == want
+    assert sorted(map(tuple, read_calendar(spark, pq, fmt="parquet").collect())) == want
+    cut = read_calendar(spark, csv, ("2024-12-30", "2025-01-05"))
+    assert {(r.weeknum, r.year) for r in cut.collect()} == {(1, 2025)}
