@@ -166,6 +166,15 @@ def bucket_start(ts: Column, multiplier: int = 1, timespan: str = "day",
     return bucket_key_start(bucket_key(ts, multiplier, timespan, dtype, zone), timespan)
 
 
+def _zone_midnight(day: dt.date, zone: str) -> Column:
+    """The instant (TIMESTAMP) of midnight of ``day`` in ``zone``, built
+    without the session zone; constant-folded to a literal."""
+    local = F.lit(day).cast(TimestampNTZType())
+    utc = local if zone.upper() in ("UTC", "Z", "ETC/UTC") else \
+        F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
+    return F.timestamp_seconds(F.unix_timestamp(utc))
+
+
 def in_time_range(ts: Column, dtype, dates, zone: str | None = None) -> Column | None:
     """Predicate keeping tick times from ``start`` 00:00 up to, not including,
     the day after ``end``, written on the raw column so that it reaches the
@@ -180,8 +189,7 @@ def in_time_range(ts: Column, dtype, dates, zone: str | None = None) -> Column |
     if isinstance(dtype, TimestampNTZType):
         a, b = F.lit(lo).cast(TimestampNTZType()), F.lit(hi).cast(TimestampNTZType())
     elif zone is not None:
-        a = F.to_utc_timestamp(F.lit(lo.isoformat()), zone)
-        b = F.to_utc_timestamp(F.lit(hi.isoformat()), zone)
+        a, b = _zone_midnight(lo, zone), _zone_midnight(hi, zone)
     else:
         a, b = F.lit(lo).cast(TimestampType()), F.lit(hi).cast(TimestampType())
     return (ts >= a) & (ts < b)

@@ -210,3 +210,17 @@ def test_document_period_bounds_arrays(spark):
     docs = bronze_documents(bars, period=document_period("minute"))
     assert docs.agg(F.max("resultsCount")).first()[0] <= 1440
     assert docs.filter(F.col("ticker") == "A").count() == 2   # two days of A
+
+
+def test_zoned_ticks_bucketed_in_market_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            # 2024-01-03 03:00 UTC is 2024-01-02 22:00 in New York
+            df = spark.createDataFrame([("A", 1704250800, 5.0)], "ticker string, s long, price double") \
+                      .select("ticker", F.timestamp_seconds("s").alias("ts"), "price")
+            bar = resample_bars(df, zone="America/New_York").first()
+            assert bar.bar_start == TS(2024, 1, 2), tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -116,3 +116,20 @@ def test_calendar_csv_and_parquet_round_trip(spark):
     assert sorted(map(tuple, read_calendar(spark, pq, fmt="parquet").collect())) == want
     cut = read_calendar(spark, csv, ("2024-12-30", "2025-01-05"))
     assert {(r.weeknum, r.year) for r in cut.collect()} == {(1, 2025)}
+
+
+def test_in_time_range_zoned_ticks_any_session_zone(spark):
+    from pyspark.sql.types import TimestampType
+    from bourse.functions import in_time_range
+    old = spark.conf.get("spark.sql.session.timeZone")
+    rows = [(1704171599,), (1704171600,), (1704257999,), (1704258000,)]  # around NY midnights
+    try:
+        for tz in ("UTC", "Asia/Tokyo", "America/Los_Angeles"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.createDataFrame(rows, "s long").select(F.timestamp_seconds("s").alias("ts"))
+            cond = in_time_range(F.col("ts"), TimestampType(), ("2024-01-02", "2024-01-02"),
+                                 "America/New_York")
+            got = sorted(r.s for r in df.filter(cond).select(F.unix_seconds("ts").alias("s")).collect())
+            assert got == [1704171600, 1704257999], tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
