@@ -160,7 +160,10 @@ def main(argv=None) -> None:
     ap.add_argument("--end")
     ap.add_argument("--years", nargs="*", type=int, default=[])
     ap.add_argument("--zone", default=MARKET_ZONE)
-    ap.add_argument("--volume")
+    ap.add_argument("--ticker-col", default="ticker")
+    ap.add_argument("--ts-col", default="ts")
+    ap.add_argument("--price-col", default="price")
+    ap.add_argument("--volume", help="volume column of the ticks (optional)")
     ap.add_argument("--order-by", help="comma-separated tick columns that break ties in tick time")
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
@@ -169,15 +172,16 @@ def main(argv=None) -> None:
     ap.add_argument("--silver-stage", action="store_true")
     ap.add_argument("--gold", action="store_true")
     a = ap.parse_args(argv)
-    from bourse.session import get_session
-    spark = get_session()
     if bool(a.start) != bool(a.end):
         ap.error("--start and --end go together")
+    from bourse.session import get_session
+    spark = get_session()
     ticks = spark.read.parquet(a.ticks) if a.ticks else None
     dates = (a.start, a.end) if a.start else None
     run(spark, ticks=ticks, symbols_csv=a.symbols, bronze_root=a.bronze_root,
         silver_path=a.silver, gold_root=a.gold_root, years=a.years, dates=dates,
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
+        ticker=a.ticker_col, ts=a.ts_col, price=a.price_col,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
         order_by=a.order_by.split(",") if a.order_by else None)
 
