@@ -108,3 +108,41 @@ def test_cli_needs_start_and_end(spark):
     from bourse.plans.job import main
     with pytest.raises(SystemExit):
         main(["--start", "2024-01-01", "--bronze"])
+
+
+def test_existing_provider_bronze_folder(spark):
+    """Silver and gold stages on a bronze folder laid out as the reference
+    lands it: {start}_{end}/{ticker}_{epoch}.json, one provider document per
+    file, bar start at midnight New York time."""
+    import datetime as dt
+    import json
+    from zoneinfo import ZoneInfo
+    from bourse.session import local_path
+    ny = ZoneInfo("America/New_York")
+    bars = fx.daily_prices(spark, SF0001).collect()
+    root = shared_dir(spark, "t", "provider")
+    folder = local_path(f"{root}/bronze/1995-01-01_2001-12-31")
+    os.makedirs(folder)
+    by_ticker = {}
+    for b in bars:
+        t = int(dt.datetime.combine(b.date, dt.time(), ny).timestamp() * 1000)
+        by_ticker.setdefault(b.ticker, []).append(
+            {"c": b.close, "h": b.high, "l": b.low, "n": b.trades, "o": b.open, "t": t,
+             "v": 100, "vw": b.close})
+    for ticker, results in by_ticker.items():
+        doc = {"ticker": ticker, "queryCount": len(results), "resultsCount": len(results),
+               "adjusted": True, "results": sorted(results, key=lambda r: r["t"]),
+               "status": "OK", "request_id": "x"}
+        with open(os.path.join(folder, f"{ticker}_1741000000.json"), "w") as f:
+            json.dump(doc, f)
+    out = run(spark, symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/bronze",
+              silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=[1997],
+              dates=("1995-01-01", "2001-12-31"), do_silver=True, do_gold=True)
+    silver = out["silver"]
+    got = sorted((r.ticker, r.date, r.close, r.volume) for r in silver.collect())
+    assert got == sorted((b.ticker, b.date, b.close, 100.0) for b in bars)
+    assert silver.filter(F.unix_seconds("ingested_at") != 1741000000).count() == 0
+    summary = spark.read.option("header", True).csv(f"{root}/gold/1997_consolidated").first()
+    want = gold.consolidate(fx.daily_prices(spark, SF0001), ("1997-01-01", "1997-12-31"),
+                            growth_dates=("1997-01-01", "1997-06-30")).first()
+    assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
