@@ -23,7 +23,8 @@ from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
 from bourse.sinks import bronze_folder, land_bronze, write_gold, write_silver
-from bourse.sources.readers import read_bronze, read_company_map, read_silver, read_symbols
+from bourse.sources.readers import (read_bronze, read_calendar, read_company_map, read_silver,
+                                    read_symbols)
 
 
 def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
@@ -53,7 +54,7 @@ def year_ranges(year: int):
 
 
 def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
-             spark: SparkSession | None = None) -> None:
+             spark: SparkSession | None = None, calendar: DataFrame | None = None) -> None:
     """The reference's gold set for each year: a., b., c. (January-June),
     d. (day grain, 10 rows) and the consolidated row. Every output is
     bounded (top-k, one row per year), so single CSV files are fine.
@@ -62,7 +63,8 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
     each year is read on its own, pruning the other years' partitions. The
     year's slice (three columns, range pushed to the scan) is persisted once
     and shared by the five outputs, which run as concurrent jobs; lost
-    blocks are recomputed from silver.
+    blocks are recomputed from silver. ``calendar`` (date, weeknum, year)
+    replaces the computed ISO weeks of d.; days it lacks get a NULL week.
     """
     for y in years:
         full, half = year_ranges(y)
@@ -73,8 +75,10 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
             (gold.max_relative_increase(p, full), f"{gold_root}/a.max_relative_increase_{y}"),
             (gold.investment_return(p, full, stake), f"{gold_root}/b.investment_value_{y}"),
             (gold.max_cagr(p, half, stake), f"{gold_root}/c.cagr_jan_june_{y}"),
-            (gold.weekly_change_by_day(p, full, stake), f"{gold_root}/d.max_decrease_{y}"),
-            (gold.consolidate(p, full, stake, growth_dates=half), f"{gold_root}/{y}_consolidated"),
+            (gold.weekly_change_by_day(p, full, stake, calendar=calendar),
+             f"{gold_root}/d.max_decrease_{y}"),
+            (gold.consolidate(p, full, stake, growth_dates=half, calendar=calendar),
+             f"{gold_root}/{y}_consolidated"),
         ]
         try:
             # small, latency-bound jobs: submit them together (Spark runs
@@ -97,7 +101,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         do_silver: bool = False, do_gold: bool = False, zone: str = MARKET_ZONE,
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
         volume: str | None = None, order_by=None, multiplier: int = 1,
-        timespan: str = "day", ingest_epoch: int | None = None) -> dict:
+        timespan: str = "day", ingest_epoch: int | None = None,
+        calendar_csv: str | None = None) -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage
     (``bronze_folder(bronze_root, dates)``).
@@ -144,7 +149,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
     if do_gold:
         if silver_path is None or gold_root is None:
             raise ValueError("gold stage needs silver_path and gold_root")
-        run_gold(silver_path, gold_root, years, spark=spark)
+        cal = read_calendar(spark, calendar_csv) if calendar_csv else None
+        run_gold(silver_path, gold_root, years, spark=spark, calendar=cal)
         out["gold"] = gold_root
     return out
 
@@ -160,6 +166,7 @@ def main(argv=None) -> None:
     ap.add_argument("--end")
     ap.add_argument("--years", nargs="*", type=int, default=[])
     ap.add_argument("--zone", default=MARKET_ZONE)
+    ap.add_argument("--calendar", help="date,weeknum,year CSV for the weeks of d. (optional)")
     ap.add_argument("--ticker-col", default="ticker")
     ap.add_argument("--ts-col", default="ts")
     ap.add_argument("--price-col", default="price")
@@ -183,7 +190,7 @@ def main(argv=None) -> None:
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
         ticker=a.ticker_col, ts=a.ts_col, price=a.price_col,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
-        order_by=a.order_by.split(",") if a.order_by else None)
+        order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar)
 
 
 if __name__ == "__main__":

@@ -83,6 +83,7 @@ def test_job_cli(spark):
                             growth_dates=("1996-01-01", "1996-06-30")).first()
     assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
     assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
+    assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
 
 
 def test_job_rejects_sub_day_bars_for_silver(spark):
@@ -135,9 +136,14 @@ def test_existing_provider_bronze_folder(spark):
                "status": "OK", "request_id": "x"}
         with open(os.path.join(folder, f"{ticker}_1741000000.json"), "w") as f:
             json.dump(doc, f)
+    from bourse.sinks import write_calendar
+    from bourse.sources.calendar import calendar
+    cal_csv = shared_dir(spark, "t", "dim_date")
+    write_calendar(calendar(spark, "1995-01-01", "2001-12-31"), csv_path=cal_csv)
     out = run(spark, symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/bronze",
               silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=[1997],
-              dates=("1995-01-01", "2001-12-31"), do_silver=True, do_gold=True)
+              dates=("1995-01-01", "2001-12-31"), do_silver=True, do_gold=True,
+              calendar_csv=cal_csv)
     silver = out["silver"]
     got = sorted((r.ticker, r.date, r.close, r.volume) for r in silver.collect())
     assert got == sorted((b.ticker, b.date, b.close, 100.0) for b in bars)
@@ -146,3 +152,4 @@ def test_existing_provider_bronze_folder(spark):
     want = gold.consolidate(fx.daily_prices(spark, SF0001), ("1997-01-01", "1997-12-31"),
                             growth_dates=("1997-01-01", "1997-06-30")).first()
     assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
+    assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
