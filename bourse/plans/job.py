@@ -48,6 +48,16 @@ def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
     return read_silver(spark, silver_path)
 
 
+# Gold output folder names, as the reference names them (fixed values).
+GOLD_OUTPUTS = {
+    "a": "a.MAX_RELATIVE_INCREASE_{year}.csv",
+    "b": "b.INVESTMENT_VALUE_{year}.csv",
+    "c": "c.CAGR_TICKER_JAN_JUNE_{year}.csv",
+    "d": "d.MAX_DECREASE_{year}.csv",
+    "summary": "{year}_consolidated.csv",
+}
+
+
 def year_ranges(year: int):
     return ((dt.date(year, 1, 1), dt.date(year, 12, 31)),
             (dt.date(year, 1, 1), dt.date(year, 6, 30)))
@@ -68,17 +78,17 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
     """
     for y in years:
         full, half = year_ranges(y)
+        name = {k: f"{gold_root}/{v.format(year=y)}" for k, v in GOLD_OUTPUTS.items()}
         src = read_silver(spark, prices, full) if isinstance(prices, str) else prices
         p = in_range(src, full).select("ticker", "date", "close") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         outputs = [
-            (gold.max_relative_increase(p, full), f"{gold_root}/a.max_relative_increase_{y}"),
-            (gold.investment_return(p, full, stake), f"{gold_root}/b.investment_value_{y}"),
-            (gold.max_cagr(p, half, stake), f"{gold_root}/c.cagr_jan_june_{y}"),
-            (gold.weekly_change_by_day(p, full, stake, calendar=calendar),
-             f"{gold_root}/d.max_decrease_{y}"),
+            (gold.max_relative_increase(p, full), name["a"]),
+            (gold.investment_return(p, full, stake), name["b"]),
+            (gold.max_cagr(p, half, stake), name["c"]),
+            (gold.weekly_change_by_day(p, full, stake, calendar=calendar), name["d"]),
             (gold.consolidate(p, full, stake, growth_dates=half, calendar=calendar),
-             f"{gold_root}/{y}_consolidated"),
+             name["summary"]),
         ]
         try:
             # small, latency-bound jobs: submit them together (Spark runs

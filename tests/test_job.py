@@ -32,12 +32,14 @@ def test_job_stages(spark):
     assert silver.count() == prices.count()
     gold_dir = local_path(out["gold"])
     names = sorted(os.listdir(gold_dir))
-    assert names == ["1997_consolidated", "a.max_relative_increase_1997",
-                     "b.investment_value_1997", "c.cagr_jan_june_1997", "d.max_decrease_1997"]
-    got = spark.read.option("header", True).csv(f"{out['gold']}/a.max_relative_increase_1997").first()
+    assert names == ["1997_consolidated.csv", "a.MAX_RELATIVE_INCREASE_1997.csv",
+                     "b.INVESTMENT_VALUE_1997.csv", "c.CAGR_TICKER_JAN_JUNE_1997.csv",
+                     "d.MAX_DECREASE_1997.csv"]
+    got = spark.read.option("header", True).csv(
+        f"{out['gold']}/a.MAX_RELATIVE_INCREASE_1997.csv").first()
     want = gold.max_relative_increase(prices, ("1997-01-01", "1997-12-31")).first()
     assert got.ticker == want.ticker
-    d_rows = spark.read.option("header", True).csv(f"{out['gold']}/d.max_decrease_1997").count()
+    d_rows = spark.read.option("header", True).csv(f"{out['gold']}/d.MAX_DECREASE_1997.csv").count()
     assert d_rows == 10
     # round trip: gold over the landed silver equals gold over the bars
     rng, half = ("1997-01-01", "1997-12-31"), ("1997-01-01", "1997-06-30")
@@ -77,7 +79,7 @@ def test_job_cli(spark):
           "--bronze-root", f"{root}/bronze", "--silver", f"{root}/silver",
           "--gold-root", f"{root}/gold", "--start", "1995-01-01", "--end", "2001-12-31",
           "--years", "1996", "--order-by", "seq", "--bronze", "--silver-stage", "--gold"])
-    summary = spark.read.option("header", True).csv(f"{root}/gold/1996_consolidated").first()
+    summary = spark.read.option("header", True).csv(f"{root}/gold/1996_consolidated.csv").first()
     prices = fx.daily_prices(spark, SF0001)
     want = gold.consolidate(prices, ("1996-01-01", "1996-12-31"),
                             growth_dates=("1996-01-01", "1996-06-30")).first()
@@ -148,7 +150,7 @@ def test_existing_provider_bronze_folder(spark):
     got = sorted((r.ticker, r.date, r.close, r.volume) for r in silver.collect())
     assert got == sorted((b.ticker, b.date, b.close, 100.0) for b in bars)
     assert silver.filter(F.unix_seconds("ingested_at") != 1741000000).count() == 0
-    summary = spark.read.option("header", True).csv(f"{root}/gold/1997_consolidated").first()
+    summary = spark.read.option("header", True).csv(f"{root}/gold/1997_consolidated.csv").first()
     want = gold.consolidate(fx.daily_prices(spark, SF0001), ("1997-01-01", "1997-12-31"),
                             growth_dates=("1997-01-01", "1997-06-30")).first()
     assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
