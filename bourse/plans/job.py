@@ -112,7 +112,7 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
         volume: str | None = None, order_by=None, multiplier: int = 1,
         timespan: str = "day", ingest_epoch: int | None = None,
-        calendar_csv: str | None = None) -> dict:
+        calendar_csv: str | None = None, silver_partition: str | None = "year") -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage
     (``bronze_folder(bronze_root, dates)``).
@@ -155,7 +155,7 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         if folder is None or silver_path is None or symbols_csv is None:
             raise ValueError("silver stage needs bronze_root, silver_path and symbols_csv")
         out["silver"] = build_silver(spark, folder, read_company_map(spark, symbols_csv),
-                                     silver_path, zone=zone)
+                                     silver_path, zone=zone, partition_by=silver_partition)
     if do_gold:
         if silver_path is None or gold_root is None:
             raise ValueError("gold stage needs silver_path and gold_root")
@@ -185,6 +185,8 @@ def main(argv=None) -> None:
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
                     help="second, minute, hour, day, week, month, quarter or year")
+    ap.add_argument("--flat-silver", action="store_true",
+                    help="write silver unpartitioned (default: one folder per year)")
     ap.add_argument("--bronze", action="store_true")
     ap.add_argument("--silver-stage", action="store_true")
     ap.add_argument("--gold", action="store_true")
@@ -200,7 +202,8 @@ def main(argv=None) -> None:
         do_bronze=a.bronze, do_silver=a.silver_stage, do_gold=a.gold, zone=a.zone,
         ticker=a.ticker_col, ts=a.ts_col, price=a.price_col,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
-        order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar)
+        order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar,
+        silver_partition=None if a.flat_silver else "year")
 
 
 if __name__ == "__main__":
