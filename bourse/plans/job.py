@@ -112,7 +112,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         ticker: str = "ticker", ts: str = "ts", price: str = "price",
         volume: str | None = None, order_by=None, multiplier: int = 1,
         timespan: str = "day", ingest_epoch: int | None = None,
-        calendar_csv: str | None = None, silver_partition: str | None = "year") -> dict:
+        calendar_csv: str | None = None, silver_partition: str | None = "year",
+        keep: str = "strict") -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage
     (``bronze_folder(bronze_root, dates)``).
@@ -123,7 +124,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
     ``zone``. Every symbol must get a document (else ValidationError);
     symbols whose document has no bars are reported
     (``out["missing_results"]``, ``out["n_missing_results"]``).
-    Silver needs bars of a day or coarser, as it is keyed by (date, ticker).
+    Silver needs bars of a day or coarser, as it is keyed by (date, ticker);
+    ``keep="latest"`` resolves tickers landed more than once (D16).
     """
     span = timespan.lower().rstrip("s")
     if do_silver and span not in DAILY_OR_COARSER:
@@ -155,7 +157,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         if folder is None or silver_path is None or symbols_csv is None:
             raise ValueError("silver stage needs bronze_root, silver_path and symbols_csv")
         out["silver"] = build_silver(spark, folder, read_company_map(spark, symbols_csv),
-                                     silver_path, zone=zone, partition_by=silver_partition)
+                                     silver_path, zone=zone, keep=keep,
+                                     partition_by=silver_partition)
     if do_gold:
         if silver_path is None or gold_root is None:
             raise ValueError("gold stage needs silver_path and gold_root")
@@ -185,6 +188,8 @@ def main(argv=None) -> None:
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
                     help="second, minute, hour, day, week, month, quarter or year")
+    ap.add_argument("--keep", choices=["strict", "latest"], default="strict",
+                    help="duplicate (date, ticker) from re-landing: fail, or keep the latest ingest")
     ap.add_argument("--flat-silver", action="store_true",
                     help="write silver unpartitioned (default: one folder per year)")
     ap.add_argument("--bronze", action="store_true")
@@ -203,7 +208,7 @@ def main(argv=None) -> None:
         ticker=a.ticker_col, ts=a.ts_col, price=a.price_col,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
         order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar,
-        silver_partition=None if a.flat_silver else "year")
+        silver_partition=None if a.flat_silver else "year", keep=a.keep)
 
 
 if __name__ == "__main__":

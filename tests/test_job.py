@@ -69,6 +69,10 @@ def test_job_stops_on_bad_silver(spark):
             gold_root=f"{root}/gold", years=[1997], do_silver=True, do_gold=True)
     assert not os.path.exists(local_path(f"{root}/gold"))
     assert not os.path.exists(local_path(f"{root}/silver"))
+    # keeping the latest ingest resolves the re-landing
+    out = run(spark, symbols_csv=sym, bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
+              do_silver=True, keep="latest")
+    assert out["silver"].count() == fx.daily_prices(spark, SF0001).count()
 
 
 def test_job_cli(spark):
