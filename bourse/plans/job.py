@@ -2,9 +2,12 @@
 
 Stages run in order; a failing stage raises and nothing after it runs.
 
-    spark-submit -m bourse.plans.job --ticks PATH --symbols CSV \
-        --bronze-root DIR --silver PATH --gold-root DIR --years 2023 2024 \
-        --bronze --silver-stage --gold
+    python -m bourse --ticks PATH --symbols CSV --bronze-root DIR \
+        --silver PATH --gold-root DIR --start 2023-01-01 --end 2024-12-31 \
+        --years 2023 2024 --bronze --silver-stage --gold
+
+(or ``spark-submit bourse/plans/job.py ...`` with the package on the
+Python path of the driver; executors run no Python code of this package.)
 """
 
 from __future__ import annotations
