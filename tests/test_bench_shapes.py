@@ -1,0 +1,37 @@
+"""The reference-shaped plans timed by bench.py compute the same answers as
+the operators they are compared with, so the comparison is like for like."""
+
+import pytest
+
+import bench
+from bourse.operators import gold
+from bourse.sources import fixtures as fx
+from tests.conftest import SF0001
+
+
+@pytest.fixture(scope="module")
+def prices(spark):
+    return fx.daily_prices(spark, SF0001)
+
+
+def test_window_relative_change_same_answer(prices):
+    cols = ["ticker", "first_close", "last_close", "net_change"]
+    a = sorted(map(tuple, bench._window_relative_change(prices).select(*cols).collect()))
+    b = sorted(map(tuple, gold.relative_change(prices).select(*cols).collect()))
+    assert a == b
+
+
+def test_window_weekly_same_answer(prices):
+    a = [tuple(r) for r in bench._window_weekly(prices).collect()]
+    b = [tuple(r) for r in gold.weekly_change_by_day(prices).collect()]
+    assert [x[:4] for x in a] == [x[:4] for x in b]
+    for x, y in zip(a, b):
+        assert x[4:] == pytest.approx(y[4:], rel=1e-12)
+
+
+def test_collected_consolidation_same_answer(spark, prices):
+    rng, half = ("1997-01-01", "1997-12-31"), ("1997-01-01", "1997-06-30")
+    a = tuple(bench._collect_consolidate(spark, prices, rng, half).first())
+    b = tuple(gold.consolidate(prices, rng, growth_dates=half).first())
+    assert a[0] == b[0] and a[2:] == b[2:]
+    assert a[1] == pytest.approx(b[1], rel=1e-12)
