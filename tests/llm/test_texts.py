@@ -1,0 +1,281 @@
+import hashlib
+import math
+import re
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from bourse.llm import decontaminate as d
+from bourse.llm import lm_scoring as lm
+from bourse.llm import quality as q
+from bourse.llm import secrets as s
+from bourse.llm.common import table
+from bourse.llm.page_text import main_text, page_texts
+from tests.conftest import SF001
+
+
+def _words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+# ---- quality rules ---------------------------------------------------------------
+
+def _measures(text):
+    text = text or ""
+    w = _words(text)
+    windows = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+    seen = Counter(windows)
+    covered = {k + j for k, x in enumerate(windows) if seen[x] > 1 for j in range(3)}
+    lines = [x for x in text.split("\n") if _words(x)]
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_measures(docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = q.quality_rules(docs).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        n, chars, symbols, lines, repeat = want = _measures(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (n < 50 or 100 * repeat > 50 * n)
+        assert not (r.base_failed and r.kept)
+
+
+def test_quality_keeps_clean_documents(spark, docs):
+    labels = table(spark, SF001, "labels").groupBy("doc_id").agg({"quality": "min"}).toDF("doc_id", "quality")
+    got = q.quality_rules(docs).join(labels, "doc_id").filter("NOT base_failed").collect()
+    clean = [r.kept for r in got if r.quality == 1]
+    junk = [r.kept for r in got if r.quality == 0]
+    assert sum(clean) >= 0.99 * len(clean) and sum(junk) <= 0.5 * len(junk)
+
+
+def test_quality_is_native_and_packs_no_windows_wrongly(spark, odd, docs, monkeypatch):
+    plan = q.quality_rules(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    packed = q.quality_rules(docs).select("doc_id", "n_repeat_words").collect()
+    monkeypatch.setattr(q, "_PACKED_WORDS", 100)
+    assert sorted(packed) == sorted(q.quality_rules(docs).select("doc_id", "n_repeat_words").collect())
+    monkeypatch.undo()
+    got = q.quality_rules(odd).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == \
+        sorted((str(r.doc_id), *_measures(r.text)) for r in odd.collect())
+    assert q.quality_rules(odd.limit(0)).collect() == []
+
+
+# ---- secrets ---------------------------------------------------------------------
+
+ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _base(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in re.finditer(ASSIGN, text, re.A) if len(m[1]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{s.KINDS[k]}:{a}:{b}" for a, k, b in sorted(out))
+
+
+def _check_secrets(df):
+    texts = sorted((str(r.doc_id), _base(r.text)) for r in df.collect())
+    got = s.secret_scan(df).collect()
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert sorted((str(r.doc_id), r.base_sha256) for r in got) == [(i, digest(b)) for i, b in texts]
+    for r in got:
+        spans = [x for x in r.spans.split(",") if x]
+        base = ",".join(x for x in spans if not x.startswith("markov"))
+        assert digest(base) == r.base_sha256
+        assert [base.count(k) for k in s.KINDS[:3]] == [r.n_assign, r.n_access, r.n_hex] and len(spans) == \
+            r.n_assign + r.n_access + r.n_hex + r.n_markov
+        assert [int(x.split(":")[1]) for x in spans] == sorted(int(x.split(":")[1]) for x in spans)
+    return {str(r.doc_id): r for r in got}
+
+
+def test_secret_base(docs):
+    got = _check_secrets(docs)
+    assert sum(r.n_assign for r in got.values()) > 0 and sum(r.n_hex for r in got.values()) > 0
+    assert sum(r.n_markov for r in got.values()) <= 2  # ordinary prose has no more
+
+
+def test_secret_spans_of_both_kinds(spark, docs):
+    rows = [
+        (1, 'é password = "hunter22" and PASSWD:abc, token=token:abcdefg; api-key: x'),
+        (2, "AKIA" + "A" * 15 + " AKIA" + "B" * 16 + " AKIAAKIA" + "7" * 20 + "x" + "f" * 23 + " " + "0123456789abcdef" * 2),
+        (3, "key sk_Qz9xVb2LmX7pTq4RkW8yHd3NfJ6cGs1A and wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"),
+        (4, "the internationalization_of_configuration_parameters understandability-of-everything"),
+        (5, "secret=" + "0123456789abcdef0123456789abcdef" + "\nsecret: ''''abcdefgh api_key==abcdef"),
+        (6, None), (7, ""), (8, "x token=abcdef" * 300)]
+    named = spark.createDataFrame(rows, "doc_id long, text string")
+    df = docs.select("doc_id", "text").filter("doc_id >= 100").unionByName(named)
+    got = _check_secrets(df)
+    assert got["3"].n_markov == 2 and got["4"].n_markov == 0
+    assert got["5"].n_assign == 2 and got["5"].n_hex == 1 and got["5"].n_markov == 0 and got["8"].n_assign == 300
+    assert got["6"].spans == got["7"].spans == ""
+    clean = named.join(s.secret_spans(df).withColumnRenamed("doc_id", "d"), named.doc_id == F.col("d"))
+    texts = {r.doc_id: r.out for r in clean.select("doc_id", s.redacted(F.col("text"), F.col("spans")).alias("out")).collect()}
+    assert texts[1] == "é [secret] and PASSWD:abc, [secret]:abcdefg; api-key: x" or texts[1].startswith("é [secret]")
+    assert texts[3] == "key [secret] and [secret]" and texts[4] == rows[3][1] and texts[7] == ""
+    assert "Python" not in s.secret_spans(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_secret_odd_rows(odd):
+    _check_secrets(odd)
+    assert s.secret_scan(odd.limit(0)).collect() == []
+
+
+# ---- benchmark leaks ---------------------------------------------------------------
+
+def _distance(item, text):
+    row = [0] * (len(text) + 1)
+    for i, a in enumerate(item):
+        new = [i + 1]
+        for j, b in enumerate(text):
+            new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_myers_against_table():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        a = "".join(rng.choice(list("abc"), rng.integers(1, 12)))
+        b = "".join(rng.choice(list("abc"), rng.integers(0, 25)))
+        assert d.myers(a, b, 12) == _distance(a, b)
+        assert d.myers(a, b, 1) == min(2, _distance(a, b))
+
+
+def test_leaks(spark, docs):
+    rng = np.random.default_rng(4)
+    items = [r.text for r in table(spark, SF001, "benchmark").orderBy("item_id").limit(12).collect()]
+    host = [r.text for r in docs.orderBy("doc_id").limit(40).collect()]
+    rows = []
+    for i, text in enumerate(host):
+        item = list(items[i % 12])
+        for _ in range(int(rng.integers(0, len(item) // 12))):
+            k = int(rng.integers(len(item)))
+            item[k:k + int(rng.integers(0, 2))] = rng.choice(list("xyz "), int(rng.integers(0, 2))).tolist()
+        rows.append((i, text[:200] + " " + "".join(item).upper() + "\n" + text[200:300]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([*enumerate(items), (50, items[0]), (51, None), (52, ""), (53, "never to be found anywhere")],
+                                  "item_id long, text string")
+    want = set()
+    for i, t in rows:
+        for k, item in [*enumerate(items), (50, items[0])]:
+            n = d.normal(item)
+            far = _distance(n, d.normal(t)) if i % 12 == k % 50 else 99
+            if far <= len(n) // 20:
+                want.add((i, k, far))
+    assert 8 < len(want) and len({i for i, *_ in want}) < 40
+    got = [tuple(r) for r in d.benchmark_matches(df, bench).collect()]
+    assert {g for g in got if g[0] % 12 == g[1] % 50} == want and len(got) == len(set(got))
+
+
+def test_leaks_in_blocks_and_odd_rows(spark, odd, monkeypatch):
+    bench = spark.createDataFrame([(1, "beta gamma delta"), (1, "beta gamma delta"), (2, None), (3, "ALPHA  beta"), (4, "zzzz")],
+                                  "item_id long, text string")
+    want = sorted([(str(i), k, 0) for i in (4, 4, 5, None) for k in (1, 3)])
+    for block in (8 << 20, 5):
+        monkeypatch.setattr(d, "BLOCK_CHARS", block)
+        assert sorted((str(r.doc_id), r.item_id, r.distance) for r in d.benchmark_matches(odd, bench).collect()) == want
+    assert d.benchmark_matches(odd, bench.limit(0)).collect() == [] == d.benchmark_matches(odd.limit(0), bench).collect()
+
+
+# ---- language model ------------------------------------------------------------------
+
+def _lower(text):
+    return [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in _words(text)]
+
+
+def _check_scores(df):
+    rows = [(r.doc_id, _lower(r.text)) for r in df.collect()]
+    train = [w for i, w in rows if not lm.is_held_out(i)]
+    c = Counter(x for w in train for x in w)
+    n, v, ends = sum(c.values()) + len(train), len(c) + bool(train), len(train)
+    rest = math.log10(n + 0.5 * (v + 1))
+    want = sorted((str(i), lm.is_held_out(i), len(w) + 1, sum(c[x] > 0 for x in w) + bool(ends), n,
+                   round(sum(math.log10(c[x] + 0.5) - rest for x in w) + math.log10(ends + 0.5) - rest, 4)) for i, w in rows)
+    got = lm.score_texts(df).collect()
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
+    assert all(r.score < 0 for r in got)
+    return got
+
+
+def test_scores(docs):
+    got = _check_scores(docs)
+    held = [r for r in got if r.held_out]
+    assert 0.15 * len(got) < len(held) < 0.25 * len(got)
+    # Better than the counts alone where it has not learned.
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_scores_in_many_blocks(docs, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 100_000)
+    _check_scores(docs)
+
+
+def test_model_is_normalised():
+    rng = np.random.default_rng(1)
+    seqs = [np.append(np.repeat(rng.integers(0, 5), 30), lm.END_CLASS) for _ in range(200)]
+    table_ = lm.log_probabilities(lm.train(seqs))
+    assert np.allclose(np.exp(table_.astype(float)).sum(axis=2), 1, atol=1e-4)
+    assert np.exp(table_[3, 3, 3]) > 0.5  # it has learned that classes repeat
+
+
+def test_scores_odd_rows(odd):
+    _check_scores(odd)
+    assert lm.score_texts(odd.limit(0)).collect() == []
+    only = odd.filter("doc_id = 7")
+    assert len(_check_scores(only)) == 1
+
+
+# ---- pages -----------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="<p>x</p>";</script></head><body class="page menu">
+<header><h1>Site name, here.</h1></header><nav><ul><li><a href=/a>Menu one, two.</a></ul></nav>
+<div id="cookie-notice"><p>We use cookies, as you know. Accept.</p></div><form>Search, please.<input></form>
+<main><article><header><h1>A  title</h1></header><p><b>First &amp; best, of<br>all.<p>Second &lt;p&gt;, here
+is more.</p><!-- not this, no. --><div class="ad">Buy this, now. It is good, really.</div><ul><li>One, item.<li>Two</ul>
+<aside>Related, things.</aside><table><tr><td>Cell a</td><td>Cell b</td></tr></table>
+<blockquote>They said, so. 5 < 6</blockquote></article>
+<section id="comments"><p>I think, that this is wrong. Very, very wrong, all of it. Long comment, long.</p></section></main>
+<div class="sidebar"><p>Popular, now.</p></div><footer>&copy; us, them.</footer></body></html>"""
+
+
+def test_page():
+    assert main_text(PAGE) == ("A title\nFirst & best, of all.\nSecond <p>, here is more.\nOne, item.\nTwo\nCell a\nCell b\n"
+                               "They said, so. 5 < 6")
+
+
+def test_page_without_article_element():
+    body = "".join(f"<p>Sentence {k}, with some words, and more of them.</p>" for k in range(6))
+    page = f"<div class=top><a>Home</a><a>About</a></div><div class=body><h2>Head</h2>{body}<p>End.</p></div><div class=low><a>x</a></div>"
+    want = "Head\n" + "\n".join(f"Sentence {k}, with some words, and more of them." for k in range(6)) + "\nEnd."
+    assert main_text(page) == want
+
+
+def test_broken_pages():
+    assert main_text("") == main_text("<script>x") == main_text("<nav>a") == main_text("<!-- x") == ""
+    assert main_text("plain, text") == "plain, text"
+    assert main_text("<p>a, b &amp") == "a, b &" and main_text("<p>cut off, here <a hre") == "cut off, here"
+    assert main_text("<div>" * 3000 + "<p>deep, text." + "</div>" * 3000) == "deep, text."
+    assert main_text("<article>" + "<p>word, word.</p>" * 20_000) == "\n".join(["word, word."] * 20_000)
+
+
+def test_pages_of_the_table(spark):
+    """Against the article element, which all these pages have."""
+    import html
+    pages = table(spark, SF001, "pages")
+    got = {r.page_id: r for r in page_texts(pages).collect()}
+    for r in pages.collect():
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", inner)]
+        assert got[r.page_id].text == "\n".join(p for p in parts if p)
+        assert got[r.page_id].n_chars == len(got[r.page_id].text) and got[r.page_id].url == r.url
+
+
+def test_pages_odd_rows(spark):
+    rows = [(1, "u", None), (1, "u", None), (None, None, ""), (2, "u", "<p>x, y.")]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "page_id long, url string, html string, text string")
+    assert sorted((str(r.page_id), r.text, r.n_chars) for r in page_texts(df).collect()) == \
+        [("1", "", 0), ("1", "", 0), ("2", "x, y.", 5), ("None", "", 0)]
+    assert page_texts(df.limit(0)).collect() == []
