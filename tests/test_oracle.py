@@ -3,12 +3,12 @@ correctness gate), plus plan checks on the same queries."""
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from bourse.plans.oracle import ORACLE
+from bourse.plans.registry import QUERIES
 from tests.conftest import SF001
 from tools.check_oracle import compare, duck
 
-QUERIES = queries()
-ORACLE = oracle_sql()
 
 
 @pytest.fixture(scope="module")
