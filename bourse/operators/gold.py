@@ -31,6 +31,11 @@ def _net_change(first: str = "first_close", last: str = "last_close"):
     return safe_div(F.col(last) - F.col(first), F.col(first)).alias("net_change")
 
 
+def _desc(col: str):
+    """Largest first; neither NULL nor NaN wins."""
+    return F.desc_nulls_last(F.nanvl(F.col(col), F.lit(None).cast("double")))
+
+
 # --------------------------------------------------------------------------
 # a. relative change
 # --------------------------------------------------------------------------
@@ -50,13 +55,13 @@ def relative_change(prices: DataFrame, dates=None, by_year: bool = False) -> Dat
 def relative_change_by_year(prices: DataFrame, dates=None) -> DataFrame:
     """Per (ticker, year), largest change first."""
     return relative_change(prices, dates, by_year=True).orderBy(
-        F.desc_nulls_last("net_change"), "ticker", "year")
+        _desc("net_change"), "ticker", "year")
 
 
 def max_relative_increase(prices: DataFrame, dates=None, n: int = 1) -> DataFrame:
     """ticker(s) with the greatest relative increase (top ``n``)."""
     return relative_change(prices, dates).orderBy(
-        F.desc_nulls_last("net_change"), F.asc("ticker")).limit(n)
+        _desc("net_change"), F.asc("ticker")).limit(n)
 
 
 # --------------------------------------------------------------------------
@@ -114,7 +119,7 @@ def max_cagr(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
              years: float = 0.5, n: int = 1) -> DataFrame:
     """Top ``n`` rows of ``growth_rate`` by CAGR."""
     return growth_rate(prices, dates, stake, years).orderBy(
-        F.desc_nulls_last("CAGR"), "ticker", "year").limit(n)
+        _desc("CAGR"), "ticker", "year").limit(n)
 
 
 # --------------------------------------------------------------------------
@@ -161,8 +166,8 @@ def _weeks(prices: DataFrame, dates, calendar, with_days: bool = False) -> DataF
         F.max_by("close", "date").alias("_last_close"),
     ]
     if with_days:
-        # (ticker, date) is the series key, so an ISO week holds at most 7 days
-        aggs.append(F.collect_list("date").alias("_days"))
+        # the weekdays with a row, as bits: an integer, however often a day comes
+        aggs.append(F.bit_or(F.expr("shiftleft(1, weekday(date))")).alias("_days"))
     return p.groupBy("ticker", "year", "weeknum").agg(*aggs)
 
 
@@ -211,9 +216,9 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     day, first ``n`` rows by (net_change, ticker, year, weeknum, date).
 
     The first ``n`` day rows can only come from the first ``n`` weeks, so the
-    weeks are cut to ``n`` first. Without a calendar every week holds at most
-    7 trading days, kept as a list by the week aggregate and expanded for
-    the top weeks only: no second pass, no join. With a calendar, days off
+    weeks are cut to ``n`` first. Without a calendar the week aggregate keeps
+    the weekdays that have rows as bits of an integer, expanded for the top
+    weeks only: no second pass, no join, and a repeated day comes once. With a calendar, days off
     the calendar share one NULL week per ticker (unbounded), so the top
     weeks (at most ``n`` rows) are joined back to the day rows instead.
     """
@@ -222,7 +227,11 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     if calendar is None:
         weeks = _week_values(_weeks(prices, dates, None, with_days=True), stake)
         top = weeks.orderBy(*_week_order()).limit(n)
-        days = top.select("ticker", F.explode("_days").alias("date"), *cols[2:])
+        weekday = F.filter(F.sequence(F.lit(0), F.lit(6)),
+                           lambda d: F.col("_days").bitwiseAND(F.pow(F.lit(2), d).cast("int")) != 0)
+        monday = F.date_trunc("week", "week_start").cast("date")
+        days = top.select("*", F.explode(weekday).alias("_d")) \
+                  .select("ticker", F.date_add(monday, F.col("_d")).alias("date"), *cols[2:])
     else:
         top = weekly_change(prices, dates, stake, calendar).orderBy(*_week_order()).limit(n) \
             .select(F.col("ticker").alias("_t"), F.col("year").alias("_y"),
@@ -241,27 +250,29 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
 def consolidate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
                 growth_dates=None, growth_years: float = 0.5,
                 calendar: DataFrame | None = None) -> DataFrame:
-    """A. ticker, b. value (latest year of the range), c. ticker over
-    ``growth_dates`` (default: same range), d. ticker and ``year-week``.
+    """A. ticker, b. value, c. ticker over ``growth_dates`` (default:
+    same range), d. ticker and ``year-week``: one row for each calendar year
+    of the range, as b. has a value for each; a., c. and d. are answers over
+    the whole range and repeat. An empty range yields no row.
 
-    One plan: the four answers are single rows, stacked and folded into one
-    row by a global aggregate; an empty range yields no row.
+    One plan: a., c. and d. are single rows, stacked and folded into one by
+    a global aggregate.
     """
     a = max_relative_increase(prices, dates).select(
         F.col("ticker").alias("max_relative_increase_ticker"))
-    b = investment_return(prices, dates, stake).orderBy(F.desc("year")).limit(1).select(
-        F.col("investment_value").alias("investment_return_by_end_of_year"))
+    b = investment_return(prices, dates, stake).select(
+        "year", F.col("investment_value").alias("investment_return_by_end_of_year"))
     c = max_cagr(prices, growth_dates if growth_dates is not None else dates,
                  stake, growth_years).select(F.col("ticker").alias("max_CAGR_ticker_jan_june"))
     d = max_weekly_decrease(prices, dates, stake, 1, calendar).select(
         F.col("ticker").alias("max_decrease_by_week_ticker"),
         F.concat(F.col("year").cast("string"), F.lit("-"),
                  F.col("weeknum").cast("string")).alias("max_decrease_by_week_weeknum"))
+    # Column names of the summary (fixed values).
     cols = ["max_relative_increase_ticker", "investment_return_by_end_of_year",
             "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker",
             "max_decrease_by_week_weeknum"]
-    stacked = a.unionByName(b, allowMissingColumns=True) \
-               .unionByName(c, allowMissingColumns=True) \
-               .unionByName(d, allowMissingColumns=True)
-    row = stacked.agg(*[F.max(x).alias(x) for x in cols])
-    return row.filter(F.col("max_relative_increase_ticker").isNotNull())
+    stacked = a.unionByName(c, allowMissingColumns=True).unionByName(d, allowMissingColumns=True)
+    row = stacked.agg(F.struct(*[F.max(x).alias(x) for x in cols if x in stacked.columns]).alias("_r"))
+    return b.withColumn("_r", row.scalar()).select("year", *[
+        F.col(x) if x in b.columns else F.col(f"_r.{x}").alias(x) for x in cols])

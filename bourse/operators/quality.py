@@ -13,9 +13,9 @@ class ValidationError(AssertionError):
     """A data-quality check failed."""
 
 
-def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> DataFrame:
-    """Q1 report: one row per position where name, type or nullability of
-    ``df`` differs from ``expected`` (schemas are metadata: no data is read)."""
+def schema_issues(df: DataFrame, expected: StructType) -> list[tuple]:
+    """Positions where name, type or nullability of ``df`` differs from
+    ``expected``: (position, expected name and type, actual ones, issue)."""
     actual = df.schema.fields
     rows = []
     for i in range(max(len(actual), len(expected.fields))):
@@ -35,19 +35,23 @@ def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> Dat
             issue = "nullability"
         rows.append((i, e.name if e else None, e.dataType.simpleString() if e else None,
                      a.name if a else None, a.dataType.simpleString() if a else None, issue))
+    return rows
+
+
+def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> DataFrame:
+    """Q1 report of ``schema_issues`` (schemas are metadata: no data is read)."""
     return spark.createDataFrame(
-        rows, "position int, expected_name string, expected_type string, "
+        schema_issues(df, expected), "position int, expected_name string, expected_type string, "
               "actual_name string, actual_type string, issue string")
 
 
 def assert_schema(df: DataFrame, expected: StructType) -> None:
     """Q1: exact equality of names, types, order and nullability."""
-    if df.schema != expected:
-        lines = [f"  {i}: expected {e} got {a}" for i, (e, a)
-                 in enumerate(zip(expected.fields, df.schema.fields)) if e != a]
-        if len(expected.fields) != len(df.schema.fields):
-            lines.append(f"  field count: expected {len(expected.fields)} got {len(df.schema.fields)}")
-        raise ValidationError("schema mismatch:\n" + "\n".join(lines))
+    issues = schema_issues(df, expected)
+    if issues:
+        raise ValidationError("schema mismatch:\n" + "\n".join(
+            f"  {i}: expected {name} {kind}, got {got} {got_kind} ({issue})"
+            for i, name, kind, got, got_kind, issue in issues))
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -61,7 +65,7 @@ def assert_primary_key(df: DataFrame, keys) -> None:
     dups = duplicate_keys(df, keys)
     if not dups.isEmpty():
         sample = [r.asDict() for r in dups.limit(5).collect()]
-        raise ValidationError(f"duplicate primary key {list(keys)}: e.g. {sample}")
+        raise ValidationError(f"{dups.count()} duplicate primary keys {list(keys)}: e.g. {sample}")
 
 
 def assert_not_empty(df: DataFrame, what: str = "input") -> None:
@@ -79,4 +83,23 @@ def landed_completeness(bronze: DataFrame, symbols: DataFrame) -> DataFrame:
 def missing_results(bronze: DataFrame) -> DataFrame:
     """Q5: landed documents whose ``results`` is missing or empty; exploding
     them yields no rows, so without this report they vanish silently."""
-    return bronze.filter(F.coalesce(F.size("results"), F.lit(-1)) <= 0).select("ticker")
+    n = F.col("results_count") if "results_count" in bronze.columns else F.lit(None)
+    return bronze.filter(F.coalesce(n, F.size("results"), F.lit(-1)) <= 0).select("ticker")
+
+
+def corrupt_documents(bronze: DataFrame) -> DataFrame:
+    """S2 report: documents that did not parse, or in which a field did not
+    fit the schema, with their text. The bars are read too, since a field
+    that nobody asks for is not checked."""
+    asked = F.coalesce(F.size("results"), F.lit(0)) >= 0  # always so, but keeps the bars in the plan
+    return bronze.withColumn("n_results", F.size("results")).filter(F.col("corrupt").isNotNull() & asked) \
+                 .select("source_file", "ticker", "n_results", F.col("corrupt").alias("document"))
+
+
+def assert_no_corrupt_documents(bronze: DataFrame) -> None:
+    """Raise if any document is corrupt; the full list stays in the report."""
+    bad = corrupt_documents(bronze)
+    n = bad.count()
+    if n:
+        raise ValidationError(f"{n} corrupt documents, e.g. in "
+                              f"{sorted({r.source_file for r in bad.limit(5).collect()})}")

@@ -56,7 +56,7 @@ def keep_latest(silver: DataFrame, keys=("date", "ticker")) -> DataFrame:
     a partial step and never gathers a whole ticker in one task."""
     keys = list(keys)
     rest = [c for c in silver.columns if c not in keys]
-    latest = F.max_by(F.struct(*rest), F.struct("ingested_at", *[c for c in rest if c != "ingested_at"]))
+    latest = F.max(F.struct("ingested_at", *[c for c in rest if c != "ingested_at"]))
     return silver.groupBy(*keys).agg(latest.alias("_r")) \
                  .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]) \
                  .select(*silver.columns)

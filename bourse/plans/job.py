@@ -40,6 +40,7 @@ def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
     executor's blocks are recomputed from lineage.
     """
     bronze = read_bronze(spark, bronze_path, multi_line=multi_line)
+    quality.assert_no_corrupt_documents(bronze)
     silver = to_silver(bronze, company_map, zone=zone, keep=keep)
     quality.assert_schema(silver, SILVER)
     silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
@@ -90,14 +91,14 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
             (gold.investment_return(p, full, stake), name["b"]),
             (gold.max_cagr(p, half, stake), name["c"]),
             (gold.weekly_change_by_day(p, full, stake, calendar=calendar), name["d"]),
-            (gold.consolidate(p, full, stake, growth_dates=half, calendar=calendar),
+            (gold.consolidate(p, full, stake, growth_dates=half, calendar=calendar).drop("year"),
              name["summary"]),
         ]
         try:
             # small, latency-bound jobs: submit them together (Spark runs
             # jobs from several threads concurrently)
             with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-                for f in [pool.submit(write_gold, df, path) for df, path in outputs]:
+                for f in [pool.submit(write_gold, df, path, True) for df, path in outputs]:
                     f.result()
         finally:
             p.unpersist()
@@ -116,7 +117,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         volume: str | None = None, order_by=None, multiplier: int = 1,
         timespan: str = "day", ingest_epoch: int | None = None,
         calendar_csv: str | None = None, silver_partition: str | None = "year",
-        keep: str = "strict") -> dict:
+        keep: str = "strict", stake: float = gold.DEFAULT_STAKE,
+        multi_line: bool = False) -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage
     (``bronze_folder(bronze_root, dates)``).
@@ -152,7 +154,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         not_landed = quality.landed_completeness(landed, symbols)
         if not not_landed.isEmpty():
             sample = [r.symbol for r in not_landed.limit(5).collect()]
-            raise quality.ValidationError(f"symbols without a landed document, e.g. {sample}")
+            raise quality.ValidationError(
+                f"{not_landed.count()} symbols without a landed document, e.g. {sample}")
         out["missing_results"] = quality.missing_results(landed)
         out["n_missing_results"] = out["missing_results"].count()
         out["bronze"] = folder
@@ -160,13 +163,15 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         if folder is None or silver_path is None or symbols_csv is None:
             raise ValueError("silver stage needs bronze_root, silver_path and symbols_csv")
         out["silver"] = build_silver(spark, folder, read_company_map(spark, symbols_csv),
-                                     silver_path, zone=zone, keep=keep,
+                                     silver_path, zone=zone, keep=keep, multi_line=multi_line,
                                      partition_by=silver_partition)
     if do_gold:
         if silver_path is None or gold_root is None:
             raise ValueError("gold stage needs silver_path and gold_root")
+        if not years:
+            raise ValueError("gold stage needs at least one year")
         cal = read_calendar(spark, calendar_csv) if calendar_csv else None
-        run_gold(silver_path, gold_root, years, spark=spark, calendar=cal)
+        run_gold(silver_path, gold_root, years, stake, spark=spark, calendar=cal)
         out["gold"] = gold_root
     return out
 
@@ -191,6 +196,10 @@ def main(argv=None) -> None:
     ap.add_argument("--multiplier", type=int, default=1)
     ap.add_argument("--timespan", default="day",
                     help="second, minute, hour, day, week, month, quarter or year")
+    ap.add_argument("--stake", type=float, default=gold.DEFAULT_STAKE,
+                    help="money invested at the start of the range")
+    ap.add_argument("--multi-line", action="store_true",
+                    help="bronze files that hold one document over several lines")
     ap.add_argument("--keep", choices=["strict", "latest"], default="strict",
                     help="duplicate (date, ticker) from re-landing: fail, or keep the latest ingest")
     ap.add_argument("--flat-silver", action="store_true",
@@ -211,7 +220,8 @@ def main(argv=None) -> None:
         ticker=a.ticker_col, ts=a.ts_col, price=a.price_col,
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
         order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar,
-        silver_partition=None if a.flat_silver else "year", keep=a.keep)
+        silver_partition=None if a.flat_silver else "year", keep=a.keep, stake=a.stake,
+        multi_line=a.multi_line)
 
 
 if __name__ == "__main__":

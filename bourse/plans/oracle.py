@@ -36,8 +36,7 @@ prices AS (SELECT ticker, date, close FROM bars {w})"""
 COMPANY = """
 company AS (
   SELECT n.n_name AS symbol, r.r_name AS company_name
-  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE r.r_name <> 'MIDDLE EAST')"""
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 
 def _rng(lo: str, hi: str) -> str:
@@ -123,17 +122,31 @@ SELECT year, sum(v) AS investment_value FROM pv GROUP BY year"""
     grow = _growth(growth_where)
     week = f"WITH {_weekly(_prices(where))} SELECT * FROM weekly_net"
     return f"""
-SELECT a.ticker AS max_relative_increase_ticker,
+SELECT b.year, a.ticker AS max_relative_increase_ticker,
        {_round('b.investment_value', 4)} AS investment_return_by_end_of_year,
        c.ticker AS max_CAGR_ticker_jan_june,
        d.ticker AS max_decrease_by_week_ticker,
        CAST(d.year AS VARCHAR) || '-' || CAST(d.weeknum AS VARCHAR) AS max_decrease_by_week_weeknum
 FROM ({rel} ORDER BY net_change DESC NULLS LAST, ticker LIMIT 1) a
-CROSS JOIN (SELECT * FROM ({inv}) ORDER BY year DESC LIMIT 1) b
+CROSS JOIN ({inv}) b
 CROSS JOIN (SELECT * FROM ({grow}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1) c
 CROSS JOIN (SELECT * FROM ({week}) ORDER BY {WEEK_ORDER} LIMIT 1) d"""
 
 
+def _by_day(where: str = "") -> str:
+    return f"""WITH {_weekly(_prices(where))},
+days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
+                CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)
+SELECT d.ticker, d.date, d.year, d.weeknum, w.week_last_value, w.week_first_value, w.net_change
+FROM days d JOIN weekly_net w
+  ON d.ticker = w.ticker AND d.year = w.year AND d.weeknum = w.weeknum
+ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year, d.weeknum, d.date LIMIT 10"""
+
+
+SHIPPING = """date BETWEEN (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)
+              AND (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"""
+
+
 def _bucket(us: int) -> str:
     return f"make_timestamp((epoch_us(ts) // {us}) * {us})"
 
@@ -183,8 +196,7 @@ FROM bars""",
 
     "bars_hourly": _event_bars(3_600_000_000),
     "bars_15min": _event_bars(900_000_000),
-    "bars_stream_hourly": f"""WITH b AS ({_event_bars(3_600_000_000)})
-SELECT * FROM b WHERE bar_start < (SELECT max(bar_start) FROM b)""",
+    "bars_stream_hourly": _event_bars(3_600_000_000),
     "bars_vwap": _lineitem_bars("l_suppkey"),
     "bars_monthly": _lineitem_bars("l_suppkey", "CAST(date_trunc('month', ts) AS TIMESTAMP)"),
 
@@ -218,9 +230,33 @@ FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
 SELECT {SILVER_COLS}, CAST(1700000000 AS BIGINT) AS ingest_epoch
 FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
 
-    "company_left_join": f"""WITH {F1_BARS}, {COMPANY}
-SELECT b.ticker, b.date, b.close, company.company_name
-FROM bars b LEFT JOIN company ON b.ticker = company.symbol""",
+    "company_left_join": f"""WITH bars AS ({_lineitem_bars("l_partkey")})
+SELECT b.ticker, CAST(b.bar_start AS DATE) AS date, b.close, s.s_name AS company_name
+FROM bars b LEFT JOIN supplier s ON b.ticker = CAST(s.s_suppkey AS VARCHAR)""",
+
+    "corrupt_documents": """
+SELECT CASE o_orderpriority
+         WHEN '1-URGENT' THEN substr('{"ticker":"' || o_orderkey || '","resultsCount":1,"results":[{"c":', 1, 24)
+         ELSE '{"ticker":"' || o_orderkey || '","resultsCount":1,"results":[{"c":"high","t":0}]}' END AS document
+FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
+
+    "job_gold": f"""
+SELECT 'a' AS output, ticker, CAST(NULL AS VARCHAR) AS label, {_round('net_change', 4)} AS value
+FROM ({_relative(Y1997)} ORDER BY net_change DESC NULLS LAST, ticker LIMIT 1)
+UNION ALL
+SELECT 'b', NULL, CAST(year AS VARCHAR), {_round('sum(investment_value)', 4)}
+FROM ({_position_values(Y1997)}) GROUP BY year
+UNION ALL
+SELECT 'c', ticker, CAST(year AS VARCHAR), {_round('CAGR', 4)}
+FROM (SELECT * FROM ({_growth(H1997)}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1)
+UNION ALL
+SELECT 'd', ticker, CAST(date AS VARCHAR), {_round('net_change', 4)}
+FROM ({_by_day(Y1997)})
+UNION ALL
+SELECT 'summary', max_relative_increase_ticker,
+       max_CAGR_ticker_jan_june || ' ' || max_decrease_by_week_ticker || ' ' || max_decrease_by_week_weeknum,
+       investment_return_by_end_of_year
+FROM ({_summary(Y1997, H1997)})""",
 
     "keep_latest": f"""WITH {F1_BARS}, {COMPANY},
 later AS (
@@ -290,26 +326,14 @@ FROM prices p JOIN base ON p.ticker = base.ticker CROSS JOIN per""",
     "max_weekly_decrease": f"""WITH {_weekly(_prices())}
 SELECT * FROM weekly_net ORDER BY {WEEK_ORDER} LIMIT 10""",
 
-    "weekly_change_by_day_1997": f"""WITH {_weekly(_prices(Y1997))},
-days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
-                CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)
-SELECT d.ticker, d.date, d.year, d.weeknum, w.week_last_value, w.week_first_value, w.net_change
-FROM days d JOIN weekly_net w
-  ON d.ticker = w.ticker AND d.year = w.year AND d.weeknum = w.weeknum
-ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year, d.weeknum, d.date LIMIT 10""",
+    "weekly_change_by_day_1997": _by_day(Y1997),
 
-    "weekly_change_by_day": f"""WITH {_weekly(_prices())},
-days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
-                CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)
-SELECT d.ticker, d.date, d.year, d.weeknum, w.week_last_value, w.week_first_value, w.net_change
-FROM days d JOIN weekly_net w
-  ON d.ticker = w.ticker AND d.year = w.year AND d.weeknum = w.weeknum
-ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year, d.weeknum, d.date LIMIT 10""",
+    "weekly_change_by_day": _by_day(),
 
     "week_join_calendar": f"""WITH {_prices()}
 SELECT ticker, date, close,
-       CASE WHEN {Y1997} THEN CAST(weekofyear(date) AS INTEGER) END AS weeknum,
-       CASE WHEN {Y1997} THEN CAST(isoyear(date) AS INTEGER) END AS year
+       CASE WHEN {SHIPPING} THEN CAST(weekofyear(date) AS INTEGER) END AS weeknum,
+       CASE WHEN {SHIPPING} THEN CAST(isoyear(date) AS INTEGER) END AS year
 FROM prices""",
 
     "consolidate": _summary(Y1997, H1997),
@@ -327,3 +351,4 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 SELECT CAST(o_orderkey AS VARCHAR) AS ticker FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 }
+ORACLE["week_join_calendar_parquet"] = ORACLE["week_join_calendar"]

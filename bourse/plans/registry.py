@@ -20,7 +20,6 @@ from bourse.operators import gold, quality
 from bourse.operators.bars import bronze_documents, daily, resample_bars
 from bourse.operators.prices import attach_week, first_last_close, in_range, ticker_count
 from bourse.operators.silver import attach_company, explode_results, to_silver
-from bourse.schemas import SILVER
 from bourse.session import shared_dir
 from bourse.sinks import land_bronze, write_calendar
 from bourse.sources import fixtures as fx
@@ -70,6 +69,10 @@ def q_bars_hourly(spark, d):
     return resample_bars(fx.event_ticks(spark, d), multiplier=1, timespan="hour")
 
 
+def _event_bars(spark, d):
+    return resample_bars(fx.event_ticks(spark, d), timespan="hour")
+
+
 def q_bars_15min(spark, d):
     return resample_bars(fx.event_ticks(spark, d), multiplier=15, timespan="minute")
 
@@ -135,22 +138,22 @@ def q_silver_build(spark, d):
 
 def q_silver_stream(spark, d):
     """B1 on Structured Streaming: landed documents -> exactly-once file sink."""
-    from bourse.streaming import silver_stream
+    from bourse.streaming.ingest import latest_silver, silver_stream
     root = shared_dir(spark, "bourse", "stream")
     q = silver_stream(spark, _landed_f1(spark, d), fx.company_map(spark, d),
                       f"{root}/silver", f"{root}/checkpoint", zone="UTC")
     q.awaitTermination()
-    silver = spark.read.parquet(f"{root}/silver")
+    silver = latest_silver(spark, f"{root}/silver")
     cols = [c for c in silver.columns if c != "ingested_at"]
     return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
 
 
 def q_bars_stream_hourly(spark, d):
-    """S7 on Structured Streaming with a zero-delay watermark: every bar is
-    emitted once its hour has passed, i.e. all but the last hour's bars."""
-    from bourse.streaming import bars_stream
-    src = spark.readStream.schema(fx.table(spark, d, "events").schema) \
-        .option("pathGlobFilter", "events.parquet").parquet(d)
+    """S7 on Structured Streaming: a bar is emitted once its hour has passed;
+    bars still open when the stream stops come from the ticks."""
+    from bourse.streaming.ingest import bars_stream, complete_bars
+    # The star takes a table in one file and one in a folder of files alike.
+    src = spark.readStream.schema(fx.table(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
     ticks = src.select(F.col("user_id").cast("string").alias("ticker"), "ts",
                        F.col("value").alias("price"))
     root = shared_dir(spark, "bourse", "stream")
@@ -159,12 +162,63 @@ def q_bars_stream_hourly(spark, d):
         .option("checkpointLocation", f"{root}/checkpoint").outputMode("append") \
         .trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/bars")
+    return complete_bars(spark.read.schema(_event_bars(spark, d).schema).parquet(f"{root}/bars"),
+                         fx.event_ticks(spark, d), timespan="hour")
 
 
 def q_company_left_join(spark, d):
-    bars = _prices(spark, d).select("ticker", "date", "close")
-    return attach_company(bars, fx.company_map(spark, d))
+    """Parts' bars against the suppliers' names: most part numbers are no
+    supplier's number and keep a NULL name."""
+    bars = daily(fx.lineitem_bars(spark, d, key="l_partkey")).select("ticker", "date", "close")
+    names = fx.table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("symbol"), F.col("s_name").alias("company_name"))
+    return attach_company(bars, names)
+
+
+def q_corrupt_documents(spark, d):
+    """Documents made from orders, as landed by hand: those of urgent orders
+    are cut off, those of high-priority orders hold a price that is a word."""
+    orders = fx.table(spark, d, "orders")
+    price = F.when(F.col("o_orderpriority") == "2-HIGH", F.lit('"high"')) \
+             .otherwise(F.col("o_totalprice").cast("string"))
+    whole = F.format_string('{"ticker":"%s","resultsCount":1,"results":[{"c":%s,"t":0}]}',
+                            F.col("o_orderkey").cast("string"), price)
+    text = F.when(F.col("o_orderpriority") == "1-URGENT", F.substring(whole, 1, 24)).otherwise(whole)
+    folder = f"{shared_dir(spark, 'bourse', 'bronze')}/ingest={TEST_INGEST_EPOCH}"
+    orders.select(text.alias("value")).write.text(folder)
+    return quality.corrupt_documents(read_bronze(spark, folder)).select("document")
+
+
+def _job_root(spark, d):
+    """The whole job over orders: bronze, silver, and the gold files of 1997."""
+    from bourse.plans.job import run
+    root = shared_dir(spark, "bourse", "job")
+    fx.company_map(spark, d).write.option("header", True).csv(f"{root}/symbols")
+    run(spark, ticks=fx.order_ticks(spark, d), symbols_csv=f"{root}/symbols", bronze_root=f"{root}/bronze",
+        silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=[1997], do_bronze=True,
+        do_silver=True, do_gold=True, zone="UTC", order_by="seq", ingest_epoch=TEST_INGEST_EPOCH)
+    return f"{root}/gold"
+
+
+def q_job_gold(spark, d):
+    """M1 and K3: the five gold files of the job, read back."""
+    from bourse.plans.job import GOLD_OUTPUTS
+    root = _job_root(spark, d)
+
+    def rows(key, ticker, label, value):
+        df = spark.read.option("header", True).csv(f"{root}/{GOLD_OUTPUTS[key].format(year=1997)}")
+        return df.select(F.lit(key).alias("output"), ticker.cast("string").alias("ticker"),
+                         label.cast("string").alias("label"),
+                         round_half(F.col(value).cast("double"), 4).alias("value"))
+
+    none = F.lit(None)
+    return rows("a", F.col("ticker"), none, "net_change") \
+        .unionByName(rows("b", none, F.col("year"), "investment_value")) \
+        .unionByName(rows("c", F.col("ticker"), F.col("year"), "CAGR")) \
+        .unionByName(rows("d", F.col("ticker"), F.col("date"), "net_change")) \
+        .unionByName(rows("summary", F.col("max_relative_increase_ticker"), F.concat_ws(
+            " ", "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker", "max_decrease_by_week_weeknum"),
+            "investment_return_by_end_of_year"))
 
 
 def q_keep_latest(spark, d):
@@ -270,10 +324,17 @@ def q_weekly_change_by_day_1997(spark, d):
 
 
 def q_week_join_calendar(spark, d):
+    """Order days against the calendar of the ship days: days before the first
+    and after the last ship day are not on it."""
     path = shared_dir(spark, "bourse", "calendar")
-    write_calendar(calendar_spanning(fx.table(spark, d, "orders"), "o_orderdate"), csv_path=path)
-    cal = read_calendar(spark, path, YEAR_1997)
-    return attach_week(_prices(spark, d).select("ticker", "date", "close"), cal)
+    write_calendar(calendar_spanning(fx.table(spark, d, "lineitem"), "l_shipdate"), csv_path=path)
+    return attach_week(_prices(spark, d).select("ticker", "date", "close"), read_calendar(spark, path))
+
+
+def q_week_join_calendar_parquet(spark, d):
+    path = shared_dir(spark, "bourse", "calendar")
+    write_calendar(calendar_spanning(fx.table(spark, d, "lineitem"), "l_shipdate"), parquet_path=path)
+    return attach_week(_prices(spark, d).select("ticker", "date", "close"), read_calendar(spark, path, fmt="parquet"))
 
 
 def _rounded_summary(df):
@@ -313,10 +374,6 @@ def q_missing_results(spark, d):
     return quality.missing_results(read_bronze(spark, folder))
 
 
-def q_schema_diff(spark, d):
-    return quality.schema_diff(spark, _prices(spark, d), SILVER)
-
-
 QUERIES: dict[str, Query] = {
     "symbols_distinct": q_symbols_distinct,
     "calendar_iso": q_calendar_iso,
@@ -359,5 +416,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": q_duplicate_keys,
     "landed_completeness": q_landed_completeness,
     "missing_results": q_missing_results,
-    "schema_diff": q_schema_diff,
+    "corrupt_documents": q_corrupt_documents,
+    "week_join_calendar_parquet": q_week_join_calendar_parquet,
+    "job_gold": q_job_gold,
 }

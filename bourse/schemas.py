@@ -31,6 +31,10 @@ BRONZE = StructType([
     StructField("results", ArrayType(BRONZE_BAR)),
 ])
 
+# Column that keeps the text of a document that did not parse or did not fit.
+CORRUPT = "_corrupt_record"
+BRONZE_READ = StructType([*BRONZE.fields, StructField(CORRUPT, StringType())])
+
 # Silver table, in order; primary key (date, ticker).
 SILVER = StructType([
     StructField("ticker", StringType()),

@@ -53,13 +53,16 @@ def write_silver(df: DataFrame, path: str, partition_by=None) -> None:
     """
     if partition_by == "year" and "year" not in df.columns:
         df = df.withColumn("year", F.year("date"))
+    if partition_by:  # few files a folder, and rows of a ticker side by side
+        by = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        df = df.hint("rebalance", *by).sortWithinPartitions(*by, "ticker", "date")
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.parquet(path)
 
 
-def write_gold(df: DataFrame, path: str, single_file: bool = True) -> None:
+def write_gold(df: DataFrame, path: str, single_file: bool = False) -> None:
     """K3: CSV with header, overwrite. ``single_file`` coalesces to one task:
     use it only for results whose size is bounded (top-k, one row, per year)."""
     (df.coalesce(1) if single_file else df).write.mode("overwrite") \

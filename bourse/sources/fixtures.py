@@ -20,9 +20,6 @@ from bourse.operators.bars import daily, resample_bars, ticks_in_range
 # Order keys that make the first / last tick unique (fixed values).
 LINEITEM_TICK_ORDER = ["ts", "l_orderkey", "l_linenumber", "l_partkey",
                        "l_extendedprice", "l_quantity"]
-# Region whose nations are left out of the company map, so that the
-# left join has unmatched tickers (fixed value).
-UNLISTED_REGION = "MIDDLE EAST"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +51,10 @@ def daily_prices(spark: SparkSession, sf_dir: str, dates=None) -> DataFrame:
 
 
 def company_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Company map for F1 tickers: nation name -> region name, without the
-    nations of one region (they stay unmatched in the left join)."""
+    """Company map for F1 tickers: nation name -> region name."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")) \
-        .filter(F.col("r_name") != UNLISTED_REGION) \
         .select(F.col("n_name").alias("symbol"), F.col("r_name").alias("company_name"))
 
 

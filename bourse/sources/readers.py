@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bourse.functions import ingest_epoch_from_path, parse_range
 from bourse.operators.quality import assert_not_empty
-from bourse.schemas import BRONZE, CALENDAR, SYMBOLS
+from bourse.schemas import BRONZE_READ, CALENDAR, CORRUPT, SYMBOLS
 
 
 def _csv_by_header(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -31,7 +31,13 @@ def read_symbols(spark: SparkSession, path: str, check_empty: bool = True) -> Da
 
 
 def read_bronze(spark: SparkSession, path, multi_line: bool = False) -> DataFrame:
-    """Bronze documents -> (ticker, results, ingested_at, source_file).
+    """Bronze documents -> (ticker, results, ingested_at, source_file,
+    results_count, corrupt).
+
+    Nothing vanishes: a document that does not parse, or that has a field
+    that does not fit the schema, keeps its text in ``corrupt``
+    (``quality.corrupt_documents`` lists them). ``results_count`` is the
+    provider's own count, or NULL.
 
     ``multi_line=False`` reads JSON Lines (splittable; what ``land_bronze``
     writes). Use ``True`` for files that each hold one pretty-printed
@@ -39,18 +45,15 @@ def read_bronze(spark: SparkSession, path, multi_line: bool = False) -> DataFram
     ``ingested_at`` comes from the file path (P4): ``{ticker}_{epoch}.json``
     or an ``ingest={epoch}`` folder. ``path`` may be a list of folders.
     """
-    if not isinstance(path, str):
-        frames = [read_bronze(spark, p, multi_line) for p in path]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
-    raw = spark.read.schema(BRONZE).option("multiLine", multi_line).json(path)
+    raw = spark.read.schema(BRONZE_READ).option("multiLine", multi_line) \
+               .option("columnNameOfCorruptRecord", CORRUPT) \
+               .json(path if isinstance(path, str) else list(path))
     src = F.col("_metadata.file_path")
     return raw.select(
         "ticker", "results",
         F.timestamp_seconds(ingest_epoch_from_path(src)).alias("ingested_at"),
-        src.alias("source_file"))
+        src.alias("source_file"), F.col("resultsCount").alias("results_count"),
+        F.col(CORRUPT).alias("corrupt"))
 
 
 def read_silver(spark: SparkSession, path: str, dates=None) -> DataFrame:

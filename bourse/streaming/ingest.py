@@ -18,23 +18,37 @@ from pyspark.sql.streaming import StreamingQuery
 
 from bourse.functions import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SECONDS,
                               ingest_epoch_from_path, normalise_span, wall_clock)
-from bourse.operators.bars import BAR_COLUMNS, bar_aggregates
-from bourse.operators.silver import to_silver
-from bourse.schemas import BRONZE
+from bourse.operators.bars import BAR_COLUMNS, bar_aggregates, resample_bars
+from bourse.operators.silver import keep_latest, to_silver
+from bourse.schemas import BRONZE_READ, CORRUPT
 
 
 def read_bronze_stream(spark: SparkSession, folder: str, multi_line: bool = False,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming counterpart of ``read_bronze``."""
-    r = spark.readStream.schema(BRONZE).option("multiLine", multi_line) \
-             .option("recursiveFileLookup", True)
+    r = spark.readStream.schema(BRONZE_READ).option("multiLine", multi_line) \
+             .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.json(folder)
     src = F.col("_metadata.file_path")
     return raw.select("ticker", "results",
                       F.timestamp_seconds(ingest_epoch_from_path(src)).alias("ingested_at"),
-                      src.alias("source_file"))
+                      src.alias("source_file"), F.col("resultsCount").alias("results_count"),
+                      F.col(CORRUPT).alias("corrupt"))
+
+
+def latest_silver(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The table that ``silver_stream`` appends to, one row for each (date,
+    ticker): that of the latest ingest, however often a range was landed."""
+    return keep_latest(spark.read.parquet(silver_path))
+
+
+def complete_bars(emitted: DataFrame, ticks: DataFrame, **bars) -> DataFrame:
+    """``emitted`` bars of a stopped ``bars_stream`` and those that it still
+    held open (or that late ticks alone make up), from the ticks."""
+    rest = resample_bars(ticks, **bars).join(emitted.select("ticker", "bar_start"), ["ticker", "bar_start"], "left_anti")
+    return emitted.unionByName(rest)
 
 
 def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFrame,
@@ -42,13 +56,15 @@ def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFram
                   available_now: bool = True, multi_line: bool = False,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the bronze -> silver stream. ``company_map`` is a static
-    DataFrame (stream-static left join). Duplicate keys across batches are
-    resolved by readers with ``to_silver(..., keep="latest")`` semantics or
-    checked with ``quality.assert_primary_key`` on the table.
+    DataFrame (stream-static left join). The table keeps every landing;
+    ``latest_silver`` reads one row for each key. A corrupt document stops
+    the stream, so that nothing of it is lost.
     ``max_files_per_trigger`` bounds each micro-batch when a backlog of
     landed files is caught up."""
     source = read_bronze_stream(spark, bronze_folder, multi_line, max_files_per_trigger)
-    silver = to_silver(source, company_map, zone)
+    checked = source.withColumn("results", F.when(F.col("corrupt").isNull(), F.col("results")).otherwise(
+        F.raise_error(F.concat(F.lit("corrupt document in "), F.col("source_file")))))
+    silver = to_silver(checked, company_map, zone)
     w = silver.writeStream.format("parquet").option("path", silver_path) \
               .option("checkpointLocation", checkpoint).outputMode("append")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

@@ -89,8 +89,6 @@ def test_round_trip_bars_bronze_silver(spark):
     got = rows(silver, "ticker", "date", "open", "high", "low", "close", "trades")
     assert got == want
     assert silver.filter(F.col("ingested_at").isNull()).count() == 0
-    unmatched = silver.filter(F.col("company_name").isNull()).select("ticker").distinct().count()
-    assert 0 < unmatched < silver.select("ticker").distinct().count()
 
 
 def _write_docs(folder, docs, one_per_file):

@@ -214,3 +214,25 @@ def test_weekly_change_by_day_with_calendar(spark):
     got = gold.weekly_change_by_day(p, n=200, calendar=part).collect()
     off = [r for r in got if r.year is None]
     assert off and all(not (D(2023, 1, 1) <= r.date <= D(2023, 1, 31)) for r in off)
+
+
+def test_nan_never_wins(spark):
+    nan = float("nan")
+    data = [("A", D(2023, 1, 2), 1.0), ("A", D(2023, 1, 3), nan), ("B", D(2023, 1, 2), 1.0), ("B", D(2023, 1, 3), 2.0)]
+    p = spark.createDataFrame(data, SCHEMA)
+    assert gold.max_relative_increase(p).first().ticker == "B"
+    assert gold.max_cagr(p).first().ticker == "B"
+
+
+def test_repeated_day_comes_once_without_lists(spark):
+    data = [("A", D(2023, 1, 2 + k), 5.0 - k) for k in range(5)] + [("A", D(2023, 1, 3), 4.0)]
+    df = gold.weekly_change_by_day(spark.createDataFrame(data, SCHEMA))
+    assert [r.date for r in df.collect()] == [D(2023, 1, 2 + k) for k in range(5)]
+    assert "ObjectHashAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_consolidate_has_a_row_for_each_year(spark):
+    data = [("A", D(y, m, 3), float(y - 2000 + m)) for y in (2021, 2022, 2023) for m in (1, 6)]
+    p = spark.createDataFrame(data, SCHEMA)
+    got = {r.year: r.investment_return_by_end_of_year for r in gold.consolidate(p).collect()}
+    assert got == {r.year: r.investment_value for r in gold.investment_return(p).collect()} and len(got) == 3

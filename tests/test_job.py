@@ -111,6 +111,37 @@ def test_silver_only_run_reads_its_range(spark):
     assert years == {1997}
 
 
+def test_gold_without_years_is_refused(spark):
+    with pytest.raises(ValueError, match="year"):
+        run(spark, silver_path="s", gold_root="g", do_gold=True)
+
+
+def test_silver_refuses_corrupt_documents(spark):
+    root = shared_dir(spark, "t", "bad")
+    good = '{"ticker":"A","results":[{"c":1.5,"n":2,"t":0}]}'
+    for k, bad in enumerate(['{"ticker":"B","results":[{"c":1', '{"ticker":"C","results":[{"c":"x1","n":5.5,"t":0}]}']):
+        folder = f"{root}/{k}/bronze/all/ingest=7"
+        spark.createDataFrame([(good,), (bad,)], "value string").write.text(folder)
+        from bourse.sources.readers import read_bronze
+        report = quality.corrupt_documents(read_bronze(spark, f"{root}/{k}/bronze/all")).collect()
+        assert [r.document for r in report] == [bad]
+        with pytest.raises(quality.ValidationError, match="1 corrupt"):
+            run(spark, symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/{k}/bronze",
+                silver_path=f"{root}/{k}/silver", do_silver=True)
+        assert not os.path.exists(local_path(f"{root}/{k}/silver"))
+
+
+def test_stake_reaches_the_gold_files(spark):
+    root = shared_dir(spark, "t", "stake")
+    from bourse.sinks import write_silver
+    write_silver(fx.daily_prices(spark, SF0001), f"{root}/silver", partition_by="year")
+    for stake in (1_000_000, 10):
+        run(spark, silver_path=f"{root}/silver", gold_root=f"{root}/{stake}", years=[1997], do_gold=True, stake=stake)
+    big, small = (float(spark.read.option("header", True).csv(f"{root}/{s}/b.INVESTMENT_VALUE_1997.csv")
+                        .first().investment_value) for s in (1_000_000, 10))
+    assert big == pytest.approx(100_000 * small)
+
+
 def test_cli_needs_start_and_end(spark):
     from bourse.plans.job import main
     with pytest.raises(SystemExit):

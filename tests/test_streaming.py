@@ -11,6 +11,7 @@ from bourse.sinks import land_bronze
 from bourse.sources import fixtures as fx
 from bourse.sources.readers import read_bronze
 from bourse.streaming import bars_stream, silver_stream
+from bourse.streaming.ingest import complete_bars, latest_silver
 from tests.conftest import SF0001, rows
 
 
@@ -30,10 +31,33 @@ def test_silver_stream_equals_batch(spark):
     assert spark.read.parquet(f"{root}/silver").count() == want.count()
 
 
+def test_relanding_leaves_one_row_for_each_key(spark):
+    root = shared_dir(spark, "t", "stream")
+    bars = fx.order_bars(spark, SF0001)
+    cmap = fx.company_map(spark, SF0001)
+    for epoch, add in ((100, 0), (200, 1)):
+        folder = land_bronze(bars.withColumn("close", F.col("close") + add), f"{root}/bronze", zone="UTC",
+                             ingest_epoch=epoch, mode="append")
+        silver_stream(spark, folder, cmap, f"{root}/silver", f"{root}/ckpt", zone="UTC").awaitTermination(300)
+    assert spark.read.parquet(f"{root}/silver").count() == 2 * bars.count()
+    got = latest_silver(spark, f"{root}/silver")
+    assert got.count() == bars.count() and got.select(F.unix_seconds("ingested_at")).distinct().count() == 1
+    assert got.agg(F.sum("close")).first()[0] > bars.agg(F.sum("close")).first()[0]
+
+
+def test_stream_stops_at_a_corrupt_document(spark):
+    import pytest
+    root = shared_dir(spark, "t", "stream")
+    spark.createDataFrame([('{"ticker":"A","results":[{"c":1',)], "value string").write.text(f"{root}/in/ingest=5")
+    q = silver_stream(spark, f"{root}/in", fx.company_map(spark, SF0001), f"{root}/silver", f"{root}/ckpt")
+    with pytest.raises(Exception, match="corrupt document"):
+        q.awaitTermination(300)
+
+
 def test_bars_stream_emits_closed_bars(spark):
     path = os.path.join(SF0001, "events.parquet")
     schema = spark.read.parquet(path).schema
-    src = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(SF0001)
+    src = spark.readStream.schema(schema).parquet(path + "*")
     ticks = src.select(F.col("user_id").cast("string").alias("ticker"), "ts",
                        F.col("value").alias("price"))
     stream = bars_stream(ticks, multiplier=1, timespan="hour", delay="0 seconds")
@@ -53,6 +77,18 @@ def test_bars_stream_emits_closed_bars(spark):
                 .count() == 0
 
 
+def test_bars_of_a_folder_table_are_complete(spark):
+    """The registered query on a table kept as a folder of files."""
+    from bourse.plans.registry import QUERIES
+    root = shared_dir(spark, "t", "folder")
+    spark.read.parquet(f"{SF0001}/events.parquet").repartition(5).write.parquet(f"{root}/events.parquet")
+    got = QUERIES["bars_stream_hourly"](spark, root)
+    want = resample_bars(fx.event_ticks(spark, SF0001), timespan="hour")
+    assert rows(got) == rows(want.select(*got.columns))
+    none = complete_bars(want.limit(0), fx.event_ticks(spark, SF0001), timespan="hour")
+    assert none.count() == want.count()
+
+
 def test_bars_stream_watermark_late_ticks(spark):
     import datetime as dt
     T = dt.datetime
