@@ -212,8 +212,18 @@ def candidate_clusters(signed: DataFrame) -> DataFrame:
     member = signed.filter("node IS NOT NULL").select(F.explode("bands").alias("bucket"), "node") \
         .groupBy("bucket", "node").agg(F.lit(1).alias("one")).select("bucket", "node")
     centre = member.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
-    edges = member.join(centre, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
-    return connected_components(edges)
+    stars = stored(member.join(centre, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct(),
+                   "stars")
+    return connected_components(contracted(stars))
+
+
+def contracted(stars: DataFrame) -> DataFrame:
+    """Fewer edges with the same components: each node keeps the edge to its
+    smallest centre, and its other centres are tied to that one. Nodes of a
+    group share their centres, so those ties are few."""
+    lowest = stars.groupBy("b").agg(F.min("a").alias("low"))
+    ties = stars.join(lowest, "b").filter("a <> low").select(F.col("low").alias("a"), F.col("a").alias("b")).distinct()
+    return lowest.select(F.col("low").alias("a"), "b").unionByName(ties)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,6 +263,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, id_col
     alone = named.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     grouped = named.filter("node IS NOT NULL").join(classes, "node", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("class"))
-    lowest = grouped.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    # Written, so that both sides of the join below are plain shuffles and a
+    # class with a third of the rows can be split.
+    lowest = stored(grouped.groupBy("class").agg(F.min("doc_id").alias("component_id")), "lowest")
     together = grouped.join(lowest, "class").select("doc_id", "n_shingles", "component_id")
     return alone.unionByName(together).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -324,7 +324,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
 
     single = placed.join(copies.select(F.col("one").alias("rid")).distinct(), "rid", "left_semi") \
         .select("rid", F.explode(F.arrays_zip("at", "gram")).alias("p")).select("rid", "p.at", "p.gram")
-    often = single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
+    # Written, so that both sides of the join below are plain shuffles and a
+    # hash with a third of the places can be split.
+    often = stored(single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "often")
     shared = single.join(often, "gram").groupBy("rid").agg(F.collect_list(F.struct("at", "gram")).alias("places"))
     around = texts.select("rid", "text").join(shared, "rid").mapInArrow(
         _surroundings(window), "gram long, rid long, at array<long>, left int, around binary")

@@ -103,3 +103,12 @@ def test_components(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert got == {**{k: 100 for k in range(100, 161)}, 7: 7, 3: 3, 9: 3, 200: 3}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_contracted_stars_keep_components(spark):
+    rng = np.random.default_rng(8)
+    stars = [(int(a), int(a + b)) for a, b in zip(rng.integers(0, 300, 400), rng.integers(1, 40, 400))]
+    df = spark.createDataFrame(stars, "a long, b long").distinct()
+    less = m.contracted(df)
+    assert less.count() <= df.count() + 400
+    assert sorted(connected_components(less).collect()) == sorted(connected_components(df).collect())
