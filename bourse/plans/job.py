@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -21,34 +22,39 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bourse.functions import MARKET_ZONE
 from bourse.operators import gold, quality
-from bourse.operators.bars import document_period, resample_bars, ticks_in_range
+from bourse.operators.bars import bronze_documents, document_period, resample_bars, ticks_in_range
 from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
-from bourse.sinks import bronze_folder, land_bronze, write_gold, write_silver
+from bourse.session import shared_dir
+from bourse.sinks import bronze_folder, land_documents, write_gold, write_silver
 from bourse.sources.readers import (read_bronze, read_calendar, read_company_map, read_silver,
                                     read_symbols)
 
 
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back."""
+    path = shared_dir(df.sparkSession, "bourse", "staged", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
                  silver_path: str, zone: str = MARKET_ZONE, keep: str = "strict",
                  multi_line: bool = False, partition_by: str | None = "year") -> DataFrame:
     """B1: read bronze, transform, validate schema and key, then write.
 
-    The transformed rows are persisted (memory, spilling to disk) between the
-    key check and the write so the bronze JSON is parsed once; a lost
-    executor's blocks are recomputed from lineage.
+    The transformed rows are staged as Parquet in the shared folder, so the
+    bronze JSON is parsed once and the key check reads two columns. The
+    silver path is replaced only after every check has passed.
     """
     bronze = read_bronze(spark, bronze_path, multi_line=multi_line)
     quality.assert_no_corrupt_documents(bronze)
     silver = to_silver(bronze, company_map, zone=zone, keep=keep)
     quality.assert_schema(silver, SILVER)
-    silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        quality.assert_primary_key(silver, SILVER_KEY)
-        write_silver(silver, silver_path, partition_by=partition_by)
-    finally:
-        silver.unpersist()
+    silver = _staged(silver, "silver")
+    quality.assert_primary_key(silver, SILVER_KEY)
+    write_silver(silver, silver_path, partition_by=partition_by)
     return read_silver(spark, silver_path)
 
 
@@ -128,7 +134,8 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
     tie-break columns ``order_by``; TIMESTAMP tick times are read in
     ``zone``. Every symbol must get a document (else ValidationError);
     symbols whose document has no bars are reported
-    (``out["missing_results"]``, ``out["n_missing_results"]``).
+    (``out["missing_results"]``, ``out["n_missing_results"]``). Documents are
+    staged and checked first; the range folder is replaced only when they pass.
     Silver needs bars of a day or coarser, as it is keyed by (date, ticker);
     ``keep="latest"`` resolves tickers landed more than once (D16).
     """
@@ -147,10 +154,9 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         bars = resample_bars(ticks_in_range(ticks, dates, ts=ts, zone=zone), ticker=ticker, ts=ts,
                              price=price, volume=volume, multiplier=multiplier,
                              timespan=timespan, order_by=order, zone=zone)
-        folder = land_bronze(bars, bronze_root, dates=dates, zone=zone,
-                             period=document_period(timespan), symbols=symbols,
-                             ingest_epoch=ingest_epoch)
-        landed = read_bronze(spark, folder)
+        docs = _staged(bronze_documents(bars, zone=zone, period=document_period(timespan),
+                                        symbols=symbols), "bronze")
+        landed = docs.withColumnRenamed("resultsCount", "results_count")
         not_landed = quality.landed_completeness(landed, symbols)
         if not not_landed.isEmpty():
             sample = [r.symbol for r in not_landed.limit(5).collect()]
@@ -158,6 +164,7 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
                 f"{not_landed.count()} symbols without a landed document, e.g. {sample}")
         out["missing_results"] = quality.missing_results(landed)
         out["n_missing_results"] = out["missing_results"].count()
+        land_documents(docs, folder, int(time.time()) if ingest_epoch is None else int(ingest_epoch))
         out["bronze"] = folder
     if do_silver:
         if folder is None or silver_path is None or symbols_csv is None:

@@ -37,11 +37,16 @@ def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = MARKET_ZONE,
     folder = bronze_folder(root, dates)
     epoch = int(time.time()) if ingest_epoch is None else int(ingest_epoch)
     docs = bronze_documents(bars, zone=zone, period=period, symbols=symbols)
+    land_documents(docs, folder, epoch, mode)
+    return folder
+
+
+def land_documents(docs: DataFrame, folder: str, ingest_epoch: int, mode: str = "overwrite") -> None:
+    """Write ready documents (``bronze_documents``) as one ingest of a range folder."""
     docs.withColumn("period", F.col("period").cast("string")) \
-        .withColumn("ingest", F.lit(epoch)) \
+        .withColumn("ingest", F.lit(ingest_epoch)) \
         .write.mode(mode).option("partitionOverwriteMode", "static") \
         .partitionBy("ingest").json(folder)
-    return folder
 
 
 def write_silver(df: DataFrame, path: str, partition_by=None) -> None:

@@ -190,3 +190,32 @@ def test_existing_provider_bronze_folder(spark):
                             growth_dates=("1997-01-01", "1997-06-30")).first()
     assert summary.max_relative_increase_ticker == want.max_relative_increase_ticker
     assert summary.max_decrease_by_week_weeknum == want.max_decrease_by_week_weeknum
+
+
+def test_failed_landing_keeps_the_old_one(spark, monkeypatch):
+    ticks = fx.order_ticks(spark, SF0001)
+    root = shared_dir(spark, "t", "job")
+    sym = _symbols_csv(spark)
+    landing = dict(ticks=ticks, symbols_csv=sym, bronze_root=f"{root}/bronze", do_bronze=True)
+    folder = run(spark, ingest_epoch=1, **landing)["bronze"]
+    before = sorted(os.listdir(local_path(folder)))
+    monkeypatch.setattr(quality, "landed_completeness", lambda landed, symbols: symbols.select("symbol"))
+    with pytest.raises(quality.ValidationError):
+        run(spark, ingest_epoch=2, **landing)
+    assert "ingest=1" in before and sorted(os.listdir(local_path(folder))) == before
+
+
+def test_failed_silver_keeps_the_old_one(spark, monkeypatch):
+    ticks = fx.order_ticks(spark, SF0001)
+    root = shared_dir(spark, "t", "job")
+    args = dict(symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
+                do_silver=True)
+    run(spark, ticks=ticks, do_bronze=True, **args)
+    before = sorted(os.listdir(local_path(f"{root}/silver")))
+
+    def refuse(df, keys):
+        raise quality.ValidationError("planted")
+    monkeypatch.setattr(quality, "assert_primary_key", refuse)
+    with pytest.raises(quality.ValidationError):
+        run(spark, **args)
+    assert sorted(os.listdir(local_path(f"{root}/silver"))) == before
