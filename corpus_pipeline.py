@@ -39,22 +39,31 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(null)
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """(key, text, row): whole rows aside, so that columns of any name pass."""
+    return docs.select(_id_hash().alias("key"), "text", F.struct(*docs.columns).alias("row"))
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = benchmark_matches(docs.withColumn("key", _id_hash()), table(spark, sf_dir, "benchmark"), id_col="key") \
+    rows = _rows(docs)
+    leaks = benchmark_matches(rows, table(spark, sf_dir, "benchmark"), id_col="key") \
         .select(F.col("doc_id").alias("key")).distinct()
-    return docs.withColumn("key", _id_hash()).join(leaks, "key", "left_anti").select(*docs.columns)
+    return rows.join(leaks, "key", "left_anti").select("row.*")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret in their texts replaced."""
-    found = secret_spans(docs.withColumn("key", _id_hash()), id_col="key").filter(F.size("spans") > 0) \
+    rows = _rows(docs)
+    found = secret_spans(rows, id_col="key").filter(F.size("spans") > 0) \
         .select(F.col("doc_id").alias("key"), "spans").dropDuplicates(["key"])
-    clean = docs.withColumn("key", _id_hash()).join(found, "key", "left")
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col("spans")))
-    return clean.withColumn("text", text) \
-        .withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))) \
-        .select(*docs.columns)
+    text = F.when(F.col("spans").isNotNull(), redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    clean = rows.join(found, "key", "left").select("row", "spans", text.alias("clean"))
+    row = F.col("row").withField("text", F.col("clean"))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("spans").isNotNull(), F.length("clean")).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
+    return clean.select(row.alias("row")).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
