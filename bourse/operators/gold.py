@@ -5,7 +5,8 @@ b. equal-weight buy-and-hold      position_values / investment_return
 c. compound growth rate           growth_rate / max_cagr
 d. largest fall within a week     day_values / weekly_change /
                                   max_weekly_decrease / weekly_change_by_day
-   one-row summary                consolidate
+   summary                        consolidate
+   all of them from one scan      answers
 
 Semantics follow the reference pipeline, made deterministic:
 first/last close are taken in date order (not row order), every ordering
@@ -21,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from bourse.functions import safe_div
-from bourse.operators.prices import (attach_week, first_last_close, in_range,
+from bourse.operators.prices import (attach_week, first_last_close, in_range, range_test,
                                      stake_per_ticker)
+from bourse.session import staged
 
 DEFAULT_STAKE = 1_000_000
 
@@ -60,8 +62,11 @@ def relative_change_by_year(prices: DataFrame, dates=None) -> DataFrame:
 
 def max_relative_increase(prices: DataFrame, dates=None, n: int = 1) -> DataFrame:
     """ticker(s) with the greatest relative increase (top ``n``)."""
-    return relative_change(prices, dates).orderBy(
-        _desc("net_change"), F.asc("ticker")).limit(n)
+    return _top_change(relative_change(prices, dates), n)
+
+
+def _top_change(changes: DataFrame, n: int) -> DataFrame:
+    return changes.orderBy(_desc("net_change"), F.asc("ticker")).limit(n)
 
 
 # --------------------------------------------------------------------------
@@ -76,7 +81,10 @@ def _per_ticker_year(prices: DataFrame, dates) -> DataFrame:
 def position_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE) -> DataFrame:
     """Value at the last close of ``stake / N`` bought at the first close,
     per (ticker, calendar year); N = tickers present in the range."""
-    flc = _per_ticker_year(prices, dates)
+    return _positions(_per_ticker_year(prices, dates), stake)
+
+
+def _positions(flc: DataFrame, stake: float) -> DataFrame:
     flc = flc.withColumn("_per", stake_per_ticker(flc, stake))
     return flc.select(
         "ticker", "year", "first_close", "last_close", _net_change(),
@@ -87,8 +95,11 @@ def position_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE)
 def investment_return(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE) -> DataFrame:
     """Portfolio value per calendar year. Each year restarts from the
     full stake per ticker (no compounding), as in the reference."""
-    return position_values(prices, dates, stake).groupBy("year").agg(
-        F.sum("investment_value").alias("investment_value"))
+    return _portfolio(position_values(prices, dates, stake))
+
+
+def _portfolio(positions: DataFrame) -> DataFrame:
+    return positions.groupBy("year").agg(F.sum("investment_value").alias("investment_value"))
 
 
 # --------------------------------------------------------------------------
@@ -103,9 +114,12 @@ def growth_rate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
 
     ``years`` is the length of the range in years (0.5 for January-June).
     """
+    return _growth(_per_ticker_year(prices, dates), stake, years)
+
+
+def _growth(flc: DataFrame, stake: float, years: float) -> DataFrame:
     if years <= 0:
         raise ValueError("years must be > 0")
-    flc = _per_ticker_year(prices, dates)
     flc = flc.withColumn("_per", stake_per_ticker(flc, stake))
     per = F.col("_per")
     jan = per.alias("jan_value")
@@ -118,8 +132,11 @@ def growth_rate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
 def max_cagr(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
              years: float = 0.5, n: int = 1) -> DataFrame:
     """Top ``n`` rows of ``growth_rate`` by CAGR."""
-    return growth_rate(prices, dates, stake, years).orderBy(
-        _desc("CAGR"), "ticker", "year").limit(n)
+    return _top_growth(growth_rate(prices, dates, stake, years), n)
+
+
+def _top_growth(growth: DataFrame, n: int) -> DataFrame:
+    return growth.orderBy(_desc("CAGR"), "ticker", "year").limit(n)
 
 
 # --------------------------------------------------------------------------
@@ -222,57 +239,117 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     the calendar share one NULL week per ticker (unbounded), so the top
     weeks (at most ``n`` rows) are joined back to the day rows instead.
     """
-    cols = ["ticker", "date", "year", "weeknum", "week_last_value", "week_first_value",
-            "net_change"]
+    weeks = _week_values(_weeks(prices, dates, calendar, with_days=calendar is None), stake)
+    return _top_days(weeks, prices, dates, n, calendar)
+
+
+# Columns of d. at day grain (fixed values).
+DAY_COLUMNS = ["ticker", "date", "year", "weeknum", "week_last_value", "week_first_value",
+               "net_change"]
+
+
+def _top_days(weeks: DataFrame, prices: DataFrame, dates, n: int,
+              calendar: DataFrame | None) -> DataFrame:
+    values = DAY_COLUMNS[4:]
+    top = weeks.orderBy(*_week_order()).limit(n)
     if calendar is None:
-        weeks = _week_values(_weeks(prices, dates, None, with_days=True), stake)
-        top = weeks.orderBy(*_week_order()).limit(n)
         weekday = F.filter(F.sequence(F.lit(0), F.lit(6)),
                            lambda d: F.col("_days").bitwiseAND(F.pow(F.lit(2), d).cast("int")) != 0)
         monday = F.date_trunc("week", "week_start").cast("date")
         days = top.select("*", F.explode(weekday).alias("_d")) \
-                  .select("ticker", F.date_add(monday, F.col("_d")).alias("date"), *cols[2:])
+                  .select("ticker", F.date_add(monday, F.col("_d")).alias("date"), "year", "weeknum", *values)
     else:
-        top = weekly_change(prices, dates, stake, calendar).orderBy(*_week_order()).limit(n) \
-            .select(F.col("ticker").alias("_t"), F.col("year").alias("_y"),
-                    F.col("weeknum").alias("_w"), *cols[4:])
+        top = top.select(F.col("ticker").alias("_t"), F.col("year").alias("_y"),
+                         F.col("weeknum").alias("_w"), *values)
         rows = attach_week(in_range(prices, dates).select("ticker", "date"), calendar)
         cond = ((rows["ticker"] == top["_t"]) & rows["year"].eqNullSafe(top["_y"])
                 & rows["weeknum"].eqNullSafe(top["_w"]))
-        days = rows.join(top, cond).select(*cols)
+        days = rows.join(top, cond).select(*DAY_COLUMNS)
     return days.orderBy(*_week_order(), F.asc("date")).limit(n)
 
 
 # --------------------------------------------------------------------------
-# one-row summary
+# all answers from one scan
 # --------------------------------------------------------------------------
 
-def consolidate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
-                growth_dates=None, growth_years: float = 0.5,
-                calendar: DataFrame | None = None) -> DataFrame:
-    """A. ticker, b. value, c. ticker over ``growth_dates`` (default:
-    same range), d. ticker and ``year-week``: one row for each calendar year
-    of the range, as b. has a value for each; a., c. and d. are answers over
-    the whole range and repeat. An empty range yields no row.
+# Columns of the summary (fixed values).
+SUMMARY_COLUMNS = ["max_relative_increase_ticker", "investment_return_by_end_of_year",
+                   "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker",
+                   "max_decrease_by_week_weeknum"]
 
-    One plan: a., c. and d. are single rows, stacked and folded into one by
-    a global aggregate.
+
+def week_frame(prices: DataFrame, dates=None, growth_dates=None,
+               calendar: DataFrame | None = None) -> DataFrame:
+    """First and last date and close, and the weekdays with a row, per
+    (ticker, calendar year, ISO year, ISO week, in the range, in the growth
+    range): what every gold answer follows from.
+
+    One scan and one hash aggregate; written to the shared folder, so that
+    each answer reads these few rows and never the series again.
     """
-    a = max_relative_increase(prices, dates).select(
-        F.col("ticker").alias("max_relative_increase_ticker"))
-    b = investment_return(prices, dates, stake).select(
-        "year", F.col("investment_value").alias("investment_return_by_end_of_year"))
-    c = max_cagr(prices, growth_dates if growth_dates is not None else dates,
-                 stake, growth_years).select(F.col("ticker").alias("max_CAGR_ticker_jan_june"))
-    d = max_weekly_decrease(prices, dates, stake, 1, calendar).select(
+    full, growth = range_test(dates), range_test(growth_dates)
+    p = attach_week(prices.filter(full | growth).select("ticker", "date", "close"), calendar)
+    return staged(p.groupBy("ticker", F.year("date").alias("calendar_year"), "year", "weeknum",
+                            full.alias("in_range"), growth.alias("in_growth")).agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+        F.min_by("close", "date").alias("first_close"), F.max_by("close", "date").alias("last_close"),
+        F.bit_or(F.expr("shiftleft(1, weekday(date))")).alias("days")), "weeks")
+
+
+def _fold(frame: DataFrame, *keys) -> DataFrame:
+    return frame.groupBy(*keys).agg(F.min_by("first_close", "first_date").alias("first_close"),
+                                    F.max_by("last_close", "last_date").alias("last_close"))
+
+
+def answers(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE, growth_dates=None,
+            growth_years: float = 0.5, n: int = 10,
+            calendar: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The gold set: ``a`` (max_relative_increase), ``b``
+    (investment_return), ``c`` (max_cagr over ``growth_dates``; default: the
+    same range), ``d`` (weekly_change_by_day, ``n`` rows) and ``summary``
+    (consolidate), all from one ``week_frame``, which is built at the call.
+    Only d. with a calendar reads the series once more, for the days of its
+    ``n`` weeks.
+    """
+    frame = week_frame(prices, dates, growth_dates if growth_dates is not None else dates, calendar)
+    full = frame.filter("in_range")
+    year = F.col("calendar_year").alias("year")
+    a = _top_change(_fold(full, "ticker").select("ticker", "first_close", "last_close", _net_change()), 1)
+    b = _portfolio(_positions(_fold(full, "ticker", year), stake))
+    c = _top_growth(_growth(_fold(frame.filter("in_growth"), "ticker", year), stake, growth_years), 1)
+    weeks = _week_values(full.groupBy("ticker", "year", "weeknum").agg(
+        F.min("first_date").alias("week_start"), F.max("last_date").alias("week_end"),
+        F.min_by("first_close", "first_date").alias("_open_close"),
+        F.max_by("last_close", "last_date").alias("_last_close"),
+        F.bit_or("days").alias("_days")), stake)
+    d = _top_days(weeks, prices, dates, n, calendar)
+    return {"a": a, "b": b, "c": c, "d": d,
+            "summary": _summary(a, b, c, weeks.orderBy(*_week_order()).limit(1))}
+
+
+def _summary(a: DataFrame, b: DataFrame, c: DataFrame, week: DataFrame) -> DataFrame:
+    # a., c. and d. are single rows, stacked and folded into one by a global
+    # aggregate.
+    a = a.select(F.col("ticker").alias("max_relative_increase_ticker"))
+    b = b.select("year", F.col("investment_value").alias("investment_return_by_end_of_year"))
+    c = c.select(F.col("ticker").alias("max_CAGR_ticker_jan_june"))
+    d = week.select(
         F.col("ticker").alias("max_decrease_by_week_ticker"),
         F.concat(F.col("year").cast("string"), F.lit("-"),
                  F.col("weeknum").cast("string")).alias("max_decrease_by_week_weeknum"))
-    # Column names of the summary (fixed values).
-    cols = ["max_relative_increase_ticker", "investment_return_by_end_of_year",
-            "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker",
-            "max_decrease_by_week_weeknum"]
     stacked = a.unionByName(c, allowMissingColumns=True).unionByName(d, allowMissingColumns=True)
-    row = stacked.agg(F.struct(*[F.max(x).alias(x) for x in cols if x in stacked.columns]).alias("_r"))
+    row = stacked.agg(F.struct(*[F.max(x).alias(x) for x in SUMMARY_COLUMNS if x in stacked.columns]).alias("_r"))
     return b.withColumn("_r", row.scalar()).select("year", *[
-        F.col(x) if x in b.columns else F.col(f"_r.{x}").alias(x) for x in cols])
+        F.col(x) if x in b.columns else F.col(f"_r.{x}").alias(x) for x in SUMMARY_COLUMNS])
+
+
+def consolidate(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
+                growth_dates=None, growth_years: float = 0.5,
+                calendar: DataFrame | None = None) -> DataFrame:
+    """A. ticker, b. value, c. ticker over ``growth_dates`` (default:
+    same range), d. ticker and ``year-week``: one row for each calendar year
+    of the range, as b. has a value for each; a., c. and d. are answers over
+    the whole range and repeat. An empty range yields no row. The series is
+    read once (``answers``).
+    """
+    return answers(prices, dates, stake, growth_dates, growth_years, 1, calendar)["summary"]

@@ -19,11 +19,17 @@ def in_range(df: DataFrame, dates=None, col: str = "date") -> DataFrame:
     On a Parquet silver table the predicate reaches the scan
     (``PushedFilters``) and prunes row groups / partitions.
     """
+    return df if parse_range(dates) is None else df.filter(range_test(dates, col))
+
+
+def range_test(dates=None, col: str = "date") -> Column:
+    """Whether ``col`` lies in the inclusive range; true for ``dates=None``,
+    else NULL for a NULL date."""
     rng = parse_range(dates)
     if rng is None:
-        return df
+        return F.lit(True)
     lo, hi = rng
-    return df.filter(F.col(col).between(F.lit(lo), F.lit(hi)))
+    return F.col(col).between(F.lit(lo), F.lit(hi))
 
 
 def first_last_close(prices: DataFrame, keys, price: str = "close",

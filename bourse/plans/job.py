@@ -17,28 +17,19 @@ import datetime as dt
 import time
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from bourse.functions import MARKET_ZONE
 from bourse.operators import gold, quality
 from bourse.operators.bars import bronze_documents, document_period, resample_bars, ticks_in_range
-from bourse.operators.prices import in_range
 from bourse.operators.silver import to_silver
 from bourse.schemas import SILVER, SILVER_KEY
-from bourse.session import shared_dir
+from bourse.session import staged
 from bourse.sinks import bronze_folder, land_documents, write_gold, write_silver
 from bourse.sources.readers import (read_bronze, read_calendar, read_company_map, read_silver,
                                     read_symbols)
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a fresh shared folder and read back."""
-    path = shared_dir(df.sparkSession, "bourse", "staged", name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
                  silver_path: str, zone: str = MARKET_ZONE, keep: str = "strict",
                  multi_line: bool = False, partition_by: str | None = "year") -> DataFrame:
@@ -52,7 +43,7 @@ def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
     quality.assert_no_corrupt_documents(bronze)
     silver = to_silver(bronze, company_map, zone=zone, keep=keep)
     quality.assert_schema(silver, SILVER)
-    silver = _staged(silver, "silver")
+    silver = staged(silver, "silver")
     quality.assert_primary_key(silver, SILVER_KEY)
     write_silver(silver, silver_path, partition_by=partition_by)
     return read_silver(spark, silver_path)
@@ -81,33 +72,22 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
 
     ``prices`` is a DataFrame or the path of a silver table; with a path
     each year is read on its own, pruning the other years' partitions. The
-    year's slice (three columns, range pushed to the scan) is persisted once
-    and shared by the five outputs, which run as concurrent jobs; lost
-    blocks are recomputed from silver. ``calendar`` (date, weeknum, year)
-    replaces the computed ISO weeks of d.; days it lacks get a NULL week.
+    year's slice (three columns, range pushed to the scan) is read once, to
+    the weekly frame from which the five outputs follow as concurrent jobs.
+    ``calendar`` (date, weeknum, year) replaces the computed ISO weeks of d.;
+    days it lacks get a NULL week.
     """
     for y in years:
         full, half = year_ranges(y)
         name = {k: f"{gold_root}/{v.format(year=y)}" for k, v in GOLD_OUTPUTS.items()}
         src = read_silver(spark, prices, full) if isinstance(prices, str) else prices
-        p = in_range(src, full).select("ticker", "date", "close") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        outputs = [
-            (gold.max_relative_increase(p, full), name["a"]),
-            (gold.investment_return(p, full, stake), name["b"]),
-            (gold.max_cagr(p, half, stake), name["c"]),
-            (gold.weekly_change_by_day(p, full, stake, calendar=calendar), name["d"]),
-            (gold.consolidate(p, full, stake, growth_dates=half, calendar=calendar).drop("year"),
-             name["summary"]),
-        ]
-        try:
-            # small, latency-bound jobs: submit them together (Spark runs
-            # jobs from several threads concurrently)
-            with ThreadPoolExecutor(max_workers=len(outputs)) as pool:
-                for f in [pool.submit(write_gold, df, path, True) for df, path in outputs]:
-                    f.result()
-        finally:
-            p.unpersist()
+        answer = gold.answers(src, full, stake, growth_dates=half, calendar=calendar)
+        answer["summary"] = answer["summary"].drop("year")
+        # small, latency-bound jobs: submit them together (Spark runs jobs
+        # from several threads concurrently)
+        with ThreadPoolExecutor(max_workers=len(answer)) as pool:
+            for f in [pool.submit(write_gold, df, name[k], True) for k, df in answer.items()]:
+                f.result()
 
 
 # Bar widths whose bars fall on distinct dates, as silver's (date, ticker)
@@ -154,7 +134,7 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         bars = resample_bars(ticks_in_range(ticks, dates, ts=ts, zone=zone), ticker=ticker, ts=ts,
                              price=price, volume=volume, multiplier=multiplier,
                              timespan=timespan, order_by=order, zone=zone)
-        docs = _staged(bronze_documents(bars, zone=zone, period=document_period(timespan),
+        docs = staged(bronze_documents(bars, zone=zone, period=document_period(timespan),
                                         symbols=symbols), "bronze")
         landed = docs.withColumnRenamed("resultsCount", "results_count")
         not_landed = quality.landed_completeness(landed, symbols)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -78,6 +78,14 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *parts, uuid.uuid4().hex])
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh shared folder and read back: cuts the
+    lineage and survives lost executors."""
+    path = shared_dir(df.sparkSession, "bourse", "staged", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for callers that need a plain path."""
     return path[len("file:"):] if path.startswith("file:") else path

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from bourse.operators import gold
-from tests.conftest import rows
+from bourse.sources import fixtures as fx
+from tests.conftest import SF0001, rows
 
 D = dt.date
 SCHEMA = "ticker string, date date, close double"
@@ -236,3 +237,18 @@ def test_consolidate_has_a_row_for_each_year(spark):
     p = spark.createDataFrame(data, SCHEMA)
     got = {r.year: r.investment_return_by_end_of_year for r in gold.consolidate(p).collect()}
     assert got == {r.year: r.investment_value for r in gold.investment_return(p).collect()} and len(got) == 3
+
+
+@pytest.mark.parametrize("dates,growth", [
+    (None, None), (("1996-01-01", "1997-12-31"), ("1996-01-01", "1996-06-30")),
+    (("1997-01-01", "1997-12-31"), ("1995-03-01", "1996-08-31")), (None, ("1995-03-01", "1995-08-31")),
+    (("1997-03-05", "1997-03-06"), None), (("1901-01-01", "1901-12-31"), None)])
+def test_answers_equal_the_single_operators(spark, dates, growth):
+    p = fx.daily_prices(spark, SF0001)
+    got = gold.answers(p, dates, growth_dates=growth, n=7)
+    assert rows(got["a"]) == rows(gold.max_relative_increase(p, dates))
+    b, want = (dict(rows(x, "year", "investment_value")) for x in (got["b"], gold.investment_return(p, dates)))
+    assert b == pytest.approx(want, rel=1e-12)
+    assert rows(got["c"]) == rows(gold.max_cagr(p, dates if growth is None else growth))
+    assert rows(got["d"]) == rows(gold.weekly_change_by_day(p, dates, n=7))
+    assert got["summary"].count() == len(want)

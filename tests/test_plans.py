@@ -7,7 +7,7 @@ import pytest
 
 from bourse.operators import gold
 from bourse.operators.bars import resample_bars
-from bourse.session import shared_dir
+from bourse.session import shared_dir, staged
 from bourse.sinks import write_silver
 from bourse.sources import fixtures as fx
 from bourse.sources.readers import read_silver
@@ -78,3 +78,17 @@ def test_year_partitions_pruned(spark):
     want = gold.relative_change(full, ("1997-01-01", "1997-12-31"))
     got = gold.relative_change(df)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_gold_answers_read_the_series_once(silver, monkeypatch):
+    built = []
+    monkeypatch.setattr(gold, "staged", lambda df, name: built.append(df) or staged(df, name))
+    full, half = ("1997-01-01", "1997-12-31"), ("1997-01-01", "1997-06-30")
+    got = gold.answers(silver, full, growth_dates=half)
+    assert len(built) == 1
+    p = plan(built[0])
+    assert p.count("FileScan parquet") == 1
+    assert "partial_min_by" in p and "GreaterThanOrEqual(date,1997-01-01)" in p
+    for df in got.values():
+        scans = [line for line in plan(df).splitlines() if "FileScan parquet" in line]
+        assert scans and all("in_range#" in line or "in_growth#" in line for line in scans)
