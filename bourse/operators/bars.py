@@ -94,15 +94,15 @@ def document_period(timespan: str) -> str:
 _PERIOD_UNITS = {"week": "week", "month": "month", "quarter": "quarter", "year": "year"}
 
 
-def bronze_documents(bars: DataFrame, zone: str = MARKET_ZONE, period: str | None = "month",
+def bronze_documents(bars: DataFrame, zone: str = MARKET_ZONE, period: str = "month",
                      symbols: DataFrame | None = None) -> DataFrame:
     """Nest bars into provider-style documents: (ticker, period, resultsCount,
     results array<struct<c,h,l,n,o,t,v,vw>> sorted by t).
 
     One document per ticker and ``period`` (month by default) keeps every
     array bounded by the bars of one period, so a hot ticker is split into
-    many documents instead of one unbounded array. ``period=None`` gives one
-    document per ticker (only for short ranges of coarse bars).
+    many documents instead of one unbounded array; ``document_period`` names
+    the period that suits a bar width. A period is required.
 
     ``t`` is the bar start read as wall-clock time in ``zone``, in epoch ms.
     With ``symbols`` (column ``symbol``), requested symbols without bars get
@@ -110,9 +110,9 @@ def bronze_documents(bars: DataFrame, zone: str = MARKET_ZONE, period: str | Non
     unknown or silent ticker.
     """
     t = local_to_epoch_ms(F.col("bar_start"), zone)
-    if period is None:
-        per = F.lit(None).cast("date")
-    elif period == "day":
+    if period not in ("day", *_PERIOD_UNITS):
+        raise ValueError(f"period must be day, week, month, quarter or year, not {period!r}")
+    if period == "day":
         per = F.to_date("bar_start")
     else:
         per = F.trunc(F.to_date("bar_start"), _PERIOD_UNITS[period])

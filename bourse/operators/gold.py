@@ -156,10 +156,12 @@ def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
     Spark broadcasts it when its measured size allows (AQE); otherwise the
     join is a shuffle, and a hot ticker's day rows are spread over ``salt``
     join keys (a deterministic hash of the date) while the base is repeated
-    once per salt value, so no single task receives a whole ticker.
+    once per salt value, so no single task receives a whole ticker. The base
+    is written to the shared folder at the call and gives N too, so the
+    series is read twice.
     """
     p = in_range(prices, dates)
-    base = p.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close"))
+    base = staged(p.groupBy("ticker").agg(F.min_by("close", "date").alias("first_close")), "base")
     base = base.withColumn("shares", safe_div(stake_per_ticker(base, stake), F.col("first_close")))
     rows = p.select("ticker", "date", "close")
     if salt > 1:

@@ -20,7 +20,7 @@ def bronze_folder(root: str, dates=None) -> str:
 
 
 def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = MARKET_ZONE,
-                period: str | None = "month", symbols: DataFrame | None = None,
+                period: str = "month", symbols: DataFrame | None = None,
                 ingest_epoch: int | None = None, mode: str = "overwrite") -> str:
     """K1: write bars as bronze documents (JSON Lines) and return the folder.
 

@@ -222,3 +222,10 @@ def test_zoned_ticks_bucketed_in_market_zone(spark):
             assert bar.bar_start == TS(2024, 1, 2), tz
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("period", [None, "decade"])
+def test_documents_need_a_period(spark, period):
+    bars = resample_bars(fx.event_ticks(spark, SF0001))
+    with pytest.raises(ValueError, match="period"):
+        bronze_documents(bars, period=period)

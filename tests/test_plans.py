@@ -80,7 +80,15 @@ def test_year_partitions_pruned(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_gold_answers_read_the_series_once(silver, monkeypatch):
+@pytest.fixture
+def whole_paths(spark):
+    """Plans that show the whole path of each scan."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_gold_answers_read_the_series_once(silver, monkeypatch, whole_paths):
     built = []
     monkeypatch.setattr(gold, "staged", lambda df, name: built.append(df) or staged(df, name))
     full, half = ("1997-01-01", "1997-12-31"), ("1997-01-01", "1997-06-30")
@@ -91,4 +99,13 @@ def test_gold_answers_read_the_series_once(silver, monkeypatch):
     assert "partial_min_by" in p and "GreaterThanOrEqual(date,1997-01-01)" in p
     for df in got.values():
         scans = [line for line in plan(df).splitlines() if "FileScan parquet" in line]
-        assert scans and all("in_range#" in line or "in_growth#" in line for line in scans)
+        assert scans and all("/staged/weeks/" in line for line in scans)
+
+
+def test_day_values_read_the_series_twice(silver, monkeypatch, whole_paths):
+    built = []
+    monkeypatch.setattr(gold, "staged", lambda df, name: built.append(df) or staged(df, name))
+    df = gold.day_values(silver)
+    scans = [line for d in (*built, df) for line in plan(d).splitlines() if "FileScan parquet" in line]
+    assert len(built) == 1
+    assert sum("/staged/base/" not in line for line in scans) == 2
