@@ -213,6 +213,37 @@ def test_scores_in_many_blocks(docs, monkeypatch):
     _check_scores(docs)
 
 
+def test_network_learns_from_all_training_texts(spark, docs, monkeypatch):
+    """The network gets every class trigram of every training text, also of
+    more texts than any sample and of texts without an id."""
+    texts = [r.text for r in docs.orderBy("doc_id").limit(300).collect()]
+    rows = [(i if i % 50 else None, f"{texts[i % 300][:60]} n{i}") for i in range(6_000)]
+    given_ = []
+    fit = lm.fit
+    monkeypatch.setattr(lm, "fit", lambda keys, counts, *a: given_.append((keys, counts)) or fit(keys, counts, *a))
+    lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).limit(1).collect()
+    train = [_lower(t) for i, t in rows if not lm.is_held_out(i)]
+    (keys, counts), = given_
+    assert counts.sum() == sum(len(w) + 1 for w in train)
+    # One class for each of the most frequent words (ties by hash), others by their last two bytes.
+    c = Counter(x for w in train for x in w)
+    least = c.most_common(lm.TOP + 1)[lm.TOP][1]
+    first = Counter(w[0] for w in train if w)
+    frequent = sorted(n for w, n in first.items() if c[w] > least)
+    start = keys // lm.CLASSES == lm.END_CLASS * lm.CLASSES + lm.END_CLASS
+    own = counts[start][keys[start] % lm.CLASSES < lm.TOP]
+    assert frequent and not Counter(frequent) - Counter(own.tolist())
+
+
+def test_network_splits_large_counts_only(monkeypatch):
+    """A count far above the share of a training row weighs as much as its tokens."""
+    seqs = [np.append(np.repeat(np.arange(4), 8), lm.END_CLASS)] * 300
+    want = lm.log_probabilities(lm.train(seqs))
+    monkeypatch.setattr(lm, "UNITS", 5_000)
+    got = lm.log_probabilities(lm.train(seqs))
+    assert np.abs(np.exp(got[1, 1]) - np.exp(want[1, 1])).max() < 0.1
+
+
 def test_model_is_normalised():
     rng = np.random.default_rng(1)
     seqs = [np.append(np.repeat(rng.integers(0, 5), 30), lm.END_CLASS) for _ in range(200)]
