@@ -4,9 +4,10 @@ A page is a list of text pieces, each at the end of a path of elements from
 the root. For every path the page's pieces are added up: characters, words'
 punctuation, pieces. Their two ratios, text per piece and punctuation per
 piece, are smoothed along the page, fused, and paths above the threshold
-select the content. The smallest element that holds most of the selected
-text is the article; all text in it is kept, but for elements that are
-boilerplate by kind.
+select the content. The article or main element around all selected pieces
+(but those that only their neighbours lift), or else the smallest element that
+holds them all, is the article; all text in it is kept, but for elements that
+are boilerplate by kind.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset
                       "header hr main menu nav ol p pre section table ul".split())
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
+# Elements that are part of a text, never the whole of it.
+_PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr figure figcaption".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _BARRIER = frozenset("table ul ol dl article section div body html main td th blockquote".split())
 # Words in class, id or role that mark boilerplate.
 _NOISE = re.compile(
@@ -46,7 +50,6 @@ _WHITE = re.compile(r"\s+")
 
 SMOOTHING = 1.0
 THRESHOLD = 0.5
-COVER = 0.9
 
 
 class Element:
@@ -146,6 +149,25 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, kernel)[2:-2] / weights
 
 
+def _around(elements: set[Element]) -> Element:
+    """The outermost article around all of ``elements``, or else the outermost
+    main, or else the smallest element that holds them all."""
+    low = elements.pop()
+    for e in elements:
+        while e is not low:
+            if e.depth >= low.depth:
+                e = e.parent
+            else:
+                low = low.parent
+    while low.tag in _PARTS:
+        low = low.parent
+    found, at = {}, low
+    while at:
+        found[at.tag] = at
+        at = at.parent
+    return found.get("article") or found.get("main") or low
+
+
 def main_text(page: str) -> str:
     """The article's blocks, joined by newlines."""
     found = pieces(page)
@@ -177,16 +199,10 @@ def main_text(page: str) -> str:
     for (element, _), x in zip(runs, score.tolist()):
         by_path[element.path] = max(x, by_path.get(element.path, 0.0))
     least = THRESHOLD * np.average(score, weights=[len(t) for _, t in runs])
-    held: dict[Element, int] = {}
-    total = 0
-    for element, text in runs:
-        if by_path[element.path] >= least:
-            total += len(text)
-            while element:
-                held[element] = held.get(element, 0) + len(text)
-                element = element.parent
-    article = max((e for e, n in held.items() if n >= COVER * total and e.tag not in ("p", "h1", "h2", "h3", "li", "blockquote")),
-                  key=lambda e: e.depth)
+    chosen = {e for e, _ in runs if by_path[e.path] >= least}
+    # Not what only its neighbours lift, such as a link beside the text.
+    own = {e.path: x for (e, _), x in zip(runs, np.sqrt(length * marks).tolist())}
+    article = _around({e for e in chosen if own[e.path] >= least or e.tag in _PROSE} or chosen)
     out = []
     for element, text in runs:
         while element and element is not article:

@@ -284,6 +284,23 @@ def test_page_without_article_element():
     assert main_text(page) == want
 
 
+def test_page_with_most_text_in_an_inner_element():
+    """Title, lead and closing stay, whatever element holds the rest."""
+    line = "Sentence {}, with some words, and more of them, and then some more, to the end."
+    many = [line.format(k) for k in range(40)]
+    inner = ["<div class=body>" + "".join(f"<p>{x}</p>" for x in many) + "</div>",
+             "<section>" + "".join(f"<p>{x}</p>" for x in many) + "</section>",
+             "<ul>" + "".join(f"<li>{x}</li>" for x in many) + "</ul>",
+             "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in many) + "</table>",
+             "<div><pre>" + "</pre><pre>".join(many) + "</pre></div>"]
+    for x in inner:
+        for outer in ("article", "main", "main><article"):
+            page = f"<body><div><a>Home</a></div><{outer}><h1>Title</h1><p>Short lead.</p>{x}<p>The end.</p>"
+            assert main_text(page) == "\n".join(["Title", "Short lead.", *many, "The end."])
+    for x in inner[2:4]:  # parts of a text, without an article element
+        assert main_text(f"<body><div><h1>Title</h1>{x}<p>The end.</p></div>") == "\n".join(["Title", *many, "The end."])
+
+
 def test_broken_pages():
     assert main_text("") == main_text("<script>x") == main_text("<nav>a") == main_text("<!-- x") == ""
     assert main_text("plain, text") == "plain, text"
