@@ -27,7 +27,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt "
                     "ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _RAW = frozenset("script style noscript template textarea title svg math iframe object canvas select button".split())
-_ASIDE = frozenset("nav footer aside form menu dialog head".split())
+_ASIDE = frozenset("nav footer aside menu dialog".split())
 # Elements that a new element closes: paragraphs, items, cells.
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                       "header hr main menu nav ol p pre section table ul".split())
@@ -37,11 +37,14 @@ _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 _PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr figure figcaption".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _BARRIER = frozenset("table ul ol dl article section div body html main td th blockquote".split())
-# Words in class, id or role that mark boilerplate.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# A class, a role or an id that is made of these words only marks boilerplate;
+# in an article or main element, a header may hold the title.
 _NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|"
+    r"(?:(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|"
     r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|related|recommended|share|sharing|social|"
-    r"comments?|replies|respond|disqus|login|signup|search|pagination|pager|toolbar|complementary|contentinfo)(?:$|[\s_-])", re.I)
+    r"comments?|replies|respond|disqus|login|signup|search|pagination|pager|toolbar|complementary|contentinfo)(?:[_-]+|$))+", re.I)
+_HEADER = re.compile(r"(?:header|masthead)", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -53,39 +56,74 @@ THRESHOLD = 0.5
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "noise", "block", "depth")
+    __slots__ = ("tag", "parent", "path", "noise", "kind", "hidden", "block", "depth", "story", "chars", "story_chars", "has_main")
 
     def __init__(self, tag: str, attributes: str, parent: "Element | None"):
         self.tag, self.parent = tag, parent
-        mark, noise = "", tag in _ASIDE or tag in _RAW
+        # Where its text is the article's by kind: in an article, in main.
+        self.story = tag if tag == "article" else parent and parent.story or (tag if tag == "main" else "")
+        self.kind, self.hidden, self.chars, self.story_chars, self.has_main = tag in _ASIDE or tag in _RAW, False, 0, 0, tag == "main"
+        mark, noise = "", tag in ("form", "head")
         if attributes:
             for name, value in _ATTRIBUTE.findall(attributes):
-                value = value.strip("\"'")
-                if name.lower() in ("hidden", "aria-hidden"):
-                    noise = noise or value.lower() != "false"
+                value, name = value.strip("\"'"), name.lower()
+                if name in ("hidden", "aria-hidden"):
+                    self.hidden = self.hidden or value.lower() != "false"
                 else:
                     mark += f".{value}"
-                    noise = noise or tag not in ("html", "body", "article", "main") and bool(_NOISE.search(value))
+                    noise = noise or self._marked(name, value)
         if tag == "header":  # a page's header; an article's own holds its title
-            noise = noise or not _within(parent, "article")
-        self.noise = noise or (parent.noise if parent else False)
+            noise = noise or not self.story
+        self.noise = noise
         self.path = f"{parent.path}/{tag}{mark}" if parent else tag
         self.depth = parent.depth + 1 if parent else 0
         self.block = tag not in _INLINE
 
+    def _marked(self, name: str, value: str) -> bool:
+        """Whether a whole class token, role or id says boilerplate. Headings
+        never do, and an id in an article is a topic."""
+        if self.tag in ("html", "body", "article", "main") or self.tag in _HEADINGS or name == "id" and self.story == "article":
+            return False
+        return any(_NOISE.fullmatch(x) and not (self.story and _HEADER.fullmatch(x)) for x in value.split())
 
-def _within(element: "Element | None", tag: str) -> bool:
-    while element:
-        if element.tag == tag:
-            return True
-        element = element.parent
-    return False
+
+def _settle_noise(elements: list[Element], found: list[tuple[Element, int, str]]) -> None:
+    """Boilerplate is inherited, but what holds main, or an article with most
+    of the page's text, isn't any. Nor is an element by its class, role, id or
+    as a form if it holds most of the page's text or most of its articles'
+    (any of it, if no article stands outside such elements). ``elements`` are
+    in the order of the page."""
+    for element, _, text in found:
+        n = len(text.strip())
+        element.chars += n
+        if element.story == "article":
+            element.story_chars += n
+    for e in reversed(elements[1:]):
+        e.parent.chars += e.chars
+        e.parent.story_chars += e.story_chars
+        e.parent.has_main = e.parent.has_main or e.has_main
+    page = elements[0]
+    marked: set[Element] = set()
+    free = False
+    for e in elements[1:]:
+        if e.noise or e.kind or e.hidden or e.parent in marked:
+            marked.add(e)
+        elif e.tag == "article" and e.chars:
+            free = True
+    for e in elements[1:]:
+        if e.has_main or 2 * e.story_chars > page.chars:
+            e.noise = e.kind = False
+        if 2 * e.chars > page.chars or e.story != "article" and (
+                2 * e.story_chars > page.story_chars or e.story_chars and not free):
+            e.noise = False
+        e.noise = e.noise or e.kind or e.hidden or e.parent.noise
 
 
 def pieces(page: str) -> list[tuple[Element, int, str]]:
     """(element, block, text) of every piece of text that isn't boilerplate
     by kind; pieces of one block have one number."""
     root = at = Element("", "", None)
+    elements = [root]
     out: list[tuple[Element, int, str]] = []
     block = pos = 0
     while pos < len(page):
@@ -95,7 +133,7 @@ def pieces(page: str) -> list[tuple[Element, int, str]]:
             cut = page.find("<", cut + 1)
             match = _TOKEN.match(page, cut) if cut >= 0 else None
         text = page[pos:cut] if match else page[pos:]
-        if text and not at.noise:
+        if text:
             out.append((at, block, html.unescape(text)))
         if not match:
             break
@@ -121,9 +159,10 @@ def pieces(page: str) -> list[tuple[Element, int, str]]:
             if near.tag in closes:
                 at = near.parent
         element = Element(tag, attributes, at)
+        elements.append(element)
         if element.block:
             block += 1
-        elif tag == "br" and not at.noise:
+        elif tag == "br":
             out.append((at, block, " "))
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(page, pos)
@@ -131,7 +170,8 @@ def pieces(page: str) -> list[tuple[Element, int, str]]:
                 pos = end.end() if end else len(page)
         elif tag not in _VOID and not attributes.rstrip().endswith("/"):
             at = element
-    return out
+    _settle_noise(elements, out)
+    return [x for x in out if not x[0].noise]
 
 
 def any_block(low: Element, high: Element) -> bool:

@@ -301,6 +301,31 @@ def test_page_with_most_text_in_an_inner_element():
         assert main_text(f"<body><div><h1>Title</h1>{x}<p>The end.</p></div>") == "\n".join(["Title", *many, "The end."])
 
 
+def test_page_marks_of_boilerplate():
+    """Whole tokens only, and never the element that holds the article."""
+    lines = [f"Sentence {k}, with some words, and more of them." for k in range(6)]
+    body = "".join(f"<p>{x}</p>" for x in lines)
+    want = "\n".join(["Title", *lines, "Topic", "Its text, as well."])
+    topic = "<section id={0}><h2 id={0}>Topic</h2><p>Its text, as well.</p></section>"
+    for outer in ("layout with-sidebar", "no-sidebar", "sidebar", "widget content", "page menu"):
+        for name in ("related-work", "social-policy", "search-algorithms", "search"):
+            page = f'<div class="{outer}"><article><h1>Title</h1>{body}{topic.format(name)}</article></div>'
+            assert main_text(page) == want
+    for head in ("article-header", "entry-header", "header"):
+        for tag in ("header", "div"):
+            for outer in ("article", "main"):
+                page = f'<{outer}><{tag} class="{head}"><h1>Title</h1></{tag}>{body}{topic.format("a")}</{outer}>'
+                assert main_text(page) == want
+    plain = f'<h1>Title</h1>{body}{topic.format("a")}'
+    for page in (f"<form class=search>{plain}</form>", f"<aside><main>{plain}</main></aside>", f"<div id=search>{plain}</div>",
+                 f'<article>{plain}<div class="share-related">Share, please.</div><div class="x ad">Buy, now.</div></article>',
+                 f'<article>{plain}</article><div class="sidebar"><article>Other, short. Read it.</article></div>'):
+        assert main_text(page) == want
+    two = "".join(f'<div class="widget"><article><p>{x}</p></article></div>' for x in lines[:2])
+    assert main_text(two) == "\n".join(lines[:2])
+    assert main_text(f"<div hidden><article>{plain}</article></div>") == ""
+
+
 def test_broken_pages():
     assert main_text("") == main_text("<script>x") == main_text("<nav>a") == main_text("<!-- x") == ""
     assert main_text("plain, text") == "plain, text"
