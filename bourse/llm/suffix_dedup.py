@@ -34,6 +34,8 @@ SHALLOW = 32
 CHUNK = 8
 # Up to this many different surroundings of a place are compared by pairs.
 SMALL = 8
+# Equal surroundings are merged before the shuffle, over about so many bytes.
+MERGE_BYTES = 32 << 20
 _SLICE = 1 << 21
 
 
@@ -83,26 +85,44 @@ def _places(window: int):
 
 
 def _surroundings(window: int):
-    """For each place of a text: what windows around it can reach."""
+    """What windows around the places can reach: a row for each of the
+    different surroundings among about MERGE_BYTES, with all its places."""
     def run(batches):
         reach = window - min(GRAM, window)
+        same: dict[tuple, tuple[list[int], list[int]]] = {}
+        held = 0
         for batch in steps(batches):
-            out: list[tuple] = []
             texts = batch.column("text").cast(pa.large_binary()).to_pylist()
             for rid, text, found in zip(batch.column("rid").to_pylist(), texts, batch.column("places").to_pylist()):
-                same: dict[tuple, list[int]] = {}
                 for p in found:
                     a = p["at"]
                     lo = max(0, a - reach)
-                    same.setdefault((p["gram"], a - lo, text[lo:a + window]), []).append(a)
-                out += [(gram, rid, where, left, around) for (gram, left, around), where in same.items()]
-            cols = list(zip(*out)) if out else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64())),
-                 pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.binary())], names=["gram", "rid", "at", "left", "around"])
+                    key = p["gram"], a - lo, text[lo:a + window]
+                    who = same.get(key)
+                    if who is None:
+                        who = same[key] = [], []
+                        held += len(key[2]) + 300
+                    who[0].append(rid)
+                    who[1].append(a)
+                    held += 80
+            if held > MERGE_BYTES:
+                yield from _merged(same)
+                same, held = {}, 0
+        yield from _merged(same)
     return run
 
 
+def _merged(same):
+    keys = list(same)
+    for lo in range(0, len(keys), 5_000):
+        cut = keys[lo:lo + 5_000]
+        gram, left, around = zip(*cut)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(gram, pa.int64()), pa.array([same[k][0] for k in cut], pa.list_(pa.int64())),
+             pa.array([same[k][1] for k in cut], pa.list_(pa.int64())), pa.array(left, pa.int32()), pa.array(around, pa.binary())],
+            names=["gram", "rid", "at", "left", "around"])
+
+
 # ---- deep-shallow sorting ------------------------------------------------------
 
 def common(a: bytes, b: bytes) -> int:
@@ -240,13 +260,14 @@ def _spans(window: int):
     reach = window - min(GRAM, window)
 
     def run(batches):
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        n = 0
         for _, group in sorted_groups(batches, "gram"):
             if group.num_rows == 1 and len(group.column("at")[0]) == 1:
                 continue
-            same: dict[tuple[int, bytes], list[tuple[int, list[int]]]] = {}
-            for rid, at, left, around in zip(*(group.column(c).to_pylist() for c in ("rid", "at", "left", "around"))):
-                same.setdefault((left, around), []).append((rid, at))
+            same: dict[tuple[int, bytes], list[tuple[np.ndarray, np.ndarray]]] = {}
+            for rid, at, left, around in zip(group.column("rid"), group.column("at"), *(group.column(c).to_pylist() for c in ("left", "around"))):
+                same.setdefault((left, around), []).append((rid.values.to_numpy(), at.values.to_numpy()))
             keys = list(same)
             if len(keys) > 1:
                 ranges = repeated_reaches([a[:k][::-1] for k, a in keys], [a[k:] for k, a in keys], window, reach)
@@ -258,17 +279,21 @@ def _spans(window: int):
                     found = [(max(0, window - (len(around) - left)), min(left, reach))]
                 for least, most in found:
                     if least <= most:
-                        out += [(rid, a - most, a - least + window) for rid, at in who for a in at]
-            if len(out) > 50_000:
-                yield _span_batch(out)
-                out = []
-        yield _span_batch(out)
+                        for rid, at in who:
+                            out.append((rid, at - most, at - least + window))
+                            n += len(rid)
+                            if n > 50_000:
+                                yield from _span_batches(out)
+                                out, n = [], 0
+        yield from _span_batches(out)
     return run
 
 
-def _span_batch(rows) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [()] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["rid", "start", "end"])
+def _span_batches(spans):
+    if spans:
+        cols = [np.concatenate(x) for x in zip(*spans)]
+        for lo in range(0, len(cols[0]), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 50_000], pa.int64()) for c in cols], names=["rid", "start", "end"])
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -329,7 +354,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
     often = stored(single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "often")
     shared = single.join(often, "gram").groupBy("rid").agg(F.collect_list(F.struct("at", "gram")).alias("places"))
     around = texts.select("rid", "text").join(shared, "rid").mapInArrow(
-        _surroundings(window), "gram long, rid long, at array<long>, left int, around binary")
+        _surroundings(window), "gram long, rid array<long>, at array<long>, left int, around binary")
     found = around.repartition("gram").sortWithinPartitions("gram").mapInArrow(_spans(window), "rid long, start long, end long")
     spans = stored(found.unionByName(whole), "spans")
 

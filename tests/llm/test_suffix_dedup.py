@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,6 +86,25 @@ def test_both_ways_of_comparing_agree(monkeypatch):
         assert (got[0] == got[1]).all()
 
 
+def test_equal_surroundings_are_merged_before_the_shuffle():
+    """A passage of many texts is sent once, with all its places."""
+    passage = "".join(random.Random(1).choice("abcdefgh") for _ in range(2_000)).encode()
+    texts = [f"{k:05d}".encode() + passage for k in range(500)]
+    found = [{"at": 900, "gram": 3}, {"at": 1_100, "gram": 4}]
+    batch = pa.RecordBatch.from_pylist([{"rid": k, "text": t.decode(), "places": found} for k, t in enumerate(texts)])
+    sent = pa.Table.from_batches(s._surroundings(400)([batch]))
+    assert sent.num_rows == 2 and sent.column("rid").to_pylist() == [list(range(500))] * 2
+    spans = pa.Table.from_batches(s._spans(400)(sent.to_batches()))
+    assert sorted(zip(*spans.to_pydict().values())) == sorted(
+        (k, a - 336, a + 400) for k in range(500) for a in (900, 1_100))
+
+
+def test_merged_in_small_steps(few, monkeypatch):
+    want = _got(few)
+    monkeypatch.setattr(s, "MERGE_BYTES", 1_000)
+    assert _got(few) == want
+
+
 def test_odd_rows(odd):
     rows = odd.select("doc_id", "text").collect()
     got = sorted(s.repeated_passages(odd).collect(), key=str)
