@@ -15,6 +15,7 @@ from bourse.llm.packing import pack
 from bourse.llm.page_text import page_texts
 from bourse.llm.quality import quality_rules
 from bourse.llm.secrets import secret_scan
+from bourse.llm.simhash_dedup import simhash_duplicates
 from bourse.llm.suffix_dedup import repeated_passages
 from bourse.llm.token_counts import section_token_counts
 from bourse.llm.token_files import token_index, write_token_ids
@@ -71,8 +72,13 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_suffix_dedup, op3_decontaminate, op4_token_counts, op5_secret_scan,
-        op6_token_files, op7_lm_scoring, op8_packing, op9_quality_rules, op10_page_text)
+        op6_token_files, op7_lm_scoring, op8_packing, op9_quality_rules, op10_page_text,
+        op12_simhash_dedup)
 }
