@@ -8,11 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bourse.llm.common import table
+from bourse.llm.conversation_repair import repair_damaged
 from bourse.llm.decontaminate import benchmark_matches
 from bourse.llm.lm_scoring import score_texts
 from bourse.llm.minhash_dedup import near_duplicates
 from bourse.llm.packing import pack
 from bourse.llm.page_text import page_texts
+from bourse.llm.prefix_trie import ordered_turns, prefix_trie, with_shared_openings
 from bourse.llm.quality import quality_rules
 from bourse.llm.secrets import secret_scan
 from bourse.llm.simhash_dedup import simhash_duplicates
@@ -72,13 +74,21 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(*with_shared_openings(ordered_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_minhash_dedup, op2_suffix_dedup, op3_decontaminate, op4_token_counts, op5_secret_scan,
         op6_token_files, op7_lm_scoring, op8_packing, op9_quality_rules, op10_page_text,
-        op12_simhash_dedup)
+        op11_conversation_repair, op12_simhash_dedup, op13_prefix_trie)
 }
