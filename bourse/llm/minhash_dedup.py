@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.common import keyed_texts, list_column, mix, sorted_groups, steps, stored, word_hashes
@@ -129,9 +129,9 @@ def _sign(rows: int):
                 node[have] = _signed(node_ids(sets, counts[have]))
                 keys = band_keys(signatures(sets, counts[have]), rows)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(node, mask=~have), pa.array(counts, type=pa.int64()),
+                batch.column("doc_id"), batch.column("rid"), pa.array(node, mask=~have), pa.array(counts, type=pa.int64()),
                 list_column(_signed(keys.reshape(-1)), have * (BINS // rows), pa.int64())],
-                names=["doc_id", "node", "n_shingles", "bands"])
+                names=["doc_id", "rid", "node", "n_shingles", "bands"])
     return run
 
 
@@ -236,11 +236,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, id_col
     the row's own. Null, empty and blank texts have an empty set and are
     linked with nothing. Repeated rows stay separate rows of one class. A
     null doc_id never becomes a component_id unless its class has no other;
-    then component_id is null and the row is kept. An empty table gives an
+    then component_id is null and the row is kept. Rows that share a doc_id
+    but not a text are linked each by its own text. An empty table gives an
     empty result; other columns are ignored.
     """
-    texts = keyed_texts(docs, id_col, text_col)
-    signed = stored(texts.mapInArrow(_sign(rows), "doc_id long, node long, n_shingles long, bands array<long>"), "signed")
+    found = near_duplicate_rows(docs, percent, rows, id_col, text_col)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_duplicate_rows(docs: DataFrame, percent: int = 85, rows: int = ROWS, id_col: str = "doc_id",
+                        text_col: str = "text") -> DataFrame:
+    """doc_id, rid, n_shingles, class, component_id: as ``near_duplicates``,
+    with what tells rows apart (``row_key``) and the class, null for an empty
+    set."""
+    # Rows are told apart by id and text: ids may be shared or null.
+    texts = keyed_texts(docs, id_col, text_col).withColumn("rid", row_key())
+    signed = stored(texts.mapInArrow(_sign(rows), "doc_id long, rid long, node long, n_shingles long, bands array<long>"), "signed")
     loose = stored(candidate_clusters(signed), "loose")
 
     # A block pair of a cluster is a group; small clusters have one block.
@@ -250,21 +261,27 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, id_col
     placed = loose.join(size, "component").select("node", "component", block.alias("block"), other) \
         .groupBy("node").agg(F.collect_set(F.xxhash64("component", F.least("block", "other"),
                                                       F.greatest("block", "other"))).alias("pairs"))
-    one = signed.filter("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    chosen = placed.join(one, "node").select("doc_id", "node", "pairs")
-    sets = texts.join(chosen, "doc_id").dropDuplicates(["node"]) \
+    one = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("rid").alias("rid"))
+    chosen = placed.join(one, "node").select("rid", "node", "pairs")
+    sets = texts.select("rid", "text").join(chosen, "rid").dropDuplicates(["node"]) \
         .mapInArrow(_pack, "node long, pairs array<long>, shingles binary") \
         .select("node", F.explode("pairs").alias("pairs"), "shingles")
     links = stored(sets.repartition("pairs").sortWithinPartitions("pairs")
                    .mapInArrow(_confirm(percent), "a long, b long"), "links")
     classes = connected_components(links)
 
-    named = signed.select("doc_id", "node", "n_shingles")
-    alone = named.filter("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    named = signed.select("doc_id", "rid", "node", "n_shingles")
+    alone = named.filter("node IS NULL").select("doc_id", "rid", "n_shingles", F.col("node").alias("class"),
+                                                F.col("doc_id").alias("component_id"))
     grouped = named.filter("node IS NOT NULL").join(classes, "node", "left") \
-        .select("doc_id", "n_shingles", F.coalesce("component", "node").alias("class"))
+        .select("doc_id", "rid", "n_shingles", F.coalesce("component", "node").alias("class"))
     # Written, so that both sides of the join below are plain shuffles and a
     # class with a third of the rows can be split.
     lowest = stored(grouped.groupBy("class").agg(F.min("doc_id").alias("component_id")), "lowest")
-    together = grouped.join(lowest, "class").select("doc_id", "n_shingles", "component_id")
-    return alone.unionByName(together).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    together = grouped.join(lowest, "class").select("doc_id", "rid", "n_shingles", "class", "component_id")
+    return alone.unionByName(together)
+
+
+def row_key() -> Column:
+    """A hash of a row's doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))

@@ -4,16 +4,19 @@ A page is a list of text pieces, each at the end of a path of elements from
 the root. For every path the page's pieces are added up: characters, words'
 punctuation, pieces. Their two ratios, text per piece and punctuation per
 piece, are smoothed along the page, fused, and paths above the threshold
-select the content. The article or main element around all selected pieces
-(but those that only their neighbours lift), or else the smallest element that
-holds them all, is the article; all text in it is kept, but for elements that
-are boilerplate by kind.
+select the content. On a page with a main element or articles that have text,
+only paths inside them count. The article or main element around all selected
+pieces (but those that only their neighbours lift), or else the smallest
+element that holds them all, is the article; all text in it is kept, but for
+elements that are boilerplate by kind. A path is a number given to (parent's
+path, tag, marks), so deep pages take memory in proportion to their length.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +41,24 @@ _PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table t
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _BARRIER = frozenset("table ul ol dl article section div body html main td th blockquote".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# A class, a role or an id that is made of these words only marks boilerplate;
-# in an article or main element, a header may hold the title.
-_NOISE = re.compile(
-    r"(?:(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice|popup|modal|newsletter|subscribe|"
-    r"nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|widget|related|recommended|share|sharing|social|"
-    r"comments?|replies|respond|disqus|login|signup|search|pagination|pager|toolbar|complementary|contentinfo)(?:[_-]+|$))+", re.I)
-_HEADER = re.compile(r"(?:header|masthead)", re.I)
+# Words of class, role and id tokens, which are cut at hyphens, underscores and
+# capitals. A plain mark says boilerplate wherever it stands in a token, a weak
+# one only if the token's other words are general. Reader comments stay
+# boilerplate however long they are.
+_COMMENTS = frozenset("comment comments commentlist commenter disqus respond replies".split())
+_PLAIN = _COMMENTS | frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion cookie cookies gdpr consent popup "
+    "modal newsletter subscribe nav navbar navigation menu breadcrumb breadcrumbs footer sidebar share sharing login signup "
+    "pagination pager toolbar".split())
+_WEAK = frozenset("header masthead banner notice widget related recommended social search reply complementary contentinfo".split())
+_GENERAL = frozenset(
+    "list section area wrapper wrap container box block item items inner outer bar slot unit thread form holder panel group site "
+    "page top bottom left right main user reader global row col links posts articles stories news buttons icons".split())
+_HEADER = frozenset("header masthead".split())
+# A token that begins or ends with one of these speaks of another element.
+_ABOUT_OTHERS = frozenset("no not with without has hide is".split())
+_STATES = frozenset("open closed enabled disabled".split())
+_WORDS = re.compile(r"[A-Z]?[^\W_A-Z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -56,13 +70,15 @@ THRESHOLD = 0.5
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "noise", "kind", "hidden", "block", "depth", "story", "chars", "story_chars", "has_main")
+    __slots__ = ("tag", "parent", "path", "noise", "kind", "hidden", "comments", "block", "story", "chars", "story_chars", "has_main",
+                 "hits")
 
-    def __init__(self, tag: str, attributes: str, parent: "Element | None"):
+    def __init__(self, tag: str, attributes: str, parent: "Element | None", paths: dict[tuple[int, str, str], int]):
         self.tag, self.parent = tag, parent
+        self.kind, self.hidden, self.chars, self.story_chars, self.has_main = tag in _ASIDE or tag in _RAW, False, 0, 0, tag == "main"
+        self.hits, self.comments = 0, False
         # Where its text is the article's by kind: in an article, in main.
         self.story = tag if tag == "article" else parent and parent.story or (tag if tag == "main" else "")
-        self.kind, self.hidden, self.chars, self.story_chars, self.has_main = tag in _ASIDE or tag in _RAW, False, 0, 0, tag == "main"
         mark, noise = "", tag in ("form", "head")
         if attributes:
             for name, value in _ATTRIBUTE.findall(attributes):
@@ -71,28 +87,49 @@ class Element:
                     self.hidden = self.hidden or value.lower() != "false"
                 else:
                     mark += f".{value}"
-                    noise = noise or self._marked(name, value)
+                    noise = self._marked(name, value) or noise
+        if self.comments:  # a reader's comment may be an article of its own
+            self.story = ""
         if tag == "header":  # a page's header; an article's own holds its title
             noise = noise or not self.story
         self.noise = noise
-        self.path = f"{parent.path}/{tag}{mark}" if parent else tag
-        self.depth = parent.depth + 1 if parent else 0
+        self.path = paths.setdefault((parent.path if parent else -1, tag, mark), len(paths))
         self.block = tag not in _INLINE
 
     def _marked(self, name: str, value: str) -> bool:
-        """Whether a whole class token, role or id says boilerplate. Headings
-        never do, and an id in an article is a topic."""
-        if self.tag in ("html", "body", "article", "main") or self.tag in _HEADINGS or name == "id" and self.story == "article":
+        """Whether a class token, role or id says boilerplate. Headings never
+        do, an id in an article is a topic unless it says comments, and an
+        article can only be a comment."""
+        if self.tag in ("html", "body", "main") or self.tag in _HEADINGS:
             return False
-        return any(_NOISE.fullmatch(x) and not (self.story and _HEADER.fullmatch(x)) for x in value.split())
+        found = False
+        for token in value.split():
+            words = [w.lower() for w in _WORDS.findall(token)]
+            if not words or words[0] in _ABOUT_OTHERS or words[-1] in _STATES:
+                continue
+            general = all(w in _PLAIN or w in _WEAK or w in _GENERAL or w.isdigit() for w in words)
+            if self.tag == "article":
+                says = words[0] == "comment"
+            else:
+                says = any(w in _COMMENTS for w in words) and (general or name != "id" or not self.story)
+            if says:
+                self.comments = found = True
+            elif self.tag == "article" or name == "id" and self.story == "article":
+                continue
+            elif any(w in _PLAIN for w in words):
+                found = True
+            elif general and any(w in _WEAK and not (self.story and w in _HEADER) for w in words):
+                found = True
+        return found
 
 
 def _settle_noise(elements: list[Element], found: list[tuple[Element, int, str]]) -> None:
     """Boilerplate is inherited, but what holds main, or an article with most
     of the page's text, isn't any. Nor is an element by its class, role, id or
-    as a form if it holds most of the page's text or most of its articles'
-    (any of it, if no article stands outside such elements). ``elements`` are
-    in the order of the page."""
+    as a form if it holds most of its articles' text (any of it, if no article
+    stands outside such elements) or, on a page without main or articles, most
+    of the page's; comments stay comments. ``elements`` are in the order of
+    the page."""
     for element, _, text in found:
         n = len(text.strip())
         element.chars += n
@@ -103,6 +140,7 @@ def _settle_noise(elements: list[Element], found: list[tuple[Element, int, str]]
         e.parent.story_chars += e.story_chars
         e.parent.has_main = e.parent.has_main or e.has_main
     page = elements[0]
+    plain = not page.has_main and not page.story_chars
     marked: set[Element] = set()
     free = False
     for e in elements[1:]:
@@ -113,19 +151,28 @@ def _settle_noise(elements: list[Element], found: list[tuple[Element, int, str]]
     for e in elements[1:]:
         if e.has_main or 2 * e.story_chars > page.chars:
             e.noise = e.kind = False
-        if 2 * e.chars > page.chars or e.story != "article" and (
+        if plain and not e.comments and 2 * e.chars > page.chars or e.story != "article" and (
                 2 * e.story_chars > page.story_chars or e.story_chars and not free):
             e.noise = False
         e.noise = e.noise or e.kind or e.hidden or e.parent.noise
 
 
-def pieces(page: str) -> list[tuple[Element, int, str]]:
-    """(element, block, text) of every piece of text that isn't boilerplate
-    by kind; pieces of one block have one number."""
-    root = at = Element("", "", None)
+def pieces(page: str) -> tuple[list[Element], list[tuple[Element, int, str]]]:
+    """All elements in order, and (element, block, text) of every piece of
+    text that isn't boilerplate by kind; pieces of one block have one number."""
+    paths: dict[tuple[int, str, str], int] = {}
+    root = at = Element("", "", None, paths)
     elements = [root]
     out: list[tuple[Element, int, str]] = []
+    open_tags: Counter[str] = Counter()
     block = pos = 0
+
+    def leave(to: Element) -> None:
+        nonlocal at
+        while at is not to:
+            open_tags[at.tag] -= 1
+            at = at.parent
+
     while pos < len(page):
         cut = page.find("<", pos)
         match = _TOKEN.match(page, cut) if cut >= 0 else None
@@ -143,22 +190,22 @@ def pieces(page: str) -> list[tuple[Element, int, str]]:
             continue
         tag = tag.lower()
         if slash:
-            near = at
-            while near.parent and near.tag != tag:
-                near = near.parent
-            if near.parent:
+            if open_tags[tag] > 0:
+                near = at
+                while near.tag != tag:
+                    near = near.parent
                 if any_block(at, near.parent):
                     block += 1
-                at = near.parent
+                leave(near.parent)
             continue
         closes = _SIBLINGS.get(tag, set()) | ({"p"} if tag in _CLOSES_P else set())
-        if closes:
+        if any(open_tags[x] > 0 for x in closes):
             near = at
             while near.parent and near.tag not in closes and near.tag not in _BARRIER:
                 near = near.parent
             if near.tag in closes:
-                at = near.parent
-        element = Element(tag, attributes, at)
+                leave(near.parent)
+        element = Element(tag, attributes, at, paths)
         elements.append(element)
         if element.block:
             block += 1
@@ -170,8 +217,9 @@ def pieces(page: str) -> list[tuple[Element, int, str]]:
                 pos = end.end() if end else len(page)
         elif tag not in _VOID and not attributes.rstrip().endswith("/"):
             at = element
+            open_tags[tag] += 1
     _settle_noise(elements, out)
-    return [x for x in out if not x[0].noise]
+    return elements, [x for x in out if not x[0].noise]
 
 
 def any_block(low: Element, high: Element) -> bool:
@@ -189,16 +237,17 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, kernel)[2:-2] / weights
 
 
-def _around(elements: set[Element]) -> Element:
-    """The outermost article around all of ``elements``, or else the outermost
-    main, or else the smallest element that holds them all."""
-    low = elements.pop()
+def _around(elements: list[Element], chosen: set[Element]) -> Element:
+    """The outermost article around all ``chosen`` elements, or else the
+    outermost main, or else the smallest element that holds them all."""
     for e in elements:
-        while e is not low:
-            if e.depth >= low.depth:
-                e = e.parent
-            else:
-                low = low.parent
+        e.hits = int(e in chosen)
+    low = elements[0]
+    for e in reversed(elements[1:]):
+        if e.hits == len(chosen):
+            low = e  # the last one in the page's order is the smallest
+            break
+        e.parent.hits += e.hits
     while low.tag in _PARTS:
         low = low.parent
     found, at = {}, low
@@ -208,9 +257,37 @@ def _around(elements: set[Element]) -> Element:
     return found.get("article") or found.get("main") or low
 
 
+def _in_story(runs: list[tuple[Element, str]]) -> list[bool]:
+    """Which pieces may be selected: on a page whose main has text, or whose
+    articles have a fifth of the text (any, if there is one), only those."""
+    in_main, in_article, articles = [], [], set()
+    main: dict[Element, bool] = {}
+    for element, _ in runs:
+        above, e, found = [], element, False
+        while e and e not in main:
+            above.append(e)
+            e = e.parent
+        for x in reversed(above):
+            main[x] = x.tag == "main" or bool(x.parent and main[x.parent])
+        found = main[element]
+        in_main.append(found)
+        in_article.append(element.story == "article")
+    if any(in_main):
+        return in_main
+    for element, _ in runs:
+        if element.story == "article":
+            while element.tag != "article":
+                element = element.parent
+            articles.add(element)
+    share = sum(len(t) for (_, t), x in zip(runs, in_article) if x)
+    if len(articles) == 1 or articles and 5 * share >= sum(len(t) for _, t in runs):
+        return in_article
+    return [True] * len(runs)
+
+
 def main_text(page: str) -> str:
     """The article's blocks, joined by newlines."""
-    found = pieces(page)
+    elements, found = pieces(page)
     blocks: dict[int, list] = {}
     for element, block, text in found:
         if block in blocks:
@@ -226,7 +303,7 @@ def main_text(page: str) -> str:
             runs.append((element, text))
     if not runs:
         return ""
-    sums: dict[str, list[int]] = {}
+    sums: dict[int, list[int]] = {}
     for element, text in runs:
         s = sums.setdefault(element.path, [0, 0, 0])
         s[0] += len(text)
@@ -235,21 +312,20 @@ def main_text(page: str) -> str:
     length = np.array([sums[e.path][0] / sums[e.path][2] for e, _ in runs])
     marks = np.array([1 + sums[e.path][1] / sums[e.path][2] for e, _ in runs])
     score = np.sqrt(_smooth(length) * _smooth(marks))
-    by_path: dict[str, float] = {}
+    by_path: dict[int, float] = {}
     for (element, _), x in zip(runs, score.tolist()):
         by_path[element.path] = max(x, by_path.get(element.path, 0.0))
-    least = THRESHOLD * np.average(score, weights=[len(t) for _, t in runs])
-    chosen = {e for e, _ in runs if by_path[e.path] >= least}
+    story = _in_story(runs)
+    least = THRESHOLD * np.average(score[story], weights=[len(t) for (_, t), x in zip(runs, story) if x])
+    chosen = {e for (e, _), x in zip(runs, story) if x and by_path[e.path] >= least}
     # Not what only its neighbours lift, such as a link beside the text.
     own = {e.path: x for (e, _), x in zip(runs, np.sqrt(length * marks).tolist())}
-    article = _around({e for e in chosen if own[e.path] >= least or e.tag in _PROSE} or chosen)
-    out = []
-    for element, text in runs:
-        while element and element is not article:
-            element = element.parent
-        if element:
-            out.append(text)
-    return "\n".join(out)
+    article = _around(elements, {e for e in chosen if own[e.path] >= least or e.tag in _PROSE} or chosen)
+    inside: set[Element] = set()
+    for e in elements:
+        if e is article or e.parent in inside:
+            inside.add(e)
+    return "\n".join(text for element, text in runs if element in inside)
 
 
 def _extract(batches):

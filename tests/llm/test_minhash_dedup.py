@@ -1,3 +1,4 @@
+import itertools
 import re
 
 import numpy as np
@@ -98,6 +99,25 @@ def test_odd_rows(spark, odd):
     assert m.near_duplicates(odd.limit(0)).collect() == []
 
 
+def test_shared_and_null_ids(spark):
+    """Rows that share an id keep their own texts, in every order; rows
+    without an id are compared as well."""
+    words = [f"w{k}" for k in range(200)]
+    x, near, y = " ".join(words), " ".join([*words[:-1], "z"]), " ".join(f"v{k}" for k in range(50))
+    for rows, want in (
+            ([(5, x), (5, y), (7, near)], {(5, x): 5, (5, y): 5, (7, near): 5}),
+            ([(5, y), (4, x), (7, near), (5, x)], {(5, y): 5, (4, x): 4, (7, near): 4, (5, x): 4}),
+            ([(1, x), (None, near)], {(1, x): 1, (None, near): 1}),
+            ([(None, x), (None, near), (3, y)], {(None, x): None, (None, near): None, (3, y): 3})):
+        for order in itertools.permutations(rows):
+            df = spark.createDataFrame(list(order), "doc_id long, text string").coalesce(1)
+            keys = {r.rid: (r.doc_id, r.text) for r in df.withColumn("rid", m.row_key()).collect()}
+            got = {keys[r.rid]: r.component_id for r in m.near_duplicate_rows(df).collect()}
+            assert got == want
+            if len(rows) > 3:
+                break
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(100, 160)] + [(7, 7), (3, 9), (9, 3), (9, 200)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(chain, "a long, b long")).collect()))
