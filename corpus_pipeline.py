@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bourse.llm.common import table
 from bourse.llm.decontaminate import benchmark_matches
-from bourse.llm.minhash_dedup import near_duplicates
+from bourse.llm.minhash_dedup import near_duplicate_rows, row_key
 from bourse.llm.packing import pack
 from bourse.llm.quality import quality_rules
 from bourse.llm.queries import vocabulary
@@ -20,32 +20,42 @@ SIMILAR = 80
 ROWS = 7
 
 
-def _id_hash() -> F.Column:
-    """Tells rows apart that share a doc_id but not a text."""
-    return F.xxhash64("doc_id", "text")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules. Null, empty and blank texts
+    have no words and go; repeated rows are judged each; a null doc_id
+    passes through; an empty table stays empty; other columns, of any name,
+    pass."""
     judged = docs.withColumn("row", F.struct(*docs.columns))
     return quality_rules(judged, id_col="row").filter("kept").select("doc_id.*")
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest
-    doc_id; of repeated rows one."""
-    kept = near_duplicates(docs, SIMILAR, ROWS).filter("kept").select("doc_id").distinct()
-    null = docs.filter("doc_id IS NULL")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).unionByName(null)
+    """One document of each class of near-duplicates: the row with the
+    smallest doc_id (rows without one come last, then by a hash of the text);
+    of repeated rows one. Documents without words are linked with nothing and
+    all stay, as do rows that share a doc_id but no class. An empty table
+    stays empty; other columns, of any name, pass."""
+    rows = _rows(docs)
+    found = near_duplicate_rows(docs, SIMILAR, ROWS)
+    first = F.min_by("rid", F.struct(F.col("doc_id").isNull(), "doc_id", "rid"))
+    kept = found.filter("class IS NOT NULL").groupBy("class").agg(first.alias("key")).select("key") \
+        .unionByName(found.filter("class IS NULL").select(F.col("rid").alias("key"))).distinct()
+    once = rows.join(kept, "key", "left_semi")
+    wordy = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    return once.filter(wordy).dropDuplicates(["key"]).unionByName(once.filter(~wordy)).select("row.*")
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """(key, text, row): whole rows aside, so that columns of any name pass."""
-    return docs.select(_id_hash().alias("key"), "text", F.struct(*docs.columns).alias("row"))
+    """(key, text, row): whole rows aside, so that columns of any name pass.
+    The key tells rows apart that share a doc_id but not a text."""
+    return docs.select(row_key().alias("key"), "text", F.struct(*docs.columns).alias("row"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item. Null and empty texts hold none;
+    repeated rows go or stay together; a null doc_id is a row like any other;
+    without benchmark items, or documents, nothing goes; other columns, of any
+    name, pass."""
     rows = _rows(docs)
     leaks = benchmark_matches(rows, table(spark, sf_dir, "benchmark"), id_col="key") \
         .select(F.col("doc_id").alias("key")).distinct()
@@ -53,7 +63,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret in their texts replaced."""
+    """All documents, with every secret in their texts replaced (n_chars, if
+    there, follows). Null and empty texts hold none and stay as they are;
+    repeated rows are changed alike; a null doc_id is a row like any other;
+    an empty table stays empty; other columns, of any name, pass."""
     rows = _rows(docs)
     found = secret_spans(rows, id_col="key").filter(F.size("spans") > 0) \
         .select(F.col("doc_id").alias("key"), "spans").dropDuplicates(["key"])
@@ -67,7 +80,10 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of the documents' pieces in training sequences."""
+    """The places of the documents' pieces in training sequences, as
+    ``pack`` gives them: a null or empty text is its end token only, repeated
+    rows take places of their own, a null doc_id passes through, an empty
+    table gives no places."""
     return pack(docs, vocabulary())
 
 
