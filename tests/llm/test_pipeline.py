@@ -60,3 +60,13 @@ def test_odd_rows_and_clashing_names(spark, odd):
     out = {r.doc_id: r for r in p.secrets(spark, named, SF0001).collect()}
     assert "[secret]" in out[20].text and "hunter22" not in out[20].text
     assert out[20].n_chars == len(out[20].text) and out[8].n_chars == 4 and out[1].text is None
+
+
+def test_near_duplicates_keep_one_row_of_each_class(spark):
+    """Rows that share an id but not a text stay; copies without an id go."""
+    words = [f"w{k}" for k in range(100)]
+    x, near, y = " ".join(words), " ".join([*words[:-1], "z"]), " ".join(f"v{k}" for k in range(50))
+    rows = [(5, x), (5, y), (7, near), (None, x), (None, y), (8, None), (9, ""), (9, ""), (None, "one alone"), (None, "one alone")]
+    df = spark.createDataFrame([(*r, 1, "b") for r in rows], "doc_id long, text string, rid int, class string")
+    got = sorted((str(r.doc_id), r.text or "") for r in p.near_duplicate(spark, df, SF0001).collect())
+    assert got == sorted([("5", x), ("5", y), ("8", ""), ("9", ""), ("9", ""), ("None", "one alone")])

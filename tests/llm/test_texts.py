@@ -4,6 +4,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from bourse.llm import decontaminate as d
@@ -208,6 +210,59 @@ def test_scores(docs):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_token_by_token(docs):
+    """The model's score, each token by itself from plain Python counts."""
+    df = docs.filter("doc_id % 5 = 0")
+    rows = [(r.doc_id, _lower(r.text)) for r in df.collect()]
+    train = [w for i, w in rows if not lm.is_held_out(i)]
+    c = Counter(x for w in train for x in w)
+    every = sorted({x for _, w in rows for x in w})
+    h, _, tail = lm._words(pa.array(every))
+    key, tail = dict(zip(every, h.tolist())), dict(zip(every, tail.tolist()))
+    top = {w: k for k, w in enumerate(sorted(c, key=lambda w: (-c[w], key[w]))[:lm.TOP])}
+    tokens, distinct = Counter(), Counter()
+    for w, n in c.items():
+        if w not in top:
+            tokens[tail[w]] += n
+            distinct[tail[w]] += 1
+
+    def trigrams(words):
+        classes = [lm.END_CLASS] * 2 + [top.get(w, lm.TOP + tail[w]) for w in words] + [lm.END_CLASS]
+        return list(zip(classes, classes[1:], classes[2:]))
+
+    seen = Counter(t for w in train for t in trigrams(w))
+    keys = sorted(((a * lm.CLASSES + b) * lm.CLASSES + x, n) for (a, b, x), n in seen.items())
+    logp = lm.log_probabilities(lm.fit(*(np.array(x, np.int64) for x in zip(*keys))))
+    want = {}
+    for i, words in rows:
+        total = 0.0
+        for w, (two, one, x) in zip([*words, None], trigrams(words)):
+            total += float(logp[one, two, x])
+            if w is not None and w not in top:
+                total += math.log(c[w] + 0.5) - math.log(tokens[tail[w]] + 0.5 * (distinct[tail[w]] + 1))
+        want[i] = total / math.log(10)
+    got = {r.doc_id: r.score for r in lm.score_texts(df).collect()}
+    assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_scores_with_small_buffers():
+    """Merging in small pieces loses no word and no trigram."""
+    words = [f"w{k % 37}" for k in range(5_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([2, 7, 2]), pa.array([0, 0, 1], pa.int32()),
+                                        pa.array([" ".join(words), "a b a", " ".join(words[:99])])], names=["doc_id", "block", "text"])
+    held, step = lm.HELD, lm.STEP_BYTES
+    out = []
+    for lm.HELD, lm.STEP_BYTES in ((held, step), (3, 40)):
+        got = [r for b in lm._count_words([batch]) for r in b.to_pylist()]
+        grams = Counter()
+        for b in lm._count_trigrams(type("Shared", (), {"value": np.zeros(0, np.int64)}))([batch]):
+            for r in b.to_pylist():
+                grams[r["key"]] += r["n"]
+        out.append((sorted(map(str, got)), grams))
+    assert out[0] == out[1]
+    assert sum(out[0][1].values()) == 5_000 + 3 + 99 + 3
+
+
 def test_scores_in_many_blocks(docs, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 100_000)
     _check_scores(docs)
@@ -326,6 +381,42 @@ def test_page_marks_of_boilerplate():
     assert main_text(f"<div hidden><article>{plain}</article></div>") == ""
 
 
+def test_page_comments_and_adverts():
+    """Tokens are judged by their words; comments go however long they are,
+    and text outside main or the article never wins against them."""
+    lines = [f"Sentence {k}, with some words, and more of them." for k in range(6)]
+    body = "<h1>Title</h1>" + "".join(f"<p>{x}</p>" for x in lines)
+    want = "\n".join(["Title", *lines])
+    talk = "<p>" + "I think, that this is wrong, all of it. " * 60 + "</p>"
+    gone = [f'<div class="{c}">{talk}</div>' for c in ("comment-list", "user-comments", "commentList", "post-comments", "disqus-thread")]
+    gone += ['<div class="ad-slot"><p>Buy this, now. It is good, really.</p></div>', '<div class="cookie-banner-wrapper"><p>We use, cookies.</p></div>',
+             f'<section id="comments">{talk}</section>', '<div class="site-notice"><p>Down, for now.</p></div>',
+             '<form class="newsletter-form"><p>Subscribe, please.</p></form>', '<div class="relatedPosts"><a>Another, story.</a></div>',
+             f'<ol class="commentlist"><li><article class="comment-body">{talk}</article></li></ol>']
+    for outer in ("article", "main", 'div class="post"', "main><article", 'div class="post comments-open"'):
+        name = outer.split()[0].split(">")[0]
+        for x in gone:
+            assert main_text(f"<body><{outer}>{body}{x}</{name}></body>") == want
+            if name != "div" or "slot" not in x:
+                assert main_text(f"<body><{outer}>{body}</{name}>{x}</body>") == want
+    for x in gone:
+        assert main_text(f"<main><p>Short.</p></main>{x}") == "Short."
+        assert main_text(f"<article><p>Short.</p></article>{x}") == "Short."
+    assert main_text(f'<main><p>Short.</p></main><div class="user-box">{talk}</div>') == "Short."
+    for kept in ("no-comments", "comments-closed", "with-ads", "article-header", "entry-header", "header"):
+        assert main_text(f'<article><div class="{kept}"><h1>Title</h1></div>{body[14:]}</article>') == want
+    cards = "".join(f"<article><p>{x}</p></article>" for x in lines)
+    assert main_text(f"<div>{cards}</div><div><a>Home</a></div>") == "\n".join(lines)
+
+
+def test_deep_pages():
+    import tracemalloc
+    tracemalloc.start()
+    assert main_text("<div class=a>" * 100_000 + "<p>deep, text.") == "deep, text."
+    assert len(main_text("<div><i>word, here.</i>" * 30_000).split("\n")) == 30_000
+    assert main_text("<div>" * 50_000 + "</span>" * 50_000 + "<p>x, y.") == "x, y."
+
+
 def test_broken_pages():
     assert main_text("") == main_text("<script>x") == main_text("<nav>a") == main_text("<!-- x") == ""
     assert main_text("plain, text") == "plain, text"
