@@ -20,18 +20,19 @@ FIELD_NAMES = {
 }
 
 
-def explode_results(bronze: DataFrame) -> DataFrame:
+def explode_results(bronze: DataFrame, carry=()) -> DataFrame:
     """One row per bar. Documents with a missing or empty ``results``
-    produce no row (see ``quality.missing_results`` to report them)."""
-    return bronze.select("ticker", "ingested_at", F.explode("results").alias("bar"))
+    produce no row (see ``quality.missing_results`` to report them).
+    ``carry`` names further document columns to keep."""
+    return bronze.select("ticker", "ingested_at", *carry, F.explode("results").alias("bar"))
 
 
-def flatten_bars(exploded: DataFrame, zone: str = MARKET_ZONE) -> DataFrame:
+def flatten_bars(exploded: DataFrame, zone: str = MARKET_ZONE, carry=()) -> DataFrame:
     """P2 + P3: struct fields -> named columns, bar start -> trading date in
     ``zone`` (a provider's daily bar starts at midnight market time)."""
     cols = [F.col(f"bar.{k}").alias(v) for k, v in FIELD_NAMES.items()]
     return exploded.select(
-        "ticker", *cols, "ingested_at",
+        "ticker", *cols, "ingested_at", *carry,
         epoch_ms_to_date(F.col("bar.t"), zone).alias("date"))
 
 
@@ -45,9 +46,10 @@ def attach_company(bars: DataFrame, company_map: DataFrame) -> DataFrame:
     return bars.join(m, bars["ticker"] == m["_sym"], "left").drop("_sym")
 
 
-def select_silver(df: DataFrame) -> DataFrame:
-    """P5: exactly the silver columns, in order, with silver types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER.fields])
+def select_silver(df: DataFrame, carry=()) -> DataFrame:
+    """P5: exactly the silver columns, in order, with silver types (and the
+    columns of ``carry`` after them)."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER.fields], *carry)
 
 
 def keep_latest(silver: DataFrame, keys=("date", "ticker")) -> DataFrame:
@@ -71,6 +73,11 @@ def to_silver(bronze: DataFrame, company_map: DataFrame, zone: str = MARKET_ZONE
     """
     if keep not in ("strict", "latest"):
         raise ValueError("keep must be 'strict' or 'latest'")
-    flat = flatten_bars(explode_results(bronze), zone)
-    out = select_silver(attach_company(flat, company_map))
+    out = silver_rows(bronze, company_map, zone)
     return keep_latest(out) if keep == "latest" else out
+
+
+def silver_rows(bronze: DataFrame, company_map: DataFrame, zone: str = MARKET_ZONE, carry=()) -> DataFrame:
+    """The rows of ``to_silver`` before re-landings are resolved."""
+    flat = flatten_bars(explode_results(bronze, carry), zone, carry)
+    return select_silver(attach_company(flat, company_map), carry)

@@ -15,40 +15,98 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from bourse.functions import MARKET_ZONE
 from bourse.operators import gold, quality
 from bourse.operators.bars import bronze_documents, document_period, resample_bars, ticks_in_range
-from bourse.operators.silver import to_silver
+from bourse.operators.silver import keep_latest, silver_rows
 from bourse.schemas import SILVER, SILVER_KEY
 from bourse.session import staged
-from bourse.sinks import bronze_folder, land_documents, write_gold, write_silver
-from bourse.sources.readers import (read_bronze, read_calendar, read_company_map, read_silver,
-                                    read_symbols)
+from bourse.sinks import bronze_folder, land_documents, versions, write_gold, write_silver
+from bourse.sources.readers import (bronze_files, read_bronze_files, read_calendar, read_company_map,
+                                    read_silver, read_symbols)
 
 
-def build_silver(spark: SparkSession, bronze_path: str, company_map: DataFrame,
+def build_silver(spark: SparkSession, bronze_path, company_map: DataFrame,
                  silver_path: str, zone: str = MARKET_ZONE, keep: str = "strict",
-                 multi_line: bool = False, partition_by: str | None = "year") -> DataFrame:
+                 multi_line: bool = False, partition_by: str | None = "year",
+                 incremental: bool = False) -> DataFrame:
     """B1: read bronze, transform, validate schema and key, then write.
 
-    The transformed rows are staged as Parquet in the shared folder, so the
-    bronze JSON is parsed once and the key check reads two columns. The
-    silver path is replaced only after every check has passed.
+    The bronze JSON is parsed once: the job that stages the rows as Parquet
+    in the shared folder also counts corrupt documents, and the key check
+    reads two columns of the staged rows. The silver path gets its next
+    version only after every check has passed. ``bronze_path`` may be a list
+    of range folders.
+
+    Each version remembers the bronze files it was made of and the years
+    they hold. With ``incremental`` and such a version, only files that are
+    new, and those that share a year with a new or vanished one, are parsed,
+    and only those years are written; the result equals a full build. A
+    changed company map, zone or ``keep`` makes a full build.
     """
-    bronze = read_bronze(spark, bronze_path, multi_line=multi_line)
-    quality.assert_no_corrupt_documents(bronze)
-    silver = to_silver(bronze, company_map, zone=zone, keep=keep)
+    if keep not in ("strict", "latest"):
+        raise ValueError("keep must be 'strict' or 'latest'")
+    paths = [bronze_path] if isinstance(bronze_path, str) else list(bronze_path)
+    folders = [f for p in paths for f in versions.folders(spark, p)]
+    names = company_map.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("symbol", "company_name"))).first()
+    made_with = {"zone": zone, "keep": keep, "map": [names[0], names[1]], "multi_line": multi_line, "partition_by": partition_by}
+    before = versions.current(spark, silver_path) if incremental and partition_by else None
+    if before is None or any(before.notes.get(k) != v for k, v in made_with.items()):
+        years = None
+        rows = _stage_rows(spark, folders, company_map, zone, multi_line)
+        sources = _with_years(bronze_files(spark, folders), rows)
+    else:
+        present = staged(bronze_files(spark, folders), "bronze_files")
+        used = spark.read.parquet(before.notes["sources"])
+        same = ["source_file", "changed", "length"]
+        new, held = present.join(used, same, "left_anti"), used.join(present, same, "left_semi")
+        gone = used.join(present, same, "left_anti").select("year")
+        if new.isEmpty() and gone.isEmpty():
+            return read_silver(spark, silver_path)
+        fresh = _stage_rows(spark, _names(new), company_map, zone, multi_line)
+        years = {r.year for r in fresh.select(F.year("date").alias("year")).unionByName(gone).distinct().collect()}
+        touched = F.col("year").isin([y for y in years if y is not None]) | (F.lit(None in years) & F.col("year").isNull())
+        beside = _stage_rows(spark, _names(held.filter(touched)), company_map, zone, multi_line)
+        rows = fresh.unionByName(beside.withColumn("year", F.year("date")).filter(touched).drop("year"))
+        sources = _with_years(new, fresh).unionByName(held.select(*same, "year"))
+    silver = rows.drop("source_file")
+    silver = staged(keep_latest(silver), "silver") if keep == "latest" else silver
     quality.assert_schema(silver, SILVER)
-    silver = staged(silver, "silver")
     quality.assert_primary_key(silver, SILVER_KEY)
-    write_silver(silver, silver_path, partition_by=partition_by)
+    listed = f"{silver_path.rstrip('/')}/_sources/{uuid.uuid4().hex[:12]}"
+    sources.write.parquet(listed)
+    write_silver(silver, silver_path, partition_by=partition_by, only_years=years, notes={**made_with, "sources": listed})
     return read_silver(spark, silver_path)
 
 
+def _names(files: DataFrame) -> list[str]:
+    return [r.source_file for r in files.select("source_file").distinct().collect()]
+
+
+def _with_years(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """A row for each file and year it holds; files without a bar stay."""
+    return files.join(rows.select("source_file", F.year("date").alias("year")).distinct(), "source_file", "left")
+
+
+def _stage_rows(spark: SparkSession, files: list[str], company_map: DataFrame, zone: str, multi_line: bool) -> DataFrame:
+    """Silver rows and their source file of bronze files or folders, staged;
+    raises if a document is corrupt."""
+    if not files:
+        return spark.createDataFrame([], StructType([*SILVER.fields, StructField("source_file", StringType())]))
+    seen = Observation()
+    bronze = read_bronze_files(spark, files, multi_line=multi_line)
+    rows = staged(silver_rows(quality.observe_documents(bronze, seen), company_map, zone, carry=["source_file"]), "silver")
+    quality.assert_no_corrupt_documents(bronze, seen.get["corrupt"])
+    return rows
+
+
 # Gold output folder names, as the reference names them (fixed values).
 GOLD_OUTPUTS = {
     "a": "a.MAX_RELATIVE_INCREASE_{year}.csv",

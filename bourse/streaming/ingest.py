@@ -21,11 +21,15 @@ from bourse.functions import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SEC
 from bourse.operators.bars import BAR_COLUMNS, bar_aggregates, resample_bars
 from bourse.operators.silver import keep_latest, to_silver
 from bourse.schemas import BRONZE_READ, CORRUPT
+from bourse.sinks import versions
 
 
 def read_bronze_stream(spark: SparkSession, folder: str, multi_line: bool = False,
                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming counterpart of ``read_bronze``."""
+    """Streaming counterpart of ``read_bronze``: of a versioned folder, the
+    documents of every landing as it is completed."""
+    if versions.current(spark, folder) is not None:
+        folder = f"{folder.rstrip('/')}/_versions/*"
     r = spark.readStream.schema(BRONZE_READ).option("multiLine", multi_line) \
              .option("columnNameOfCorruptRecord", CORRUPT).option("recursiveFileLookup", True)
     if max_files_per_trigger:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bourse.operators import gold, quality
 from bourse.plans import run
 from bourse.session import local_path, shared_dir
+from bourse.sinks import versions
 from bourse.sources import fixtures as fx
 from tests.conftest import SF0001
 
@@ -68,7 +69,7 @@ def test_job_stops_on_bad_silver(spark):
         run(spark, symbols_csv=sym, bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
             gold_root=f"{root}/gold", years=[1997], do_silver=True, do_gold=True)
     assert not os.path.exists(local_path(f"{root}/gold"))
-    assert not os.path.exists(local_path(f"{root}/silver"))
+    assert versions.current(spark, f"{root}/silver") is None
     # keeping the latest ingest resolves the re-landing
     out = run(spark, symbols_csv=sym, bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
               do_silver=True, keep="latest")
@@ -128,7 +129,7 @@ def test_silver_refuses_corrupt_documents(spark):
         with pytest.raises(quality.ValidationError, match="1 corrupt"):
             run(spark, symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/{k}/bronze",
                 silver_path=f"{root}/{k}/silver", do_silver=True)
-        assert not os.path.exists(local_path(f"{root}/{k}/silver"))
+        assert versions.current(spark, f"{root}/{k}/silver") is None
 
 
 def test_stake_reaches_the_gold_files(spark):
@@ -198,11 +199,11 @@ def test_failed_landing_keeps_the_old_one(spark, monkeypatch):
     sym = _symbols_csv(spark)
     landing = dict(ticks=ticks, symbols_csv=sym, bronze_root=f"{root}/bronze", do_bronze=True)
     folder = run(spark, ingest_epoch=1, **landing)["bronze"]
-    before = sorted(os.listdir(local_path(folder)))
+    before = versions.folders(spark, folder)
     monkeypatch.setattr(quality, "landed_completeness", lambda landed, symbols: symbols.select("symbol"))
     with pytest.raises(quality.ValidationError):
         run(spark, ingest_epoch=2, **landing)
-    assert "ingest=1" in before and sorted(os.listdir(local_path(folder))) == before
+    assert [f.rsplit("/", 1)[1] for f in before] == ["ingest=1"] and versions.folders(spark, folder) == before
 
 
 def test_failed_silver_keeps_the_old_one(spark, monkeypatch):
@@ -211,11 +212,11 @@ def test_failed_silver_keeps_the_old_one(spark, monkeypatch):
     args = dict(symbols_csv=_symbols_csv(spark), bronze_root=f"{root}/bronze", silver_path=f"{root}/silver",
                 do_silver=True)
     run(spark, ticks=ticks, do_bronze=True, **args)
-    before = sorted(os.listdir(local_path(f"{root}/silver")))
+    before = versions.current(spark, f"{root}/silver")
 
     def refuse(df, keys):
         raise quality.ValidationError("planted")
     monkeypatch.setattr(quality, "assert_primary_key", refuse)
     with pytest.raises(quality.ValidationError):
         run(spark, **args)
-    assert sorted(os.listdir(local_path(f"{root}/silver"))) == before
+    assert versions.current(spark, f"{root}/silver") == before
