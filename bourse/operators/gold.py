@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from bourse.functions import safe_div
 from bourse.operators.prices import (attach_week, first_last_close, in_range, range_test,
                                      stake_per_ticker)
+from bourse.operators.ranks import places
 from bourse.session import staged
 
 DEFAULT_STAKE = 1_000_000
@@ -54,10 +55,14 @@ def relative_change(prices: DataFrame, dates=None, by_year: bool = False) -> Dat
     return flc.select(*keys, "first_close", "last_close", _net_change())
 
 
-def relative_change_by_year(prices: DataFrame, dates=None) -> DataFrame:
-    """Per (ticker, year), largest change first."""
-    return relative_change(prices, dates, by_year=True).orderBy(
-        _desc("net_change"), "ticker", "year")
+def relative_change_by_year(prices: DataFrame, dates=None, ranked: bool = False) -> DataFrame:
+    """Per (ticker, year), largest change first. With ``ranked`` each row
+    carries its place in that order (``rank``, from 1), so the order can be
+    checked and kept; the places are counted by range partition, without a
+    window over all rows (``ranks.places``)."""
+    order = [_desc("net_change"), F.asc("ticker"), F.asc("year")]
+    changes = relative_change(prices, dates, by_year=True)
+    return places(changes, order, name="rank").orderBy("rank") if ranked else changes.orderBy(*order)
 
 
 def max_relative_increase(prices: DataFrame, dates=None, n: int = 1) -> DataFrame:
@@ -176,27 +181,22 @@ def day_values(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
                          (shares * F.col("close")).alias("day_value"))
 
 
-def _weeks(prices: DataFrame, dates, calendar, with_days: bool = False) -> DataFrame:
+def _weeks(prices: DataFrame, dates, calendar, *more) -> DataFrame:
+    """Opening and last close of each week, and ``more`` aggregates: no more
+    than the caller uses, so that the stake's subquery shares the exchange."""
     p = attach_week(in_range(prices, dates).select("ticker", "date", "close"), calendar)
-    aggs = [
-        F.min("date").alias("week_start"),
-        F.max("date").alias("week_end"),
-        F.min_by("close", "date").alias("_open_close"),
-        F.max_by("close", "date").alias("_last_close"),
-    ]
-    if with_days:
-        # the weekdays with a row, as bits: an integer, however often a day comes
-        aggs.append(F.bit_or(F.expr("shiftleft(1, weekday(date))")).alias("_days"))
-    return p.groupBy("ticker", "year", "weeknum").agg(*aggs)
+    return p.groupBy("ticker", "year", "weeknum").agg(
+        F.min("date").alias("week_start"), F.min_by("close", "date").alias("_open_close"),
+        F.max_by("close", "date").alias("_last_close"), *more)
 
 
 def _week_values(weeks: DataFrame, stake: float) -> DataFrame:
     # The range's first close per ticker, read off the week rows: a window
     # over at most one row per week of the range, so bounded for any ticker.
+    per = stake_per_ticker(weeks, stake)
     weeks = weeks.withColumn("_first_close", F.min_by("_open_close", "week_start").over(
         Window.partitionBy("ticker")))
-    weeks = weeks.withColumn("_shares", safe_div(stake_per_ticker(weeks, stake),
-                                                  F.col("_first_close")))
+    weeks = weeks.withColumn("_shares", safe_div(per, F.col("_first_close")))
     shares = F.col("_shares")
     return weeks.withColumn("week_first_value", shares * F.col("_open_close")) \
                 .withColumn("week_last_value", shares * F.col("_last_close")) \
@@ -211,9 +211,9 @@ def weekly_change(prices: DataFrame, dates=None, stake: float = DEFAULT_STAKE,
 
     Plan: one aggregate to week grain (partial agg, skew-proof); the range's
     first close per ticker is read off the week rows; N is a scalar
-    subquery over the ticker column only.
+    subquery over the same exchange.
     """
-    return _week_values(_weeks(prices, dates, calendar), stake).select(
+    return _week_values(_weeks(prices, dates, calendar, F.max("date").alias("week_end")), stake).select(
         "ticker", "year", "weeknum", "week_start", "week_end",
         "week_first_value", "week_last_value", "net_change")
 
@@ -241,7 +241,9 @@ def weekly_change_by_day(prices: DataFrame, dates=None, stake: float = DEFAULT_S
     the calendar share one NULL week per ticker (unbounded), so the top
     weeks (at most ``n`` rows) are joined back to the day rows instead.
     """
-    weeks = _week_values(_weeks(prices, dates, calendar, with_days=calendar is None), stake)
+    # The weekdays with a row, as bits: an integer, however often a day comes.
+    days = [F.bit_or(F.expr("shiftleft(1, weekday(date))")).alias("_days")] if calendar is None else []
+    weeks = _week_values(_weeks(prices, dates, calendar, *days), stake)
     return _top_days(weeks, prices, dates, n, calendar)
 
 

@@ -56,10 +56,16 @@ def stake_per_ticker(df: DataFrame, stake: float, ticker: str = "ticker") -> Col
 
     Spark runs the one-row aggregate once and feeds the value into the
     outer plan; nothing travels through Python. NULL when ``df`` is empty.
+
+    The subquery counts the other columns of ``df`` as well. If ``df`` is an
+    aggregate whose columns the outer plan all uses, both plans then hold the
+    same exchange, and Spark runs it once: the series is scanned a single
+    time. An outer plan that uses fewer columns scans it twice, with the same
+    result.
     """
-    n = ticker_count(df, ticker)
-    per = n.select(F.try_divide(F.lit(float(stake)), F.col("n_tickers")).alias("stake_per_ticker"))
-    return per.scalar()
+    rest = [F.count(F.col(f"`{c}`")).alias(f"n{k}") for k, c in enumerate(df.columns) if c != ticker]
+    size = df.agg(F.struct(F.count_distinct(ticker).alias("n_tickers"), *rest).alias("size")).scalar()
+    return F.try_divide(F.lit(float(stake)), size["n_tickers"])
 
 
 def attach_week(prices: DataFrame, calendar: DataFrame | None = None,

@@ -4,9 +4,9 @@ or enforced."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 
 class ValidationError(AssertionError):
@@ -14,35 +14,52 @@ class ValidationError(AssertionError):
 
 
 def schema_issues(df: DataFrame, expected: StructType) -> list[tuple]:
-    """Positions where name, type or nullability of ``df`` differs from
-    ``expected``: (position, expected name and type, actual ones, issue)."""
-    actual = df.schema.fields
-    rows = []
-    for i in range(max(len(actual), len(expected.fields))):
-        e = expected.fields[i] if i < len(expected.fields) else None
-        a = actual[i] if i < len(actual) else None
-        if e == a:
-            continue
-        if e is None:
-            issue = "extra"
-        elif a is None:
-            issue = "missing"
-        elif e.name != a.name:
-            issue = "name"
-        elif e.dataType != a.dataType:
-            issue = "type"
+    """Where the schema of ``df`` differs from ``expected``, at any depth:
+    (path, expected, actual, issue). A path such as ``results[].n`` goes
+    through arrays (``[]``) and maps (``{key}``, ``{value}``); issue is
+    missing, extra, order, type or nullability."""
+    return _differences("", expected, df.schema)
+
+
+def _differences(path: str, expected: DataType, actual: DataType) -> list[tuple]:
+    if isinstance(expected, StructType) and isinstance(actual, StructType):
+        return _field_differences(path, expected, actual)
+    if isinstance(expected, ArrayType) and isinstance(actual, ArrayType):
+        return _nullability(f"{path}[]", expected.containsNull, actual.containsNull) \
+            + _differences(f"{path}[]", expected.elementType, actual.elementType)
+    if isinstance(expected, MapType) and isinstance(actual, MapType):
+        return _differences(f"{path}{{key}}", expected.keyType, actual.keyType) \
+            + _nullability(f"{path}{{value}}", expected.valueContainsNull, actual.valueContainsNull) \
+            + _differences(f"{path}{{value}}", expected.valueType, actual.valueType)
+    return [] if expected == actual else [(path, expected.simpleString(), actual.simpleString(), "type")]
+
+
+def _field_differences(path: str, expected: StructType, actual: StructType) -> list[tuple]:
+    def at(name: str) -> str:
+        return f"{path}.{name}" if path else name
+
+    out, own, other = [], {f.name: f for f in expected.fields}, {f.name: f for f in actual.fields}
+    for name, e in own.items():
+        a = other.get(name)
+        if a is None:
+            out.append((at(name), e.dataType.simpleString(), None, "missing"))
         else:
-            issue = "nullability"
-        rows.append((i, e.name if e else None, e.dataType.simpleString() if e else None,
-                     a.name if a else None, a.dataType.simpleString() if a else None, issue))
-    return rows
+            out += _nullability(at(name), e.nullable, a.nullable) + _differences(at(name), e.dataType, a.dataType)
+    out += [(at(n), None, a.dataType.simpleString(), "extra") for n, a in other.items() if n not in own]
+    shared, came = [n for n in expected.names if n in other], [n for n in actual.names if n in own]
+    if shared != came:
+        out.append((path, ",".join(shared), ",".join(came), "order"))
+    return out
+
+
+def _nullability(path: str, expected: bool, actual: bool) -> list[tuple]:
+    said = {True: "nullable", False: "not null"}
+    return [] if expected == actual else [(path, said[expected], said[actual], "nullability")]
 
 
 def schema_diff(spark: SparkSession, df: DataFrame, expected: StructType) -> DataFrame:
     """Q1 report of ``schema_issues`` (schemas are metadata: no data is read)."""
-    return spark.createDataFrame(
-        schema_issues(df, expected), "position int, expected_name string, expected_type string, "
-              "actual_name string, actual_type string, issue string")
+    return spark.createDataFrame(schema_issues(df, expected), "path string, expected string, actual string, issue string")
 
 
 def assert_schema(df: DataFrame, expected: StructType) -> None:
@@ -50,8 +67,7 @@ def assert_schema(df: DataFrame, expected: StructType) -> None:
     issues = schema_issues(df, expected)
     if issues:
         raise ValidationError("schema mismatch:\n" + "\n".join(
-            f"  {i}: expected {name} {kind}, got {got} {got_kind} ({issue})"
-            for i, name, kind, got, got_kind, issue in issues))
+            f"  {path or 'columns'}: expected {want}, got {got} ({issue})" for path, want, got, issue in issues))
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -96,10 +112,21 @@ def corrupt_documents(bronze: DataFrame) -> DataFrame:
                  .select("source_file", "ticker", "n_results", F.col("corrupt").alias("document"))
 
 
-def assert_no_corrupt_documents(bronze: DataFrame) -> None:
-    """Raise if any document is corrupt; the full list stays in the report."""
+def assert_no_corrupt_documents(bronze: DataFrame, n: int | None = None) -> None:
+    """Raise if any document is corrupt; the full list stays in the report.
+    ``n`` is their number where it has been observed already
+    (``observe_documents``): then documents are parsed again only to name
+    the corrupt ones."""
     bad = corrupt_documents(bronze)
-    n = bad.count()
+    n = bad.count() if n is None else n
     if n:
         raise ValidationError(f"{n} corrupt documents, e.g. in "
                               f"{sorted({r.source_file for r in bad.limit(5).collect()})}")
+
+
+def observe_documents(bronze: DataFrame, seen: Observation) -> DataFrame:
+    """``bronze`` with its documents, and the corrupt and the empty ones among
+    them, counted into ``seen`` by whatever job reads it."""
+    empty = F.coalesce(F.col("results_count"), F.size("results"), F.lit(-1)) <= 0
+    return bronze.observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(F.col("corrupt").isNotNull()).alias("corrupt"),
+                          F.count_if(F.col("corrupt").isNull() & empty).alias("empty"))

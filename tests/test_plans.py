@@ -4,6 +4,7 @@ row-at-a-time Python, no window over raw rows of a ticker."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from bourse.operators import gold
 from bourse.operators.bars import resample_bars
@@ -72,7 +73,10 @@ def test_year_partitions_pruned(spark):
     write_silver(fx.daily_prices(spark, SF0001).drop("volume", "vwap"), path, partition_by="year")
     df = read_silver(spark, path, ("1997-01-01", "1997-12-31"))
     assert "year" not in df.columns
-    p = plan(gold.relative_change(df))
+    assert df.inputFiles() and all("/year=1997/" in f for f in df.inputFiles())
+    plain = shared_dir(spark, "t", "plain_by_year")  # not written by us: pruned by Spark
+    read_silver(spark, path).withColumn("year", F.year("date")).write.partitionBy("year").parquet(plain)
+    p = plan(gold.relative_change(read_silver(spark, plain, ("1997-01-01", "1997-12-31"))))
     assert re.search(r"PartitionFilters: \[[^\]]*year", p), p
     full = fx.daily_prices(spark, SF0001)
     want = gold.relative_change(full, ("1997-01-01", "1997-12-31"))
@@ -109,3 +113,28 @@ def test_day_values_read_the_series_twice(silver, monkeypatch, whole_paths):
     scans = [line for d in (*built, df) for line in plan(d).splitlines() if "FileScan parquet" in line]
     assert len(built) == 1
     assert sum("/staged/base/" not in line for line in scans) == 2
+
+
+def _ran(df) -> str:
+    """The plan that ran, its subqueries included, without the plans they began as."""
+    df.collect()
+    out, skip = [], None
+    for line in plan(df).splitlines():
+        at = re.search(r"[^ :+|-]", line).start()
+        if skip is not None and at < skip:
+            skip = None
+        if skip is None and "== Initial Plan ==" in line:
+            skip = at
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
+
+
+@pytest.mark.parametrize("fn", [gold.position_values, gold.investment_return, gold.growth_rate, gold.max_cagr,
+                                gold.weekly_change, gold.max_weekly_decrease, gold.weekly_change_by_day])
+def test_one_scan_when_called_alone(silver, fn):
+    """The stake's subquery reads the exchange of the answer itself."""
+    ran = _ran(fn(silver))
+    assert "ReusedExchange" in ran and "Initial Plan" not in ran
+    assert ran.count("FileScan parquet") == 1
+    assert ran.count("+- Subquery subquery") == 1
