@@ -89,10 +89,22 @@ SELECT ticker, year, first_close, last_close, net_change, jan_value, june_value,
 FROM g"""
 
 
-def _weekly(prices_cte: str) -> str:
+SHIPPING = """date BETWEEN (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)
+              AND (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"""
+
+
+def _iso(calendar: bool) -> str:
+    """ISO year and week of a day, NULL for days off the calendar of ship days."""
+    year, week = "CAST(isoyear(date) AS INTEGER)", "CAST(weekofyear(date) AS INTEGER)"
+    if calendar:
+        year, week = (f"CASE WHEN {SHIPPING} THEN {x} END" for x in (year, week))
+    return f"{year} AS year, {week} AS weeknum"
+
+
+def _weekly(prices_cte: str, calendar: bool = False) -> str:
     return prices_cte + f""",
 wk AS (
-  SELECT ticker, CAST(isoyear(date) AS INTEGER) AS year, CAST(weekofyear(date) AS INTEGER) AS weeknum,
+  SELECT ticker, {_iso(calendar)},
          min(date) AS week_start, max(date) AS week_end,
          min_by(close, date) AS oc, max_by(close, date) AS lc
   FROM prices GROUP BY 1, 2, 3),
@@ -114,13 +126,13 @@ prices AS (
   FROM events GROUP BY 1, 2)"""
 
 
-def _summary(where: str, growth_where: str) -> str:
+def _summary(where: str, growth_where: str, calendar: bool = False) -> str:
     rel = _relative(where)
     inv = f"""WITH {_per_year(where)},
 pv AS (SELECT year, (per.s / NULLIF(first_close, 0)) * last_close AS v FROM py CROSS JOIN per)
 SELECT year, sum(v) AS investment_value FROM pv GROUP BY year"""
     grow = _growth(growth_where)
-    week = f"WITH {_weekly(_prices(where))} SELECT * FROM weekly_net"
+    week = f"WITH {_weekly(_prices(where), calendar)} SELECT * FROM weekly_net"
     return f"""
 SELECT b.year, a.ticker AS max_relative_increase_ticker,
        {_round('b.investment_value', 4)} AS investment_return_by_end_of_year,
@@ -133,18 +145,34 @@ CROSS JOIN (SELECT * FROM ({grow}) ORDER BY CAGR DESC NULLS LAST, ticker, year L
 CROSS JOIN (SELECT * FROM ({week}) ORDER BY {WEEK_ORDER} LIMIT 1) d"""
 
 
-def _by_day(where: str = "") -> str:
-    return f"""WITH {_weekly(_prices(where))},
-days AS (SELECT ticker, date, CAST(isoyear(date) AS INTEGER) AS year,
-                CAST(weekofyear(date) AS INTEGER) AS weeknum FROM prices)
+def _by_day(where: str = "", calendar: bool = False) -> str:
+    return f"""WITH {_weekly(_prices(where), calendar)},
+days AS (SELECT ticker, date, {_iso(calendar)} FROM prices)
 SELECT d.ticker, d.date, d.year, d.weeknum, w.week_last_value, w.week_first_value, w.net_change
 FROM days d JOIN weekly_net w
-  ON d.ticker = w.ticker AND d.year = w.year AND d.weeknum = w.weeknum
-ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year, d.weeknum, d.date LIMIT 10"""
+  ON d.ticker = w.ticker AND d.year IS NOT DISTINCT FROM w.year AND d.weeknum IS NOT DISTINCT FROM w.weeknum
+ORDER BY w.net_change ASC NULLS LAST, d.ticker, d.year NULLS LAST, d.weeknum NULLS LAST, d.date LIMIT 10"""
 
 
-SHIPPING = """date BETWEEN (SELECT min(CAST(l_shipdate AS DATE)) FROM lineitem)
-              AND (SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem)"""
+def _job_gold(year: int, calendar: bool = False) -> str:
+    full, half = _rng(f"{year}-01-01", f"{year}-12-31"), _rng(f"{year}-01-01", f"{year}-06-30")
+    return f"""
+SELECT 'a' AS output, ticker, CAST(NULL AS VARCHAR) AS label, {_round('net_change', 4)} AS value
+FROM ({_relative(full)} ORDER BY net_change DESC NULLS LAST, ticker LIMIT 1)
+UNION ALL
+SELECT 'b', NULL, CAST(year AS VARCHAR), {_round('sum(investment_value)', 4)}
+FROM ({_position_values(full)}) GROUP BY year
+UNION ALL
+SELECT 'c', ticker, CAST(year AS VARCHAR), {_round('CAGR', 4)}
+FROM (SELECT * FROM ({_growth(half)}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1)
+UNION ALL
+SELECT 'd', ticker, CAST(date AS VARCHAR), {_round('net_change', 4)}
+FROM ({_by_day(full, calendar)})
+UNION ALL
+SELECT 'summary', max_relative_increase_ticker,
+       max_CAGR_ticker_jan_june || ' ' || max_decrease_by_week_ticker || ' ' || max_decrease_by_week_weeknum,
+       investment_return_by_end_of_year
+FROM ({_summary(full, half, calendar)})"""
 
 
 def _bucket(us: int) -> str:
@@ -240,23 +268,16 @@ SELECT CASE o_orderpriority
          ELSE '{"ticker":"' || o_orderkey || '","resultsCount":1,"results":[{"c":"high","t":0}]}' END AS document
 FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')""",
 
-    "job_gold": f"""
-SELECT 'a' AS output, ticker, CAST(NULL AS VARCHAR) AS label, {_round('net_change', 4)} AS value
-FROM ({_relative(Y1997)} ORDER BY net_change DESC NULLS LAST, ticker LIMIT 1)
-UNION ALL
-SELECT 'b', NULL, CAST(year AS VARCHAR), {_round('sum(investment_value)', 4)}
-FROM ({_position_values(Y1997)}) GROUP BY year
-UNION ALL
-SELECT 'c', ticker, CAST(year AS VARCHAR), {_round('CAGR', 4)}
-FROM (SELECT * FROM ({_growth(H1997)}) ORDER BY CAGR DESC NULLS LAST, ticker, year LIMIT 1)
-UNION ALL
-SELECT 'd', ticker, CAST(date AS VARCHAR), {_round('net_change', 4)}
-FROM ({_by_day(Y1997)})
-UNION ALL
-SELECT 'summary', max_relative_increase_ticker,
-       max_CAGR_ticker_jan_june || ' ' || max_decrease_by_week_ticker || ' ' || max_decrease_by_week_weeknum,
-       investment_return_by_end_of_year
-FROM ({_summary(Y1997, H1997)})""",
+    "job_gold": _job_gold(1997),
+    "job_gold_two_years": f"""
+SELECT 1996 AS job_year, * FROM ({_job_gold(1996)})
+UNION ALL SELECT 1997, * FROM ({_job_gold(1997)})""",
+    "job_gold_calendar": _job_gold(1997, calendar=True),
+
+    "schema_drift": """
+SELECT * FROM (VALUES
+  ('period', NULL, 'string', 'extra'), ('resultsCount,ticker', NULL, NULL, NULL)) AS t(path, expected, actual, issue)
+WHERE issue IS NOT NULL""",
 
     "keep_latest": f"""WITH {F1_BARS}, {COMPANY},
 later AS (
@@ -283,9 +304,10 @@ FROM latest b LEFT JOIN company ON b.ticker = company.symbol""",
 
     "relative_change": _relative(),
 
-    "relative_change_by_year": f"""WITH {_prices()}
+    "relative_change_by_year": f"""SELECT *, row_number() OVER (ORDER BY net_change DESC NULLS LAST, ticker, year) AS rank
+FROM (WITH {_prices()}
 {_flc('ticker, CAST(year(date) AS INTEGER) AS year')}, {REL} AS net_change
-FROM prices GROUP BY ticker, CAST(year(date) AS INTEGER)""",
+FROM prices GROUP BY ticker, CAST(year(date) AS INTEGER))""",
 
     "max_relative_increase": _relative() + " ORDER BY net_change DESC NULLS LAST, ticker LIMIT 1",
 
@@ -351,4 +373,5 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 SELECT CAST(o_orderkey AS VARCHAR) AS ticker FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 }
+ORACLE["silver_from_provider_docs"] = ORACLE["silver_incremental"] = ORACLE["silver_build"]
 ORACLE["week_join_calendar_parquet"] = ORACLE["week_join_calendar"]

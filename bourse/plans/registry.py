@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from bourse.functions import round_half
 from bourse.operators import gold, quality
-from bourse.operators.bars import bronze_documents, daily, resample_bars
+from bourse.operators.bars import bronze_documents, daily, resample_bars, ticks_in_range
 from bourse.operators.prices import attach_week, first_last_close, in_range, ticker_count
 from bourse.operators.silver import attach_company, explode_results, to_silver
+from bourse.schemas import BRONZE
 from bourse.session import shared_dir
-from bourse.sinks import land_bronze, write_calendar
+from bourse.sinks import land_bronze, land_provider_documents, versions, write_calendar
 from bourse.sources import fixtures as fx
 from bourse.sources.calendar import calendar_spanning
 from bourse.sources.readers import read_bronze, read_calendar, read_symbols
@@ -189,41 +190,95 @@ def q_corrupt_documents(spark, d):
     return quality.corrupt_documents(read_bronze(spark, folder)).select("document")
 
 
-def _job_root(spark, d):
-    """The whole job over orders: bronze, silver, and the gold files of 1997."""
-    from bourse.plans.job import run
+def q_silver_from_provider_docs(spark, d):
+    """The provider's own layout: a pretty-printed document for each ticker,
+    the ingest time in its file name, bar starts at midnight in New York."""
+    folder = land_provider_documents(fx.order_bars(spark, d), shared_dir(spark, "bourse", "provider"),
+                                     ingest_epoch=TEST_INGEST_EPOCH)
+    silver = to_silver(read_bronze(spark, folder, multi_line=True), fx.company_map(spark, d))
+    return _with_epoch(silver)
+
+
+def _with_epoch(silver):
+    cols = [c for c in silver.columns if c != "ingested_at"]
+    return silver.select(*cols, F.unix_seconds("ingested_at").alias("ingest_epoch"))
+
+
+def q_silver_incremental(spark, d):
+    """B1 after each landing of a year, one of them landed again: only the
+    years of new files are built."""
+    from bourse.plans.job import build_silver
+    root = shared_dir(spark, "bourse", "incremental")
+    ticks, company, folders = fx.order_ticks(spark, d), fx.company_map(spark, d), []
+    years = [r.y for r in ticks.select(F.year("ts").alias("y")).distinct().orderBy("y").collect()]
+    for year in [*years, years[0]]:
+        dates = (f"{year}-01-01", f"{year}-12-31")
+        bars = resample_bars(ticks_in_range(ticks, dates), order_by="seq")
+        folder = land_bronze(bars, f"{root}/bronze", dates=dates, zone="UTC", ingest_epoch=TEST_INGEST_EPOCH)
+        folders += [folder] if folder not in folders else []
+        silver = build_silver(spark, folders, company, f"{root}/silver", zone="UTC", incremental=True)
+    return _with_epoch(silver)
+
+
+def q_schema_drift(spark, d):
+    """Q1: the schema that landed documents show by themselves, against the
+    bronze schema. Bars without a volume have no such field."""
+    inferred = spark.read.json(versions.folders(spark, _landed_f1(spark, d)))
+    return quality.schema_diff(spark, inferred, BRONZE)
+
+
+def _job_gold(spark, d, years, calendar_csv=None):
+    """The whole job over orders (bronze, silver, the gold files of
+    ``years``), its files read back."""
+    from bourse.plans.job import GOLD_OUTPUTS, run
     root = shared_dir(spark, "bourse", "job")
     fx.company_map(spark, d).write.option("header", True).csv(f"{root}/symbols")
     run(spark, ticks=fx.order_ticks(spark, d), symbols_csv=f"{root}/symbols", bronze_root=f"{root}/bronze",
-        silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=[1997], do_bronze=True,
-        do_silver=True, do_gold=True, zone="UTC", order_by="seq", ingest_epoch=TEST_INGEST_EPOCH)
-    return f"{root}/gold"
+        silver_path=f"{root}/silver", gold_root=f"{root}/gold", years=years, do_bronze=True,
+        do_silver=True, do_gold=True, zone="UTC", order_by="seq", ingest_epoch=TEST_INGEST_EPOCH, calendar_csv=calendar_csv)
+
+    def rows(year, key, ticker, label, value):
+        df = spark.read.option("header", True).csv(f"{root}/gold/{GOLD_OUTPUTS[key].format(year=year)}")
+        return df.select(F.lit(year).alias("job_year"), F.lit(key).alias("output"), ticker.cast("string").alias("ticker"),
+                         label.cast("string").alias("label"),
+                         round_half(F.col(value).cast("double"), 4).alias("value"))
+
+    none, out = F.lit(None), None
+    for y in years:
+        for part in (rows(y, "a", F.col("ticker"), none, "net_change"),
+                     rows(y, "b", none, F.col("year"), "investment_value"),
+                     rows(y, "c", F.col("ticker"), F.col("year"), "CAGR"),
+                     rows(y, "d", F.col("ticker"), F.col("date"), "net_change"),
+                     rows(y, "summary", F.col("max_relative_increase_ticker"), F.concat_ws(
+                         " ", "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker", "max_decrease_by_week_weeknum"),
+                         "investment_return_by_end_of_year")):
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def q_job_gold(spark, d):
-    """M1 and K3: the five gold files of the job, read back."""
-    from bourse.plans.job import GOLD_OUTPUTS
-    root = _job_root(spark, d)
+    """M1 and K3: the five gold files of the job for 1997, read back."""
+    return _job_gold(spark, d, [1997]).drop("job_year")
 
-    def rows(key, ticker, label, value):
-        df = spark.read.option("header", True).csv(f"{root}/{GOLD_OUTPUTS[key].format(year=1997)}")
-        return df.select(F.lit(key).alias("output"), ticker.cast("string").alias("ticker"),
-                         label.cast("string").alias("label"),
-                         round_half(F.col(value).cast("double"), 4).alias("value"))
 
-    none = F.lit(None)
-    return rows("a", F.col("ticker"), none, "net_change") \
-        .unionByName(rows("b", none, F.col("year"), "investment_value")) \
-        .unionByName(rows("c", F.col("ticker"), F.col("year"), "CAGR")) \
-        .unionByName(rows("d", F.col("ticker"), F.col("date"), "net_change")) \
-        .unionByName(rows("summary", F.col("max_relative_increase_ticker"), F.concat_ws(
-            " ", "max_CAGR_ticker_jan_june", "max_decrease_by_week_ticker", "max_decrease_by_week_weeknum"),
-            "investment_return_by_end_of_year"))
+def q_job_gold_two_years(spark, d):
+    """M1 for two years, as it is run: ISO weeks across the turn of the year,
+    and each year's pass over silver opens its own part only."""
+    return _job_gold(spark, d, [1996, 1997])
+
+
+def q_job_gold_calendar(spark, d):
+    """M1 with the weeks of d. from a calendar file: that of the ship days,
+    which begins after the first order days."""
+    path = shared_dir(spark, "bourse", "calendar")
+    write_calendar(calendar_spanning(fx.table(spark, d, "lineitem"), "l_shipdate"), csv_path=path)
+    return _job_gold(spark, d, [1997], calendar_csv=path).drop("job_year")
 
 
 def q_keep_latest(spark, d):
-    """Two landings of the same tickers; the later one (finished orders
-    only) wins for every (date, ticker) it holds."""
+    """Two landings of the same tickers; the later one wins for every (date,
+    ticker) it holds. A second landing must differ from the first to show
+    that, so it is made of the finished orders; all rows of both are read."""
     root = shared_dir(spark, "bourse", "bronze")
     folder = land_bronze(fx.order_bars(spark, d), root, zone="UTC",
                          ingest_epoch=TEST_INGEST_EPOCH)
@@ -259,7 +314,8 @@ def q_relative_change(spark, d):
 
 
 def q_relative_change_by_year(spark, d):
-    return gold.relative_change_by_year(_prices(spark, d))
+    """The rank states the order, which rows compared as a set don't show."""
+    return gold.relative_change_by_year(_prices(spark, d), ranked=True)
 
 
 def q_max_relative_increase(spark, d):
@@ -419,4 +475,9 @@ QUERIES: dict[str, Query] = {
     "corrupt_documents": q_corrupt_documents,
     "week_join_calendar_parquet": q_week_join_calendar_parquet,
     "job_gold": q_job_gold,
+    "job_gold_two_years": q_job_gold_two_years,
+    "job_gold_calendar": q_job_gold_calendar,
+    "silver_from_provider_docs": q_silver_from_provider_docs,
+    "silver_incremental": q_silver_incremental,
+    "schema_drift": q_schema_drift,
 }
