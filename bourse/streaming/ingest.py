@@ -8,17 +8,19 @@ documents. The transform is the batch ``to_silver``.
 
 ``bars_stream``: ticks -> bars with an event-time watermark; a bar is
 emitted once, when the watermark passes its end, and its state is dropped.
+``open_bars`` reads those not emitted yet from the state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from bourse.functions import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SECONDS,
-                              ingest_epoch_from_path, normalise_span, wall_clock)
-from bourse.operators.bars import BAR_COLUMNS, bar_aggregates, resample_bars
+                              ingest_epoch_from_path, normalise_span, safe_div, wall_clock)
+from bourse.operators.bars import BAR_COLUMNS, bar_aggregates
 from bourse.operators.silver import keep_latest, to_silver
 from bourse.schemas import BRONZE_READ, CORRUPT
 from bourse.sinks import versions
@@ -48,11 +50,37 @@ def latest_silver(spark: SparkSession, silver_path: str) -> DataFrame:
     return keep_latest(spark.read.parquet(silver_path))
 
 
-def complete_bars(emitted: DataFrame, ticks: DataFrame, **bars) -> DataFrame:
-    """``emitted`` bars of a stopped ``bars_stream`` and those that it still
-    held open (or that late ticks alone make up), from the ticks."""
-    rest = resample_bars(ticks, **bars).join(emitted.select("ticker", "bar_start"), ["ticker", "bar_start"], "left_anti")
-    return emitted.unionByName(rest)
+# The state of a bar, in the order in which Spark keeps ``bar_aggregates``
+# (fixed values; tests hold them against batch bars).
+_STATE = ["open", "_first", "high", "low", "close", "_last", "trades", "volume", "_money"]
+
+
+def open_bars(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The bars that a stopped ``bars_stream`` has not emitted yet, as far as
+    its ticks go: read from the state that its last batch left in
+    ``checkpoint``. No tick is read again. A query that was not made by
+    ``bars_stream`` is refused."""
+    state = spark.read.format("statestore").load(checkpoint)
+    kept = state.schema["value"].dataType.fields
+    if len(kept) != len(_STATE):
+        raise ValueError(f"{checkpoint} holds no state of bars: {[f.name for f in kept]}")
+    # Spark calls two of the values alike; a cast of the whole renames by place.
+    bar = F.col("value").cast(StructType([StructField(n, f.dataType) for n, f in zip(_STATE, kept)]))
+    return state.select("key.ticker", F.col("key.window.start").alias("_start"), bar.alias("bar")).select("*", "bar.*").select(
+        "ticker", _wall_clock_of(F.col("_start")).alias("bar_start"), "open", "high", "low", "close", "trades",
+        "volume", safe_div(F.col("_money"), F.col("volume")).alias("vwap"))
+
+
+def complete_bars(emitted: DataFrame, checkpoint: str) -> DataFrame:
+    """All bars of a stopped ``bars_stream``: those it ``emitted``, as they
+    are, and those still open. A closed bar that the sink lacks is missing
+    here too, and ticks that came too late for theirs stay out of it."""
+    return emitted.unionByName(open_bars(emitted.sparkSession, checkpoint))
+
+
+def _wall_clock_of(start: Column) -> Column:
+    """The wall clock of a window's start (its UTC clock, see ``bars_stream``)."""
+    return F.timestamp_add("SECOND", F.unix_seconds(start), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
 
 
 def silver_stream(spark: SparkSession, bronze_folder: str, company_map: DataFrame,
@@ -105,6 +133,4 @@ def bars_stream(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts", price:
     start = f"{MONDAY_OFFSET_SECONDS if span == 'week' else 0} seconds"
     window = F.window("_evt", f"{width} seconds", f"{width} seconds", start).alias("_w")
     bars = keyed.groupBy("ticker", window).agg(*bar_aggregates())
-    bar_start = F.timestamp_add("SECOND", F.unix_seconds(F.col("_w.start")),
-                                F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
-    return bars.withColumn("bar_start", bar_start).select(*BAR_COLUMNS)
+    return bars.withColumn("bar_start", _wall_clock_of(F.col("_w.start"))).select(*BAR_COLUMNS)

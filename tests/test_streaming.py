@@ -11,7 +11,7 @@ from bourse.sinks import land_bronze
 from bourse.sources import fixtures as fx
 from bourse.sources.readers import read_bronze
 from bourse.streaming import bars_stream, silver_stream
-from bourse.streaming.ingest import complete_bars, latest_silver
+from bourse.streaming.ingest import complete_bars, latest_silver, open_bars
 from tests.conftest import SF0001, rows
 
 
@@ -85,8 +85,42 @@ def test_bars_of_a_folder_table_are_complete(spark):
     got = QUERIES["bars_stream_hourly"](spark, root)
     want = resample_bars(fx.event_ticks(spark, SF0001), timespan="hour")
     assert rows(got) == rows(want.select(*got.columns))
-    none = complete_bars(want.limit(0), fx.event_ticks(spark, SF0001), timespan="hour")
-    assert none.count() == want.count()
+
+
+def test_open_bars_come_from_the_state(spark):
+    """With volumes, over several batches; a closed bar that the sink lacks
+    isn't made up."""
+    ticks = fx.event_ticks(spark, SF0001).withColumn("volume", F.abs("price") + 1)
+    root = shared_dir(spark, "t", "open")
+    ticks.repartitionByRange(4, "ts").sortWithinPartitions("ts").write.parquet(f"{root}/in")
+    for schema, order, delay in ((ticks.schema, "ts", "40 days"), (ticks.schema, ["ts", "price"], "40 days"), (ticks.schema, "ts", "0 seconds")):
+        out = f"{root}/{delay.replace(' ', '_')}_{len(order)}"
+        src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4 if delay[0] == "0" else 1).parquet(f"{root}/in")
+        q = bars_stream(src, volume="volume", timespan="hour", delay=delay, order_by=order).writeStream \
+            .format("parquet").option("path", f"{out}/bars").option("checkpointLocation", f"{out}/ckpt") \
+            .outputMode("append").trigger(availableNow=True).start()
+        q.awaitTermination(300)
+        want = resample_bars(ticks, volume="volume", timespan="hour", order_by=order)
+        emitted = spark.read.schema(want.schema).parquet(f"{out}/bars")
+        rounded = [F.round(c, 9).alias(c) for c in ("volume", "vwap")]
+        keep = ["ticker", "bar_start", "open", "high", "low", "close", "trades"]
+        assert rows(complete_bars(emitted, f"{out}/ckpt").select(*keep, *rounded)) == rows(want.select(*keep, *rounded))
+        left = open_bars(spark, f"{out}/ckpt")
+        assert left.count() == want.count() - emitted.count() > 0
+        assert rows(complete_bars(emitted.limit(0), f"{out}/ckpt").select(*keep)) == rows(left.select(*keep))
+        assert (emitted.count() == 0) == (delay == "40 days")
+
+
+def test_state_of_another_query_is_refused(spark):
+    import pytest
+    root = shared_dir(spark, "t", "other")
+    src = spark.readStream.schema(spark.read.parquet(f"{SF0001}/events.parquet").schema).parquet(f"{SF0001}/events.parquet*")
+    q = src.groupBy(F.col("user_id").alias("ticker"), F.window(F.col("ts").cast("timestamp"), "1 hour")).count().writeStream \
+        .format("memory").queryName("others").option("checkpointLocation", f"{root}/ckpt").outputMode("update") \
+        .trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    with pytest.raises(ValueError, match="no state of bars"):
+        open_bars(spark, f"{root}/ckpt")
 
 
 def test_bars_stream_watermark_late_ticks(spark):
@@ -114,6 +148,8 @@ def test_bars_stream_watermark_late_ticks(spark):
     land([("A", T(2024, 1, 1, 9, 55), 9.0),      # late but within 30 minutes: counted
           ("A", T(2024, 1, 1, 11, 40), 13.0)], "b2")
     run()
+    still = {r.bar_start: r.trades for r in open_bars(spark, f"{root}/ckpt").collect()}
+    assert still == {T(2024, 1, 1, 11): 1}
     out = {r.bar_start: r for r in spark.read.parquet(f"{root}/out").collect()}
     bar9 = out[T(2024, 1, 1, 9)]
     assert (bar9.open, bar9.low, bar9.close, bar9.trades) == (10.0, 9.0, 9.0, 3)
@@ -123,3 +159,4 @@ def test_bars_stream_watermark_late_ticks(spark):
     out2 = spark.read.parquet(f"{root}/out")
     assert out2.filter(F.col("bar_start") == T(2024, 1, 1, 9)).count() == 1
     assert out2.filter(F.col("low") == 1.0).count() == 0
+    assert complete_bars(out2, f"{root}/ckpt").count() == 3
