@@ -274,10 +274,12 @@ SELECT 1996 AS job_year, * FROM ({_job_gold(1996)})
 UNION ALL SELECT 1997, * FROM ({_job_gold(1997)})""",
     "job_gold_calendar": _job_gold(1997, calendar=True),
 
-    "schema_drift": """
-SELECT * FROM (VALUES
-  ('period', NULL, 'string', 'extra'), ('resultsCount,ticker', NULL, NULL, NULL)) AS t(path, expected, actual, issue)
-WHERE issue IS NOT NULL""",
+    "schema_drift": f"""WITH {F1_BARS},
+seen AS (SELECT count(volume) AS volumes, count(vwap) AS vwaps FROM bars)
+SELECT 'period' AS path, CAST(NULL AS VARCHAR) AS expected, 'string' AS actual, 'extra' AS issue
+UNION ALL SELECT '', 'ticker,resultsCount,results', 'results,resultsCount,ticker', 'order'
+UNION ALL SELECT 'results[].v', 'double', NULL, 'missing' FROM seen WHERE volumes = 0
+UNION ALL SELECT 'results[].vw', 'double', NULL, 'missing' FROM seen WHERE vwaps = 0""",
 
     "keep_latest": f"""WITH {F1_BARS}, {COMPANY},
 later AS (

@@ -204,19 +204,22 @@ def _with_epoch(silver):
 
 
 def q_silver_incremental(spark, d):
-    """B1 after each landing of a year, one of them landed again: only the
-    years of new files are built."""
+    """B1 over a landing for each year, then again after one year has landed
+    anew: only that year is built the second time."""
     from bourse.plans.job import build_silver
     root = shared_dir(spark, "bourse", "incremental")
-    ticks, company, folders = fx.order_ticks(spark, d), fx.company_map(spark, d), []
-    years = [r.y for r in ticks.select(F.year("ts").alias("y")).distinct().orderBy("y").collect()]
-    for year in [*years, years[0]]:
+    ticks, company = fx.order_ticks(spark, d), fx.company_map(spark, d)
+
+    def land(year):
         dates = (f"{year}-01-01", f"{year}-12-31")
         bars = resample_bars(ticks_in_range(ticks, dates), order_by="seq")
-        folder = land_bronze(bars, f"{root}/bronze", dates=dates, zone="UTC", ingest_epoch=TEST_INGEST_EPOCH)
-        folders += [folder] if folder not in folders else []
-        silver = build_silver(spark, folders, company, f"{root}/silver", zone="UTC", incremental=True)
-    return _with_epoch(silver)
+        return land_bronze(bars, f"{root}/bronze", dates=dates, zone="UTC", ingest_epoch=TEST_INGEST_EPOCH)
+
+    years = [r.y for r in ticks.select(F.year("ts").alias("y")).distinct().orderBy("y").collect()]
+    folders = [land(y) for y in years]
+    build_silver(spark, folders, company, f"{root}/silver", zone="UTC", incremental=True)
+    land(years[0])
+    return _with_epoch(build_silver(spark, folders, company, f"{root}/silver", zone="UTC", incremental=True))
 
 
 def q_schema_drift(spark, d):
