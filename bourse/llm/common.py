@@ -105,7 +105,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64, n of each."""
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, STEP_BYTES + (STEP_BYTES >> 1))
+        size = 1 << max(20, (n - 1).bit_length())
         inverse = np.uint64(pow(int(_BASE), -1, 2**64))
         out = []
         for b in (_BASE, inverse):

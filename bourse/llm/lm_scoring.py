@@ -11,20 +11,23 @@ share of the corpus counts, with one place left for unseen words, so
 probabilities are normalised over an open vocabulary.
 
 Corpus counts come from all training texts: texts are dealt into blocks by
-id, each block sends one row per distinct word, and gets the counts of its
-words back. The network is fitted on the counts of all class trigrams (a
-class and the two before it) of all training texts: at most CLASSES**3
-weighted rows, whatever the corpus size. It has CLASSES**2 contexts, whose
-log-probabilities are computed once by batched matrix products.
+id and text, each block sends one row per distinct word, and gets the counts
+of its words back. The network is fitted on the counts of all class trigrams
+(a class and the two before it) of all training texts: at most CLASSES**3
+weighted rows, whatever the corpus size. Tasks hold at most HELD distinct
+trigrams before they send them on; the counts meet in a groupBy.
+Log-probabilities come from batched matrix products over the contexts that a
+step of texts has.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bourse.llm.common import flat_bytes, keyed_texts, steps, stored, word_hashes
@@ -33,8 +36,11 @@ TOP = 192
 TAILS = 63
 CLASSES = TOP + TAILS + 1
 END_CLASS = CLASSES - 1
-# Bytes of text in a block.
+# Bytes of text in a block, and in a numpy step.
 BLOCK_BYTES = 16 << 20
+STEP_BYTES = 1 << 19
+# Distinct words or trigrams that a task merges at a time.
+HELD = 1 << 19
 FOLDS, HELD_OUT = 5, 1
 
 DIM, NOISE, BATCH, EPOCHS, RATE = 32, 64, 1024, 3, 0.1
@@ -59,26 +65,34 @@ def _words(column: pa.Array):
     return h.view(np.int64), owner, (last * 131 + before * 31) % TAILS
 
 
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One row for each key of (keys, counts, ...): sorted keys, summed
+    counts, and the first of the other values."""
+    keys, first, inverse = np.unique(np.concatenate([x[0] for x in parts]), return_index=True, return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    np.add.at(counts, inverse, np.concatenate([x[1] for x in parts]))
+    return keys, counts, *(np.concatenate(rest)[first] for rest in zip(*(x[2:] for x in parts)))
+
+
 def _count_words(batches):
     """For each block in the partition: distinct words with their count in
     training texts and whether a held-out text has them; the end is word 0
-    with tail -1."""
-    for block, parts in _by_block(batches):
-        words, counts, held, tails = [], [], [], []
-        ends = 0
-        for batch in parts:
+    with tail -1. Texts stream by; a block's distinct words are held."""
+    for block, parts in itertools.groupby(_slices(batches), key=lambda x: x[0]):
+        known, held = [], []
+        ends = pending = 0
+        for _, batch in parts:
             h, owner, tail = _words(batch.column("text"))
             out = np.array([is_held_out(d) for d in batch.column("doc_id").to_pylist()], bool)
             ends += int((~out).sum())
             own, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-            words.append(own)
-            tails.append(tail[first])
-            counts.append(np.bincount(inverse, weights=~out[owner], minlength=len(own)).astype(np.int64))
-            held.append(np.bincount(inverse, weights=out[owner], minlength=len(own)) > 0)
-        own, first, inverse = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
-        count = np.bincount(inverse, weights=np.concatenate(counts), minlength=len(own)).astype(np.int64)
-        out = np.bincount(inverse, weights=np.concatenate(held), minlength=len(own)) > 0
-        tail = np.concatenate(tails)[first]
+            known.append((own, np.bincount(inverse, weights=~out[owner], minlength=len(own)).astype(np.int64), tail[first]))
+            held.append(own[np.bincount(inverse, weights=out[owner], minlength=len(own)) > 0])
+            pending += len(own)
+            if pending > HELD:
+                known, held, pending = [_merged(known)], [np.unique(np.concatenate(held))], 0
+        own, count, tail = _merged(known)
+        out = np.isin(own, np.concatenate(held))
         if ends:
             own, count, out, tail = (np.append(a, v) for a, v in ((own, 0), (count, ends), (out, False), (tail, -1)))
         for lo in range(0, len(own), 50_000):
@@ -89,20 +103,13 @@ def _count_words(batches):
                  pa.array(count[cut]), pa.array(out[cut].astype(bool))], names=["block", "word", "tail", "n", "held"])
 
 
-def _by_block(batches):
-    """(block, steps of its rows) for batches sorted by block."""
-    held, last = [], None
-    for batch in steps(batches):
+def _slices(batches):
+    """(block, a step of its rows) of batches sorted by block."""
+    for batch in steps(batches, limit=STEP_BYTES):
         block = batch.column("block").to_numpy()
         cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
         for lo, hi in zip(cuts, cuts[1:]):
-            if held and block[lo] != last:
-                yield last, held
-                held = []
-            held.append(batch.slice(lo, hi - lo))
-            last = int(block[lo])
-    if held:
-        yield last, held
+            yield int(block[lo]), batch.slice(lo, hi - lo)
 
 
 # ---- the network -------------------------------------------------------------
@@ -190,14 +197,18 @@ def log_probabilities(model: dict[str, np.ndarray]) -> np.ndarray:
 
 # ---- scoring -----------------------------------------------------------------
 
-_TABLES: dict[str, np.ndarray] = {}
-
-
-def _table(key: str, model: dict[str, np.ndarray]) -> np.ndarray:
-    if key not in _TABLES:
-        _TABLES.clear()
-        _TABLES[key] = log_probabilities(model)
-    return _TABLES[key]
+def token_log_probabilities(model: dict[str, np.ndarray], one: np.ndarray, two: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each token's class after the classes one
+    and two before it: a row of products for each different context, by
+    which its tokens are normalised."""
+    contexts, which = np.unique(one * CLASSES + two, return_inverse=True)
+    vector = (model["context"] * model["near"])[contexts // CLASSES] + (model["context"] * model["far"])[contexts % CLASSES]
+    norm = np.empty(len(contexts), np.float64)
+    for lo in range(0, len(contexts), 4_096):
+        scores = vector[lo:lo + 4_096] @ model["target"].T + model["bias"]
+        top = scores.max(1)
+        norm[lo:lo + 4_096] = top + np.log(np.exp(scores - top[:, None]).sum(1))
+    return np.einsum("ij,ij->i", vector[which], model["target"][classes]) + model["bias"][classes] - norm[which]
 
 
 def _score(shared):
@@ -209,7 +220,6 @@ def _score(shared):
         rest = log_rest = None
         known, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         block = None
-        table = _table(s["key"], s["model"])
         base_rest = np.log10(tokens + 0.5 * (distinct + 1))
         log_rest = np.log(class_tokens + 0.5 * (class_words + 1))
         for batch in batches:
@@ -234,8 +244,8 @@ def _score(shared):
                     by = np.argsort(known)
                     known, counts = known[by], counts[by]
                     lists = []
-                for texts in steps([part.slice(split)]):
-                    yield _score_texts(texts, known, counts, s, table, top, base_rest, log_rest)
+                for texts in steps([part.slice(split)], limit=STEP_BYTES):
+                    yield _score_texts(texts, known, counts, s, top, base_rest, log_rest)
     return run
 
 
@@ -269,21 +279,32 @@ def _sequences(column: pa.Array, top: np.ndarray):
 
 
 def _count_trigrams(shared):
-    """Counts of all class trigrams of the partition's texts."""
+    """Counts of the class trigrams of the partition's texts; a trigram may
+    come more than once."""
     def run(batches):
-        counts = np.zeros(CLASSES**3, np.int64)
-        for batch in steps(batches):
+        parts, pending = [], 0
+        for batch in steps(batches, limit=STEP_BYTES):
             *_, classes, one, two = _sequences(batch.column("text"), shared.value)
-            keys, n = np.unique((two * CLASSES + one) * CLASSES + classes, return_counts=True)
-            counts[keys] += n
-        keys = np.flatnonzero(counts)
-        for lo in range(0, len(keys), 50_000):
-            cut = keys[lo:lo + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(cut.astype(np.int32)), pa.array(counts[cut])], names=["key", "n"])
+            parts.append(np.unique((two * CLASSES + one) * CLASSES + classes, return_counts=True))
+            pending += len(parts[-1][0])
+            if pending > HELD:
+                parts = [_merged(parts)]
+                pending = 0
+                if len(parts[0][0]) > HELD:
+                    yield from _trigram_rows(*parts[0])
+                    parts = []
+        if parts:
+            yield from _trigram_rows(*_merged(parts))
     return run
 
 
-def _score_texts(batch, known, counts, s, table, top, base_rest, log_rest):
+def _trigram_rows(keys: np.ndarray, counts: np.ndarray):
+    for lo in range(0, len(keys), 50_000):
+        cut = slice(lo, lo + 50_000)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[cut].astype(np.int32)), pa.array(counts[cut])], names=["key", "n"])
+
+
+def _score_texts(batch, known, counts, s, top, base_rest, log_rest):
     ids = [None if z else d for d, z in zip(batch.column("key").to_pylist(), batch.column("null_id").to_pylist())]
     out = np.array([is_held_out(d) for d in ids], bool)
     h, owner, per_text, where, classes, one, two = _sequences(batch.column("text"), top)
@@ -294,7 +315,7 @@ def _score_texts(batch, known, counts, s, table, top, base_rest, log_rest):
     count = np.full(len(classes), s["ends"], np.int64)
     count[where] = c
     text = np.repeat(np.arange(n), per_text + 1)
-    logp = table[one, two, classes].astype(np.float64)
+    logp = token_log_probabilities(s["model"], one, two, classes)
     tails = (classes >= TOP) & (classes < END_CLASS)
     logp[tails] += np.log(count[tails] + 0.5) - log_rest[classes[tails]]
     base = np.log10(count + 0.5) - base_rest
@@ -323,16 +344,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = keyed_texts(docs, id_col, text_col)
     size = texts.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")) if size > BLOCK_BYTES else 1)
-    block = F.pmod(F.xxhash64("doc_id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     dealt = texts.withColumn("block", block)
 
-    # One row for each block and distinct word; a word's rows, one a block, meet once.
-    own = dealt.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(
-        _count_words, "block int, word long, tail int, n long, held boolean")
-    word = Window.partitionBy("word", "tail")
-    seen = stored(own.select("block", "word", "tail", "n", "held", F.sum("n").over(word).alias("total"),
-                             (F.min("block").over(word) == F.col("block")).alias("first")), "word_counts")
-    distinct = seen.filter("first AND total > 0")
+    # One row for each block and distinct word; a word's rows, one a block, meet as sums.
+    own = stored(dealt.repartition(blocks, "block").sortWithinPartitions("block").mapInArrow(
+        _count_words, "block int, word long, tail int, n long, held boolean"), "block_words")
+    totals = stored(own.groupBy("word", "tail").agg(F.sum("n").alias("total")), "word_counts")
+    distinct = totals.filter("total > 0")
     sums = {r["tail"]: r for r in distinct.groupBy("tail").agg(F.sum("total").alias("n"), F.count("*").alias("v")).collect()}
     frequent = distinct.filter("tail >= 0").orderBy(F.desc("total"), "word").limit(TOP).collect()
     class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
@@ -351,14 +370,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     by = np.argsort(keys)
     model = fit(keys[by], counts[by])
     state = {
-        "key": f"{zlib.crc32(b''.join(v.tobytes() for v in model.values()))}", "model": model, "top": top,
+        "model": model, "top": top,
         "class_tokens": class_tokens, "class_words": class_words,
         "tokens": int(sum(r["n"] for r in sums.values())), "distinct": int(sum(r["v"] for r in sums.values())),
         "ends": int(sums[-1]["n"]) if -1 in sums else 0}
     shared = spark.sparkContext.broadcast(state)
 
     # What a block can't know by itself: counts of 2 or more, and lone words that a held-out text may have.
-    sent = seen.filter("tail >= 0 AND (total > 1 OR (total = 1 AND (held OR n = 0)))") \
+    sent = own.join(totals, ["word", "tail"]).filter("tail >= 0 AND (total > 1 OR (total = 1 AND (held OR n = 0)))") \
         .select("block", F.lit(0).alias("kind"), F.col("word").alias("key"), F.lit(False).alias("null_id"),
                 F.col("total").alias("n"), F.lit("").alias("text"))
     scored = dealt.select("block", F.lit(1).alias("kind"), F.coalesce("doc_id", F.lit(0)).alias("key"),
