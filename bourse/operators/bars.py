@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bourse.functions import (MARKET_ZONE, bucket_key, bucket_key_start, in_time_range,
-                              local_to_epoch_ms, safe_div)
+                              local_to_epoch_ms, order_key, safe_div)
 
 BAR_COLUMNS = ["ticker", "bar_start", "open", "high", "low", "close",
                "trades", "volume", "vwap"]
@@ -39,7 +39,9 @@ def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
     times are bucketed on the wall clock of ``zone`` (session zone if None);
     TIMESTAMP_NTZ times are wall clocks already. All aggregates have a
     partial step, so hot tickers are combined
-    map-side before the shuffle. Ticks are grouped on an integer bucket key;
+    map-side before the shuffle. They are hash aggregates if the order is one
+    column, or columns that fit one number (``order_key``: a time and a whole
+    number, say); by any other order each task sorts its ticks. Ticks are grouped on an integer bucket key;
     the bar's timestamp is built once per bar, after aggregation.
     """
     order_by = [ts] if order_by is None else ([order_by] if isinstance(order_by, str)
@@ -50,17 +52,13 @@ def resample_bars(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts",
         bucket_key(F.col(ts), multiplier, timespan, dtype, zone).alias("_k"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
-        _order(order_by).alias("_o"),
+        order_key(order_by, ticks.schema).alias("_o"),
     )
     bars = bucketed.groupBy("ticker", "_k").agg(*bar_aggregates())
     return bars.select("ticker", bucket_key_start(F.col("_k"), timespan).alias("bar_start"),
                        *BAR_COLUMNS[2:])
 
 
-def _order(cols) -> Column:
-    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
-
-
 def bar_aggregates(price: str = "_p", volume: str = "_v", order: str = "_o") -> list[Column]:
     """The OHLCV aggregates of a bar, shared by batch and streaming bars."""
     return [

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
 from bourse.functions import (FIXED_SPAN_SECONDS, MARKET_ZONE, MONDAY_OFFSET_SECONDS,
-                              ingest_epoch_from_path, normalise_span, safe_div, wall_clock)
+                              ingest_epoch_from_path, normalise_span, order_key, safe_div, wall_clock)
 from bourse.operators.bars import BAR_COLUMNS, bar_aggregates
 from bourse.operators.silver import keep_latest, to_silver
 from bourse.schemas import BRONZE_READ, CORRUPT
@@ -128,7 +128,7 @@ def bars_stream(ticks: DataFrame, ticker: str = "ticker", ts: str = "ts", price:
         F.timestamp_seconds(F.unix_timestamp(local)).alias("_evt"),
         F.col(price).alias("_p"),
         (F.col(volume).cast("double") if volume else F.lit(None).cast("double")).alias("_v"),
-        (F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)).alias("_o"),
+        order_key(order_by, ticks.schema).alias("_o"),
     ).withWatermark("_evt", delay)
     start = f"{MONDAY_OFFSET_SECONDS if span == 'week' else 0} seconds"
     window = F.window("_evt", f"{width} seconds", f"{width} seconds", start).alias("_w")
