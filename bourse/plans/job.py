@@ -162,7 +162,7 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
         timespan: str = "day", ingest_epoch: int | None = None,
         calendar_csv: str | None = None, silver_partition: str | None = "year",
         keep: str = "strict", stake: float = gold.DEFAULT_STAKE,
-        multi_line: bool = False) -> dict:
+        multi_line: bool = False, incremental: bool = False, silver_ranges=None) -> dict:
     """Run the requested stages in order; each stage needs the previous one
     to have succeeded in this run or to have its output on storage
     (``bronze_folder(bronze_root, dates)``).
@@ -176,6 +176,9 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
     staged and checked first; the range folder is replaced only when they pass.
     Silver needs bars of a day or coarser, as it is keyed by (date, ticker);
     ``keep="latest"`` resolves tickers landed more than once (D16).
+    ``silver_ranges`` lists the landed ranges that silver is made of (default:
+    ``dates`` alone); with ``incremental`` only the years of bronze files that
+    are new since the last build are built (``build_silver``).
     """
     span = timespan.lower().rstrip("s")
     if do_silver and span not in DAILY_OR_COARSER:
@@ -207,9 +210,10 @@ def run(spark: SparkSession, *, ticks: DataFrame | None = None, symbols_csv: str
     if do_silver:
         if folder is None or silver_path is None or symbols_csv is None:
             raise ValueError("silver stage needs bronze_root, silver_path and symbols_csv")
-        out["silver"] = build_silver(spark, folder, read_company_map(spark, symbols_csv),
+        folders = [bronze_folder(bronze_root, r) for r in silver_ranges] if silver_ranges else [folder]
+        out["silver"] = build_silver(spark, folders, read_company_map(spark, symbols_csv),
                                      silver_path, zone=zone, keep=keep, multi_line=multi_line,
-                                     partition_by=silver_partition)
+                                     partition_by=silver_partition, incremental=incremental)
     if do_gold:
         if silver_path is None or gold_root is None:
             raise ValueError("gold stage needs silver_path and gold_root")
@@ -247,6 +251,10 @@ def main(argv=None) -> None:
                     help="bronze files that hold one document over several lines")
     ap.add_argument("--keep", choices=["strict", "latest"], default="strict",
                     help="duplicate (date, ticker) from re-landing: fail, or keep the latest ingest")
+    ap.add_argument("--silver-ranges", nargs="*", metavar="START:END",
+                    help="landed ranges that silver is made of (default: the range of this run)")
+    ap.add_argument("--incremental", action="store_true",
+                    help="build only the years of bronze files that are new since the last silver")
     ap.add_argument("--flat-silver", action="store_true",
                     help="write silver unpartitioned (default: one folder per year)")
     ap.add_argument("--bronze", action="store_true")
@@ -266,7 +274,8 @@ def main(argv=None) -> None:
         volume=a.volume, multiplier=a.multiplier, timespan=a.timespan,
         order_by=a.order_by.split(",") if a.order_by else None, calendar_csv=a.calendar,
         silver_partition=None if a.flat_silver else "year", keep=a.keep, stake=a.stake,
-        multi_line=a.multi_line)
+        multi_line=a.multi_line, incremental=a.incremental,
+        silver_ranges=[tuple(r.split(":")) for r in a.silver_ranges] if a.silver_ranges else None)
 
 
 if __name__ == "__main__":

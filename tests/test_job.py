@@ -112,6 +112,25 @@ def test_silver_only_run_reads_its_range(spark):
     assert years == {1997}
 
 
+def test_incremental_silver_over_ranges(spark):
+    from bourse.plans.job import main
+    root = shared_dir(spark, "t", "ranges")
+    fx.order_ticks(spark, SF0001).write.parquet(f"{root}/ticks")
+    sym, silver = _symbols_csv(spark), f"{root}/silver"
+    ranges = [f"{y}-01-01:{y}-12-31" for y in (1996, 1997)]
+
+    def land(year, *more):
+        main(["--ticks", f"{root}/ticks", "--symbols", sym, "--bronze-root", f"{root}/bronze", "--silver", silver, "--order-by", "seq",
+              "--start", f"{year}-01-01", "--end", f"{year}-12-31", "--bronze", *more])
+    land(1996)
+    land(1997, "--silver-stage", "--incremental", "--silver-ranges", *ranges)
+    first = dict(versions.current(spark, silver).parts)
+    land(1996, "--silver-stage", "--incremental", "--silver-ranges", *ranges)
+    second = dict(versions.current(spark, silver).parts)
+    assert sorted(first) == sorted(second) == ["year=1996", "year=1997"]
+    assert [y for y in first if first[y] != second[y]] == ["year=1996"]
+
+
 def test_gold_without_years_is_refused(spark):
     with pytest.raises(ValueError, match="year"):
         run(spark, silver_path="s", gold_root="g", do_gold=True)
