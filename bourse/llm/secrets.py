@@ -11,6 +11,7 @@ table of runs keeps those that the random model explains better.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,26 +36,59 @@ SAMPLE_TEXTS = 20_000
 # Log-likelihood ratio (nats) from which a run counts as a secret.
 RATIO = 12.0
 
+# Characters of a piece of a text that is cut up.
+BLOCK = 4096
+
 _SPAN = "array<struct<start:long,kind:int,end:long>>"
 _FOUND = "array<struct<start:long,end:long,found:string>>"
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima, by ``join``) of an array of longs. Each step
+    joins every entry with the one 1, 2, 4, ... before it, so n entries take
+    n log n work; a fold that appends would copy n arrays."""
+    steps = F.slice(F.sequence(F.lit(0), F.lit(30)), 1, F.when(F.size(values) > 1, F.ceil(F.log2(F.size(values)))).otherwise(0).cast("int"))
+
+    def step(a: Column, k: Column) -> Column:
+        before = lambda i: F.get(a, i - F.call_function("shiftleft", F.lit(1), k))
+        return F.transform(a, lambda x, i: F.when(before(i).isNull(), x).otherwise(join(x, before(i))))
+
+    return F.aggregate(steps, values, step)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _located(text: Column, pattern: str, gate: Column) -> Column:
     """Start, end and string of every match of ``pattern`` in order, in code
-    points: the text between matches gives the distances. Empty without
-    ``gate``, a cheap test that every match passes."""
+    points: running sums of the lengths of the matches and of the text
+    between them. Empty without ``gate``, a cheap test that every match
+    passes."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    steps = F.zip_with(between, found, lambda b, m: F.struct(F.length(b).cast("long").alias("skip"), m.alias("found")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_FOUND).alias("out"))
+    lengths = F.zip_with(between, found, lambda b, m: (F.length(b) + F.length(m)).cast("long"))
+    ends = _with(lengths, lambda x: _running(x, lambda p, q: p + q))
+    spans = F.zip_with(ends, found, lambda e, m: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("found")))
+    return F.when(gate, spans.cast(_FOUND)).otherwise(F.array().cast(_FOUND))
+
 
-    def add(a: Column, s: Column) -> Column:
-        begin = a["at"] + s["skip"]
-        end = begin + F.length(s["found"])
-        one = F.struct(begin.alias("start"), end.alias("end"), s["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+def _overlapped(runs: Column, base: Column) -> Column:
+    """For each of ``runs`` (in order, apart from each other), how many of
+    ``base`` overlap it: those that start before its end less those that end
+    by its start. Both counts are running sums over sorted places."""
+    def count(marks: Column, asked: Column, first: int) -> Column:
+        # At equal places the questions come first if ``first`` is 0, else last.
+        events = F.sort_array(F.concat(F.transform(marks, lambda m: F.struct(m.alias("at"), F.lit(1 - first).alias("asks"), F.lit(1).alias("n"))),
+                                       F.transform(asked, lambda r: F.struct(r.alias("at"), F.lit(first).alias("asks"), F.lit(0).alias("n")))))
+        return _with(events, lambda e: F.transform(
+            F.filter(F.arrays_zip(e.alias("e"), _running(F.transform(e, lambda x: x["n"].cast("long")), lambda p, q: p + q).alias("c")),
+                     lambda z: z["e"]["asks"] == first), lambda z: z["c"]))
 
-    return F.when(gate, F.aggregate(steps, start, add, lambda a: a["out"])).otherwise(F.array().cast(_FOUND))
+    before = count(F.transform(base, lambda b: b["start"]), F.transform(runs, lambda r: r["end"]), 0)
+    over = count(F.transform(base, lambda b: b["end"]), F.transform(runs, lambda r: r["start"]), 1)
+    return F.zip_with(before, over, lambda x, y: x - y)
 
 
 def _scan(texts: DataFrame, sampled: Column) -> DataFrame:
@@ -128,7 +162,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     texts = keyed_texts(docs, id_col, text_col)
     share = min(1.0, SAMPLE_TEXTS / max(1, texts.count()))
-    sampled = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(share * 1_000_000)
+    sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < round(share * 1_000_000)
     scanned = stored(_scan(texts, sampled), "secret_scan")
     model = train(scanned)
 
@@ -138,8 +172,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     base = scanned.select("doc_id", "runs", F.sort_array(F.concat(
         spans("assign", 0), spans("access", 1), spans("hex", 2))).alias("base"))
-    added = F.filter("runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])) &
-                     (_ratio(r["found"], model) >= ratio))
+    runs = F.arrays_zip(F.col("runs").alias("run"), _overlapped(F.col("runs"), F.col("base")).alias("hits"))
+    free = F.transform(F.filter(runs, lambda r: r["hits"] == 0), lambda r: r["run"])
+    added = F.when(F.size("runs") > 0, F.filter(free, lambda r: _ratio(r["found"], model) >= ratio)).otherwise(F.col("runs"))
     both = base.withColumn("runs", added).select(
         "doc_id", "base", F.sort_array(F.concat("base", spans("runs", 3))).alias("spans"))
     # A generator of one row keeps filters on the spans from being computed below it again.
@@ -160,15 +195,38 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         _joined(F.col("spans")).alias("spans"), count(3).alias("n_markov"))
 
 
-def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """``text`` with every span (sorted by start; they may overlap) replaced."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+def _blocks(text: Column) -> Column:
+    """``text`` in pieces of BLOCK characters, by halving: finding a character
+    by its number reads all before it, so it should not start at the text's."""
+    halvings = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(F.length(text), F.lit(1)) / BLOCK))).cast("int")
+    sizes = F.transform(F.slice(F.sequence(F.lit(1), F.lit(31)), 1, halvings),
+                        lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), halvings - k) * BLOCK)
 
-    def add(a: Column, s: Column) -> Column:
-        before = F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int"))
-        return F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(a["out"], before, F.lit(mark)).alias("out"))) \
-            .otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out")))
+    def halve(a: Column, n: Column) -> Column:
+        cut = F.transform(a, lambda x: F.when(F.length(x) > n, F.array(F.substring(x, F.lit(1), n.cast("int")),
+                                                                       F.substring(x, (n + 1).cast("int"), n.cast("int")))).otherwise(F.array(x)))
+        return F.flatten(cut)
 
-    return F.when(F.size(spans) > 0, F.aggregate(
-        spans, start, add, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))) \
-        .otherwise(text)
+    return F.aggregate(sizes, F.array(text), halve)
+
+
+def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
+    """``text`` with every span (sorted by start; they may overlap) replaced.
+    Null and empty arrays leave it as it is."""
+    def cut(blocks: Column, a: Column, b: Column) -> Column:
+        """The characters from a to b, block by block."""
+        parts = F.transform(F.sequence(F.floor(a / BLOCK), F.floor((b - 1) / BLOCK)), lambda k: F.substring(
+            F.get(blocks, k.cast("int")), (F.greatest(a - k * BLOCK, F.lit(0)) + 1).cast("int"),
+            (F.least(b - k * BLOCK, F.lit(BLOCK)) - F.greatest(a - k * BLOCK, F.lit(0))).cast("int")))
+        return F.when(b > a, F.array_join(parts, "")).otherwise("")
+
+    def build(blocks: Column) -> Column:
+        reach = _with(F.transform(spans, lambda s: s["end"]), lambda e: _running(e, lambda p, q: F.greatest(p, q)))
+        return _with(reach, lambda r: F.concat(
+            F.array_join(F.transform(
+                F.filter(F.transform(spans, lambda s, i: F.struct(
+                    F.coalesce(F.get(r, i - 1), F.lit(0).cast("long")).alias("at"), s["start"].alias("start"))), lambda g: g["start"] >= g["at"]),
+                lambda g: F.concat(cut(blocks, g["at"], g["start"]), F.lit(mark))), ""),
+            cut(blocks, F.element_at(r, -1), F.length(text).cast("long"))))
+
+    return F.when(F.size(spans) > 0, _with(_blocks(text), build)).otherwise(text)
