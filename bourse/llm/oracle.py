@@ -1,5 +1,64 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express.
+
+Written independently of the Spark code: words, lines and three-word windows
+as rows, counted and joined back. Only thresholds, word list and languages
+come from the rules' table.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from bourse.llm.quality import MAX_REPEAT_PERCENT, MIN_WORDS, RULES, STOP_WORDS, Rule
+
+
+def _passes(rule: Rule) -> str:
+    parts = []
+    if rule.least is not None:
+        parts.append(f"{rule.over} >= CAST({rule.least} AS DOUBLE) * {rule.under}")
+    if rule.most is not None:
+        parts.append(f"{rule.over} <= CAST({rule.most} AS DOUBLE) * {rule.under}")
+    ok = f"({' AND '.join(parts)})"
+    if rule.languages is not None:
+        known = ", ".join(f"'{x}'" for x in rule.languages)
+        ok = f"({ok} OR coalesce(lang NOT IN ({known}), true))"
+    return ok
+
+
+_STOP = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+
+QUALITY_RULES = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT rid, doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM t),
+windows AS (
+  SELECT rid, k, ws[k] AS a, ws[k + 1] AS b, ws[k + 2] AS c
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS k FROM w WHERE len(ws) >= 3)),
+twice AS (
+  SELECT rid, a, b, c FROM windows GROUP BY rid, a, b, c HAVING count(*) > 1),
+covered AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (
+    SELECT rid, unnest([k, k + 1, k + 2]) AS p FROM windows JOIN twice USING (rid, a, b, c))
+  GROUP BY rid),
+m AS (
+  SELECT doc_id, lang, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+         coalesce(list_sum(list_transform(ls, lambda x: length(x))), 0) AS line_chars,
+         coalesce(list_sum(list_transform(ls, lambda x: length(x))), 0)
+           - coalesce(list_sum(list_transform(list_distinct(ls), lambda x: length(x))), 0) AS dup_line_chars,
+         len(list_filter(ls, lambda x: left(ltrim(x, ' '), 2) IN ('- ', '* ', '• '))) AS n_bullet_lines,
+         len(list_filter(ls, lambda x: rtrim(x, ' ') LIKE '%...' OR rtrim(x, ' ') LIKE '%…')) AS n_ellipsis_lines,
+         len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words
+  FROM w LEFT JOIN covered USING (rid)),
+judged AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+         {", ".join(f"{_passes(r)} AS {r.name}_ok" for r in RULES)}
+  FROM m)
+SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {" AND ".join(f"{r.name}_ok" for r in RULES)} AS kept,
+       {", ".join(f"{r.name}_ok" for r in RULES)}
+FROM judged"""
+
+ORACLE: dict[str, str] = {"op9_quality_rules": QUALITY_RULES}

@@ -24,15 +24,21 @@ STOP_WORDS = (
 ).split()
 
 
+# The languages of those words, as the tables name them.
+LANGUAGES = ("en", "de", "fr", "es")
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A ratio of two measures that must lie between ``least`` and ``most``."""
+    """A ratio of two measures that must lie between ``least`` and ``most``.
+    With ``languages`` it judges texts of these only; any other passes it."""
 
     name: str
     over: str
     under: str
     least: float | None = None
     most: float | None = None
+    languages: tuple[str, ...] | None = None
 
     def passes(self) -> Column:
         # Compared as products, so that no division can fail.
@@ -42,13 +48,15 @@ class Rule:
             ok = ok & (over >= F.lit(self.least) * under)
         if self.most is not None:
             ok = ok & (over <= F.lit(self.most) * under)
+        if self.languages is not None:
+            ok = ok | ~F.coalesce(F.col("lang").isin(*self.languages), F.lit(False))
         return ok
 
 
 RULES = (
-    Rule("mean_word_length", "word_chars", "n_words", 2.0, 15.0),
+    Rule("mean_word_length", "word_chars", "n_words", 2.0, 15.0, LANGUAGES),
     Rule("symbol_ratio", "n_symbols", "n_words", most=0.1),
-    Rule("stop_word_ratio", "n_stop_words", "n_words", least=0.06),
+    Rule("stop_word_ratio", "n_stop_words", "n_words", least=0.06, languages=LANGUAGES),
     Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", most=0.4),
     Rule("duplicate_line_chars", "dup_line_chars", "line_chars", most=0.5),
     Rule("bullet_line_ratio", "n_bullet_lines", "n_lines", most=0.9),
@@ -99,12 +107,15 @@ def _repeat_words(h: Column) -> Column:
     return F.when(F.size(F.array_distinct(h)) == n, F.lit(0).cast("long")).otherwise(covered)
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and every measure that the rules use. A null text is empty."""
+def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, lang and every measure that the rules use. A null text is
+    empty; without a column ``lang_col`` every text counts as one of
+    LANGUAGES."""
+    lang = F.col(lang_col).cast("string") if lang_col in docs.columns else F.lit(LANGUAGES[0])
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     trimmed = F.trim(text, F.lit(" \t\n\x0b\x0c\r"))
     parts = docs.select(
-        F.col(id_col).alias("doc_id"), text.alias("t"),
+        F.col(id_col).alias("doc_id"), lang.alias("lang"), text.alias("t"),
         F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)).alias("w"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(WORDY)).alias("lines"))
     w = F.col("w")
@@ -115,7 +126,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     lines, distinct = F.col("lines"), F.col("distinct")
     # A generator of one row: filters on the measures stay above it, where
     # they are computed once, and aren't copied into the steps below.
-    return parts.select("doc_id", F.inline(F.array(F.struct(
+    return parts.select("doc_id", "lang", F.inline(F.array(F.struct(
         F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
@@ -130,15 +141,16 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
+                  text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, then a boolean per rule, for every row of ``docs``.
 
-    Null, empty and blank texts have no words and fail. Repeated rows give
+    Null, empty and blank texts have no words and fail. Rules that know some
+    languages only let texts of any other, or of none, pass. Repeated rows give
     repeated results; a null doc_id passes through; an empty table gives an
     empty result; other columns are ignored.
     """
-    m = measures(docs, id_col, text_col)
+    m = measures(docs, id_col, text_col, lang_col)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     kept = ~failed
     for rule in rules:
