@@ -6,6 +6,9 @@ units one after the other. Units repeat, so each process keeps the ids of
 units it has seen (at most KEPT_UNITS) and puts only new ones to the
 tokenizers library: plain lower-case words to its BPE model, all others to
 the whole tokenizer. A test holds the result against whole-text encoding.
+
+A vocabulary for which that doesn't hold for PROBES, or has no such model,
+is used on whole texts.
 """
 
 from __future__ import annotations
@@ -13,7 +16,9 @@ from __future__ import annotations
 import re
 from array import array
 
-KEPT_UNITS = 1_500_000
+KEPT_UNITS = 750_000
+# Texts that show whether units can be encoded by themselves (fixed values).
+PROBES = ("a b", " the  cat's\t12 Dogs,\nall of them ", "Über größe, ÿ élan!", "x\ry <b> 漢字 z.", "don't stop? ümlaut: ")
 # Letters that stay one piece under composition and lower-casing.
 _LETTERS = re.compile("[a-zß-öø-ÿ]+")
 _TAILS = ".,;:!?"
@@ -30,6 +35,10 @@ class UnitEncoder:
         self.bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
         self.cache: dict[str, bytes] = {"": b""}
         self.tails = {c: self._whole(c) for c in _TAILS}
+        try:
+            self.by_unit = all(b"".join(self.unit_ids(p)[1]) == self._whole(p) for p in PROBES)
+        except Exception:  # a model that can't encode a single word
+            self.by_unit = False
 
     def _whole(self, unit: str) -> bytes:
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
@@ -72,7 +81,7 @@ class UnitEncoder:
         return units, ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(self.unit_ids(text)[1])
+        return b"".join(self.unit_ids(text)[1]) if self.by_unit else self._whole(text)
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}

@@ -30,6 +30,9 @@ def token_spans(text: str, path: str) -> np.ndarray:
     """Start and end of every token of a text, in code points."""
     known = _SPANS.setdefault(path, {})
     enc = encoder(path)
+    if not enc.by_unit:
+        found = enc.tokenizer.encode(text, add_special_tokens=False).offsets
+        return np.array(found, np.int64).reshape(-1, 2)
     units = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
     parts = list(map(known.get, units))
     for k, part in enumerate(parts):

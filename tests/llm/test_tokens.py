@@ -26,6 +26,18 @@ def test_units_give_whole_text_ids(docs):
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == _whole(text).ids
 
 
+def test_vocabulary_that_joins_across_spaces(docs):
+    """Another vocabulary is used on whole texts."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc = UnitEncoder(path)
+    assert UnitEncoder(PATH).by_unit and not enc.by_unit
+    for text in [r.text for r in docs.select("text").limit(50).collect()] + ODD:
+        whole = enc.tokenizer.encode(text, add_special_tokens=False)
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole.ids
+        assert token_counts.token_spans(text, path).tolist() == [list(o) for o in whole.offsets]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=60))
 def test_units_give_whole_text_ids_any(text):
