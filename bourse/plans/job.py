@@ -27,7 +27,7 @@ from bourse.operators import gold, quality
 from bourse.operators.bars import bronze_documents, document_period, resample_bars, ticks_in_range
 from bourse.operators.silver import keep_latest, silver_rows
 from bourse.schemas import SILVER, SILVER_KEY
-from bourse.session import staged
+from bourse.session import scratch, staged
 from bourse.sinks import bronze_folder, land_documents, versions, write_gold, write_silver
 from bourse.sources.readers import (bronze_files, read_bronze_files, read_calendar, read_company_map,
                                     read_silver, read_symbols)
@@ -49,8 +49,16 @@ def build_silver(spark: SparkSession, bronze_path, company_map: DataFrame,
     they hold. With ``incremental`` and such a version, only files that are
     new, and those that share a year with a new or vanished one, are parsed,
     and only those years are written; the result equals a full build. A
-    changed company map, zone or ``keep`` makes a full build.
+    changed company map, zone or ``keep`` makes a full build. Staged tables
+    are removed at the end.
     """
+    with scratch(spark):
+        _build_silver(spark, bronze_path, company_map, silver_path, zone, keep, multi_line, partition_by, incremental)
+    return read_silver(spark, silver_path)
+
+
+def _build_silver(spark: SparkSession, bronze_path, company_map: DataFrame, silver_path: str, zone: str, keep: str,
+                  multi_line: bool, partition_by: str | None, incremental: bool) -> None:
     if keep not in ("strict", "latest"):
         raise ValueError("keep must be 'strict' or 'latest'")
     paths = [bronze_path] if isinstance(bronze_path, str) else list(bronze_path)
@@ -69,7 +77,7 @@ def build_silver(spark: SparkSession, bronze_path, company_map: DataFrame,
         new, held = present.join(used, same, "left_anti"), used.join(present, same, "left_semi")
         gone = used.join(present, same, "left_anti").select("year")
         if new.isEmpty() and gone.isEmpty():
-            return read_silver(spark, silver_path)
+            return
         fresh = _stage_rows(spark, _names(new), company_map, zone, multi_line)
         years = {r.year for r in fresh.select(F.year("date").alias("year")).unionByName(gone).distinct().collect()}
         touched = F.col("year").isin([y for y in years if y is not None]) | (F.lit(None in years) & F.col("year").isNull())
@@ -83,7 +91,6 @@ def build_silver(spark: SparkSession, bronze_path, company_map: DataFrame,
     listed = f"{silver_path.rstrip('/')}/_sources/{uuid.uuid4().hex[:12]}"
     sources.write.parquet(listed)
     write_silver(silver, silver_path, partition_by=partition_by, only_years=years, notes={**made_with, "sources": listed})
-    return read_silver(spark, silver_path)
 
 
 def _names(files: DataFrame) -> list[str]:
@@ -139,13 +146,14 @@ def run_gold(prices, gold_root: str, years, stake: float = gold.DEFAULT_STAKE,
         full, half = year_ranges(y)
         name = {k: f"{gold_root}/{v.format(year=y)}" for k, v in GOLD_OUTPUTS.items()}
         src = read_silver(spark, prices, full) if isinstance(prices, str) else prices
-        answer = gold.answers(src, full, stake, growth_dates=half, calendar=calendar)
-        answer["summary"] = answer["summary"].drop("year")
-        # small, latency-bound jobs: submit them together (Spark runs jobs
-        # from several threads concurrently)
-        with ThreadPoolExecutor(max_workers=len(answer)) as pool:
-            for f in [pool.submit(write_gold, df, name[k], True) for k, df in answer.items()]:
-                f.result()
+        with scratch(src.sparkSession):
+            answer = gold.answers(src, full, stake, growth_dates=half, calendar=calendar)
+            answer["summary"] = answer["summary"].drop("year")
+            # small, latency-bound jobs: submit them together (Spark runs jobs
+            # from several threads concurrently)
+            with ThreadPoolExecutor(max_workers=len(answer)) as pool:
+                for f in [pool.submit(write_gold, df, name[k], True) for k, df in answer.items()]:
+                    f.result()
 
 
 # Bar widths whose bars fall on distinct dates, as silver's (date, ticker)

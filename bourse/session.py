@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,10 +81,39 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, *parts, uuid.uuid4().hex])
 
 
+# Folders staged inside each open ``scratch`` block.
+_OPEN: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+def scratch_dir(spark: SparkSession, *parts: str) -> str:
+    """``shared_dir`` for a table that only later steps read: an enclosing
+    ``scratch`` block removes it."""
+    path = shared_dir(spark, *parts)
+    held = _OPEN.get()
+    if held is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that were staged inside it. Write what
+    the block computes before it ends: frames that still read those tables
+    are of no use after it. Without such a block staged tables stay."""
+    token = _OPEN.set([])
+    try:
+        yield
+    finally:
+        path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+        for folder in _OPEN.get():
+            path(folder).getFileSystem(conf).delete(path(folder), True)
+        _OPEN.reset(token)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a fresh shared folder and read back: cuts the
     lineage and survives lost executors."""
-    path = shared_dir(df.sparkSession, "bourse", "staged", name)
+    path = scratch_dir(df.sparkSession, "bourse", "staged", name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -1,6 +1,7 @@
 """Versioned bronze and silver: killed writes, kept parts, one parse, incremental builds."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from bourse.operators import quality
 from bourse.operators.bars import daily, resample_bars, ticks_in_range
 from bourse.plans.job import build_silver
-from bourse.session import shared_dir, staged
+from bourse.session import local_path, scratch, shared_dir, staged
 from bourse.sinks import land_bronze, versions, write_silver
 from bourse.sources import fixtures as fx
 from bourse.sources.readers import read_bronze, read_silver
@@ -136,3 +137,29 @@ def test_incremental_build_rewrites_touched_years_only(spark):
     with pytest.raises(quality.ValidationError):  # strict: the ranges overlap
         _equal_to_full(spark, folders[1:], path)
     assert dict(versions.current(spark, path).parts) == five
+
+
+def test_staged_tables_are_removed(spark):
+    """Scratch blocks remove their own tables, also nested and after a failure."""
+    outer, left = [], staged(spark.range(3), "left")
+    with pytest.raises(RuntimeError):
+        with scratch(spark):
+            a = staged(spark.range(4), "a")
+            outer += a.inputFiles()
+            with scratch(spark):
+                b = staged(a, "b")
+                inner = b.inputFiles()
+                assert b.count() == 4
+            assert not any(os.path.exists(local_path(f)) for f in inner) and a.count() == 4
+            raise RuntimeError
+    assert outer and not any(os.path.exists(local_path(f)) for f in outer) and left.count() == 3
+
+
+def test_build_leaves_only_its_versions(spark, monkeypatch):
+    import bourse.session as session
+    made, real = [], session.scratch_dir
+    monkeypatch.setattr(session, "scratch_dir", lambda *a: made.append(real(*a)) or made[-1])
+    root = shared_dir(spark, "t", "left")
+    folder = _land(spark, f"{root}/bronze", 1996)
+    silver = build_silver(spark, folder, fx.company_map(spark, SF0001), f"{root}/silver", zone="UTC", incremental=True)
+    assert made and not any(os.path.exists(local_path(p)) for p in made) and silver.count() > 0
