@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bourse.session import shared_dir
+from bourse.session import scratch_dir
 
 # Text handled by one numpy step; longer texts make a step of their own.
 STEP_BYTES = 2 << 20
@@ -26,9 +26,10 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the cluster's shared folder and read it back: cuts
-    the lineage, survives lost executors."""
+    the lineage, survives lost executors. An enclosing ``session.scratch``
+    block removes it at its end."""
     spark = df.sparkSession
-    path = shared_dir(spark, "bourse", name)
+    path = scratch_dir(spark, "bourse", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -267,6 +267,34 @@ def test_leaks(spark, docs):
     assert {g for g in got if g[0] % 12 == g[1] % 50} == want and len(got) == len(set(got))
 
 
+def _least_distance(item, text):
+    """Smallest edit distance of the item to any part of the text, a row of
+    the whole table at a time."""
+    codes, at = np.array([ord(c) for c in text], np.int64), np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, c in enumerate(item, 1):
+        new = np.minimum(row + 1, np.concatenate(([i], row[:-1] + (codes != ord(c)))))
+        row = np.minimum.accumulate(new - at) + at
+    return int(row.min())
+
+
+def test_leaks_against_all_pairs(spark, few):
+    """Every item against every text: nothing is missed, nothing else found."""
+    bench = table(spark, SF001, "benchmark").orderBy("item_id").limit(30)
+    items = [(r.item_id, d.normal(r.text)) for r in bench.collect()]
+    rows = few.select("doc_id", "text").orderBy("doc_id").limit(120).collect()
+    planted = [(1_000 + k, f"{rows[k].text[:150]} {items[k % 30][1][:-3]} {rows[k].text[150:300]}") for k in range(10)]
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in rows] + planted, "doc_id long, text string")
+    want = set()
+    for i, text in [(r.doc_id, r.text) for r in rows] + planted:
+        for k, item in items:
+            far = _least_distance(item, d.normal(text))
+            if far <= len(item) // d.EDIT_SHARE:
+                want.add((i, k, far))
+    assert len(want) >= 10
+    assert sorted(tuple(r) for r in d.benchmark_matches(df, bench).collect()) == sorted(want)
+
+
 def test_leaks_in_blocks_and_odd_rows(spark, odd, monkeypatch):
     bench = spark.createDataFrame([(1, "beta gamma delta"), (1, "beta gamma delta"), (2, None), (3, "ALPHA  beta"), (4, "zzzz")],
                                   "item_id long, text string")
