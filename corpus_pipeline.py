@@ -13,7 +13,7 @@ from bourse.llm.packing import pack
 from bourse.llm.quality import quality_rules
 from bourse.llm.queries import vocabulary
 from bourse.llm.secrets import redacted, secret_spans
-from bourse.session import shared_dir
+from bourse.session import scratch, shared_dir
 
 # Percent of shared shingles from which two documents are near-duplicates.
 SIMILAR = 80
@@ -100,9 +100,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``; each one's result is
+    written to the shared folder and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = shared_dir(spark, "bourse", "pipeline", name.replace(" ", "_"))
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):  # what the stage has staged goes once its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
