@@ -15,15 +15,23 @@ Steps, all as Spark jobs:
    to it: at most one edge per node and band, never the pairs of a bucket.
    The components of these edges are the loose clusters: any two nodes that
    share a bucket are in one.
-3. Within each loose cluster the full sets are compared exactly. Clusters
-   of more than BLOCK nodes are cut into blocks that meet two at a time, so
-   no task holds a whole large cluster. A block gives the edges of a
-   spanning forest of its links, not its pairs. The components of these
-   links are the classes.
+3. Each node's full set is first compared with its smallest centre's, centre
+   by centre (a centre of very many nodes is repeated for parts of them). The
+   components of the links found are the first classes. A bucket whose nodes
+   are all of one class has nothing more to give: a group of any number of
+   near copies that are linked with their centres is settled here, each set
+   sent twice at most.
+4. Buckets that still hold several classes give the loose clusters: any two
+   nodes of different classes that share a bucket are in one. In each, the
+   nodes outside its largest class are compared with all others, exactly, in
+   blocks of BLOCK nodes that meet two at a time, so no task holds a whole
+   large cluster. A block gives the edges of a spanning forest of its links,
+   not its pairs. The components of all links are the classes.
 
 Two sets with similarity s share no bucket with probability
-(1 - s**ROWS)**(BINS/ROWS), 2e-6 at 0.85. With seven rows it is 1e-5 at 0.8. Work inside a loose cluster grows
-with the square of its number of different sets; copies don't count.
+(1 - s**ROWS)**(BINS/ROWS), 2e-6 at 0.85. With seven rows it is 1e-5 at 0.8.
+Work grows with the square of a loose cluster's number of different sets
+outside its largest class; copies, and near copies of a centre, don't count.
 """
 
 from __future__ import annotations
@@ -207,14 +215,79 @@ def _confirm(percent: int):
     return run
 
 
-def candidate_clusters(signed: DataFrame) -> DataFrame:
-    """(node, component) of the star edges of all buckets."""
-    member = signed.filter("node IS NOT NULL").select(F.explode("bands").alias("bucket"), "node") \
+def _with_centre(percent: int):
+    """Links of nodes with the centre of their group; the centre comes first."""
+    def run(batches):
+        key = centre = own = None
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            cols = (batch.column(c).to_pylist() for c in ("pairs", "node", "shingles"))
+            for pairs, node, raw in zip(*cols):
+                mine = np.frombuffer(raw, np.uint64)
+                if pairs != key:
+                    key, centre, own = pairs, node, mine
+                elif 100 * (both := len(np.intersect1d(own, mine, assume_unique=True))) >= percent * (len(own) + len(mine) - both):
+                    a.append(centre)
+                    b.append(node)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return run
+
+
+def buckets(signed: DataFrame) -> DataFrame:
+    """(bucket, node), each once."""
+    return signed.filter("node IS NOT NULL").select(F.explode("bands").alias("bucket"), "node") \
         .groupBy("bucket", "node").agg(F.lit(1).alias("one")).select("bucket", "node")
+
+
+def star_edges(member: DataFrame) -> DataFrame:
+    """(a, b): every node b of a bucket with the bucket's centre a, each pair once."""
     centre = member.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
-    stars = stored(member.join(centre, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct(),
-                   "stars")
-    return connected_components(contracted(stars))
+    return member.join(centre, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+
+
+def _packed_sets(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(pairs, node, shingles): the set of every node of ``wanted`` (node,
+    pairs array) under each of its pairs; ``one`` names a row for each node."""
+    chosen = wanted.join(one, "node").select("rid", "node", "pairs")
+    return texts.select("rid", "text").join(chosen, "rid").dropDuplicates(["node"]) \
+        .mapInArrow(_pack, "node long, pairs array<long>, shingles binary") \
+        .select("node", F.explode("pairs").alias("pairs"), "shingles")
+
+
+def _first_links(texts: DataFrame, one: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Links of nodes with their smallest centre."""
+    lowest = stored(stars.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("centre")), "lowest_centres")
+    parts = stored(lowest.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts")), "parts")
+    member = lowest.join(parts, "centre").select("node", F.xxhash64("centre", F.pmod(F.hash("node"), F.col("parts"))).alias("pairs"))
+    leading = parts.select(F.col("centre").alias("node"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("k")) \
+        .select("node", F.xxhash64("node", "k").alias("pairs"))
+    wanted = member.unionByName(leading).groupBy("node").agg(F.collect_set("pairs").alias("pairs"))
+    # A centre is the smallest node of its group, so it sorts first.
+    return _packed_sets(texts, one, wanted).repartition("pairs").sortWithinPartitions("pairs", "node") \
+        .mapInArrow(_with_centre(percent), "a long, b long")
+
+
+def _block_pairs(member: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, pairs array): the block pairs in which nodes of different
+    classes that share a bucket meet."""
+    named = stored(member.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class")), "named_members")
+    mixed = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("bucket")
+    left = stored(named.join(stored(mixed, "mixed"), "bucket"), "mixed_members")
+    loose = stored(connected_components(contracted(stored(star_edges(left.select("bucket", "node")), "stars"))), "loose")
+    loose = loose.join(left.select("node", "class").distinct(), "node")
+    share = loose.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n"))
+    size = share.groupBy("component").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("n_main"),
+                                          F.sum("n").alias("n"))
+    size = stored(size.select("component", "main", F.ceil(F.col("n_main") / BLOCK).cast("int").alias("mains"),
+                              F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int").alias("strays")), "loose_sizes")
+    # Blocks of the largest class come after the others and don't meet each other.
+    placed = loose.join(size, "component")
+    is_main = F.col("class") == F.col("main")
+    block = F.when(is_main, F.col("strays") + F.pmod(F.hash("node"), F.col("mains"))).otherwise(F.pmod(F.hash("node"), F.col("strays")))
+    last = F.when(is_main, F.col("strays")).otherwise(F.col("strays") + F.col("mains")) - 1
+    return placed.select("node", "component", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other")) \
+        .groupBy("node").agg(F.collect_set(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other"))).alias("pairs"))
 
 
 def contracted(stars: DataFrame) -> DataFrame:
@@ -252,23 +325,14 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 85, rows: int = ROWS, id
     # Rows are told apart by id and text: ids may be shared or null.
     texts = keyed_texts(docs, id_col, text_col).withColumn("rid", row_key())
     signed = stored(texts.mapInArrow(_sign(rows), "doc_id long, rid long, node long, n_shingles long, bands array<long>"), "signed")
-    loose = stored(candidate_clusters(signed), "loose")
-
-    # A block pair of a cluster is a group; small clusters have one block.
-    size = loose.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.hash("node"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = loose.join(size, "component").select("node", "component", block.alias("block"), other) \
-        .groupBy("node").agg(F.collect_set(F.xxhash64("component", F.least("block", "other"),
-                                                      F.greatest("block", "other"))).alias("pairs"))
-    one = signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("rid").alias("rid"))
-    chosen = placed.join(one, "node").select("rid", "node", "pairs")
-    sets = texts.select("rid", "text").join(chosen, "rid").dropDuplicates(["node"]) \
-        .mapInArrow(_pack, "node long, pairs array<long>, shingles binary") \
-        .select("node", F.explode("pairs").alias("pairs"), "shingles")
+    member = stored(buckets(signed), "buckets")
+    one = stored(signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("rid").alias("rid")), "rows_of_nodes")
+    first = stored(_first_links(texts, one, stored(star_edges(member), "stars"), percent), "links")
+    # A block pair of a cluster is a group; small clusters have few.
+    sets = _packed_sets(texts, one, _block_pairs(member, connected_components(first).select("node", "component")))
     links = stored(sets.repartition("pairs").sortWithinPartitions("pairs")
                    .mapInArrow(_confirm(percent), "a long, b long"), "links")
-    classes = connected_components(links)
+    classes = connected_components(first.unionByName(links))
 
     named = signed.select("doc_id", "rid", "node", "n_shingles")
     alone = named.filter("node IS NULL").select("doc_id", "rid", "n_shingles", F.col("node").alias("class"),

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from bourse.llm import minhash_dedup as m
 from bourse.llm.components import connected_components
@@ -75,6 +76,37 @@ def test_large_cluster_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in m.near_duplicates(df).collect()} == want
 
 
+def test_near_copies_of_a_centre_are_sent_twice_at_most(spark, monkeypatch):
+    """Thousands of different near copies: every one is linked with its
+    centre, and nothing is left for the comparison in blocks."""
+    base = [f"w{k}" for k in range(300)]
+    rows = [(i, " ".join([*base[:i % 300], f"x{i}", *base[i % 300 + 1:]])) for i in range(3_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sent, real = [], m._packed_sets
+    monkeypatch.setattr(m, "_packed_sets", lambda texts, one, wanted: sent.append(
+        wanted.select(F.size("pairs").alias("n")).agg({"n": "sum"}).first()[0] or 0) or real(texts, one, wanted))
+    assert {r.component_id for r in m.near_duplicates(df).collect()} == {0}
+    assert 3_000 <= sent[0] <= 2 * 3_000 and sent[1] == 0
+
+
+def test_strays_in_blocks(spark, monkeypatch):
+    """Nodes outside the largest class meet all others, in blocks."""
+    rng = np.random.default_rng(12)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(140):
+        words = list(base)
+        for k in rng.choice(150, int(rng.integers(0, 9)) if i % 2 else 1, replace=False):
+            words[k] = f"x{rng.integers(60)}"
+        rows.append((i, " ".join(words)))
+    want = _brute([i for i, _ in rows], _sets([t for _, t in rows]))
+    assert 2 < len(set(want.values())) < 140
+    for block in (8, 512):
+        monkeypatch.setattr(m, "BLOCK", block)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert {r.doc_id: r.component_id for r in m.near_duplicates(df).collect()} == want
+
+
 def test_signature_estimates_similarity():
     a = [f"w{k}" for k in range(400)]
     b = a[:200] + [f"v{k}" for k in range(200)]
@@ -101,21 +133,21 @@ def test_odd_rows(spark, odd):
 
 def test_shared_and_null_ids(spark):
     """Rows that share an id keep their own texts, in every order; rows
-    without an id are compared as well."""
-    words = [f"w{k}" for k in range(200)]
-    x, near, y = " ".join(words), " ".join([*words[:-1], "z"]), " ".join(f"v{k}" for k in range(50))
-    for rows, want in (
-            ([(5, x), (5, y), (7, near)], {(5, x): 5, (5, y): 5, (7, near): 5}),
-            ([(5, y), (4, x), (7, near), (5, x)], {(5, y): 5, (4, x): 4, (7, near): 4, (5, x): 4}),
-            ([(1, x), (None, near)], {(1, x): 1, (None, near): 1}),
-            ([(None, x), (None, near), (3, y)], {(None, x): None, (None, near): None, (3, y): 3})):
-        for order in itertools.permutations(rows):
-            df = spark.createDataFrame(list(order), "doc_id long, text string").coalesce(1)
-            keys = {r.rid: (r.doc_id, r.text) for r in df.withColumn("rid", m.row_key()).collect()}
-            got = {keys[r.rid]: r.component_id for r in m.near_duplicate_rows(df).collect()}
-            assert got == want
-            if len(rows) > 3:
-                break
+    without an id are compared as well. Each order has ids and words of its own."""
+    cases = [([(5, "x"), (5, "y"), (7, "near")], {(5, "x"): 5, (5, "y"): 5, (7, "near"): 5}),
+             ([(5, "y"), (4, "x"), (7, "near"), (5, "x")], {(5, "y"): 5, (4, "x"): 4, (7, "near"): 4, (5, "x"): 4}),
+             ([(1, "x"), (None, "near")], {(1, "x"): 1, (None, "near"): 1}),
+             ([(None, "x"), (None, "near"), (3, "y")], {(None, "x"): None, (None, "near"): None, (3, "y"): 3})]
+    rows, want = [], {}
+    for n, (order, classes) in enumerate((o, w) for rs, w in cases for o in itertools.permutations(rs)):
+        words = [f"w{n}_{k}" for k in range(200)]
+        text = {"x": " ".join(words), "near": " ".join([*words[:-1], "z"]), "y": " ".join(f"v{n}_{k}" for k in range(50))}
+        moved = lambda i, n=n: None if i is None else 100 * n + i
+        rows += [(moved(i), text[t]) for i, t in order]
+        want |= {(moved(i), text[t]): moved(c) for (i, t), c in classes.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keys = {r.rid: (r.doc_id, r.text) for r in df.withColumn("rid", m.row_key()).collect()}
+    assert {keys[r.rid]: r.component_id for r in m.near_duplicate_rows(df).collect()} == want
 
 
 def test_components(spark):
