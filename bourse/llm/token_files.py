@@ -58,13 +58,16 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END,
     repeated rows are all written; null ids come first; an empty table
     writes no documents."""
     texts = keyed_texts(docs, id_col, text_col)
-    texts.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text") \
+    # Rows that share an id, or have none, are split by their texts.
+    texts.repartitionByRange("doc_id", F.substring("text", 1, 256), F.xxhash64("text")).sortWithinPartitions("doc_id", "text") \
         .mapInArrow(_encode(tokenizer, end), SCHEMA).write.options(**ORC).orc(path)
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, row, ids and the file's number. A filter on doc_id reaches the
-    files' indexes and Bloom filters."""
+    """doc_id, row, ids and the file's number, as ``write_token_ids`` wrote
+    them: null ids, repeated rows and documents of any length are rows like
+    any other; a folder without documents gives none. A filter on doc_id
+    reaches the files' indexes and Bloom filters."""
     return spark.read.schema(SCHEMA).orc(path).withColumn(
         "file", F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long"))
 
@@ -85,7 +88,10 @@ def _digest(batches):
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files:
     start counts the ids of all documents before it. Sums run within a file
-    first; the running sum over files has a row per file."""
+    first; the running sum over files has a row per file. A null doc_id passes
+    through (such documents come first), repeated rows have a start each, a
+    document without text has its end id alone, and a folder without documents
+    gives an empty result."""
     rows = read_token_ids(spark, path).mapInArrow(
         _digest, "file long, row long, doc_id long, n_tokens long, ids_crc32 long")
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
