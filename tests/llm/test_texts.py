@@ -65,13 +65,6 @@ def test_quality_is_native_and_packs_no_windows_wrongly(spark, odd, docs, monkey
     assert q.quality_rules(odd.limit(0)).collect() == []
 
 
-def test_quality_sql(docs):
-    """The registered SQL over the whole table gives the same rows."""
-    from __spark_entry__ import oracle_sql
-    from tools.check_oracle import compare, duck
-    assert compare(q.quality_rules(docs).toPandas(), duck(SF001).sql(oracle_sql()["op9_quality_rules"]).df()) == "OK"
-
-
 def test_quality_of_other_languages(spark):
     """Rules made for some languages leave the others to the other rules."""
     words = [f"словоненайденное{k}" for k in range(80)]  # noqa: RUF001
