@@ -234,16 +234,18 @@ def _with_centre(percent: int):
     return run
 
 
-def buckets(signed: DataFrame) -> DataFrame:
-    """(bucket, node), each once."""
-    return signed.filter("node IS NOT NULL").select(F.explode("bands").alias("bucket"), "node") \
+def shared_buckets(signed: DataFrame) -> DataFrame:
+    """(bucket, node, centre) of all buckets with two nodes or more, each row
+    once; the centre is the smallest node."""
+    member = signed.filter("node IS NOT NULL").select(F.explode("bands").alias("bucket"), "node") \
         .groupBy("bucket", "node").agg(F.lit(1).alias("one")).select("bucket", "node")
+    centre = member.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).filter("centre < last")
+    return member.join(centre, "bucket").select("bucket", "node", "centre")
 
 
 def star_edges(member: DataFrame) -> DataFrame:
-    """(a, b): every node b of a bucket with the bucket's centre a, each pair once."""
-    centre = member.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last")
-    return member.join(centre, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct()
+    """(a, b): every node b with the centre a of a bucket, each pair once."""
+    return member.filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
 
 def _packed_sets(texts: DataFrame, one: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -271,10 +273,11 @@ def _first_links(texts: DataFrame, one: DataFrame, stars: DataFrame, percent: in
 def _block_pairs(member: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, pairs array): the block pairs in which nodes of different
     classes that share a bucket meet."""
-    named = stored(member.join(classes, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("class")), "named_members")
+    named = stored(member.join(classes, "node", "left").select("bucket", "node", "centre", F.coalesce("component", "node").alias("class")),
+                   "named_members")
     mixed = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("bucket")
     left = stored(named.join(stored(mixed, "mixed"), "bucket"), "mixed_members")
-    loose = stored(connected_components(contracted(stored(star_edges(left.select("bucket", "node")), "stars"))), "loose")
+    loose = stored(connected_components(contracted(stored(star_edges(left), "stars"))), "loose")
     loose = loose.join(left.select("node", "class").distinct(), "node")
     share = loose.groupBy("component", "class").agg(F.count(F.lit(1)).alias("n"))
     size = share.groupBy("component").agg(F.max_by("class", F.struct("n", "class")).alias("main"), F.max("n").alias("n_main"),
@@ -325,7 +328,7 @@ def near_duplicate_rows(docs: DataFrame, percent: int = 85, rows: int = ROWS, id
     # Rows are told apart by id and text: ids may be shared or null.
     texts = keyed_texts(docs, id_col, text_col).withColumn("rid", row_key())
     signed = stored(texts.mapInArrow(_sign(rows), "doc_id long, rid long, node long, n_shingles long, bands array<long>"), "signed")
-    member = stored(buckets(signed), "buckets")
+    member = stored(shared_buckets(signed), "buckets")
     one = stored(signed.filter("node IS NOT NULL").groupBy("node").agg(F.min("rid").alias("rid")), "rows_of_nodes")
     first = stored(_first_links(texts, one, stored(star_edges(member), "stars"), percent), "links")
     # A block pair of a cluster is a group; small clusters have few.
