@@ -273,10 +273,10 @@ def _least_distance(item, text):
 
 def test_leaks_against_all_pairs(spark, few):
     """Every item against every text: nothing is missed, nothing else found."""
-    bench = table(spark, SF001, "benchmark").orderBy("item_id").limit(30)
+    bench = table(spark, SF001, "benchmark").orderBy("item_id").limit(20)
     items = [(r.item_id, d.normal(r.text)) for r in bench.collect()]
-    rows = few.select("doc_id", "text").orderBy("doc_id").limit(120).collect()
-    planted = [(1_000 + k, f"{rows[k].text[:150]} {items[k % 30][1][:-3]} {rows[k].text[150:300]}") for k in range(10)]
+    rows = few.select("doc_id", "text").orderBy("doc_id").limit(60).collect()
+    planted = [(1_000 + k, f"{rows[k].text[:150]} {items[k % 20][1][:-3]} {rows[k].text[150:300]}") for k in range(10)]
     df = spark.createDataFrame([(r.doc_id, r.text) for r in rows] + planted, "doc_id long, text string")
     want = set()
     for i, text in [(r.doc_id, r.text) for r in rows] + planted:
