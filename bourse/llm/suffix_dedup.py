@@ -12,6 +12,16 @@ place is repeated if another place agrees with it for o bytes to the left
 and WINDOW - o to the right, which the two orders' common prefix lengths
 tell.
 
+A group of more than GROUP surroundings is not sorted by one task. One of
+them becomes its centre, and each other one is compared with it alone: how
+far the two agree to the left (l) and to the right (r) settles the range of o
+from WINDOW - r to l. Beyond that range its partners must part from the
+centre where it does, with the same byte, so it goes on in the group of those
+that do so on the left, and in that of those that do so on the right. Groups
+shrink by the number of different bytes in each round, and small ones are
+sorted as above. So a passage that a third of all texts hold, each between
+words of its own, costs one comparison a text and round.
+
 Whole texts that have an exact copy are settled by their digests before
 that; one text of each such group takes part in the sorting, so groups of
 copies of any size count once.
@@ -23,6 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +47,8 @@ CHUNK = 8
 SMALL = 8
 # Equal surroundings are merged before the shuffle, over about so many bytes.
 MERGE_BYTES = 32 << 20
+# Surroundings that one task sorts.
+GROUP = 2048
 _SLICE = 1 << 21
 
 
@@ -262,7 +275,10 @@ def _spans(window: int):
     def run(batches):
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         n = 0
-        for _, group in sorted_groups(batches, "gram"):
+        settled: list[pa.RecordBatch] = []
+        for _, group in sorted_groups(_open_rows(batches, settled, window), "gram"):
+            yield from settled
+            settled.clear()
             if group.num_rows == 1 and len(group.column("at")[0]) == 1:
                 continue
             same: dict[tuple[int, bytes], list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -285,10 +301,26 @@ def _spans(window: int):
                             if n > 50_000:
                                 yield from _span_batches(out)
                                 out, n = [], 0
+        yield from settled
         yield from _span_batches(out)
     return run
 
 
+def _open_rows(batches, settled: list[pa.RecordBatch], window: int):
+    """The rows whose range of o isn't known yet; the others' spans go to
+    ``settled``."""
+    for batch in batches:
+        known = batch.column("least").is_valid()
+        if known.true_count:
+            done = batch.filter(known)
+            many = done.column("rid").value_lengths().to_numpy()
+            at = done.column("at").flatten().to_numpy()
+            least, most = (np.repeat(done.column(c).to_numpy(), many) for c in ("least", "most"))
+            settled.extend(_span_batches([(done.column("rid").flatten().to_numpy(), at - most, at - least + window)]))
+            batch = batch.filter(pc.invert(known))
+        yield batch
+
+
 def _span_batches(spans):
     if spans:
         cols = [np.concatenate(x) for x in zip(*spans)]
@@ -296,6 +328,81 @@ def _span_batches(spans):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 50_000], pa.int64()) for c in cols], names=["rid", "start", "end"])
 
 
+_COMPARED = ("key long, rid array<long>, at array<long>, left int, around binary, centre boolean, places int, "
+             "least int, most int, on long")
+
+
+def _against_centre(window: int, reach: int):
+    """Each surroundings against its group's centre: a row with the range of
+    o that both share (``least`` to ``most``), and a row for each group that
+    it goes on in (``on``). Copies of the centre are only marked."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for key, rid, at, left, around, c_left, c_around in zip(*(batch.column(c).to_pylist() for c in (
+                    "key", "rid", "at", "left", "around", "c_left", "c_around"))):
+                if (left, around) == (c_left, c_around):
+                    out.append((key, rid, at, left, around, True, len(rid), None, None, None))
+                    continue
+                mine, own = (around[:left][::-1], around[left:]), (c_around[:c_left][::-1], c_around[c_left:])
+                to_left, to_right = common(mine[0], own[0]), common(mine[1], own[1])
+                first, last = max(0, window - len(mine[1])), min(left, reach)
+                if max(first, window - to_right) <= min(last, to_left):
+                    out.append((key, rid, at, left, None, False, 0, max(first, window - to_right), min(last, to_left), None))
+                for side, agreed, open_ in ((0, to_left, last > to_left), (1, to_right, first < window - to_right)):
+                    if open_:
+                        mark = key.to_bytes(8, signed=True) + bytes((side,)) + agreed.to_bytes(4) + mine[side][:agreed + 1]
+                        on = int.from_bytes(hashlib.blake2b(mark, digest_size=8).digest(), signed=True)
+                        # Windows that agree for more than this on one side reach less far on the other.
+                        rest = window - agreed - 1
+                        near = min(left, rest) if side else left
+                        part = around[left - near:] if side else around[:left + rest]
+                        out.append((None, rid, at, near, part, False, 0, None, None, on))
+            cols = list(zip(*out)) or [()] * 10
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.bool_(), pa.int32(),
+                     pa.int32(), pa.int32(), pa.int64()]
+            names = ["key", "rid", "at", "left", "around", "centre", "places", "least", "most", "on"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+    return run
+
+
+def _settled_by_centres(entries: DataFrame, window: int, reach: int) -> tuple[DataFrame, DataFrame]:
+    """What the large groups among ``entries`` (gram, rid, at, left, around)
+    come to: their places with a settled range of o (gram, rid, at, least,
+    most), dealt evenly, and the small groups they fall into, as entries."""
+    at = stored(entries.withColumnRenamed("gram", "key"), "surroundings")
+    spans, small = [], []
+    while True:
+        size = stored(at.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("rid")).alias("places"), F.min(
+            F.struct(F.xxhash64("around", "left"), "left", "around")).alias("c")), "centres")
+        few = size.filter("places > 1").filter(F.col("n") <= GROUP).select("key")
+        small.append(at.join(few, "key").select(F.col("key").alias("gram"), "rid", "at", "left", "around"))
+        many = size.filter(F.col("n") > GROUP).select("key", F.col("c.left").alias("c_left"), F.col("c.around").alias("c_around"))
+        if many.isEmpty():
+            break
+        compared = stored(at.join(many, "key").mapInArrow(_against_centre(window, reach), _COMPARED), "compared")
+        shared = compared.filter("least IS NOT NULL")
+        # A centre is repeated all over if it has a copy, or else where any other agrees with it.
+        copies = stored(compared.filter("centre").groupBy("key").agg(F.sum("places").alias("places")).filter("places > 1")
+                        .select("key", F.lit(reach).alias("most"), F.lit(0).alias("least")), "copied")
+        reached = shared.join(copies, "key", "left_anti").groupBy("key", "most").agg(F.min("least").alias("least"))
+        centres = compared.filter("centre").drop("least", "most") \
+            .join(stored(reached.unionByName(copies), "reached"), "key") \
+            .withColumn("most", F.least("most", "left")) \
+            .withColumn("least", F.greatest("least", window - (F.length("around") - F.col("left"))))
+        for found in (shared, centres.filter("least <= most")):
+            spans.append(found.select(F.xxhash64("rid", "at", "least").alias("gram"), "rid", "at", "least", "most"))
+        at = compared.filter("on IS NOT NULL").select(F.col("on").alias("key"), "rid", "at", "left", "around")
+    return _all(spans), _all(small)
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for start, end in sorted(spans):
@@ -319,18 +426,20 @@ def _cut(batches):
             kept.append(text[at:])
             kept = b"".join(kept)
             rows.append((len(text), len(text) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(),
-                         [x for s in gone for x in s]))
+                         kept.decode("utf-8", "ignore"), [x for s in gone for x in s]))
         cols = list(zip(*rows))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string()),
-             pa.array(cols[4], pa.list_(pa.int64()))],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
+             pa.array(cols[4], pa.string()), pa.array(cols[5], pa.list_(pa.int64()))],
+            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "removed"])
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, removed (starts and
-    ends of the removed runs, flat) for every row of ``docs``: without each
-    byte covered by a ``window``-byte string that also starts anywhere else.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left)
+    and removed (starts and ends of the removed runs, flat) for every row of
+    ``docs``: without each byte covered by a ``window``-byte string that also
+    starts anywhere else. Of a character that a run's edge cuts, the bytes
+    left count in kept_sha256 and are left out of text.
 
     Null and empty texts, and all shorter than ``window``, keep everything.
     Repeated rows are copies of each other. Rows are told apart, and copies
@@ -351,13 +460,23 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_
         .select("rid", F.explode(F.arrays_zip("at", "gram")).alias("p")).select("rid", "p.at", "p.gram")
     # Written, so that both sides of the join below are plain shuffles and a
     # hash with a third of the places can be split.
-    often = stored(single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "often")
-    shared = single.join(often, "gram").groupBy("rid").agg(F.collect_list(F.struct("at", "gram")).alias("places"))
-    around = texts.select("rid", "text").join(shared, "rid").mapInArrow(
-        _surroundings(window), "gram long, rid array<long>, at array<long>, left int, around binary")
+    often = stored(single.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1"), "often")
+    shared = single.join(often, "gram")
+
+    def surroundings(of: DataFrame) -> DataFrame:
+        per_text = of.groupBy("rid").agg(F.collect_list(F.struct("at", "gram")).alias("places"))
+        return texts.select("rid", "text").join(per_text, "rid").mapInArrow(
+            _surroundings(window), "gram long, rid array<long>, at array<long>, left int, around binary")
+
+    around = surroundings(shared.filter(F.col("c") <= GROUP))
+    if not often.filter(F.col("c") > GROUP).isEmpty():
+        settled, small = _settled_by_centres(surroundings(shared.filter(F.col("c") > GROUP)), window, window - min(GRAM, window))
+        around = around.unionByName(small).unionByName(settled, allowMissingColumns=True)
+    else:
+        around = around.withColumns({c: F.lit(None).cast("int") for c in ("least", "most")})
     found = around.repartition("gram").sortWithinPartitions("gram").mapInArrow(_spans(window), "rid long, start long, end long")
     spans = stored(found.unionByName(whole), "spans")
 
     by_row = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return texts.select("doc_id", "rid", "text").join(by_row, "rid", "left").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")
+        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, removed array<long>")

@@ -37,9 +37,11 @@ def test_against_all_windows(few):
     assert _got(few) == want
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_passages_in_many_surroundings(spark, seed):
-    """Short windows over texts cut from few passages, with periods."""
+@pytest.mark.parametrize(("seed", "group"), [(1, s.GROUP), (2, s.GROUP), (3, 2), (4, 8)])
+def test_passages_in_many_surroundings(spark, monkeypatch, seed, group):
+    """Short windows over texts cut from few passages, with periods; large
+    groups settled by centres give the same."""
+    monkeypatch.setattr(s, "GROUP", group)
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 6)))
     passages = [" ".join(word() for _ in range(rng.randint(5, 60))) for _ in range(6)] + ["xy" * 60, "é" * 50]
@@ -93,12 +95,38 @@ def test_equal_surroundings_are_merged_before_the_shuffle():
     found = [{"at": 900, "gram": 3}, {"at": 1_100, "gram": 4}]
     batch = pa.RecordBatch.from_pylist([{"rid": k, "text": t.decode(), "places": found} for k, t in enumerate(texts)])
     sent = pa.Table.from_batches(s._surroundings(400)([batch]))
+    none = pa.nulls(sent.num_rows, pa.int32())
     assert sent.num_rows == 2 and sent.column("rid").to_pylist() == [list(range(500))] * 2
-    spans = pa.Table.from_batches(s._spans(400)(sent.to_batches()))
+    spans = pa.Table.from_batches(s._spans(400)(sent.append_column("least", none).append_column("most", none).to_batches()))
     assert sorted(zip(*spans.to_pydict().values())) == sorted(
         (k, a - 336, a + 400) for k in range(500) for a in (900, 1_100))
 
 
+def test_hot_passage_meets_in_no_task(spark, monkeypatch):
+    """A passage that all texts hold between words of their own: no group
+    larger than GROUP is sorted, and the text left is what is hashed."""
+    monkeypatch.setattr(s, "GROUP", 20)
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    passage = word(700)
+    rows = [(i, word(rng.randint(0, 500)) + passage + word(rng.randint(0, 500))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, kept = [], s._settled_by_centres
+
+    def settled(entries, window, reach):
+        out = kept(entries, window, reach)
+        sizes.append((out[0].count(), out[1].groupBy("gram").count().agg({"count": "max"}).first()[0] or 0))
+        return out
+    monkeypatch.setattr(s, "_settled_by_centres", settled)
+    assert _got(df) == sorted((i, *b) for (i, _), b in zip(rows, _brute([t for _, t in rows], 400)))
+    assert len(sizes) == 1 and sizes[0][0] >= 120 and sizes[0][1] <= 20
+    for r in s.repeated_passages(df).collect():
+        left = rows[r.doc_id][1].encode()
+        for a, b in reversed(list(zip(r.removed[::2], r.removed[1::2]))):
+            left = left[:a] + left[b:]
+        assert hashlib.sha256(left).hexdigest() == r.kept_sha256 and left.decode("utf-8", "ignore") == r.text
+
+
 def test_merged_in_small_steps(few, monkeypatch):
     want = _got(few)
     monkeypatch.setattr(s, "MERGE_BYTES", 1_000)
