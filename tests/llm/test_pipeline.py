@@ -46,6 +46,8 @@ def test_stages_against_their_input(spark, few):
     for (s, at, n), (t, next_at, _) in zip(places, places[1:]):
         assert next_at == (at + n if s == t else 0)
     assert all(at + n <= 4096 for _, at, n in places)
+    pieces = lambda rows: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    assert pieces(p.run(spark, SF0001).collect()) == pieces(packed)
 
 
 def test_odd_rows_and_clashing_names(spark, odd):
