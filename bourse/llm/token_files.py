@@ -59,7 +59,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end: int = END,
     writes no documents."""
     texts = keyed_texts(docs, id_col, text_col)
     # Rows that share an id, or have none, are split by their texts.
-    texts.repartitionByRange("doc_id", F.substring("text", 1, 256), F.xxhash64("text")).sortWithinPartitions("doc_id", "text") \
+    texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text") \
         .mapInArrow(_encode(tokenizer, end), SCHEMA).write.options(**ORC).orc(path)
 
 
