@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from array import array
 
-KEPT_UNITS = 750_000
+KEPT_UNITS = 1_100_000
 # Texts that show whether units can be encoded by themselves (fixed values).
 PROBES = ("a b", " the  cat's\t12 Dogs,\nall of them ", "Über größe, ÿ élan!", "x\ry <b> 漢字 z.", "don't stop? ümlaut: ")
 # Letters that stay one piece under composition and lower-casing.
