@@ -25,11 +25,11 @@ def bronze_folder(root: str, dates=None) -> str:
 def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = MARKET_ZONE,
                 period: str = "month", symbols: DataFrame | None = None,
                 ingest_epoch: int | None = None, mode: str = "overwrite") -> str:
-    """K1: write bars as bronze documents (JSON Lines) and return the folder.
+    """K1: write bars as bronze documents (JSON Lines, gzip) and return the folder.
 
     Each landing is a part of its own below the range folder
     (``bronze_folder``, ``sinks.versions``):
-    ``_versions/{number}-{id}/ingest={epoch}/part-*.json``. ``dates`` names
+    ``_versions/{number}-{id}/ingest={epoch}/part-*.json.gz``. ``dates`` names
     the range folder; cut the ticks to the range before resampling
     (``ticks_in_range``), so partial first and last bars hold only in-range
     ticks. ``mode="overwrite"`` makes this landing the only part of the next
@@ -48,11 +48,17 @@ def land_bronze(bars: DataFrame, root: str, dates=None, zone: str = MARKET_ZONE,
 
 
 def land_documents(docs: DataFrame, folder: str, ingest_epoch: int, mode: str = "overwrite") -> None:
-    """Write ready documents (``bronze_documents``) as one ingest of a range folder."""
+    """Write ready documents (``bronze_documents``) as one ingest of a range folder.
+
+    Field names and equal digits are most of a document's bytes, so files are
+    compressed. A reader takes a gzip file in one task: there are as many as
+    tasks that wrote.
+    """
     spark = docs.sparkSession
     base = versions.current(spark, folder)
     part = f"{versions.new_folder(folder, base)}/ingest={ingest_epoch}"
-    docs.withColumn("period", F.col("period").cast("string")).write.json(part)
+    docs.withColumn("period", F.col("period").cast("string")).write.option("zlib.compress.level", "BEST_SPEED") \
+        .json(part, compression="gzip")
     kept = base.parts if base and mode == "append" else ()
     versions.publish(spark, folder, base, [*kept, (f"ingest={ingest_epoch}", part)])
 

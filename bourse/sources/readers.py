@@ -43,8 +43,8 @@ def read_bronze(spark: SparkSession, path, multi_line: bool = False) -> DataFram
     (``quality.corrupt_documents`` lists them). ``results_count`` is the
     provider's own count, or NULL.
 
-    ``multi_line=False`` reads JSON Lines (splittable; what ``land_bronze``
-    writes). Use ``True`` for files that each hold one pretty-printed
+    ``multi_line=False`` reads JSON Lines (splittable unless compressed;
+    what ``land_bronze`` writes, with gzip). Use ``True`` for files that each hold one pretty-printed
     document: on a JSON Lines file it silently keeps only the first record.
     ``ingested_at`` comes from the file path (P4): ``{ticker}_{epoch}.json``
     or an ``ingest={epoch}`` folder. ``path`` may be a list of folders; of a
@@ -71,7 +71,7 @@ def bronze_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """(source_file, changed, length) of the files in bronze folders; their
     contents are not read."""
     meta = {"source_file": "file_path", "changed": "file_modification_time", "length": "file_size"}
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json") \
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,json.gz}") \
                 .load(list(folders)).select(*[F.col(f"_metadata.{m}").alias(c) for c, m in meta.items()])
 
 

@@ -12,9 +12,9 @@ from bourse.operators.bars import bronze_documents, daily, resample_bars
 from bourse.operators.silver import explode_results, to_silver
 from bourse.schemas import SILVER
 from bourse.session import local_path, shared_dir
-from bourse.sinks import land_bronze
+from bourse.sinks import land_bronze, versions
 from bourse.sources import fixtures as fx
-from bourse.sources.readers import read_bronze, read_company_map, read_symbols
+from bourse.sources.readers import bronze_files, read_bronze, read_company_map, read_symbols
 from tests.conftest import SF0001, rows
 
 TS = dt.datetime
@@ -229,3 +229,25 @@ def test_documents_need_a_period(spark, period):
     bars = resample_bars(fx.event_ticks(spark, SF0001))
     with pytest.raises(ValueError, match="period"):
         bronze_documents(bars, period=period)
+
+
+def _orders_landed(spark, name):
+    """Bars of 2,000 orders, of which every tenth has none, as landed documents."""
+    symbols = spark.range(2000).select(F.col("id").cast("string").alias("symbol"))
+    sold = spark.range(2000).filter("id % 10 > 0").select(
+        F.col("id").cast("string").alias("ticker"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, id % 300)").alias("ts"),
+        (F.col("id") * 1.37).alias("price"), F.lit(3.0).alias("qty"))
+    folder = land_bronze(resample_bars(sold, volume="qty"), shared_dir(spark, "t", name), symbols=symbols, ingest_epoch=7)
+    return folder, symbols
+
+
+def test_landed_documents_take_little_disk(spark):
+    folder, _ = _orders_landed(spark, "small")
+    parts = versions.folders(spark, folder)
+    text = spark.read.option("recursiveFileLookup", True).text(parts).agg(F.sum(F.length("value") + 1).alias("n")).first()["n"]
+    on_disk = bronze_files(spark, parts).agg(F.sum("length").alias("n")).first()["n"]
+    assert 0 < on_disk < text / 3
+    bronze = read_bronze(spark, folder)
+    assert [tuple(r) for r in bronze.select(F.unix_seconds("ingested_at")).distinct().collect()] == [(7,)]
+    assert quality.corrupt_documents(bronze).isEmpty()
+    assert rows(quality.missing_results(bronze)) == sorted((str(i),) for i in range(0, 2000, 10))
