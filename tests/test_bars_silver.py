@@ -251,3 +251,11 @@ def test_landed_documents_take_little_disk(spark):
     assert [tuple(r) for r in bronze.select(F.unix_seconds("ingested_at")).distinct().collect()] == [(7,)]
     assert quality.corrupt_documents(bronze).isEmpty()
     assert rows(quality.missing_results(bronze)) == sorted((str(i),) for i in range(0, 2000, 10))
+
+
+def test_completeness_of_compressed_landing(spark):
+    folder, symbols = _orders_landed(spark, "complete")
+    source = read_bronze(spark, folder).select("source_file").distinct()
+    assert source.filter(~F.col("source_file").endswith(".json.gz")).isEmpty() and not source.isEmpty()
+    more = symbols.unionByName(spark.range(2000, 2003).select(F.col("id").cast("string").alias("symbol")))
+    assert rows(quality.landed_completeness(read_bronze(spark, folder), more)) == [("2000",), ("2001",), ("2002",)]
