@@ -3,7 +3,7 @@
 The vocabulary that the queries use drops white space and never joins
 characters across it, so a text's ids are those of its space-separated
 units one after the other. Units repeat, so each process keeps the ids of
-units it has seen (at most KEPT_UNITS) and puts only new ones to the
+units it has seen (at most KEPT_UNITS, or as many as its user allows) and puts only new ones to the
 tokenizers library: plain lower-case words to its BPE model, all others to
 the whole tokenizer. A test holds the result against whole-text encoding.
 
@@ -34,6 +34,7 @@ class UnitEncoder:
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
         self.cache: dict[str, bytes] = {"": b""}
+        self.kept = KEPT_UNITS
         self.tails = {c: self._whole(c) for c in _TAILS}
         try:
             self.by_unit = all(b"".join(self.unit_ids(p)[1]) == self._whole(p) for p in PROBES)
@@ -50,7 +51,7 @@ class UnitEncoder:
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _keep(self, unit: str, ids: bytes) -> None:
-        if len(self.cache) < KEPT_UNITS:
+        if len(self.cache) < self.kept:
             self.cache[unit] = ids
 
     def unit(self, unit: str) -> bytes:
@@ -87,8 +88,13 @@ class UnitEncoder:
 _ENCODERS: dict[str, UnitEncoder] = {}
 
 
-def encoder(path: str) -> UnitEncoder:
-    """This process's encoder for a vocabulary file."""
+def encoder(path: str, kept: int | None = None) -> UnitEncoder:
+    """This process's encoder for a vocabulary file, which keeps up to
+    ``kept`` units (default KEPT_UNITS) from now on; of more, none stays."""
     if path not in _ENCODERS:
         _ENCODERS[path] = UnitEncoder(path)
-    return _ENCODERS[path]
+    found = _ENCODERS[path]
+    found.kept = KEPT_UNITS if kept is None else kept
+    if len(found.cache) > found.kept:
+        found.cache = {"": b""}
+    return found

@@ -23,6 +23,9 @@ from bourse.llm.encode import encoder
 
 CAPACITY = 4096
 END = 1
+# Units whose ids a process keeps: fewer than elsewhere, as processes outlive
+# their stage and the pipeline's next ones need the memory.
+KEPT_UNITS = 250_000
 # Most places of the plan; far above what 4096 lengths give (a few thousand).
 PLAN_ROWS = 1_000_000
 PLACE = "length long, first long, last long, per_sequence long, sequence long, at long"
@@ -32,7 +35,7 @@ def _pieces(path: str, end: int, capacity: int):
     last = np.array([end], "<u4").tobytes()
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, KEPT_UNITS)
         for batch in steps(batches):
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):

@@ -211,3 +211,18 @@ def test_cache_is_bounded(monkeypatch, unit):
     for _ in range(2):
         assert np.frombuffer(enc.encode(unit), "<u4").tolist() == _whole(unit).ids
     assert len(enc.cache) == 1
+
+
+def test_packing_keeps_few_units_in_a_process(monkeypatch):
+    import pyarrow as pa
+    import bourse.llm.encode as e
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(k, k + 60)) for k in range(0, 600, 60)]
+    want = [(i, len(_whole(t).ids) + 1) for i, t in enumerate(texts)]
+    for text in texts:  # as another operator leaves it
+        encoder(PATH).encode(text)
+    assert len(e._ENCODERS[PATH].cache) > 500
+    monkeypatch.setattr(packing, "KEPT_UNITS", 40)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    got = [r for out in packing._pieces(PATH, 1, 4096)([batch]) for r in out.to_pylist()]
+    assert [(r["doc_id"], r["length"]) for r in got] == want
+    assert len(e._ENCODERS[PATH].cache) <= 40
