@@ -12,6 +12,7 @@ from bourse.llm.token_files import read_token_ids, token_index, write_token_ids
 from bourse.session import shared_dir
 
 PATH = vocabulary()
+UNITS = UnitEncoder(PATH)
 ODD = ["it's a Test.", "İstanbul ΣΑΣ ŸÿßẞÉé", "a<|endoftext|>b <|startoftext|>", "x\x1cy z w", "é ́e", "12,5!! ...", "",
        "don't!? we'LL", "ﬁne ª º µ ×÷", "a\tb\nc\rd\x0be\x0cf", "é, É. ñ; Ü: ß? ÿ!", "क़ 漢字。日本"]
 
@@ -226,3 +227,30 @@ def test_packing_keeps_few_units_in_a_process(monkeypatch):
     got = [r for out in packing._pieces(PATH, 1, 4096)([batch]) for r in out.to_pylist()]
     assert [(r["doc_id"], r["length"]) for r in got] == want
     assert len(e._ENCODERS[PATH].cache) <= 40
+
+
+def test_signs_after_a_word_are_made_once(monkeypatch):
+    """The whole tokenizer sees each run of signs once, not every word that one follows."""
+    enc = UnitEncoder(PATH)
+    enc.forget()
+    seen, whole = [], enc._whole
+    monkeypatch.setattr(enc, "_whole", lambda unit: seen.append(unit) or whole(unit))
+    text = " ".join(f"{w}{run}" for w in ("thanea", "Ciónes", "straße", "ONA") for run in ("$$$", ".***", ",&&&", "''", "@", "|>"))
+    assert np.frombuffer(enc.encode(text), "<u4").tolist() == _whole(text).ids
+    assert len(seen) == len(set(seen)) <= 6
+
+
+def test_kept_runs_are_bounded(monkeypatch):
+    import bourse.llm.encode as e
+    monkeypatch.setattr(e, "KEPT_RUNS", 2)
+    enc = UnitEncoder(PATH)
+    for text in ("a!! b?? c;; d!!", "e?? f## g;; É@@"):
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == _whole(text).ids
+    assert len(enc.runs) == 2
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aZéÉßẞsStT'’.,!?$*&%<>|_^`~-3 ̸́", max_size=8), max_size=6))
+def test_words_and_signs_give_whole_text_ids(units):
+    text = " ".join(units)
+    assert np.frombuffer(UNITS.encode(text), "<u4").tolist() == _whole(text).ids
