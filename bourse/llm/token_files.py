@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bourse.llm.common import keyed_texts, list_column, steps
+from bourse.llm.common import keyed_texts, list_column, steps, stored
 from bourse.llm.encode import encoder
 
 END = 2
@@ -87,13 +87,14 @@ def _digest(batches):
 
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files:
-    start counts the ids of all documents before it. Sums run within a file
+    start counts the ids of all documents before it. The files are read once,
+    into a table of counts and checksums. Sums run within a file
     first; the running sum over files has a row per file. A null doc_id passes
     through (such documents come first), repeated rows have a start each, a
     document without text has its end id alone, and a folder without documents
     gives an empty result."""
-    rows = read_token_ids(spark, path).mapInArrow(
-        _digest, "file long, row long, doc_id long, n_tokens long, ids_crc32 long")
+    rows = stored(read_token_ids(spark, path).mapInArrow(
+        _digest, "file long, row long, doc_id long, n_tokens long, ids_crc32 long"), "token_index")
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = rows.groupBy("file").agg(F.sum("n_tokens").alias("total")) \

@@ -254,3 +254,12 @@ def test_kept_runs_are_bounded(monkeypatch):
 def test_words_and_signs_give_whole_text_ids(units):
     text = " ".join(units)
     assert np.frombuffer(UNITS.encode(text), "<u4").tolist() == _whole(text).ids
+
+
+def test_token_files_are_read_once(spark, docs):
+    """The index is laid out from a table of counts, not from the ids again."""
+    path = shared_dir(spark, "bourse", "token_ids")
+    write_token_ids(docs.limit(50), path, PATH)
+    index = token_index(spark, path)
+    assert index.count() == 50
+    assert index.inputFiles() and not [f for f in index.inputFiles() if path.rsplit("/", 1)[1] in f]
